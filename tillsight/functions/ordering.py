@@ -233,3 +233,19 @@ def quantiles(
     long = melt(df, columns, by).filter(F.col("value").isNotNull())
     counts = long.groupBy(*keys, "value").agg(F.count("*").alias("n"))
     return quantiles_of_counts(counts, probs, keys, local_values)
+
+
+def quantile_columns(
+    df: DataFrame, wanted: dict[str, tuple[str, float]], by: Sequence[str] = ()
+) -> DataFrame:
+    """One row per group with named quantiles: ``wanted`` maps a name to (column, probability)."""
+    columns = sorted({column for column, _ in wanted.values()})
+    probs = sorted({prob for _, prob in wanted.values()})
+    long = quantiles(df, columns, probs, by)
+    picked = [
+        F.first(
+            F.when(F.col("metric") == column, F.col("q")[probs.index(prob)]), ignorenulls=True
+        ).alias(name)
+        for name, (column, prob) in wanted.items()
+    ]
+    return long.groupBy(*by).agg(*picked) if by else long.agg(*picked)

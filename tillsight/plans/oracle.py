@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tillsight.plans import oracle_tables
-from tillsight.plans.oracle_base import compose
+from tillsight.plans import oracle_model, oracle_tables
+from tillsight.plans.oracle_base import TABLES, compose
 
 
 def oracle() -> dict[str, str]:
-    return {name: compose(query) for name, query in oracle_tables.QUERIES.items()}
+    queries = {**oracle_tables.QUERIES, **oracle_model.QUERIES}
+    tables = {**TABLES, **oracle_model.TABLES}
+    return {name: compose(query, tables) for name, query in queries.items()}

@@ -167,19 +167,23 @@ FROM cf JOIN ch USING (household_key), p WHERE is_bgnbd_eligible"""
 def compose(query: str, tables: dict[str, str] = TABLES) -> str:
     """The query under a WITH clause of the table expressions it mentions, in dependency order."""
     needed: list[str] = []
+    seen: set[str] = set()
 
     def add(text: str) -> None:
         words = set(re.findall(r"\b[a-z_][a-z0-9_]*\b", text))
         for name, body in tables.items():
-            if name in words and name not in needed:
+            if name in words and name not in seen:
+                seen.add(name)
                 add(body)
-                if name not in needed:
-                    needed.append(name)
+                needed.append(name)
 
     add(query)
-    recursive = "RECURSIVE " if "series" in needed else ""
-    parts = [f"{name} AS MATERIALIZED ({tables[name].strip()})" for name in needed if name != "series"]
-    if "series" in needed:
-        at = needed.index("series")
-        parts.insert(at, f"series AS ({tables['series'].strip()})")
-    return f"WITH {recursive}" + ",\n".join(parts) + "\n" + query.strip() if parts else query.strip()
+    if not needed:
+        return query.strip()
+    # a table expression that names itself is recursive, and cannot be marked as materialized
+    own = {name for name in needed if re.search(rf"\bFROM {name}\b", tables[name])}
+    parts = [
+        f"{name} AS {'' if name in own else 'MATERIALIZED '}({tables[name].strip()})"
+        for name in needed
+    ]
+    return f"WITH {'RECURSIVE ' if own else ''}" + ",\n".join(parts) + "\n" + query.strip()

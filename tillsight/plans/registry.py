@@ -8,8 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tillsight.operators import audit, baskets, checks, features, holdout
-from tillsight.plans.stages import Stages, stages
+from tillsight.operators import (
+    audit,
+    baskets,
+    bgnbd,
+    checks,
+    describe,
+    evaluate,
+    features,
+    holdout,
+    profiles,
+    promotions,
+)
+from tillsight.plans.stages import THETA, Stages, stages
 from tillsight.schema import TRANSACTIONS
 from tillsight.sources.storage import (
     preview_rows,
@@ -22,11 +33,13 @@ from tillsight.sources.storage import (
 Step = Callable[[Stages], DataFrame]
 
 
-def rounded(df: DataFrame, digits: int) -> DataFrame:
+def rounded(df: DataFrame, digits: int, special: dict[str, int]) -> DataFrame:
     """Doubles rounded for comparison: engines add floating-point numbers in different orders."""
     return df.select(
         *[
-            F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, DoubleType) else f.name
+            F.round(f.name, special.get(f.name, digits)).alias(f.name)
+            if isinstance(f.dataType, DoubleType)
+            else f.name
             for f in df.schema
         ]
     )
@@ -162,17 +175,199 @@ HOLDOUT: dict[str, Step] = {
     "model_input_sample": lambda s: holdout.model_input_sample(s.model_input),
 }
 
-STEPS: dict[str, Step] = {**SOURCES, **AUDIT, **BASKETS, **FEATURES, **HOLDOUT}
+HISTORY = [
+    "in_sample_baskets", "active_weeks", "days_since_last_purchase", "observation_days",
+    "historical_sales", "average_basket_value",
+]
+PROMOTION = [
+    "retail_discount_basket_rate", "retail_discount_per_basket", "manufacturer_coupon_basket_rate",
+    "manufacturer_coupon_amount_per_redeeming_basket", "retail_coupon_match_basket_rate",
+    "retail_coupon_match_per_basket",
+]
+NORMALIZED = [
+    "retail_discount_share_of_pre_discount_value",
+    "retailer_funded_discount_share_of_pre_discount_value",
+    "manufacturer_coupon_value_per_basket",
+]
+MODEL_COLUMNS = ["frequency", "recency_days", "observation_days", "actual_holdout_baskets"]
+SPREAD = [0.25, 0.50, 0.75, 0.90, 0.95, 0.99]
+CENTERED = ["historical_sales", "in_sample_baskets", "days_since_last_purchase"]
+HISTOGRAM = {
+    "frequency": 50, "historical_sales": 50, "in_sample_baskets": 50,
+    "days_since_last_purchase": 50, "retail_discount_basket_rate": 40,
+    "manufacturer_coupon_basket_rate": 40, "retail_coupon_match_basket_rate": 40,
+}
+RANKED_PAIRS = [
+    ("historical_sales", "in_sample_baskets"), ("historical_sales", "average_basket_value"),
+    ("historical_sales", "observation_days"), ("historical_sales", "actual_holdout_baskets"),
+]
+PREDICTED = "predicted_holdout_baskets_bgnbd"
+BASELINE = "predicted_holdout_baskets_baseline"
+SCORED_PAIRS = [("historical_sales", PREDICTED), ("actual_holdout_baskets", PREDICTED)]
 
-# Decimals kept of floating-point results: quantiles of data with at most six decimals are exact
-# to nine.
-DIGITS: dict[str, int] = {}
+
+def _quintiles(s: Stages) -> DataFrame:
+    return describe.sales_quintile(s.scored)
+
+
+DESCRIPTION: dict[str, Step] = {
+    "coerce_numeric": lambda s: describe.coerce_numeric(s.model_input, describe.numeric_columns()),
+    "assert_cohort": lambda s: describe.cohort_counts(s.model_input),
+    "model_null_counts": lambda s: describe.model_null_counts(s.model_input),
+    "assert_relationships": lambda s: describe.relationship_violations(s.model_input),
+    "recency_allclose": lambda s: describe.recency_allclose(s.model_input),
+    "describe": lambda s: describe.describe(
+        s.model_input, MODEL_COLUMNS, [0.01, 0.25, 0.50, 0.75, 0.99]
+    ),
+    "describe_history": lambda s: describe.describe(s.model_input, HISTORY, SPREAD),
+    "describe_observation": lambda s: describe.describe(
+        s.model_input, ["observation_days"], [0.25, 0.50, 0.75, 0.90, 0.99]
+    ),
+    "describe_promotions": lambda s: describe.describe(s.model_input, PROMOTION, SPREAD),
+    "describe_normalized": lambda s: describe.describe(s.scored, NORMALIZED, SPREAD),
+    "describe_predictions": lambda s: describe.describe(
+        s.scored, ["probability_alive", PREDICTED]
+    ),
+    "describe_errors": lambda s: describe.describe(
+        s.scored,
+        ["baseline_error", "bgnbd_error", "baseline_absolute_error", "bgnbd_absolute_error"],
+    ),
+    "histogram": lambda s: describe.histogram(s.model_input, HISTOGRAM),
+    "histogram_up_to_p99": lambda s: describe.histogram(
+        describe.up_to_quantile(s.model_input, "frequency", 0.99), {"frequency": 50}
+    ),
+    "log1p_histogram": lambda s: describe.log1p_histogram(
+        s.model_input, {c: 50 for c in CENTERED}
+    ),
+    "between_median_and_mean": lambda s: describe.between_median_and_mean(
+        s.model_input, "historical_sales"
+    ),
+    "center_lines": lambda s: describe.center_lines(s.model_input, CENTERED),
+    "spearman": lambda s: describe.spearman_table(s.model_input, RANKED_PAIRS),
+    "spearman_predicted": lambda s: describe.spearman_table(s.scored, SCORED_PAIRS),
+    "log1p_pairs": lambda s: describe.log1p_pairs(
+        s.model_input, "in_sample_baskets", "historical_sales"
+    ),
+    "log1p_pairs_predicted": lambda s: describe.log1p_pairs(s.scored, "historical_sales", PREDICTED),
+    "promotion_incidence": lambda s: describe.promotion_incidence(s.model_input),
+    "normalized_promotion": lambda s: describe.normalized_promotion(s.model_input).select(
+        "household_key", *NORMALIZED
+    ),
+    "normalized_promotion_checks": lambda s: describe.normalized_promotion_checks(s.scored),
+    "sales_quintile": lambda s: _quintiles(s).select("household_key", "historical_sales_quintile"),
+    "sales_quintile_sizes": lambda s: describe.quintile_sizes(_quintiles(s)),
+    "quintile_activity": lambda s: describe.quintile_activity(s.profiled),
+    "quintile_dispersion": lambda s: describe.quintile_dispersion(s.profiled),
+    "box_stats": lambda s: describe.box_stats(s.profiled),
+}
+
+EVALUATION: dict[str, Step] = {
+    "rate_baseline": lambda s: evaluate.rate_baseline(s.model_input).select(
+        "household_key", "frequency", "observation_days", "historical_repeat_rate_per_day",
+        BASELINE, "actual_holdout_baskets",
+    ),
+    "bgnbd_fit": lambda s: bgnbd.fit_table(s.model_input),
+    "bgnbd_log_likelihood": lambda s: bgnbd.log_likelihood(s.model_input, THETA),
+    "bgnbd_summary": lambda s: bgnbd.summary(s.model_input, bgnbd.fit(s.model_input).params),
+    "probability_alive": lambda s: s.model_input.select(
+        "household_key", bgnbd.probability_alive(THETA).alias("probability_alive")
+    ),
+    "rate_check": lambda s: bgnbd.rate_check(s.model_input, THETA),
+    "expected_purchases": lambda s: s.model_input.select(
+        "household_key",
+        bgnbd.expected_purchases(THETA, F.col("prediction_horizon_days")).alias(PREDICTED),
+    ),
+    "evaluate_predictions": lambda s: evaluate.evaluate_predictions(s.scored),
+    "model_comparison": lambda s: evaluate.model_comparison(s.scored),
+    "improvement_pct": lambda s: evaluate.improvement_pct(s.scored),
+    "prediction_errors": lambda s: s.scored.select(
+        "household_key", "baseline_error", "bgnbd_error", "baseline_absolute_error",
+        "bgnbd_absolute_error",
+    ),
+    "activity_decile": lambda s: evaluate.activity_decile(s.scored).select(
+        "household_key", "household_baskets_decile"
+    ),
+    "decile_calibration": lambda s: evaluate.decile_calibration(evaluate.activity_decile(s.scored)),
+    "top_share_capture": lambda s: evaluate.top_share_table(s.scored),
+    "bootstrap_mae_improvement": lambda s: evaluate.bootstrap_mae_improvement(s.scored),
+    "lowest_alive": lambda s: evaluate.lowest_alive(s.scored),
+    "largest_errors": lambda s: evaluate.largest_errors(s.scored),
+}
+
+
+def _comparison(s: Stages) -> DataFrame:
+    return promotions.within_level_promotion_comparison(s.profiled)
+
+
+PROFILES: dict[str, Step] = {
+    "within_quintile_split": lambda s: profiles.within_quintile_split(_quintiles(s)).select(
+        "household_key", "historical_sales_quintile",
+        "median_predicted_baskets_within_sales_quintile", "relative_predicted_baskets",
+    ),
+    "profile_levels": lambda s: profiles.profile_levels(s.scored).select(
+        "household_key", "historical_value_level", "future_activity_level", "profile_label",
+        "profile_order",
+    ),
+    "customer_profile": lambda s: profiles.profile_levels(s.scored).select(
+        "household_key", "customer_profile"
+    ),
+    **{
+        name: (lambda s, f=getattr(profiles, name): f(s.profiled))
+        for name in (
+            "quintile_split_counts", "within_quintile_summary", "within_quintile_difference",
+            "within_quintile_uplift", "single_quintile_ratio", "profile_cutoffs",
+            "profile_crosstab", "profile_sizes", "level_sizes", "profile_relevance",
+            "profile_commercial_weight", "sales_within_groups",
+        )
+    },
+    "assert_profiles": lambda s: profiles.profile_check(s.profiled),
+    "promotion_metric_catalog": lambda s: promotions.metric_coverage(s.profiled),
+    "profile_promotion_overview": lambda s: promotions.profile_promotion_overview(s.profiled),
+    "level_promotion_overview": lambda s: promotions.level_promotion_overview(s.profiled),
+    "promotion_benchmark": lambda s: promotions.promotion_benchmark(s.profiled),
+    "within_level_promotion_comparison": _comparison,
+    "comparison_primary": lambda s: promotions.priority_comparison(_comparison(s), "Primary"),
+    "comparison_secondary": lambda s: promotions.priority_comparison(_comparison(s), "Secondary"),
+    "comparison_higher_value": lambda s: promotions.level_comparison(_comparison(s), True),
+    "comparison_lower_value": lambda s: promotions.level_comparison(_comparison(s), False),
+    "comparison_coupon_distribution": lambda s: promotions.coupon_distribution_check(_comparison(s)),
+}
+
+STEPS: dict[str, Step] = {
+    **SOURCES, **AUDIT, **BASKETS, **FEATURES, **HOLDOUT, **DESCRIPTION, **EVALUATION, **PROFILES,
+}
+
+# Decimals kept of floating-point results. Nine keep quantiles and quotients of the input exact;
+# six are kept where sums of floating-point values or model scores enter.
 DEFAULT_DIGITS = 9
+NOISY_DIGITS = 6
+NOISY = {
+    "describe_predictions", "describe_errors", "log1p_histogram", "spearman", "spearman_predicted",
+    "log1p_pairs", "log1p_pairs_predicted", "bgnbd_fit", "bgnbd_summary", "bgnbd_log_likelihood",
+    "probability_alive", "rate_check", "expected_purchases", "evaluate_predictions",
+    "model_comparison", "improvement_pct", "prediction_errors", "decile_calibration",
+    "bootstrap_mae_improvement", "lowest_alive", "largest_errors", "within_quintile_split",
+    "within_quintile_summary", "profile_cutoffs", "profile_relevance", "profile_commercial_weight",
+    "profile_promotion_overview", "level_promotion_overview", "within_level_promotion_comparison",
+    "comparison_primary", "comparison_secondary", "comparison_higher_value",
+    "comparison_lower_value", "comparison_coupon_distribution",
+}
+SPECIAL_DIGITS: dict[str, dict[str, int]] = {
+    **{
+        name: {"mean": 6, "std": 6}
+        for name in (
+            "describe", "describe_history", "describe_observation", "describe_promotions",
+            "describe_normalized", "center_lines",
+        )
+    },
+    "bgnbd_log_likelihood": {"log_likelihood": 3},
+}
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(name: str, step: Step):
-        digits = DIGITS.get(name, DEFAULT_DIGITS)
-        return lambda spark, folder: rounded(step(stages(spark, folder)), digits)
+        digits = NOISY_DIGITS if name in NOISY else DEFAULT_DIGITS
+        special = SPECIAL_DIGITS.get(name, {})
+        return lambda spark, folder: rounded(step(stages(spark, folder)), digits, special)
 
     return {name: bind(name, step) for name, step in STEPS.items()}

@@ -6,11 +6,15 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.operators import baskets, features, holdout
+from tillsight.operators import baskets, describe, evaluate, features, holdout, profiles
+from tillsight.operators.bgnbd import BgnbdParams
 from tillsight.schema import Params
 from tillsight.sources.storage import materialize
 from tillsight.sources.transactions import transactions_from_orders
 
+# Parameters the queries score with: a fixed set, so that SQL can compute the same scores.
+THETA = BgnbdParams(r=1.2, alpha=60.0, a=0.6, b=8.0)
+
 
 class Stages:
     def __init__(self, spark: SparkSession, folder: str):
@@ -60,6 +64,18 @@ class Stages:
             self.customer_features, self.customer_holdout, self.params
         )
 
+    @cached_property
+    def scored(self) -> DataFrame:
+        """Model input with promotion shares, baseline, P(alive), expected baskets and errors."""
+        scores = evaluate.score(describe.normalized_promotion(self.model_input), THETA)
+        return materialize(evaluate.prediction_errors(scores), "scored")
+
+    @cached_property
+    def profiled(self) -> DataFrame:
+        """Scored households with sales quintile, group within it, levels and profile."""
+        split = profiles.within_quintile_split(describe.sales_quintile(self.scored))
+        return materialize(profiles.profile_levels(split), "profiled")
+
 
 _open: dict[tuple[str, str], Stages] = {}
 
