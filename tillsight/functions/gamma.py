@@ -1,7 +1,8 @@
-"""Differences of log-gamma and the digamma function as column expressions.
+"""Log-gamma differences and the digamma function, for floats and for column expressions.
 
 Spark SQL has neither. Both use the asymptotic series after moving the argument up by eight, which
-leaves an error near 1e-14. The same formulas serve plain floats.
+leaves an error near 1e-14. The pieces are functions of ``z`` and of ``l = ln(z + 8)``,
+``i = 1 / (z + 8)``, ``w = i * i``, so that a plan can compute those once as columns.
 """
 
 from __future__ import annotations
@@ -25,32 +26,49 @@ def _log1p(value):
     return F.log1p(value) if isinstance(value, Column) else math.log1p(value)
 
 
-def _horner(series, w):
+def _polynomial(series, w):
     total = series[-1]
     for c in reversed(series[:-1]):
         total = total * w + c
     return total
 
 
-def _tail(y):
-    inverse = 1.0 / y
-    return _horner(LOG_GAMMA_SERIES, inverse * inverse) * inverse
+def tail(i, w):
+    """What Stirling's formula leaves out of ln Gamma(z + 8)."""
+    return _polynomial(LOG_GAMMA_SERIES, w) * i
 
 
-def log_gamma_rise(z, d):
-    """ln Gamma(z + d) - ln Gamma(z) for z > 0, d >= 0, without cancellation for large z."""
-    y = z + float(SHIFT)
-    product = 1.0
-    for i in range(SHIFT):
-        product = product * (1.0 + d / (z + float(i)))
-    top = (y - 0.5) * _log1p(d / y) + d * _log(y + d) - d
-    return top + _tail(y + d) - _tail(y) - _log(product)
+def digamma_of(z, l, i, w):
+    below = 1.0 / z
+    for k in range(1, SHIFT):
+        below = below + 1.0 / (z + float(k))
+    return l - 0.5 * i + _polynomial(DIGAMMA_SERIES, w) * w - below
+
 
+def rise_of(z, d, l_end, tail_start, tail_end):
+    """ln Gamma(z + d) - ln Gamma(z) for z > 0, d >= 0, without cancellation for large z.
 
-def digamma(z):
+    ``l_end`` and ``tail_end`` belong to z + d, ``tail_start`` to z.
+    """
     y = z + float(SHIFT)
-    below = 0.0
-    for i in range(SHIFT):
-        below = below + 1.0 / (z + float(i))
-    w = 1.0 / (y * y)
-    return _log(y) - 0.5 / y + _horner(DIGAMMA_SERIES, w) * w - below
+    product = 1.0 + d / z
+    for k in range(1, SHIFT):
+        product = product * (1.0 + d / (z + float(k)))
+    return (y - 0.5) * _log1p(d / y) + d * l_end - d + tail_end - tail_start - _log(product)
+
+
+def _pieces(z: float) -> tuple[float, float, float]:
+    i = 1.0 / (z + SHIFT)
+    return math.log(z + SHIFT), i, i * i
+
+
+def digamma(z: float) -> float:
+    return digamma_of(z, *_pieces(z))
+
+
+def log_gamma_tail(z: float) -> float:
+    return tail(*_pieces(z)[1:])
+
+
+def log_gamma_rise(z: float, d: float) -> float:
+    return rise_of(z, d, _pieces(z + d)[0], log_gamma_tail(z), log_gamma_tail(z + d))

@@ -14,16 +14,21 @@ from pyspark.sql import functions as F
 
 from tillsight.sources.storage import materialize
 
-# Up to this many (group, value, count) rows, the built-in percentile may hold them in one task.
-LOCAL_VALUES = 1_000_000
+# Up to this many rows may be ordered or held by one task.
+LOCAL_VALUES = 200_000
 # Up to this many rows, a lookup table may be broadcast.
 BROADCAST_ROWS = 500_000
+# Rank error of the approximate quantiles, as one part in this many, and the distances to both
+# sides of a quantile within which it is then looked for; the last one takes in every row.
+SKETCH_ACCURACY = 10_000
+BRACKET_MARGINS = (2 / SKETCH_ACCURACY, 20 / SKETCH_ACCURACY, 1.0)
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, place in the partition below
 
 
-def _before(total: str, *groups: str, order: str) -> Column:
-    window = Window.partitionBy(*groups).orderBy(order)
+def _before(total: str, *groups: str, order: str | Sequence[str]) -> Column:
+    columns = [order] if isinstance(order, str) else list(order)
+    window = Window.partitionBy(*groups).orderBy(*columns)
     running = F.sum(total).over(window.rowsBetween(Window.unboundedPreceding, -1))
     return F.coalesce(running, F.lit(0))
 
@@ -65,10 +70,19 @@ def quantile_bucket(position: Column, rows: int, buckets: int) -> Column:
     return F.greatest(F.lit(1), cut.cast("int"))
 
 
-def cumulative_counts(counts: DataFrame, value: str = "value") -> DataFrame:
-    """Adds ``before``: the number of rows with a smaller value, from rows (value, n)."""
+def cumulative_counts(
+    counts: DataFrame, few: bool = False, order: Sequence[str] = ("value",)
+) -> DataFrame:
+    """Adds ``before``: the number of rows earlier in the order, from distinct rows (..., n).
+
+    ``few`` states that the caller has counted at most LOCAL_VALUES rows; one ordered window then
+    does. Otherwise the rows are range-partitioned, and each partition's running total starts at
+    the total of the partitions before it.
+    """
+    if few:
+        return counts.withColumn("before", _before("n", order=order))
     ranged = materialize(
-        counts.repartitionByRange(value).withColumn("_part", F.spark_partition_id()), "ranged"
+        counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged"
     )
     offsets = (
         ranged.groupBy("_part")
@@ -77,33 +91,28 @@ def cumulative_counts(counts: DataFrame, value: str = "value") -> DataFrame:
         .select("_part", "_offset")
     )
     return (
-        ranged.withColumn("_inside", _before("n", "_part", order=value))
+        ranged.withColumn("_inside", _before("n", "_part", order=order))
         .join(F.broadcast(offsets), "_part")
         .withColumn("before", F.col("_offset") + F.col("_inside"))
         .drop("_part", "_inside", "_offset")
     )
 
 
-def average_ranks(df: DataFrame, column: str) -> tuple[DataFrame, bool]:
-    """Rank 1.. of each distinct value, ties sharing the mean of their ranks; and whether the
-    table is small enough to broadcast."""
-    counts = df.groupBy(F.col(column).alias("value")).agg(F.sum("n").alias("n"))
-    ranked = materialize(
-        cumulative_counts(counts).select(
-            F.col("value").alias(column),
-            (F.col("before") + (F.col("n") + 1) / 2).alias(f"{column}_rank"),
-        ),
-        "ranks",
+def average_ranks(pairs: DataFrame, column: str, few: bool) -> DataFrame:
+    """Rank 1.. of each distinct value of a column of rows (..., n); ties share their mean rank."""
+    counts = pairs.groupBy(F.col(column).alias("value")).agg(F.sum("n").alias("n"))
+    return cumulative_counts(counts, few).select(
+        F.col("value").alias(column),
+        (F.col("before") + (F.col("n") + 1) / 2).alias(f"{column}_rank"),
     )
-    return ranked, ranked.count() <= BROADCAST_ROWS
 
 
-def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
+def spearman(df: DataFrame, a: str, b: str, local_values: int | None = None) -> DataFrame:
     """Rank correlation of two columns with average ranks for ties, as one row.
 
-    Equal pairs are counted first, so copies of a pair travel as one row. A rank table that is
-    too big to broadcast is joined by sort-merge, where adaptive execution splits a value that
-    very many pairs share.
+    Equal pairs are counted first, so copies of a pair travel as one row. The rank table of a
+    column is joined back to the pairs: by broadcast when it was found small, otherwise by a
+    sort-merge join, where adaptive execution splits a value that very many pairs share.
     """
     pairs = materialize(
         df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
@@ -111,16 +120,20 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
         .agg(F.count("*").alias("n")),
         "pairs",
     )
+    few = pairs.count() <= (LOCAL_VALUES if local_values is None else local_values)
     ranked = pairs
     for column in ("a", "b"):
-        ranks, small = average_ranks(pairs, column)
+        ranks = average_ranks(pairs, column, few)
+        if not few:
+            ranks = materialize(ranks, "ranks")
+        small = few or ranks.count() <= BROADCAST_ROWS
         ranked = ranked.join(F.broadcast(ranks) if small else ranks, column)
     # Ranks are centred before they are multiplied: their sums would otherwise cancel.
     n = F.col("n")
-    middle = ranked.agg(((F.sum("n") + 1) / 2).alias("_middle"))
+    middle = pairs.agg(((F.sum("n") + 1) / 2).alias("_middle"))
     x, y = F.col("a_rank") - F.col("_middle"), F.col("b_rank") - F.col("_middle")
     return (
-        ranked.crossJoin(F.broadcast(middle))
+        ranked.crossJoin(F.broadcast(middle))  # one row
         .agg(
             F.sum("n").alias("n"),
             F.sum(n * x * y).alias("xy"),
@@ -137,88 +150,103 @@ def _literals(probs: Sequence[float]) -> Column:
     return F.array(*[F.lit(float(p)) for p in probs])
 
 
-def quantiles_of_counts(
-    counts: DataFrame,
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    local_values: int | None = None,
+def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows (by..., metric, value) for each of the columns, as doubles."""
+    pairs = F.array(
+        *[
+            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+            for c in columns
+        ]
+    )
+    return df.select(*by, F.inline(pairs))
+
+
+def _near_quantiles(
+    long: DataFrame, probs: Sequence[float], keys: list[str], margin: float
 ) -> DataFrame:
-    """Linearly interpolated quantiles of rows (by..., value, n): columns by..., ``q`` (an array).
+    """Rows (keys..., _i, _below, value, n): per wanted quantile, how many rows lie below its
+    bracket, and the counts of the values inside it.
 
-    ``by`` holds labels with few distinct combinations. Small tables go to the built-in
-    percentile; larger ones are range-partitioned, and only the partitions that hold a wanted
-    place are ranked.
+    The bracket comes from the approximate quantiles ``margin`` to both sides, whose rank error
+    is far smaller. Rows outside the brackets collapse before the shuffle.
     """
-    limit = LOCAL_VALUES if local_values is None else local_values
-    by = list(by)
-    stored = materialize(
-        counts.select(*by, F.col("value").cast("double").alias("value"), "n").filter(
-            F.col("value").isNotNull()
-        ),
-        "counts",
+    sides = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
+    sketch = long.groupBy(*keys).agg(
+        F.percentile_approx("value", _literals(sides), SKETCH_ACCURACY).alias("_s"),
+        F.min("value").alias("_min"),
+        F.max("value").alias("_max"),
     )
-    if stored.count() <= limit:
-        q = F.percentile("value", _literals(probs), F.col("n")).alias("q")
-        return stored.groupBy(*by).agg(q) if by else stored.agg(q)
-
-    ranged = materialize(
-        stored.repartitionByRange(*by, "value").withColumn("_part", F.spark_partition_id()),
-        "ranged",
+    k = len(probs)
+    brackets = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("_i"),
+                (F.col("_s")[i] if probs[i] > margin else F.col("_min")).alias("_low"),
+                (F.col("_s")[k + i] if probs[i] < 1 - margin else F.col("_max")).alias("_high"),
+            )
+            for i in range(k)
+        ]
     )
-    # at most one row per partition and group
-    parts = (
-        ranged.groupBy(*by, "_part")
-        .agg(F.sum("n").alias("_rows"))
-        .withColumn("_offset", _before("_rows", *by, order="_part"))
-        .withColumn("_total", F.sum("_rows").over(Window.partitionBy(*by)))
+    below = F.col("value") < F.col("_low")
+    # one row per group, which are few
+    return (
+        long.join(F.broadcast(sketch.select(*keys, brackets.alias("_b"))), keys)
+        .select(*keys, "value", F.inline("_b"))
+        .filter(F.col("value") <= F.col("_high"))
+        .groupBy(*keys, "_i", below.alias("_below"), F.when(~below, F.col("value")).alias("value"))
+        .agg(F.count("*").alias("n"))
     )
-    wanted = (
-        parts.withColumn("_prob", F.explode(_literals(probs)))
-        .withColumn("_at", F.col("_prob") * (F.col("_total") - 1))
-        .withColumn("_place", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))))
-        .filter(
-            (F.col("_place") >= F.col("_offset"))
-            & (F.col("_place") < F.col("_offset") + F.col("_rows"))
+
+
+def _bracketed_quantiles(
+    long: DataFrame, probs: Sequence[float], keys: list[str], few_values: int
+) -> DataFrame:
+    """Exact quantiles from two scans: approximate brackets, then the places inside them."""
+    totals = materialize(long.groupBy(*keys).agg(F.count("*").alias("_total")), "totals")
+    at = _literals(probs)[F.col("_i")] * (F.col("_total") - 1)
+    for margin in BRACKET_MARGINS:
+        near = materialize(_near_quantiles(long, probs, keys, margin), "brackets")
+        reach = near.groupBy(*keys, "_i").agg(
+            F.coalesce(F.sum(F.when(F.col("_below"), F.col("n"))), F.lit(0)).alias("_start"),
+            F.sum("n").alias("_end"),
         )
-        .select(*by, "_part", "_offset", "_prob", "_at", "_place")
-    )
-    keys = [*by, "_part"]
-    holding = F.broadcast(wanted.select(*keys, "_offset").distinct())
-    placed = (
-        ranged.join(holding, keys)
-        .withColumn("_from", F.col("_offset") + _before("n", *keys, order="value"))
-        .drop("_offset")
-    )
-    inside = (F.col("_place") >= F.col("_from")) & (F.col("_place") < F.col("_from") + F.col("n"))
-    found = placed.join(F.broadcast(wanted), keys).filter(inside)
-    low = F.max(F.when(F.col("_place") == F.floor("_at"), F.col("value")))
-    high = F.max(F.when(F.col("_place") == F.ceil("_at"), F.col("value")))
-    per_prob = (
-        found.groupBy(*by, "_prob", "_at")
-        .agg(low.alias("_low"), high.alias("_high"))
-        .withColumn(
-            "_q",
-            F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
-                (F.ceil("_at") - F.col("_at")) * F.col("_low")
-                + (F.col("_at") - F.floor("_at")) * F.col("_high")
-            ),
+        reach = reach.join(F.broadcast(totals), keys).withColumn("_at", at)
+        missed = reach.filter(
+            (F.floor("_at") < F.col("_start")) | (F.ceil("_at") >= F.col("_end"))
+        )
+        if missed.isEmpty():
+            break
+    inside = near.filter(~F.col("_below")).drop("_below")
+    group = [*keys, "_i"]
+    if inside.count() <= few_values:
+        placed = inside.withColumn("_from", _before("n", *group, order="value"))
+    else:
+        # places over all groups together, then less the first place of each group
+        ordered = cumulative_counts(inside, order=[*group, "value"])
+        first = ordered.groupBy(*group).agg(F.min("before").alias("_first"))
+        placed = (
+            ordered.join(F.broadcast(first), group)
+            .withColumn("_from", F.col("before") - F.col("_first"))
+            .drop("before", "_first")
         )
+    placed = placed.join(F.broadcast(reach), group).withColumn(
+        "_from", F.col("_from") + F.col("_start")
     )
-    # as many entries as probabilities
-    found_at = F.map_from_entries(F.collect_list(F.struct("_prob", "_q")))
-    gathered = per_prob.groupBy(*by).agg(found_at.alias("_map"))
-    return gathered.select(*by, F.transform(_literals(probs), lambda p: F.col("_map")[p]).alias("q"))
 
+    def value_at(place: Column) -> Column:
+        held = (place >= F.col("_from")) & (place < F.col("_from") + F.col("n"))
+        return F.max(F.when(held, F.col("value")))
 
-def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows (by..., metric, value) for each of the columns, as doubles."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-            for c in columns
-        ]
+    low, high = F.col("_low"), F.col("_high")
+    between = (F.ceil("_at") - F.col("_at")) * low + (F.col("_at") - F.floor("_at")) * high
+    found = (
+        placed.groupBy(*group, "_at")
+        .agg(value_at(F.floor("_at")).alias("_low"), value_at(F.ceil("_at")).alias("_high"))
+        .withColumn("_q", F.when(low == high, low).otherwise(between))
     )
-    return df.select(*by, F.inline(pairs))
+    # as many entries as probabilities
+    entries = F.array_sort(F.collect_list(F.struct("_i", "_q")))
+    return found.groupBy(*keys).agg(F.transform(entries, lambda e: e["_q"]).alias("q"))
 
 
 def quantiles(
@@ -228,11 +256,18 @@ def quantiles(
     by: Sequence[str] = (),
     local_values: int | None = None,
 ) -> DataFrame:
-    """Quantiles of several columns: rows by..., ``metric``, ``q``. NULLs are left out."""
+    """Linearly interpolated quantiles: rows by..., ``metric``, ``q`` (an array). NULLs are left out.
+
+    ``by`` holds labels with few distinct combinations. ``df`` is read more than once, so it
+    should be a stored table or close to one. A table of few rows goes to the built-in percentile,
+    which holds all values of a group in one task; a larger one takes two scans and no sort.
+    """
+    limit = LOCAL_VALUES if local_values is None else local_values
     keys = [*by, "metric"]
     long = melt(df, columns, by).filter(F.col("value").isNotNull())
-    counts = long.groupBy(*keys, "value").agg(F.count("*").alias("n"))
-    return quantiles_of_counts(counts, probs, keys, local_values)
+    if df.count() * len(columns) <= limit:
+        return long.groupBy(*keys).agg(F.percentile("value", _literals(probs)).alias("q"))
+    return _bracketed_quantiles(long, probs, keys, limit)
 
 
 def quantile_columns(

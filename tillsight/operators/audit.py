@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.columns import count_where, exact_average, as_cents, half_up_quotient, percent, scaled
-from tillsight.functions.ordering import quantiles_of_counts
+from tillsight.functions.ordering import quantile_columns
 from tillsight.schema import TRANSACTIONS
+from tillsight.sources.storage import materialize
 
 LISTED = [
     "household_key",
@@ -28,6 +29,14 @@ LISTED = [
 DISCOUNTS = ["retail_disc", "coupon_disc", "coupon_match_disc"]
 
 
+def _listed(df: DataFrame, *order) -> DataFrame:
+    """All rows in order. A row number ends the sort key, so that very many copies of one row can
+    still be sorted by several tasks."""
+    return (
+        df.withColumn("_row", F.monotonically_increasing_id()).orderBy(*order, "_row").drop("_row")
+    )
+
+
 def dataset_overview(tx: DataFrame) -> DataFrame:
     per_basket = tx.groupBy("household_key", "basket_id", "store_id").agg(
         F.count("*").alias("n"),
@@ -138,25 +147,24 @@ def baskets_with_repeated_product(tx: DataFrame) -> DataFrame:
 
 
 def basket_size_distribution(tx: DataFrame) -> DataFrame:
-    sizes = (
-        tx.groupBy("basket_id")
-        .agg(F.count("*").alias("value"))
-        .groupBy("value")
-        .agg(F.count("*").alias("n"))
+    sizes = materialize(
+        tx.groupBy("basket_id").agg(F.count("*").alias("lines")).select("lines"), "basket_sizes"
+    )
+    spread = quantile_columns(
+        sizes,
+        {
+            "median_product_lines": ("lines", 0.50),
+            "p90_product_lines": ("lines", 0.90),
+            "p99_product_lines": ("lines", 0.99),
+        },
     )
-    spread = quantiles_of_counts(sizes, [0.50, 0.90, 0.99])
     totals = sizes.agg(
-        F.min("value").alias("min_product_lines"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("avg_product_lines"),
-        F.max("value").alias("max_product_lines"),
+        F.min("lines").alias("min_product_lines"),
+        (F.sum("lines") / F.count("*")).alias("avg_product_lines"),
+        F.max("lines").alias("max_product_lines"),
     )
     return totals.crossJoin(F.broadcast(spread)).select(
-        "min_product_lines",
-        "avg_product_lines",
-        F.col("q")[0].alias("median_product_lines"),
-        F.col("q")[1].alias("p90_product_lines"),
-        F.col("q")[2].alias("p99_product_lines"),
-        "max_product_lines",
+        "min_product_lines", "avg_product_lines", *spread.columns, "max_product_lines"
     )
 
 
@@ -174,8 +182,9 @@ def exact_duplicates(tx: DataFrame) -> DataFrame:
 
 def quantity_profile(tx: DataFrame) -> DataFrame:
     quantity, sales = F.col("quantity"), F.col("sales_value")
-    counts = tx.filter(quantity.isNotNull()).groupBy(quantity.alias("value")).agg(F.count("*").alias("n"))
-    spread = quantiles_of_counts(counts, [0.50, 0.99])
+    spread = quantile_columns(
+        tx, {"median_quantity": ("quantity", 0.50), "p99_quantity": ("quantity", 0.99)}
+    )
     total = F.sum(quantity.cast("bigint"))
     totals = tx.agg(
         count_where(quantity < 0).alias("negative_quantity_rows"),
@@ -189,17 +198,20 @@ def quantity_profile(tx: DataFrame) -> DataFrame:
         F.max(quantity).alias("maximum_quantity"),
     )
     return totals.crossJoin(F.broadcast(spread)).select(
-        *totals.columns[:-1],
-        F.col("q")[0].alias("median_quantity"),
-        F.col("q")[1].alias("p99_quantity"),
-        "maximum_quantity",
+        *totals.columns[:-1], *spread.columns, "maximum_quantity"
     )
 
 
 def sales_profile(tx: DataFrame) -> DataFrame:
     sales = F.col("sales_value")
-    counts = tx.filter(sales.isNotNull()).groupBy(sales.alias("value")).agg(F.count("*").alias("n"))
-    spread = quantiles_of_counts(counts, [0.01, 0.50, 0.99])
+    spread = quantile_columns(
+        tx,
+        {
+            "p01_sales": ("sales_value", 0.01),
+            "median_sales": ("sales_value", 0.50),
+            "p99_sales": ("sales_value", 0.99),
+        },
+    )
     totals = tx.agg(
         count_where(sales < 0).alias("negative_sales"),
         count_where(sales == 0).alias("zero_sales"),
@@ -209,11 +221,7 @@ def sales_profile(tx: DataFrame) -> DataFrame:
         F.max(sales).alias("max_sales"),
     )
     return totals.crossJoin(F.broadcast(spread)).select(
-        *totals.columns[:-1],
-        F.col("q")[0].alias("p01_sales"),
-        F.col("q")[1].alias("median_sales"),
-        F.col("q")[2].alias("p99_sales"),
-        "max_sales",
+        *totals.columns[:-1], *spread.columns, "max_sales"
     )
 
 
@@ -244,11 +252,8 @@ def zero_quantity_discount_mix(tx: DataFrame) -> DataFrame:
 
 
 def zero_quantity_positive_sales(tx: DataFrame) -> DataFrame:
-    return (
-        tx.filter((F.col("quantity") == 0) & (F.col("sales_value") > 0))
-        .select(*LISTED)
-        .orderBy(F.desc("sales_value"), "basket_id", "product_id")
-    )
+    lines = tx.filter((F.col("quantity") == 0) & (F.col("sales_value") > 0)).select(*LISTED)
+    return _listed(lines, F.desc("sales_value"), "basket_id", "product_id")
 
 
 def _zero_quantity_only(tx: DataFrame) -> DataFrame:
@@ -311,11 +316,8 @@ def discount_sign_audit(tx: DataFrame) -> DataFrame:
 
 
 def positive_retail_discounts(tx: DataFrame) -> DataFrame:
-    return (
-        tx.filter(F.col("retail_disc") > 0)
-        .select(*LISTED)
-        .orderBy(F.desc("retail_disc"), "basket_id", "product_id")
-    )
+    lines = tx.filter(F.col("retail_disc") > 0).select(*LISTED)
+    return _listed(lines, F.desc("retail_disc"), "basket_id", "product_id")
 
 
 def _lines_of_positive_retail_baskets(tx: DataFrame) -> DataFrame:
@@ -324,11 +326,8 @@ def _lines_of_positive_retail_baskets(tx: DataFrame) -> DataFrame:
 
 
 def baskets_with_positive_retail(tx: DataFrame) -> DataFrame:
-    return (
-        _lines_of_positive_retail_baskets(tx)
-        .select(*TRANSACTIONS.fieldNames())
-        .orderBy("basket_id", "product_id")
-    )
+    lines = _lines_of_positive_retail_baskets(tx).select(*TRANSACTIONS.fieldNames())
+    return _listed(lines, "basket_id", "product_id")
 
 
 def positive_retail_basket_summary(tx: DataFrame) -> DataFrame:
@@ -359,7 +358,7 @@ def discount_relationships(tx: DataFrame) -> DataFrame:
 
 def coupon_match_exceptions(tx: DataFrame) -> DataFrame:
     larger = F.abs(F.round("coupon_match_disc", 2)) > F.abs(F.round("coupon_disc", 2))
-    return tx.filter(larger).orderBy("basket_id", "product_id")
+    return _listed(tx.filter(larger), "basket_id", "product_id")
 
 
 def trans_time_range(tx: DataFrame) -> DataFrame:

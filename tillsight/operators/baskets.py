@@ -85,13 +85,15 @@ def fact_basket(tx: DataFrame, hot_lines: int = HOT_BASKET_LINES) -> DataFrame:
     first count of lines per basket bounds that set: baskets above ``hot_lines`` go through the
     distinct count, whose first shuffle spreads one basket over all tasks.
     """
-    hot = (
-        tx.groupBy(*KEYS).agg(F.count("*").alias("lines")).filter(F.col("lines") > hot_lines)
-    ).select(*[F.col(key).alias(f"hot_{key}") for key in KEYS])
+    sizes = tx.groupBy(*KEYS).agg(F.count("*").alias("lines"))
+    largest = sizes.agg(F.max("lines")).first()[0] or 0
     in_set = F.size(F.collect_set("product_id"))
-    if hot.isEmpty():
+    if largest <= hot_lines:
         rows = _basket_rows(tx, in_set)
     else:
+        hot = sizes.filter(F.col("lines") > hot_lines).select(
+            *[F.col(key).alias(f"hot_{key}") for key in KEYS]
+        )
         same = (F.col("household_key").eqNullSafe(F.col("hot_household_key"))) & (
             F.col("basket_id").eqNullSafe(F.col("hot_basket_id"))
         )

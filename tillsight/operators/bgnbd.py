@@ -9,14 +9,23 @@ driver over four numbers.
 from __future__ import annotations
 
 import math
-from dataclasses import astuple, dataclass
+from dataclasses import asdict, astuple, dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.gamma import digamma, log_gamma_rise
+from tillsight.functions.gamma import (
+    SHIFT,
+    digamma,
+    digamma_of,
+    log_gamma_rise,
+    log_gamma_tail,
+    rise_of,
+    tail,
+)
 from tillsight.functions.ordering import quantile_columns
 from tillsight.sources.storage import materialize
 
@@ -52,71 +61,121 @@ def _history(df: DataFrame) -> DataFrame:
     )
 
 
-def _likelihood_terms(r, alpha, a, b) -> dict[str, Column]:
-    """Log-likelihood of a household and its derivatives, over columns x, tx and t."""
-    x, tx, t = F.col("x"), F.col("tx"), F.col("t")
-    repeat = x > 0
-    alive = -(r + x) * F.log(alpha + t)
-    # for one-time buyers the dropped-out branch has no weight
-    gone = F.log(a) - F.log(b + F.greatest(x, F.lit(1.0)) - 1.0) - (r + x) * F.log(alpha + tx)
-    gap = gone - alive
-    mixed = F.when(repeat, F.greatest(alive, gone) + F.log1p(F.exp(-F.abs(gap)))).otherwise(alive)
-    weight = F.when(repeat, 1.0 / (1.0 + F.exp(-gap))).otherwise(0.0)
-    value = (
-        log_gamma_rise(r, x)
-        + r * F.log(alpha)
-        + log_gamma_rise(b, a)
-        - log_gamma_rise(b + x, a)
-        + mixed
-    )
-    total = digamma(a + b) - digamma(a + b + x)
-    return {
-        "value": value,
-        "d_r": digamma(r + x)
-        - digamma(r)
-        + F.log(alpha)
-        - (1.0 - weight) * F.log(alpha + t)
-        - weight * F.log(alpha + tx),
-        "d_alpha": r / alpha - (r + x) * ((1.0 - weight) / (alpha + t) + weight / (alpha + tx)),
-        "d_a": total + weight / a,
-        "d_b": total
-        - digamma(b)
-        + digamma(b + x)
-        - weight / (b + F.greatest(x, F.lit(1.0)) - 1.0),
+SLOPES = [f"d_{name}" for name in NAMES]
+
+
+def _candidate(position: int, theta) -> str:
+    """A parameter set with everything that depends on it alone, as a SQL struct literal."""
+    r, alpha, a, b = (float(v) for v in theta)
+    values = {
+        "r": r,
+        "alpha": alpha,
+        "a": a,
+        "b": b,
+        "log_a": math.log(a),
+        "log_alpha": math.log(alpha),
+        "psi_r": digamma(r),
+        "psi_b": digamma(b),
+        "psi_ab": digamma(a + b),
+        "tail_r": log_gamma_tail(r),
+        "base": log_gamma_rise(b, a) + r * math.log(alpha),
+    }
+    fields = ", ".join(f"'{name}', {value!r}D" for name, value in values.items())
+    return f"named_struct('candidate', {position}, {fields})"
+
+
+@cache
+def _steps() -> tuple[list[dict[str, Column]], dict[str, Column]]:
+    """Columns added one after the other, then the likelihood and its derivatives.
+
+    Over x, tx, t and the fields of a candidate. Built once: a fit uses them in every batch.
+    """
+    c = F.col
+    arguments = ["rx", "bx", "abx"]
+    steps = [
+        {
+            "rx": c("r") + c("x"),
+            "bx": c("b") + c("x"),
+            "abx": c("a") + c("b") + c("x"),
+            "after": c("b") + F.greatest(c("x"), F.lit(1.0)) - 1.0,
+            "log_t": F.log(c("alpha") + c("t")),
+            "log_tx": F.log(c("alpha") + c("tx")),
+        },
+        {
+            **{f"{z}_l": F.log(c(z) + float(SHIFT)) for z in arguments},
+            **{f"{z}_i": 1.0 / (c(z) + float(SHIFT)) for z in arguments},
+            # log odds of having dropped out; a one-time buyer has not
+            "gap": F.when(
+                c("x") > 0,
+                c("log_a") - F.log("after") + c("rx") * (c("log_t") - c("log_tx")),
+            ),
+        },
+        {f"{z}_w": c(f"{z}_i") * c(f"{z}_i") for z in arguments},
+        {
+            **{f"{z}_tail": tail(c(f"{z}_i"), c(f"{z}_w")) for z in arguments},
+            **{
+                f"{z}_psi": digamma_of(c(z), c(f"{z}_l"), c(f"{z}_i"), c(f"{z}_w"))
+                for z in arguments
+            },
+            "gone": F.coalesce(1.0 / (1.0 + F.exp(-c("gap"))), F.lit(0.0)),
+            # log of the sum of both branches, less the branch of staying alive
+            "extra": F.coalesce(
+                F.greatest(c("gap"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("gap"))), F.lit(0.0)
+            ),
+        },
+    ]
+    alive = 1.0 - c("gone")
+    dropout = c("psi_ab") - c("abx_psi")
+    terms = {
+        "value": c("base")
+        + rise_of(c("r"), c("x"), c("rx_l"), c("tail_r"), c("rx_tail"))
+        - rise_of(c("bx"), c("a"), c("abx_l"), c("bx_tail"), c("abx_tail"))
+        - c("rx") * c("log_t")
+        + c("extra"),
+        "d_r": c("rx_psi")
+        - c("psi_r")
+        + c("log_alpha")
+        - alive * c("log_t")
+        - c("gone") * c("log_tx"),
+        "d_alpha": c("r") / c("alpha")
+        - c("rx") * (alive / (c("alpha") + c("t")) + c("gone") / (c("alpha") + c("tx"))),
+        "d_a": dropout + c("gone") / c("a"),
+        "d_b": dropout - c("psi_b") + c("bx_psi") - c("gone") / c("after"),
     }
+    return steps, {name: F.sum(term).alias(name) for name, term in terms.items()}
+
+
+def _expanded(history: DataFrame, candidates) -> DataFrame:
+    """Each household once per candidate, with the columns the likelihood is made of.
+
+    The candidates are one literal array: their values are not part of the generated code, so it
+    is compiled once for a whole fit.
+    """
+    literal = ", ".join(_candidate(i, theta) for i, theta in enumerate(candidates))
+    rows = history.select("x", "tx", "t", F.expr(f"inline(array({literal}))"))
+    for columns in _steps()[0]:
+        rows = rows.withColumns(columns)
+    return rows
 
 
-def _evaluate(history: DataFrame, candidates: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _evaluate(history: DataFrame, candidates) -> tuple[np.ndarray, np.ndarray]:
     """Total log-likelihood and its derivatives by r, alpha, a, b for each candidate."""
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("candidate"),
-                *[F.lit(float(v)).alias(name) for name, v in zip(NAMES, theta)],
-            )
-            for i, theta in enumerate(candidates)
-        ]
-    )
-    terms = _likelihood_terms(*[F.col(name) for name in NAMES])
     rows = (
-        history.select("x", "tx", "t", F.inline(entries))
-        .select("candidate", *[e.alias(name) for name, e in terms.items()])
+        _expanded(history, candidates)
         .groupBy("candidate")
-        .agg(*[F.sum(name).alias(name) for name in terms])
+        .agg(*_steps()[1].values())
         .collect()  # one row per candidate
     )
     ordered = sorted(rows, key=lambda row: row["candidate"])
     values = np.array([row["value"] for row in ordered])
-    slopes = np.array([[row[f"d_{name}"] for name in NAMES] for row in ordered])
-    return values, slopes
+    return values, np.array([[row[name] for name in SLOPES] for row in ordered])
 
 
 def log_likelihood(df: DataFrame, theta: BgnbdParams) -> DataFrame:
     """The objective at fixed parameters."""
-    value = _likelihood_terms(*[F.lit(float(v)) for v in astuple(theta)])["value"]
     return (
-        _history(df)
-        .agg(F.count("*").alias("households"), F.sum(value).alias("log_likelihood"))
+        _expanded(_history(df), [astuple(theta)])
+        .agg(F.count("*").alias("households"), _steps()[1]["value"].alias("log_likelihood"))
         .withColumn("mean_log_likelihood", F.col("log_likelihood") / F.col("households"))
     )
 
@@ -185,14 +244,17 @@ def fit(
         if np.max(np.abs(np.where(stuck, 0.0, g))) < tolerance:
             converged = True
             break
-        steps = [_downhill(g, hessian, ~stuck, d) for d in (0.0, 1e-4, 1e-3, 1e-2, 0.1, 1.0, 10.0)]
+        steps = [_downhill(g, hessian, ~stuck, d) for d in (0.0, 1e-3, 1e-2, 0.1, 1.0, 10.0)]
+        steps += [2 * steps[0], 4 * steps[0]]
         tries = [np.clip(u + step, LOWER, UPPER) for step in steps]
         values, _ = objective(tries)
         best = int(np.nanargmin(values))
-        if not values[best] < f - 1e-13 * abs(f):
-            converged = np.max(np.abs(np.where(stuck, 0.0, g))) < 1e-5
+        gain = f - values[best]
+        if gain > 0:
+            u = tries[best]
+        if not gain > tolerance * 1e-2 * abs(f):
+            converged = np.max(np.abs(np.where(stuck, 0.0, g))) < 1e-4
             break
-        u = tries[best]
     f, _ = objective([u])
     theta = np.exp(u)
     penalty = penalizer * float((theta * objective.weights) @ (theta * objective.weights))
@@ -206,16 +268,9 @@ def fit(
     )
 
 
-def fit_table(df: DataFrame, penalizer: float = 0.0) -> DataFrame:
-    result = fit(df, penalizer)
-    values = {
-        **{name: getattr(result.params, name) for name in NAMES},
-        "log_likelihood": result.log_likelihood,
-        "households": result.households,
-        "iterations": result.iterations,
-        "converged": result.converged,
-        "at_bound": result.at_bound,
-    }
+def fit_table(df: DataFrame, result: BgnbdFit) -> DataFrame:
+    """A fit as one row."""
+    values = {**asdict(result.params), **{k: v for k, v in asdict(result).items() if k != "params"}}
     return df.sparkSession.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
 
 

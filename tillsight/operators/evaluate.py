@@ -7,9 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.ordering import BROADCAST_ROWS, quantiles_of_counts, spearman, with_position
+from tillsight.functions.ordering import BROADCAST_ROWS, quantile_columns, spearman, with_position
 from tillsight.operators.bgnbd import BgnbdParams, expected_purchases, probability_alive
 from tillsight.operators.describe import rank_bucket
+from tillsight.sources.storage import materialize
 
 ACTUAL = "actual_holdout_baskets"
 # fixed values: the two models and their prediction columns
@@ -19,6 +20,8 @@ MODELS = {
 }
 # Draws (replicates x households) up to which the bootstrap looks every draw up.
 EXACT_DRAWS = 2_000_000_000
+# Draws of eight hex digits that one MD5 of 32 digits gives.
+DRAWS_PER_HASH = 4
 
 
 def rate_baseline(mi: DataFrame) -> DataFrame:
@@ -159,9 +162,8 @@ def top_share_table(scored: DataFrame, share: float = 0.20) -> DataFrame:
     return table
 
 
-def _uniform(*parts: Column | str) -> Column:
-    """A draw in [0, 1) that depends on nothing but its text: first 8 hex digits of an MD5."""
-    digits = F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8)
+def _uniform(digits: Column | str) -> Column:
+    """Eight hex digits as a number in [0, 1)."""
     return F.conv(digits, 16, 10).cast("double") / 4294967296.0
 
 
@@ -193,11 +195,24 @@ def bootstrap_mae_improvement(
     exact = rows * replicates <= exact_draws
     if exact:
         session = scored.sparkSession
-        draws = session.range(rows * replicates).select(
-            F.call_function("div", F.col("id"), F.lit(rows)).alias("replicate"),
-            (F.col("id") % rows).alias("draw"),
+        # one hash serves four draws
+        blocks = -(-rows // DRAWS_PER_HASH)
+        hashed = session.range(blocks * replicates).select(
+            F.call_function("div", F.col("id"), F.lit(blocks)).alias("replicate"),
+            (F.col("id") % blocks).alias("block"),
         )
-        at = F.floor(_uniform("replicate", "draw", F.lit(seed)) * rows).cast("bigint")
+        draws = (
+            hashed.withColumn("hash", F.md5(F.concat_ws("|", "replicate", "block", F.lit(seed))))
+            .select(
+                "replicate",
+                "block",
+                F.posexplode(
+                    F.array(*[F.substring("hash", 8 * i + 1, 8) for i in range(DRAWS_PER_HASH)])
+                ).alias("chunk", "digits"),
+            )
+            .filter(F.col("block") * DRAWS_PER_HASH + F.col("chunk") < rows)
+        )
+        at = F.floor(_uniform("digits") * rows).cast("bigint")
         lookup = placed.select("position", "gain")
         means = (
             draws.select("replicate", at.alias("position"))
@@ -206,22 +221,20 @@ def bootstrap_mae_improvement(
             .agg(F.avg("gain").alias("value"))
         )
     else:
-        weight = _poisson_one(_uniform("replicate", "household_key", F.lit(seed)))
+        text = F.md5(F.concat_ws("|", "replicate", "household_key", F.lit(seed)))
+        weight = _poisson_one(_uniform(F.substring(text, 1, 8)))
         means = (
             placed.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
             .select("replicate", "gain", weight.alias("w"))
             .groupBy("replicate")
             .agg((F.sum(F.col("gain") * F.col("w")) / F.sum("w")).alias("value"))
         )
-    points = quantiles_of_counts(
-        means.groupBy("value").agg(F.count("*").alias("n")), [0.025, 0.50, 0.975]
-    )
-    return points.select(
-        F.lit("multinomial" if exact else "poisson").alias("method"),
-        F.col("q")[0].alias("p2_5"),
-        F.col("q")[1].alias("p50"),
-        F.col("q")[2].alias("p97_5"),
+    # one row per replicate
+    points = quantile_columns(
+        materialize(means.select("value"), "replicates"),
+        {"p2_5": ("value", 0.025), "p50": ("value", 0.50), "p97_5": ("value", 0.975)},
     )
+    return points.withColumn("method", F.lit("multinomial" if exact else "poisson"))
 
 
 def lowest_alive(scored: DataFrame, n: int = 20) -> DataFrame:

@@ -79,7 +79,7 @@ def _quantile(column: str, prob: float, digits: int) -> str:
     return f"round(quantile_cont({column}::DOUBLE, {prob}), {digits})"
 
 
-def _describe(table: str, columns, probs=(0.25, 0.5, 0.75), digits: int = 9) -> str:
+def _describe(table: str, columns, probs=(0.25, 0.5, 0.75), digits: int = 8) -> str:
     rows = []
     for c in columns:
         points = ", ".join(
@@ -93,7 +93,7 @@ def _describe(table: str, columns, probs=(0.25, 0.5, 0.75), digits: int = 9) ->
     return " UNION ALL ".join(rows)
 
 
-def _histogram(table: str, bins: dict[str, int], value="{}::DOUBLE", digits: int = 9) -> str:
+def _histogram(table: str, bins: dict[str, int], value="{}::DOUBLE", digits: int = 7) -> str:
     parts = []
     for c, n in bins.items():
         v = value.format(c)
@@ -129,7 +129,7 @@ QUERIES: dict[str, str] = {}
 # description
 QUERIES["coerce_numeric"] = (
     "SELECT * REPLACE ("
-    + ", ".join(f"round({c}::DOUBLE, 9) AS {c}" for c in numeric_columns())
+    + ", ".join(f"{c}::DOUBLE AS {c}" for c in numeric_columns())
     + ") FROM mi"
 )
 QUERIES["assert_cohort"] = (
@@ -177,13 +177,13 @@ QUERIES["log1p_histogram"] = _histogram(
 )
 QUERIES["between_median_and_mean"] = f"""
 SELECT count(*) FILTER (WHERE s > median AND s < mean) AS households,
-  {scaled(half_up("100 * count(*) FILTER (WHERE s > median AND s < mean)", "count(*)", 2), 2, 9)}
+  {scaled(half_up("100 * count(*) FILTER (WHERE s > median AND s < mean)", "count(*)", 2), 2, 8)}
     AS percentage
 FROM (SELECT historical_sales::DOUBLE AS s FROM mi),
   (SELECT quantile_cont(historical_sales::DOUBLE, 0.5) AS median,
     sum(historical_sales)::DOUBLE / count(historical_sales) AS mean FROM mi)"""
 QUERIES["center_lines"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS metric, round(avg({c}::DOUBLE), 6) AS mean, {_quantile(c, 0.5, 9)} AS median FROM mi"
+    f"SELECT '{c}' AS metric, round(avg({c}::DOUBLE), 6) AS mean, {_quantile(c, 0.5, 8)} AS median FROM mi"
     for c in steps.CENTERED
 )
 QUERIES["spearman"] = _ranks("mi", steps.RANKED_PAIRS)
@@ -201,7 +201,7 @@ QUERIES["log1p_pairs"] = _log_pair("mi", "in_sample_baskets", "historical_sales"
 QUERIES["log1p_pairs_predicted"] = _log_pair("sc", "historical_sales", PRED)
 QUERIES["promotion_incidence"] = " UNION ALL ".join(
     f"SELECT '{name}' AS promotion, count(*) FILTER (WHERE {c} > 0) AS households, "
-    f"round(count(*) FILTER (WHERE {c} > 0)::DOUBLE / count(*), 9) AS share, "
+    f"round(count(*) FILTER (WHERE {c} > 0)::DOUBLE / count(*), 8) AS share, "
     f"{scaled(half_up(f'100 * count(*) FILTER (WHERE {c} > 0)', 'count(*)', 1), 1, 8)} AS share_pct FROM mi"
     for name, c in (
         ("Retail loyalty-card discount", "retail_discount_basket_rate"),
@@ -210,7 +210,7 @@ QUERIES["promotion_incidence"] = " UNION ALL ".join(
     )
 )
 QUERIES["normalized_promotion"] = (
-    "SELECT household_key, " + ", ".join(f"round({c}, 9) AS {c}" for c in steps.NORMALIZED) + " FROM sc"
+    "SELECT household_key, " + ", ".join(steps.NORMALIZED) + " FROM sc"
 )
 _RS, _FS = steps.NORMALIZED[:2]
 QUERIES["normalized_promotion_checks"] = f"""
@@ -223,20 +223,20 @@ _QS = "historical_sales_quintile"
 QUERIES["sales_quintile"] = f"SELECT household_key, {_QS} FROM qt"
 QUERIES["sales_quintile_sizes"] = f"SELECT {_QS}, count(*) AS households FROM qt GROUP BY ALL"
 QUERIES["quintile_activity"] = f"""
-SELECT {_QS}, count(*) AS customers, {_quantile('historical_sales', 0.5, 9)} AS historical_sales_median,
-  round(avg({ACTUAL}), 9) AS {ACTUAL}_mean, {_quantile(ACTUAL, 0.5, 9)} AS {ACTUAL}_median,
-  {_quantile(ACTUAL, 0.25, 9)} AS {ACTUAL}_q25, {_quantile(ACTUAL, 0.75, 9)} AS {ACTUAL}_q75
+SELECT {_QS}, count(*) AS customers, {_quantile('historical_sales', 0.5, 8)} AS historical_sales_median,
+  round(avg({ACTUAL}), 8) AS {ACTUAL}_mean, {_quantile(ACTUAL, 0.5, 8)} AS {ACTUAL}_median,
+  {_quantile(ACTUAL, 0.25, 8)} AS {ACTUAL}_q25, {_quantile(ACTUAL, 0.75, 8)} AS {ACTUAL}_q75
 FROM qt GROUP BY ALL"""
 _POINTS = {"p10": 0.1, "q25": 0.25, "median": 0.5, "q75": 0.75, "p90": 0.9}
 QUERIES["quintile_dispersion"] = (
     f"SELECT {_QS}, min({ACTUAL}) AS min, max({ACTUAL}) AS max, "
-    + ", ".join(f"{_quantile(ACTUAL, p, 9)} AS {n}" for n, p in _POINTS.items())
+    + ", ".join(f"{_quantile(ACTUAL, p, 8)} AS {n}" for n, p in _POINTS.items())
     + " FROM qt GROUP BY ALL"
 )
 QUERIES["box_stats"] = f"""
-SELECT {_QS}, round(least(min(y) FILTER (WHERE y >= p10), any_value(q25)), 9) AS whisker_low,
-  round(any_value(q25), 9) AS q1, round(any_value(median), 9) AS median, round(any_value(q75), 9) AS q3,
-  round(greatest(max(y) FILTER (WHERE y <= p90), any_value(q75)), 9) AS whisker_high
+SELECT {_QS}, round(least(min(y) FILTER (WHERE y >= p10), any_value(q25)), 8) AS whisker_low,
+  round(any_value(q25), 8) AS q1, round(any_value(median), 8) AS median, round(any_value(q75), 8) AS q3,
+  round(greatest(max(y) FILTER (WHERE y <= p90), any_value(q75)), 8) AS whisker_high
 FROM (SELECT {_QS}, {ACTUAL}::DOUBLE AS y FROM qt)
   JOIN (SELECT {_QS}, {", ".join(f"quantile_cont({ACTUAL}::DOUBLE, {p}) AS {n}" for n, p in _POINTS.items())}
     FROM qt GROUP BY ALL) USING ({_QS}) GROUP BY {_QS}"""
@@ -244,8 +244,8 @@ FROM (SELECT {_QS}, {ACTUAL}::DOUBLE AS y FROM qt)
 # model and evaluation
 QUERIES["rate_baseline"] = f"""
 SELECT household_key, frequency, observation_days,
-  round({_X} / {_T}, 9) AS historical_repeat_rate_per_day,
-  round({_X} / {_T} * prediction_horizon_days, 9) AS {BASE}, {ACTUAL} FROM mi"""
+  {_X} / {_T} AS historical_repeat_rate_per_day,
+  {_X} / {_T} * prediction_horizon_days AS {BASE}, {ACTUAL} FROM mi"""
 QUERIES["bgnbd_log_likelihood"] = f"""
 SELECT households, round(ll, 3) AS log_likelihood, round(ll / households, 6) AS mean_log_likelihood
 FROM (SELECT count(*) AS households, sum(
@@ -302,7 +302,7 @@ FROM (SELECT household_baskets_decile, count(*) AS households_count, avg({PRED})
 QUERIES["top_share_capture"] = " UNION ALL ".join(
     f"""
 SELECT '{name}' AS model, ceil(any_value(n) * 0.2::DOUBLE)::BIGINT AS households_chosen,
-  round(sum({ACTUAL}) FILTER (WHERE place <= ceil(n * 0.2::DOUBLE))::DOUBLE / sum({ACTUAL})::DOUBLE, 9)
+  round(sum({ACTUAL}) FILTER (WHERE place <= ceil(n * 0.2::DOUBLE))::DOUBLE / sum({ACTUAL})::DOUBLE, 8)
     AS captured_share
 FROM (SELECT {ACTUAL}, row_number() OVER (ORDER BY {c} DESC, household_key) AS place,
   count(*) OVER () AS n FROM sc)"""
@@ -313,11 +313,11 @@ SELECT 'multinomial' AS method, round(quantile_cont(v, 0.025), 6) AS p2_5,
   round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.975), 6) AS p97_5
 FROM (
   SELECT replicate, avg(gain) AS v
-  FROM (SELECT d.replicate, floor(('0x' || substr(md5(d.replicate || '|' || d.draw || '|42'), 1, 8))::BIGINT::DOUBLE
-        / 4294967296.0::DOUBLE * n)::BIGINT AS place
+  FROM (SELECT replicate, floor(('0x' || substr(md5(replicate || '|' || draw // 4 || '|42'),
+        1 + 8 * (draw % 4), 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE * n)::BIGINT AS place
       FROM (SELECT count(*) AS n FROM sc),
         (SELECT replicate, unnest(range((SELECT count(*) FROM sc))) AS draw
-          FROM (SELECT unnest(range(2000)) AS replicate)) AS d)
+          FROM (SELECT unnest(range(2000)) AS replicate)))
     JOIN (SELECT row_number() OVER (ORDER BY household_key) - 1 AS place,
       baseline_absolute_error - bgnbd_absolute_error AS gain FROM sc) USING (place)
   GROUP BY replicate)"""
@@ -353,15 +353,15 @@ QUERIES["within_quintile_difference"] = f"""
 SELECT {_QS}, round(lo, 2) AS mean_actual_lower_predicted, round(hi, 2) AS mean_actual_higher_predicted,
   round(hi - lo, 2) AS difference FROM {_TWO}"""
 QUERIES["within_quintile_uplift"] = f"""
-SELECT {_QS}, round(hi, 9) AS higher_mean, round(lo, 9) AS lower_mean,
-  round(hi - lo, 9) AS actual_basket_difference, round((hi - lo) / lo * 100, 9) AS actual_basket_uplift_pct
+SELECT {_QS}, round(hi, 8) AS higher_mean, round(lo, 8) AS lower_mean,
+  round(hi - lo, 8) AS actual_basket_difference, round((hi - lo) / lo * 100, 8) AS actual_basket_uplift_pct
 FROM {_TWO}"""
 QUERIES["single_quintile_ratio"] = f"""
-SELECT {_QS}, round(lo, 9) AS lower_actual_mean, round(hi, 9) AS higher_actual_mean,
-  round(hi - lo, 9) AS difference, round(hi / lo, 9) AS ratio,
-  (SELECT {_quantile('historical_sales', 0.5, 9)} FROM pf
+SELECT {_QS}, round(lo, 8) AS lower_actual_mean, round(hi, 8) AS higher_actual_mean,
+  round(hi - lo, 8) AS difference, round(hi / lo, 8) AS ratio,
+  (SELECT {_quantile('historical_sales', 0.5, 8)} FROM pf
     WHERE {_QS} = 'Q3' AND relative_predicted_baskets LIKE 'Lower%') AS lower_sales_median,
-  (SELECT {_quantile('historical_sales', 0.5, 9)} FROM pf
+  (SELECT {_quantile('historical_sales', 0.5, 8)} FROM pf
     WHERE {_QS} = 'Q3' AND relative_predicted_baskets LIKE 'Higher%') AS higher_sales_median
 FROM {_TWO} WHERE {_QS} = 'Q3'"""
 QUERIES["profile_cutoffs"] = f"""
@@ -384,7 +384,7 @@ FROM pf GROUP BY GROUPING SETS ((historical_value_level), ())"""
 _SHARE = scaled(half_up("100 * count(*)", "(SELECT count(*) FROM pf)", 1), 1, 8)
 QUERIES["profile_sizes"] = f"""
 SELECT customer_profile, count(*) AS households,
-  round(count(*)::DOUBLE / (SELECT count(*) FROM pf), 9) AS customer_share, {_SHARE} AS share_pct
+  round(count(*)::DOUBLE / (SELECT count(*) FROM pf), 8) AS customer_share, {_SHARE} AS share_pct
 FROM pf GROUP BY customer_profile"""
 QUERIES["level_sizes"] = """
 SELECT historical_value_level AS level, count(*) AS households FROM pf GROUP BY 1
@@ -405,8 +405,8 @@ QUERIES["profile_commercial_weight"] = f"""
 SELECT customer_profile, count(*) AS households, {_RELEVANCE} FROM pf GROUP BY customer_profile"""
 QUERIES["sales_within_groups"] = f"""
 SELECT historical_value_level, future_activity_level, count(*) AS households,
-  round(sum(historical_sales)::DOUBLE / count(*), 9) AS historical_sales_mean,
-  {_quantile('historical_sales', 0.5, 9)} AS historical_sales_median FROM pf GROUP BY ALL"""
+  round(sum(historical_sales)::DOUBLE / count(*), 8) AS historical_sales_mean,
+  {_quantile('historical_sales', 0.5, 8)} AS historical_sales_median FROM pf GROUP BY ALL"""
 
 _NAMES = ("metric_column", "metric", "priority", "value_unit", "difference_unit")
 

@@ -32,7 +32,7 @@ _KINDS = {
 
 
 def _q(prob: float, column: str) -> str:
-    return f"round(quantile_cont(({column})::DOUBLE, {prob}), 9)"
+    return f"round(quantile_cont(({column})::DOUBLE, {prob}), 8)"
 
 
 def _pct(n: str) -> str:
@@ -109,7 +109,7 @@ QUERIES["baskets_with_repeated_product"] = """
 SELECT count(*) AS baskets_with_repeated_product FROM (
   SELECT basket_id FROM tx GROUP BY basket_id HAVING count(*) > count(DISTINCT product_id))"""
 QUERIES["basket_size_distribution"] = f"""
-SELECT min(n) AS min_product_lines, round(sum(n)::DOUBLE / count(*)::DOUBLE, 9) AS avg_product_lines,
+SELECT min(n) AS min_product_lines, round(sum(n)::DOUBLE / count(*)::DOUBLE, 8) AS avg_product_lines,
   {_q(0.5, "n")} AS median_product_lines, {_q(0.9, "n")} AS p90_product_lines,
   {_q(0.99, "n")} AS p99_product_lines, max(n) AS max_product_lines
 FROM (SELECT count(*) AS n FROM tx GROUP BY basket_id)"""

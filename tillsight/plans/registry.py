@@ -266,9 +266,9 @@ EVALUATION: dict[str, Step] = {
         "household_key", "frequency", "observation_days", "historical_repeat_rate_per_day",
         BASELINE, "actual_holdout_baskets",
     ),
-    "bgnbd_fit": lambda s: bgnbd.fit_table(s.model_input),
+    "bgnbd_fit": lambda s: bgnbd.fit_table(s.model_input, s.fitted),
     "bgnbd_log_likelihood": lambda s: bgnbd.log_likelihood(s.model_input, THETA),
-    "bgnbd_summary": lambda s: bgnbd.summary(s.model_input, bgnbd.fit(s.model_input).params),
+    "bgnbd_summary": lambda s: bgnbd.summary(s.model_input, s.fitted.params),
     "probability_alive": lambda s: s.model_input.select(
         "household_key", bgnbd.probability_alive(THETA).alias("probability_alive")
     ),
@@ -337,10 +337,12 @@ STEPS: dict[str, Step] = {
     **SOURCES, **AUDIT, **BASKETS, **FEATURES, **HOLDOUT, **DESCRIPTION, **EVALUATION, **PROFILES,
 }
 
-# Decimals kept of floating-point results. Nine keep quantiles and quotients of the input exact;
-# six are kept where sums of floating-point values or model scores enter.
-DEFAULT_DIGITS = 9
+# Decimals kept of floating-point results. Eight keep any quantile of six-decimal input exact; six
+# are kept where sums of floating-point values or model scores enter; single quotients of exact
+# values are left as they are.
+DEFAULT_DIGITS = 8
 NOISY_DIGITS = 6
+EXACT = {"coerce_numeric", "normalized_promotion", "rate_baseline"}
 NOISY = {
     "describe_predictions", "describe_errors", "log1p_histogram", "spearman", "spearman_predicted",
     "log1p_pairs", "log1p_pairs_predicted", "bgnbd_fit", "bgnbd_summary", "bgnbd_log_likelihood",
@@ -361,11 +363,16 @@ SPECIAL_DIGITS: dict[str, dict[str, int]] = {
         )
     },
     "bgnbd_log_likelihood": {"log_likelihood": 3},
+    # edges of equal-width bins: a fiftieth of a six-decimal range cannot end in half a unit
+    "histogram": {"lower": 7, "upper": 7},
+    "histogram_up_to_p99": {"lower": 7, "upper": 7},
 }
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(name: str, step: Step):
+        if name in EXACT:
+            return lambda spark, folder: step(stages(spark, folder))
         digits = NOISY_DIGITS if name in NOISY else DEFAULT_DIGITS
         special = SPECIAL_DIGITS.get(name, {})
         return lambda spark, folder: rounded(step(stages(spark, folder)), digits, special)

@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tillsight.operators import baskets, describe, evaluate, features, holdout, profiles
-from tillsight.operators.bgnbd import BgnbdParams
+from tillsight.operators.bgnbd import BgnbdFit, BgnbdParams, fit
 from tillsight.schema import Params
 from tillsight.sources.storage import materialize
 from tillsight.sources.transactions import transactions_from_orders
@@ -31,7 +31,13 @@ class Stages:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return materialize(self.receipt_lines, "transactions")
+        """The imported lines. A source of fewer files than cores is spread by basket on import;
+        a large one keeps its files, in which the lines of a basket stand together."""
+        lines = self.receipt_lines
+        files = len(self.table("lineitem").inputFiles())
+        if files < self.spark.sparkContext.defaultParallelism:
+            lines = lines.repartition("basket_id")
+        return materialize(lines, "transactions")
 
     @cached_property
     def params(self) -> Params:
@@ -64,6 +70,10 @@ class Stages:
             self.customer_features, self.customer_holdout, self.params
         )
 
+    @cached_property
+    def fitted(self) -> BgnbdFit:
+        return fit(self.model_input)
+
     @cached_property
     def scored(self) -> DataFrame:
         """Model input with promotion shares, baseline, P(alive), expected baskets and errors."""
