@@ -97,7 +97,7 @@ def main() -> None:
             continue
         started = time.time()
         try:
-            expected = con.execute(sql[name]).to_arrow_table()
+            expected = con.sql(sql[name]).to_arrow_table()
         except Exception as error:
             print(f"SQL   {name}: {str(error)[:600]}", flush=True)
             failed += 1

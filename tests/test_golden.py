@@ -184,7 +184,9 @@ def test_sources(spark, tmp_path):
 def test_parameters_and_upsert(spark):
     tx = lines(spark, *[dict(day=d, week_no=week_of(d)) for d in (538, 544, 545, 551, 705, 711)])
     parameters = baskets.project_parameters(tx)
-    assert parameters.schema == PROJECT_PARAMETERS
+    assert [(f.name, f.dataType) for f in parameters.schema] == [
+        (f.name, f.dataType) for f in PROJECT_PARAMETERS
+    ]
     assert baskets.read_params(parameters) == PARAMS
     changed = parameters.withColumn("holdout_weeks", F.lit(9).cast("smallint"))
     assert upsert(parameters, changed, "parameter_id").collect() == changed.collect()

@@ -27,7 +27,7 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, name):
     result = QUERIES[name](spark, FOLDER).toArrow()
-    expected = con.execute(SQL[name]).to_arrow_table()
+    expected = con.sql(SQL[name]).to_arrow_table()
     assert differences(result, expected) == []
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,12 +63,20 @@ def with_position(df: DataFrame, *order: Column | str, name: str = "position") -
     )
 
 
+def quantile_cuts(rows: int, buckets: int) -> list[float]:
+    """Where equally spaced quantiles of the ranks 1..rows fall, in the floating-point steps of
+    linear interpolation: some cuts that should be a whole rank miss it by a rounding."""
+    at = np.linspace(0, 1, buckets + 1) * 100 / 100 * (rows - 1)
+    part = at - np.floor(at)
+    return list(np.floor(at) + np.where(part < 0.5, 1 + part, 2 - (1 - part)))
+
+
 def quantile_bucket(position: Column, rows: int, buckets: int) -> Column:
-    """Bucket 1..buckets of a 0-based place, cut where equally spaced quantiles of the places fall."""
-    if rows <= 1:
-        return F.lit(1)
-    cut = F.call_function("div", position * buckets + (rows - 2), F.lit(rows - 1))
-    return F.greatest(F.lit(1), cut.cast("int"))
+    """Bucket 1..buckets of a 0-based place: how many of the inner cuts its rank has passed."""
+    bucket = F.lit(1)
+    for cut in quantile_cuts(rows, buckets)[1:-1]:
+        bucket = bucket + (position + 1 > float(cut)).cast("int")
+    return bucket
 
 
 def cumulative_counts(

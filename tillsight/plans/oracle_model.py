@@ -93,21 +93,23 @@ def _describe(table: str, columns, probs=(0.25, 0.5, 0.75), digits: int = 8) ->
     return " UNION ALL ".join(rows)
 
 
-def _histogram(table: str, bins: dict[str, int], value="{}::DOUBLE", digits: int = 7) -> str:
+def _histogram(table: str, bins: dict[str, int], value="{}::DOUBLE", digits: int | None = None) -> str:
+    def kept(edge: str) -> str:
+        return edge if digits is None else f"round({edge}, {digits})"
+
     parts = []
     for c, n in bins.items():
         v = value.format(c)
         parts.append(f"""
-SELECT '{c}' AS metric, bin::INTEGER AS bin, round(low + (bin - 1) * ((high - low) / {n}), {digits}) AS lower,
-  round(low + bin * ((high - low) / {n}), {digits}) AS upper,
-  {n}::INTEGER AS bins, round(low, {digits}) AS low, round(high, {digits}) AS high, coalesce(households, 0) AS households
+SELECT '{c}' AS metric, bin::INTEGER AS bin, {kept(f"low + (bin - 1) * ((high - low) / {n})")} AS lower,
+  {kept(f"low + bin * ((high - low) / {n})")} AS upper, coalesce(households, 0) AS households
 FROM (SELECT unnest(range(1, {n} + 1)) AS bin) CROSS JOIN
   (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS low, CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS high
    FROM (SELECT min({v}) AS lo, max({v}) AS hi FROM {table}))
 LEFT JOIN (SELECT least(floor(({v} - lo) / (hi - lo) * {n})::INTEGER + 1, {n}) AS bin, count(*) AS households
   FROM {table}, (SELECT min({v}) AS lo, max({v}) AS hi FROM {table}) WHERE {v} IS NOT NULL GROUP BY 1)
   USING (bin)""")
-    return "SELECT metric, bin, lower, upper, households FROM (" + " UNION ALL ".join(parts) + ")"
+    return " UNION ALL ".join(parts)
 
 
 def _ranks(table: str, pairs) -> str:
@@ -177,7 +179,7 @@ QUERIES["log1p_histogram"] = _histogram(
 )
 QUERIES["between_median_and_mean"] = f"""
 SELECT count(*) FILTER (WHERE s > median AND s < mean) AS households,
-  {scaled(half_up("100 * count(*) FILTER (WHERE s > median AND s < mean)", "count(*)", 2), 2, 8)}
+  {scaled(half_up("100 * count(*) FILTER (WHERE s > median AND s < mean)", "count(*)", 2), 2, 9)}
     AS percentage
 FROM (SELECT historical_sales::DOUBLE AS s FROM mi),
   (SELECT quantile_cont(historical_sales::DOUBLE, 0.5) AS median,

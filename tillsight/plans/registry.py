@@ -339,10 +339,12 @@ STEPS: dict[str, Step] = {
 
 # Decimals kept of floating-point results. Eight keep any quantile of six-decimal input exact; six
 # are kept where sums of floating-point values or model scores enter; single quotients of exact
-# values are left as they are.
+# values and bin edges are left as they are.
 DEFAULT_DIGITS = 8
 NOISY_DIGITS = 6
-EXACT = {"coerce_numeric", "normalized_promotion", "rate_baseline"}
+EXACT = {
+    "coerce_numeric", "normalized_promotion", "rate_baseline", "histogram", "histogram_up_to_p99",
+}
 NOISY = {
     "describe_predictions", "describe_errors", "log1p_histogram", "spearman", "spearman_predicted",
     "log1p_pairs", "log1p_pairs_predicted", "bgnbd_fit", "bgnbd_summary", "bgnbd_log_likelihood",
@@ -363,9 +365,6 @@ SPECIAL_DIGITS: dict[str, dict[str, int]] = {
         )
     },
     "bgnbd_log_likelihood": {"log_likelihood": 3},
-    # edges of equal-width bins: a fiftieth of a six-decimal range cannot end in half a unit
-    "histogram": {"lower": 7, "upper": 7},
-    "histogram_up_to_p99": {"lower": 7, "upper": 7},
 }
 
 
