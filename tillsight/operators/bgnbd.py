@@ -9,11 +9,13 @@ driver over four numbers.
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import asdict, astuple, dataclass
 from functools import cache
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -352,6 +354,8 @@ def expected_while_alive(
 
 def expected_purchases(theta: BgnbdParams, horizon: Column) -> Column:
     """Expected purchases within the horizon given the household's history."""
+    # the functions travel to the executors with the job, where this package need not be installed
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
     @F.pandas_udf("double")
     def while_alive(x: pd.Series, t: pd.Series, h: pd.Series) -> pd.Series:

@@ -19,7 +19,7 @@ MODELS = {
     "BG/NBD": "predicted_holdout_baskets_bgnbd",
 }
 # Draws (replicates x households) up to which the bootstrap looks every draw up.
-EXACT_DRAWS = 2_000_000_000
+EXACT_DRAWS = 100_000_000
 # Draws of eight hex digits that one MD5 of 32 digits gives.
 DRAWS_PER_HASH = 4
 
@@ -186,12 +186,12 @@ def bootstrap_mae_improvement(
     The gain of a resample is the mean of one column, the difference of the absolute errors. Up
     to ``exact_draws`` draws, every draw picks the household at a random place. Beyond that each
     household is given a Poisson(1) weight per replicate, the usual distributed form of the
-    bootstrap: it needs no lookup, and the size of a replicate varies slightly around n.
+    bootstrap: it needs no lookup, and the size of a replicate varies slightly around n. The
+    ``method`` column says which form was used.
     """
     base, model = (F.abs(F.col(c) - F.col(ACTUAL)) for c in MODELS.values())
     gains = scored.select("household_key", (base - model).alias("gain"))
-    placed = with_position(gains, F.asc("household_key")).select("position", "household_key", "gain")
-    rows = placed.count()
+    rows = scored.count()
     exact = rows * replicates <= exact_draws
     if exact:
         session = scored.sparkSession
@@ -213,7 +213,7 @@ def bootstrap_mae_improvement(
             .filter(F.col("block") * DRAWS_PER_HASH + F.col("chunk") < rows)
         )
         at = F.floor(_uniform("digits") * rows).cast("bigint")
-        lookup = placed.select("position", "gain")
+        lookup = with_position(gains, F.asc("household_key")).select("position", "gain")
         means = (
             draws.select("replicate", at.alias("position"))
             .join(F.broadcast(lookup) if rows <= BROADCAST_ROWS else lookup, "position")
@@ -221,10 +221,11 @@ def bootstrap_mae_improvement(
             .agg(F.avg("gain").alias("value"))
         )
     else:
-        text = F.md5(F.concat_ws("|", "replicate", "household_key", F.lit(seed)))
-        weight = _poisson_one(_uniform(F.substring(text, 1, 8)))
+        bits = F.xxhash64("household_key", "replicate", F.lit(seed))
+        uniform = F.shiftrightunsigned(bits, 11).cast("double") / float(1 << 53)
+        weight = _poisson_one(uniform)
         means = (
-            placed.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+            gains.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
             .select("replicate", "gain", weight.alias("w"))
             .groupBy("replicate")
             .agg((F.sum(F.col("gain") * F.col("w")) / F.sum("w")).alias("value"))

@@ -129,10 +129,10 @@ def profile_cutoffs(df: DataFrame) -> DataFrame:
     )
 
 
-def profile_levels(df: DataFrame) -> DataFrame:
+def profile_levels(df: DataFrame, cutoffs: DataFrame | None = None) -> DataFrame:
     """Value and activity level by the two medians, the long profile label and its order, and the
     short profile label that the later steps group by."""
-    cuts = profile_cutoffs(df).select(
+    cuts = (profile_cutoffs(df) if cutoffs is None else cutoffs).select(
         F.col("historical_sales_median").alias("_sales_cut"),
         F.col("predicted_baskets_median").alias("_activity_cut"),
     )

@@ -83,8 +83,10 @@ class Stages:
     @cached_property
     def profiled(self) -> DataFrame:
         """Scored households with sales quintile, group within it, levels and profile."""
-        split = profiles.within_quintile_split(describe.sales_quintile(self.scored))
-        return materialize(profiles.profile_levels(split), "profiled")
+        quintiles = materialize(describe.sales_quintile(self.scored), "quintiles")
+        split = profiles.within_quintile_split(quintiles)
+        cuts = profiles.profile_cutoffs(quintiles)
+        return materialize(profiles.profile_levels(split, cuts), "profiled")
 
 
 _open: dict[tuple[str, str], Stages] = {}

@@ -7,7 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: dict[str, str] = {}
+# folders of local sessions; they are removed when the process ends
+_local_folder: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,8 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if app not in _local_folder:
-        _local_folder[app] = tempfile.mkdtemp(prefix="tillsight-")
-    return _local_folder[app]
+        _local_folder[app] = tempfile.TemporaryDirectory(
+            prefix="tillsight-", ignore_cleanup_errors=True
+        )
+    return _local_folder[app].name
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -43,6 +46,13 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return write_table(df, f"{folder}/{label}-{uuid.uuid4().hex}")
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables this application wrote to its shared folder. Frames that read them, and
+    anything built on those, can no longer be used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
