@@ -170,36 +170,40 @@ def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataF
     return df.select(*by, F.inline(pairs))
 
 
-def _near_quantiles(
+def _sketch(
     long: DataFrame, probs: Sequence[float], keys: list[str], margin: float
 ) -> DataFrame:
-    """Rows (keys..., _i, _below, value, n): per wanted quantile, how many rows lie below its
-    bracket, and the counts of the values inside it.
+    """Rows (keys..., _total, _b): size of a group, and a bracket (_i, _low, _high) around each
+    wanted quantile.
 
-    The bracket comes from the approximate quantiles ``margin`` to both sides, whose rank error
-    is far smaller. Rows outside the brackets collapse before the shuffle.
+    The brackets are the approximate quantiles ``margin`` to both sides, whose rank error is far
+    smaller.
     """
+    k = len(probs)
     sides = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
-    sketch = long.groupBy(*keys).agg(
+    found = long.groupBy(*keys).agg(
+        F.count("*").alias("_total"),
         F.percentile_approx("value", _literals(sides), SKETCH_ACCURACY).alias("_s"),
         F.min("value").alias("_min"),
         F.max("value").alias("_max"),
     )
-    k = len(probs)
-    brackets = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("_i"),
-                (F.col("_s")[i] if probs[i] > margin else F.col("_min")).alias("_low"),
-                (F.col("_s")[k + i] if probs[i] < 1 - margin else F.col("_max")).alias("_high"),
-            )
-            for i in range(k)
-        ]
-    )
+    brackets = [
+        F.struct(
+            F.lit(i).alias("_i"),
+            (F.col("_s")[i] if p > margin else F.col("_min")).alias("_low"),
+            (F.col("_s")[k + i] if p < 1 - margin else F.col("_max")).alias("_high"),
+        )
+        for i, p in enumerate(probs)
+    ]
+    return found.select(*keys, "_total", F.array(*brackets).alias("_b"))
+
+
+def _near_quantiles(long: DataFrame, sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (keys..., _i, _below, value, n): per bracket, how many rows lie below it, and the counts
+    of the values inside it. Rows below collapse before the shuffle, rows above are dropped."""
     below = F.col("value") < F.col("_low")
-    # one row per group, which are few
     return (
-        long.join(F.broadcast(sketch.select(*keys, brackets.alias("_b"))), keys)
+        long.join(F.broadcast(sketch.select(*keys, "_b")), keys)  # one row per group
         .select(*keys, "value", F.inline("_b"))
         .filter(F.col("value") <= F.col("_high"))
         .groupBy(*keys, "_i", below.alias("_below"), F.when(~below, F.col("value")).alias("value"))
@@ -211,15 +215,19 @@ def _bracketed_quantiles(
     long: DataFrame, probs: Sequence[float], keys: list[str], few_values: int
 ) -> DataFrame:
     """Exact quantiles from two scans: approximate brackets, then the places inside them."""
-    totals = materialize(long.groupBy(*keys).agg(F.count("*").alias("_total")), "totals")
     at = _literals(probs)[F.col("_i")] * (F.col("_total") - 1)
     for margin in BRACKET_MARGINS:
-        near = materialize(_near_quantiles(long, probs, keys, margin), "brackets")
-        reach = near.groupBy(*keys, "_i").agg(
-            F.coalesce(F.sum(F.when(F.col("_below"), F.col("n"))), F.lit(0)).alias("_start"),
-            F.sum("n").alias("_end"),
+        sketch = materialize(_sketch(long, probs, keys, margin), "sketch")
+        near = materialize(_near_quantiles(long, sketch, keys), "brackets")
+        reach = (
+            near.groupBy(*keys, "_i")
+            .agg(
+                F.coalesce(F.sum(F.when(F.col("_below"), F.col("n"))), F.lit(0)).alias("_start"),
+                F.sum("n").alias("_end"),
+            )
+            .join(F.broadcast(sketch.select(*keys, "_total")), keys)
+            .withColumn("_at", at)
         )
-        reach = reach.join(F.broadcast(totals), keys).withColumn("_at", at)
         missed = reach.filter(
             (F.floor("_at") < F.col("_start")) | (F.ceil("_at") >= F.col("_end"))
         )

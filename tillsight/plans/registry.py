@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DecimalType, DoubleType
 
 from tillsight.operators import (
     audit,
@@ -33,16 +33,18 @@ from tillsight.sources.storage import (
 Step = Callable[[Stages], DataFrame]
 
 
-def rounded(df: DataFrame, digits: int, special: dict[str, int]) -> DataFrame:
-    """Doubles rounded for comparison: engines add floating-point numbers in different orders."""
-    return df.select(
-        *[
-            F.round(f.name, special.get(f.name, digits)).alias(f.name)
-            if isinstance(f.dataType, DoubleType)
-            else f.name
-            for f in df.schema
-        ]
-    )
+def comparable(df: DataFrame, digits: int | None, special: dict[str, int]) -> DataFrame:
+    """A result in the form in which engines can be compared: decimals as doubles, and doubles
+    rounded, since engines add floating-point numbers in different orders."""
+    columns = []
+    for field in df.schema:
+        column = F.col(field.name)
+        if isinstance(field.dataType, DecimalType):
+            column = column.cast("double")
+        elif isinstance(field.dataType, DoubleType) and digits is not None:
+            column = F.round(column, special.get(field.name, digits))
+        columns.append(column.alias(field.name))
+    return df.select(*columns)
 
 
 def _write_table(s: Stages) -> DataFrame:
@@ -370,10 +372,8 @@ SPECIAL_DIGITS: dict[str, dict[str, int]] = {
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(name: str, step: Step):
-        if name in EXACT:
-            return lambda spark, folder: step(stages(spark, folder))
-        digits = NOISY_DIGITS if name in NOISY else DEFAULT_DIGITS
+        digits = None if name in EXACT else NOISY_DIGITS if name in NOISY else DEFAULT_DIGITS
         special = SPECIAL_DIGITS.get(name, {})
-        return lambda spark, folder: rounded(step(stages(spark, folder)), digits, special)
+        return lambda spark, folder: comparable(step(stages(spark, folder)), digits, special)
 
     return {name: bind(name, step) for name, step in STEPS.items()}
