@@ -85,7 +85,7 @@ def test_steps_have_no_nested_loop_join(spark):
         features.same_minute_listing(s.fact_basket, s.params),
         holdout.customer_holdout(s.customer_features, s.holdout_activity),
         holdout.holdout_only_households(s.fact_basket, s.customer_features, s.params),
-        s.model_input,
+        s.model_view,
     ]
     for df in frames:
         assert "NestedLoop" not in plan(df) and "CartesianProduct" not in plan(df)
@@ -127,3 +127,11 @@ def test_shared_folder(spark):
 def test_materialized_table_has_no_lineage(spark):
     df = storage.materialize(spark.range(10).withColumn("x", F.col("id") * 2))
     assert "Range" not in plan(df) and df.count() == 10
+
+
+def test_release_deletes_the_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "shared_folder", lambda session: str(tmp_path / "app"))
+    storage.materialize(spark.range(3))
+    assert (tmp_path / "app").exists()
+    storage.release(spark)
+    assert not (tmp_path / "app").exists()

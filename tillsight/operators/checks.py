@@ -15,6 +15,17 @@ def imported_row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("imported_rows"))
 
 
+# bits of the whole-number types, which SQL catalogs list as their precision
+WHOLE_NUMBER_BITS = {"smallint": 16, "int": 32, "bigint": 64}
+
+
+def _precision(kind) -> tuple[int | None, int | None]:
+    if isinstance(kind, DecimalType):
+        return kind.precision, kind.scale
+    bits = WHOLE_NUMBER_BITS.get(kind.simpleString()) if kind else None
+    return bits, 0 if bits else None
+
+
 def check_schema(df: DataFrame, declared: StructType) -> DataFrame:
     """One row per declared or extra column: its type, whether that is the declared one, values held."""
     actual = {field.name: field.dataType for field in df.schema}
@@ -25,13 +36,13 @@ def check_schema(df: DataFrame, declared: StructType) -> DataFrame:
 
     def entry(ordinal: int, name: str) -> Column:
         kind = actual.get(name)
-        decimal = isinstance(kind, DecimalType)
+        precision, scale = _precision(kind)
         return F.struct(
             F.lit(ordinal).alias("ordinal_position"),
             F.lit(name).alias("column_name"),
             F.lit(kind.simpleString() if kind else None).cast("string").alias("data_type"),
-            F.lit(kind.precision if decimal else None).cast("int").alias("numeric_precision"),
-            F.lit(kind.scale if decimal else None).cast("int").alias("numeric_scale"),
+            F.lit(precision).cast("int").alias("numeric_precision"),
+            F.lit(scale).cast("int").alias("numeric_scale"),
             F.lit(kind is not None and kind == expected.get(name)).alias("as_declared"),
             (F.col(name) if kind else F.lit(0).cast("bigint")).alias("non_null_rows"),
         )

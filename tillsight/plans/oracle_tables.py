@@ -29,6 +29,7 @@ _KINDS = {
     "retail_disc": "decimal(12,2)", "trans_time": "smallint", "week_no": "smallint",
     "coupon_disc": "decimal(12,2)", "coupon_match_disc": "decimal(12,2)",
 }
+_PRECISION = {"smallint": (16, 0), "int": (32, 0), "bigint": (64, 0), "decimal(12,2)": (12, 2)}
 
 
 def _q(prob: float, column: str) -> str:
@@ -54,7 +55,7 @@ QUERIES["load_transactions"] = f"SELECT {TX} FROM tx"
 QUERIES["imported_row_count"] = "SELECT count(*) AS imported_rows FROM tx"
 QUERIES["preview_rows"] = f"SELECT {TX} FROM tx ORDER BY {TX} LIMIT 20"
 QUERIES["check_schema"] = " UNION ALL ".join(
-    _schema_row(i, name, kind, *(("12", "2") if kind.startswith("dec") else ("NULL", "NULL")))
+    _schema_row(i, name, kind, *_PRECISION[kind])
     for i, (name, kind) in enumerate(_KINDS.items(), start=1)
 )
 QUERIES["write_table"] = "SELECT * FROM fb"

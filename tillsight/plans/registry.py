@@ -52,7 +52,7 @@ def _write_table(s: Stages) -> DataFrame:
 
 
 def _register_view(s: Stages) -> DataFrame:
-    register_view(s.model_input, "bgnbd_model_input")
+    register_view(s.model_view, "bgnbd_model_input")
     return s.spark.sql(
         "SELECT count(*) AS rows, sum(frequency) AS repeat_baskets FROM bgnbd_model_input"
     )
@@ -70,7 +70,7 @@ SOURCES: dict[str, Step] = {
     "check_schema": lambda s: checks.check_schema(s.transactions, TRANSACTIONS),
     "write_table": _write_table,
     "register_view": _register_view,
-    "read_model_input": lambda s: s.model_input.orderBy("household_key"),
+    "read_model_input": lambda s: s.model_view.orderBy("household_key"),
     "check_primary_key": lambda s: checks.check_primary_key(
         s.transactions, ["household_key", "basket_id"]
     ),
@@ -171,7 +171,7 @@ HOLDOUT: dict[str, Step] = {
     "holdout_only_households": lambda s: holdout.holdout_only_households(
         s.fact_basket, s.customer_features, s.params
     ),
-    "bgnbd_model_input": lambda s: s.model_input,
+    "bgnbd_model_input": lambda s: s.model_view,
     "model_input_checks": lambda s: holdout.model_input_checks(s.model_input),
     "horizon_uniqueness": lambda s: holdout.horizon_uniqueness(s.model_input),
     "model_input_sample": lambda s: holdout.model_input_sample(s.model_input),

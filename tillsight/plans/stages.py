@@ -63,13 +63,18 @@ class Stages:
         table = holdout.customer_holdout(self.customer_features, self.holdout_activity)
         return materialize(table, "customer_holdout")
 
-    @cached_property
-    def model_input(self) -> DataFrame:
+    @property
+    def model_view(self) -> DataFrame:
         """Lazy, as the view it stands for."""
         return holdout.bgnbd_model_input(
             self.customer_features, self.customer_holdout, self.params
         )
 
+    @cached_property
+    def model_input(self) -> DataFrame:
+        """The view's rows, written once: description and fit read them many times."""
+        return materialize(self.model_view, "model_input")
+
     @cached_property
     def fitted(self) -> BgnbdFit:
         return fit(self.model_input)
