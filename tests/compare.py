@@ -109,6 +109,9 @@ def main() -> None:
             f" {result.num_rows} rows {bad if bad else ''}",
             flush=True,
         )
+    from tillsight.sources.storage import release
+
+    release(spark)
     print("missing queries:", sorted(set(sql) - set(queries)), "failed:", failed)
 
 

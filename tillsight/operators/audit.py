@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.columns import count_where, exact_average, as_cents, half_up_quotient, percent, scaled
+from tillsight.functions.columns import (
+    as_cents,
+    count_where,
+    exact_average,
+    half_up_quotient,
+    percent,
+    scaled,
+)
 from tillsight.functions.ordering import quantile_columns
 from tillsight.schema import TRANSACTIONS
 from tillsight.sources.storage import materialize

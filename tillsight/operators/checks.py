@@ -1,4 +1,5 @@
-"""Constraint checks and reconciliations: each returns violations or differences, never raises."""
+"""Constraint checks and reconciliations. Each returns violations or differences as a table;
+``require_none`` turns a table of violations into an error."""
 
 from __future__ import annotations
 
@@ -74,6 +75,13 @@ def check_predicate(df: DataFrame, predicate: Column) -> DataFrame:
     return df.filter(~predicate)
 
 
+def require_none(violations: DataFrame, rule: str) -> None:
+    """Raises, naming a few of them, when there are violations."""
+    found = violations.take(3)
+    if found:
+        raise ValueError(f"{rule}: {[row.asDict() for row in found]}")
+
+
 def reconcile(left: DataFrame, right: DataFrame, measures: dict[str, tuple[str, str]]) -> DataFrame:
     """Two one-row totals side by side, with ``right - left`` for each named measure.
 

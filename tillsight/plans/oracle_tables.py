@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillsight.plans.oracle_base import average, cents, half_up, ratio, scaled
+from tillsight.plans.oracle_base import average, cents, half_up, scaled
 
 TX = (
     "household_key, basket_id, day, product_id, quantity, sales_value, store_id, retail_disc, "
