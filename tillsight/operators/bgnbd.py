@@ -33,6 +33,8 @@ from tillsight.sources.storage import materialize
 
 NAMES = ["r", "alpha", "a", "b"]
 LOWER, UPPER = math.log(1e-6), math.log(1e8)
+# steepest slope per household, in log parameters, at which a fit counts as converged
+CONVERGED_SLOPE = 1e-4
 # scale of the longest observation under which the penalty on the parameters is applied
 PENALTY_TIME = 10.0
 
@@ -216,15 +218,25 @@ class _Objective:
         return f[0], g[0], (hessian + hessian.T) / 2
 
 
-def _downhill(g: np.ndarray, hessian: np.ndarray, free: np.ndarray, damping: float) -> np.ndarray:
-    """Newton step over the free parameters with curvature made positive."""
+def _at_bound(u: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Parameters that would leave their range downhill."""
+    return ((u <= LOWER) & (g > 0)) | ((u >= UPPER) & (g < 0))
+
+
+def _downhill(
+    g: np.ndarray, hessian: np.ndarray, free: np.ndarray, reach: float, damping: float = 0.0
+) -> np.ndarray:
+    """Newton step over the free parameters with curvature made positive.
+
+    Each principal direction is held to ``reach`` on its own, so that a flat direction cannot
+    shorten the step along the well-determined ones.
+    """
     step = np.zeros(4)
     if free.any():
         values, vectors = np.linalg.eigh(hessian[np.ix_(free, free)])
-        curve = np.maximum(np.abs(values), 1e-10) + damping
-        step[free] = -vectors @ ((vectors.T @ g[free]) / curve)
-    longest = np.max(np.abs(step))
-    return step if longest <= 3 else step * (3 / longest)
+        along = (vectors.T @ g[free]) / (np.maximum(np.abs(values), 1e-12) + damping)
+        step[free] = -vectors @ np.clip(along, -reach, reach)
+    return step
 
 
 def fit(
@@ -238,16 +250,18 @@ def fit(
     # a start with the observed mean rate; one-time buyers only give no rate to start from
     rate = max(objective.sum_x, 1.0) / objective.sum_t
     u = np.log([1.0, 1.0 / rate, 0.5, 5.0])
-    converged = False
     iteration = 0
     for iteration in range(1, max_iterations + 1):
         f, g, hessian = objective.curvature(u, 1e-4)
-        stuck = ((u <= LOWER) & (g > 0)) | ((u >= UPPER) & (g < 0))
+        stuck = _at_bound(u, g)
         if np.max(np.abs(np.where(stuck, 0.0, g))) < tolerance:
-            converged = True
             break
-        steps = [_downhill(g, hessian, ~stuck, d) for d in (0.0, 1e-3, 1e-2, 0.1, 1.0, 10.0)]
-        steps += [2 * steps[0], 4 * steps[0]]
+        steps = [_downhill(g, hessian, ~stuck, reach) for reach in (8.0, 3.0, 1.0, 0.1)]
+        steps.append(_downhill(g, hessian, ~stuck, 3.0, damping=1e-2))
+        # the plain Newton direction as well, at most three long, and stretched
+        newton = _downhill(g, hessian, ~stuck, np.inf)
+        newton *= 3.0 / max(3.0, np.max(np.abs(newton)))
+        steps += [newton, 2 * newton, 4 * newton]
         tries = [np.clip(u + step, LOWER, UPPER) for step in steps]
         values, _ = objective(tries)
         best = int(np.nanargmin(values))
@@ -255,9 +269,9 @@ def fit(
         if gain > 0:
             u = tries[best]
         if not gain > tolerance * 1e-2 * abs(f):
-            converged = np.max(np.abs(np.where(stuck, 0.0, g))) < 1e-4
             break
-    f, _ = objective([u])
+    f, g = objective([u])
+    slope = np.max(np.abs(np.where(_at_bound(u, g[0]), 0.0, g[0])))
     theta = np.exp(u)
     penalty = penalizer * float((theta * objective.weights) @ (theta * objective.weights))
     return BgnbdFit(
@@ -265,7 +279,7 @@ def fit(
         log_likelihood=float(-(f[0] - penalty) * objective.rows),
         households=int(objective.rows),
         iterations=iteration,
-        converged=bool(converged),
+        converged=bool(slope < CONVERGED_SLOPE),
         at_bound=bool(np.any((u <= LOWER + 1e-9) | (u >= UPPER - 1e-9))),
     )
 
