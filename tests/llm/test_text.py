@@ -1,0 +1,376 @@
+"""Extraction, secrets, packing, encoding, toxicity and chat formatting."""
+
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from tillsight.llm import chat_format, html_extract, packing, piece_encode, secret_scan, toxicity
+
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+ODD = " ▁aabcdetheTHE\n\t0123.,é中😀　 \x00\x1cs<>/ ﬁ한글'"
+
+
+def odd_texts(seed, n, most=40):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(ODD) for _ in range(rng.randint(0, most))) for _ in range(n)]
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var x="<p>no</p>";
+</script></head><body><header><h1>Site name, here.</h1></header><nav><ul><li><a href=/>Home</a><li>
+<a href=/b>News, and more</a></ul></nav><div class="notice">We use cookies, really. Accept?</div>
+<div id=wrap><article><header><h1>Big   title</h1></header><p>First <b>bold</b>, with
+ a &lt;tag&gt; &amp; more text, quite long, so that it is content.<p>Short.<div class="ad">Buy this, now!</div>
+<ul><li>One point, well made and long enough<li>Two</ul><blockquote>Quoted, said someone.</blockquote>
+<form><label>Mail, please</label><input></form><p>Last<br>line, and the end of it, also long enough.</p>
+<section class="comments"><p>First comment, very long, and with a lot of punctuation, indeed, yes.</p>
+</section></article><aside><p>Related, and long, text in a sidebar, with commas, many.</p></aside></div>
+<footer><p>&copy; Someone, 2020.</p></footer></body></html>"""
+
+
+def test_extract_takes_the_article_and_nothing_else():
+    assert html_extract.extract(PAGE).split("\n\n") == [
+        "Big title",
+        "First bold, with a <tag> & more text, quite long, so that it is content.",
+        "Short.",
+        "One point, well made and long enough",
+        "Two",
+        "Quoted, said someone.",
+        "Last line, and the end of it, also long enough.",
+    ]
+
+
+def test_extract_without_article_element():
+    page = (
+        "<body><div class=menu><a>One</a> <a>Two</a></div><div><div><p>"
+        + "</p><p>".join(f"Sentence {i}, which is long enough, and has marks." for i in range(5))
+        + "</p></div></div><div class='sidebar'><p>Other things, here.</p></div></body>"
+    )
+    assert html_extract.extract(page).count("\n\n") == 4
+    assert html_extract.extract(page).startswith("Sentence 0")
+
+
+@pytest.mark.parametrize("page", ["", "   ", "<", "<p", "</div></p>", "<script>x", "<!--", "<a<b>", "&#xfffffff;"])
+def test_extract_survives_broken_pages(page):
+    assert isinstance(html_extract.extract(page), str)
+
+
+def test_extract_equals_the_articles_of_the_tables(spark):
+    """Held against a plain cut at the article element, which the pages of the tables have."""
+    import html
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    for r in pages.collect():
+        body = r.html[r.html.index("<article>") : r.html.index("</article>")]
+        parts = [
+            re.sub(r"\s+", " ", html.unescape(re.sub(r"<br>|</?b>", lambda m: " " if "br" in m[0] else "", p))).strip()
+            for p in re.split(r"</?(?:article|p|h1)>", body)
+        ]
+        assert got[r.page_id] == "\n\n".join(p for p in parts if p)
+
+
+def test_extract_odd_rows(spark):
+    rows = [(1, "u", None, "x"), (1, "u", "", "x"), (None, None, "<p>Text, long.</p>" * 20000, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = html_extract.extract_pages(df).collect()
+    assert sorted(len(r.text) for r in got) == [0, 0, 20000 * 11 + 19999 * 2]
+    assert html_extract.extract_pages(df.limit(0)).count() == 0
+
+
+def test_path_values_lift_whole_paths():
+    reader = html_extract._Reader()
+    reader.feed("<nav><a>x</a></nav><article><p>" + "Long, text. " * 9 + "<p>b</article>")
+    blocks = [b for b in reader.blocks if b.text]
+    values = html_extract.path_values(blocks, [b.text for b in blocks])
+    assert values[1] == values[2] > values[0]
+
+
+def test_pieces_equal_the_library():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    model = piece_encode.load(PIECES)
+    texts = odd_texts(1, 3000) + ["thanedble" * 2000, " " * 500, "ab " * 3000, "▁▁"]
+    for text, made in zip(texts, model.encode(texts)):
+        ids = library.encode(text)
+        assert np.frombuffer(made, np.int32).tolist() == ids
+        assert model.decode(ids) == library.decode(ids)
+    rng = random.Random(2)
+    for k in range(3000):
+        ids = [rng.randrange(32000 if k % 2 else 300) for _ in range(rng.randint(0, 12))]
+        assert model.decode(ids) == library.decode(ids)
+
+
+def test_prefix_table_holds_the_last_piece_of_each_prefix():
+    model = piece_encode.load(PIECES)
+    word = "▁internationalization"
+    assert model.table(word) == [model.merge(word[: i + 1])[-1] for i in range(len(word))]
+
+
+def test_known_words_are_forgotten_without_change(monkeypatch):
+    monkeypatch.setattr(piece_encode, "_KNOWN_WORDS", 10)
+    monkeypatch.setattr(packing, "_KNOWN_CHUNKS", 10)
+    texts = [" ".join(f"word{i % 37} thing{i}" for i in range(k, k + 20)) for k in range(60)]
+    first = piece_encode.load(PIECES).encode(texts)
+    monkeypatch.setattr(piece_encode, "_KNOWN_WORDS", 10**6)
+    assert piece_encode.load(PIECES).encode(texts) == first
+    assert packing.Tokens(BPE).encode(texts) == [packing.Tokens(BPE).encode([t])[0] for t in texts]
+
+
+def test_pieces_round_trip_on_rows(spark):
+    rows = [(i, t, 5) for i, t in enumerate(odd_texts(3, 60))] + [(0, None, 5), (0, "", 5), (None, "a b", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int").repartition(3)
+    encoded = piece_encode.encode(df, PIECES)
+    assert encoded.columns == ["doc_id", "text", "ids"]
+    for r in piece_encode.decode(encoded, PIECES).collect():
+        # a literal space mark is a space to the model
+        assert r.decoded == (r.text or "").replace("▁", " ")
+        assert bool(r.ids) == bool(r.text)
+    assert piece_encode.decode(piece_encode.encode(df.limit(0), PIECES), PIECES).count() == 0
+
+
+def test_tokens_equal_the_library():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BPE)
+    texts = odd_texts(4, 4000) + ["a<|endoftext|> b <|endoftext|>", "it's 'll  we'll", " x", "x ", "\n\n a"]
+    for text, made in zip(texts, packing.Tokens(BPE).encode(texts)):
+        assert np.frombuffer(made, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("capacity", [1024, 16, 1])
+def test_packing_round_trip(spark, capacity):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BPE)
+    rng = random.Random(capacity)
+    rows = [(i, t, 1) for i, t in enumerate(odd_texts(5, 300, 200))]
+    rows += [(1000, None, 1), (1001, "", 1), (1002, "word " * 5000, 1), (None, "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, start int").repartition(4)
+    pieces = packing.pack(df, BPE, capacity=capacity).collect()
+    documents, sequences = {}, {}
+    for p in pieces:
+        assert len(p.tokens) == 4 * p.length > 0
+        documents.setdefault(p.doc_id, []).append((p.start, p.tokens, p.doc_tokens))
+        sequences.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for i, text, _ in rows:
+        parts = sorted(documents[i])
+        ids = np.frombuffer(b"".join(t for _, t, _ in parts), "<u4").tolist()
+        assert ids == library.encode(text or "", add_special_tokens=False).ids + [0]
+        at = 0
+        for start, tokens, total in parts:
+            assert (start, total) == (at, len(ids))
+            at += len(tokens) // 4
+    used = []
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        used.append(at)
+    assert max(used) <= capacity and all(n & (n - 1) == 0 for n in used)
+    assert rng and packing.pack(df.limit(0), BPE).count() == 0
+
+
+def test_cut_lengths_are_reciprocals_of_the_capacity():
+    assert packing.cut_lengths(1024 * 2 + 7) == [1024, 1024, 4, 2, 1]
+    assert packing.cut_lengths(0) == []
+    with pytest.raises(ValueError):
+        packing.pack(None, BPE, capacity=1000)
+
+
+def secret_texts(seed, n):
+    """Planted keys and look-alikes: ``(text, [(start, length)] of keys)``."""
+    rng = random.Random(seed)
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    words = "the of entry value order build number report item chapter invoice checksum commit".split()
+    out = []
+    for _ in range(n):
+        text, keys = "", []
+        for _ in range(rng.randint(0, 4)):
+            text += " ".join(rng.choices(words, k=rng.randint(3, 12))) + " "
+            key = "".join(rng.choices(alphabet, k=rng.randint(24, 40)))
+            if rng.random() < 0.5:
+                text += rng.choice(["api_key", "token", "password"]) + rng.choice([' = "', ": '"])
+                keys.append((len(text), len(key)))
+                text += key + '" '
+            elif rng.random() < 0.5:
+                text += "invoice " + "".join(rng.choices("0123456789", k=16)) + " "
+            else:
+                text += "checksum " + "".join(rng.choices("0123456789abcdef", k=32)) + " "
+        out.append((text, keys))
+    return out
+
+
+def test_forest_tells_planted_keys_from_look_alikes(spark):
+    known, held_out = secret_texts(1, 400), secret_texts(2, 300)
+    frame = lambda rows: spark.createDataFrame(
+        [(i, t, "a/b.txt", "x") for i, (t, _) in enumerate(rows)], "doc_id long, text string, source string, findings string"
+    )
+    found = secret_scan.findings(frame(known)).collect()
+    marks = [(r.doc_id, r.start, r.length, int((r.start, r.length) in known[r.doc_id][1])) for r in found]
+    labelled = spark.createDataFrame(marks, "doc_id long, start long, length long, is_secret int")
+    model = secret_scan.fit(frame(known), labelled)
+    got = secret_scan.scan(frame(held_out), model, redact=True)
+    assert got.columns == ["doc_id", "text", "source", "findings"]
+    right = total = 0
+    for r in got.collect():
+        text, keys = held_out[r.doc_id]
+        for f in r.findings:
+            total += 1
+            right += f.is_secret == ((f.start, f.length) in keys)
+        assert {(f.start, f.length) for f in r.findings} >= set(keys)
+        clean = text
+        for f in sorted(r.findings, reverse=True):
+            if f.is_secret:
+                clean = clean[: f.start] + secret_scan.MARK + clean[f.start + f.length :]
+        assert r.text == clean
+    assert total > 300 and right / total > 0.97
+
+
+def test_secret_scan_odd_rows(spark):
+    key = "A1b2" * 10
+    rows = [(1, None, None), (None, "", ""), (3, f'token = "{key}"', None), (3, f'token = "{key}"', None)]
+    rows += [(4, "word " * 50000 + f"password: '{key}'", "s"), (5, "1234567890123456", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    model = secret_scan.fit(df)
+    got = secret_scan.scan(df, model, redact=True).orderBy("doc_id").collect()
+    assert [len(r.findings) for r in got if r.doc_id in (3, 4, 5)] == [1, 1, 1, 1]
+    assert [r.text for r in got if r.doc_id == 1] == [None]
+    empty = secret_scan.fit(df.limit(0))
+    assert secret_scan.scan(df.limit(0), empty).count() == 0
+    assert not any(f.is_secret for r in secret_scan.scan(df, empty).collect() for f in r.findings)
+    with pytest.raises(ValueError):
+        secret_scan.scan(df, model, path_col="path")
+
+
+def test_tree_separates_what_can_be_separated():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(500, 4))
+    y = ((x[:, 1] > 0.3) & (x[:, 2] < 0.5)).astype(float)
+    trees = [secret_scan.grow_tree(x, y, s) for s in range(20)]
+    p = np.mean([t.predict(x) for t in trees], axis=0)
+    assert ((p >= 0.5) == y).mean() > 0.97
+
+
+def toxic_texts(seed, n):
+    """Invented words; a toxic text has one of a few words, or words with one of two beginnings."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("aeioustrnlm", k=rng.randint(3, 9))) for _ in range(800)]
+    out = []
+    for i in range(n):
+        text = rng.choices(vocabulary, k=rng.randint(1, 120))
+        toxic = rng.random() < 0.12
+        if toxic:
+            bad = rng.choice(["bozo", "wretch", "zzq" + rng.choice(vocabulary), "xvy" + rng.choice(vocabulary)])
+            for _ in range(rng.randint(1, 3)):
+                text.insert(rng.randrange(len(text) + 1), bad.upper() if rng.random() < 0.2 else bad)
+        out.append((i, " ".join(text), int(toxic)))
+    return out
+
+
+def test_toxicity_on_held_out_texts(spark):
+    rows = toxic_texts(1, 6000)
+    documents = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    fold = {i: zlib.crc32(str(i).encode()) % 3 for i, _, _ in rows}
+    labels = spark.createDataFrame(
+        [(i, m) for i, _, m in rows if i % 2 == 0 and fold[i] != 1], "doc_id long, toxic int"
+    )
+    known = documents.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+    model = toxicity.fit(known, labels)
+    got = {r.doc_id: r.score for r in toxicity.with_score(documents, model).collect()}
+    held = [(got[i] >= 0.7, m) for i, _, m in rows if fold[i] == 1]
+    caught = [p for p, m in held if m]
+    clean = [p for p, m in held if not m]
+    assert sum(caught) / len(caught) > 0.95
+    assert sum(clean) / len(clean) < 0.005
+
+
+def test_toxicity_odd_tables(spark):
+    documents = spark.createDataFrame([(1, None, "s"), (2, "", "s"), (None, "a", "s")], "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(1, 1), (None, 1), (2, None)], "doc_id long, toxic int")
+    for marks in (labels, labels.limit(0)):
+        model = toxicity.fit(documents, marks)
+        got = toxicity.with_score(documents, model)
+        assert got.columns == ["doc_id", "text", "score"]
+        assert len({r.score for r in got.collect()}) == 1
+    assert toxicity.with_score(documents.limit(0), toxicity.fit(documents.limit(0), labels)).count() == 0
+
+
+def test_near_copies_do_not_make_features():
+    copies = [tuple(f"w{k}" for k in range(j % 3, 60)) for j in range(20)]
+    others = [tuple(f"v{(j * 7 + k) % 900}" for k in range(60)) for j in range(300)]
+    assert len(toxicity.without_copies(copies + others[:50])) < 60
+    assert toxicity.fit_samples(copies, others, 0.1).features == ()
+
+
+def conversations(seed, n):
+    rng = random.Random(seed)
+    words = "what is the of a and in to value note thing answer: line more".split()
+    rows = []
+    for c in range(n):
+        roles = ["system"] * (rng.random() < 0.3) + ["user", "assistant"] * rng.randint(1, 4)
+        for t, role in enumerate(roles):
+            lines = [" ".join(rng.choices(words, k=rng.randint(3, 14))) + "." for _ in range(rng.randint(1, 4))]
+            rows.append((c, t, role, "\n".join(lines)))
+    return rows
+
+
+def test_chat_roles_on_held_out_transcripts(spark):
+    schema = "conv_id long, turn long, role string, text string"
+    raw = chat_format.transcripts(spark.createDataFrame(conversations(1, 600), schema))
+    model = chat_format.fit(raw.where("conv_id % 2 = 0"))
+    turns = right = 0
+    for r in chat_format.format_chats(raw.where("conv_id % 2 = 1"), model).collect():
+        told, got = [x.role for x in r.lines], [x.role for x in r.turns]
+        turns += len(told)
+        right += sum(a == b for a, b in zip(told, got)) if len(told) == len(got) else 0
+        assert [(x.role, x.content) for x in r.turns] == [
+            (x["role"], x["content"]) for x in chat_format.read_back(r.chat)
+        ]
+    assert right / turns > 0.95
+
+
+def test_viterbi_equals_brute_force():
+    import itertools
+
+    rng = np.random.default_rng(3)
+    n = len(chat_format.STATES)
+    model = chat_format.Model(
+        rng.normal(size=n), rng.normal(size=(n, n)), tuple(rng.normal(size=(n, k)) for k in chat_format._SIZES)
+    )
+    for _ in range(5):
+        seen = np.stack([rng.integers(0, k, 5) for k in chat_format._SIZES], axis=1)
+
+        def score(path):
+            emit = sum(e[s, seen[i, f]] for i, s in enumerate(path) for f, e in enumerate(model.emit))
+            return model.start[path[0]] + emit + sum(model.move[a, b] for a, b in zip(path, path[1:]))
+
+        best = max(itertools.product(range(n), repeat=5), key=score)
+        assert model.states(seen).tolist() == list(best)
+
+
+def test_chat_odd_rows(spark):
+    df = spark.createDataFrame(
+        [(1, None, 3), (1, "", 3), (2, "\n \n", 3), (3, "no marker at all", 3), (4, "User: hi <|user|>\nAI:\n" + "x\n" * 20000, 3)],
+        "id long, transcript string, turns int",
+    )
+    model = chat_format.fit_lines([])
+    got = {r.id: r for r in chat_format.format_chats(df, model).collect()}
+    assert got[2].turns == [] and got[2].chat == ""
+    assert len(got[3].turns) == 1
+    assert chat_format.read_back(got[4].chat)[0]["content"] == got[4].turns[0].content
+    schema = "conv_id long, turn long, role string, text string"
+    rows = [(None, 1, "user", "a"), (1, None, None, None), (1, 0, "bot", "x"), (2, 600, "user", "q"), (2, 0, "user", "q")]
+    raw = chat_format.transcripts(spark.createDataFrame(rows, schema))
+    assert raw.count() == 5
+    fitted = chat_format.fit(raw)
+    assert chat_format.format_chats(raw, fitted).count() == 5
+    empty = chat_format.transcripts(spark.createDataFrame([], schema))
+    assert chat_format.format_chats(empty, chat_format.fit(empty)).count() == 0

@@ -232,7 +232,15 @@ def transcripts(df: DataFrame) -> DataFrame:
         .select(
             "conv_id", "segment",
             F.array_join(F.transform("said", lambda t: t["text"]), "\u0000").alias("joined"),
-            F.transform("said", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("lines"),
+            F.transform(
+                "said",
+                lambda t, i: F.struct(
+                    t["role"].alias("role"),
+                    # with the empty lines before the next turn
+                    F.when(i + 1 < F.size("said"), F.concat(t["text"], F.substring(between, 2, 9)))
+                    .otherwise(t["text"]).alias("text"),
+                ),
+            ).alias("lines"),
             between.alias("between"),
         )
         .withColumn("transcript", F.expr("replace(joined, chr(0), between)"))

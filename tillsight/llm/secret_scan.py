@@ -255,7 +255,8 @@ def fit(
     rows = documents.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), path.alias("path")
     )
-    if labelled is not None:
+    told = labelled is not None
+    if told:
         marks = labelled.where(f"`{id_col}` is not null and is_secret is not null").select(
             F.col(id_col).cast("long").alias("id"), "start", "length",
             F.col("is_secret").cast("int").alias("mark"),
@@ -268,7 +269,7 @@ def fit(
         for batch in batches:
             out = []
             paths = batch.column("path").to_pylist()
-            given = batch.column("spans").to_pylist() if labelled is not None else None
+            given = batch.column("spans").to_pylist() if told else None
             for k, text in enumerate(text_values(batch.column("text"))):
                 spans = (
                     [(x["start"], x["start"] + x["length"], x["mark"]) for x in given[k]]
