@@ -242,9 +242,9 @@ def remove_repeats(
     schema = plus(
         df.schema, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())
     )
-    # the text column keeps its place
+    # the text moves once, under a name of its own; its column keeps its place in the result
     dealt = df.select(
-        *(c for c in df.columns if c not in ("n_words", "n_removed")),
+        *(c for c in df.columns if c not in (text_col, "n_words", "n_removed")),
         F.col(id_col).cast("long").alias("__id"),
         F.col(text_col).alias("__text"),
         F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(blocks)).alias("__block"),
