@@ -113,14 +113,14 @@ def test_prefix_table_holds_the_last_piece_of_each_prefix():
     assert model.table(word) == [model.merge(word[: i + 1])[-1] for i in range(len(word))]
 
 
-def test_known_words_are_forgotten_without_change(monkeypatch):
-    monkeypatch.setattr(piece_encode, "_KNOWN_WORDS", 10)
-    monkeypatch.setattr(packing, "_KNOWN_CHUNKS", 10)
-    texts = [" ".join(f"word{i % 37} thing{i}" for i in range(k, k + 20)) for k in range(60)]
-    first = piece_encode.load(PIECES).encode(texts)
-    monkeypatch.setattr(piece_encode, "_KNOWN_WORDS", 10**6)
-    assert piece_encode.load(PIECES).encode(texts) == first
-    assert packing.Tokens(BPE).encode(texts) == [packing.Tokens(BPE).encode([t])[0] for t in texts]
+def test_known_words_are_forgotten_without_change():
+    texts = [" ".join(f"word{i % 37} thing{i}, \nx." for i in range(k, k + 20)) for k in range(60)]
+    model, tokens = piece_encode.load(PIECES), packing.Tokens(BPE)
+    pieces, ids = model.encode(texts), [tokens.encode(t) for t in texts]
+    model.known.most = tokens.known.most = 10
+    assert model.encode(texts) == pieces and [tokens.encode(t) for t in texts] == ids
+    assert len(model.known) + len(tokens.known) < 200
+    model.known.most = 10**6
 
 
 def test_pieces_round_trip_on_rows(spark):
@@ -140,8 +140,10 @@ def test_tokens_equal_the_library():
 
     library = Tokenizer.from_file(BPE)
     texts = odd_texts(4, 4000) + ["a<|endoftext|> b <|endoftext|>", "it's 'll  we'll", " x", "x ", "\n\n a"]
-    for text, made in zip(texts, packing.Tokens(BPE).encode(texts)):
-        assert np.frombuffer(made, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    texts += ["Ünïcode,\nÿes. ×÷ÀÖ! ªº a\n b,\n\nc; ŁódźɏɐX, don't."]
+    tokens = packing.Tokens(BPE)
+    for text in texts:
+        assert np.frombuffer(tokens.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("capacity", [1024, 16, 1])

@@ -45,6 +45,27 @@ def with_derived(df: DataFrame, make, *fields: T.StructField) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+class Known(dict):
+    """Values made on demand and looked up when they return. Two generations of at most about
+    ``most`` entries are kept; what is not used during a whole generation is forgotten."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def tidy(self) -> None:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+
+
 def run_ends(keys: np.ndarray) -> np.ndarray:
     """For each position of a sorted array, the end of its run of equal keys."""
     if not len(keys):

@@ -11,6 +11,7 @@ of two, which need no padding either.
 from __future__ import annotations
 
 import array
+import os
 import re
 from functools import lru_cache
 
@@ -20,19 +21,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import text_values
+from tillsight.llm.common import Known, text_values
 
 CAPACITY = 1024
 END_ID = 0
 #: sequences of one task; a sequence id is the task's number times this, plus a count
 TASK_SEQUENCES = 1 << 40
 #: pieces with token bytes held before a batch is handed on
-BATCH_TOKENS = 2_000_000
-_KNOWN_CHUNKS = 250_000
+BATCH_TOKENS = 1_000_000
+_KNOWN_CHUNKS = 400_000
 
 # Fixed value: the white space of the pre-tokenizer's pattern (Unicode White_Space).
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+# Letters of the Latin blocks, and marks that the pattern keeps apart from them.
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]")
+_MARKS = ",.;:!?"
+_SIMPLE = re.compile(f"([ \\n]?)({_LATIN.pattern}+)([{_MARKS}]?)$(?!\\n)")
+_BLANK = re.compile(f"[{_SPACE}]")
 _DOUBLE = re.compile(r"\s\s")
 
 OUT = (
@@ -45,41 +51,66 @@ class Tokens:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
     The pre-tokenizer never joins white space to the word before it, so a text can be cut before
-    each run of white space, and chunks that return are looked up. Two generations of known chunks
-    are kept; those not used during a whole generation are forgotten.
+    each run of white space, and chunks that return are looked up. A word of letters and the mark
+    after it are separate to the pre-tokenizer as well, and such a word goes to the model directly.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # how the pre-tokenizer writes the bytes that Latin letters and the space are made of
+        wanted = [" "] + [c for c in map(chr, range(0x250)) if _LATIN.fullmatch(c)]
+        self.written = {
+            b: w for c in wanted for b, w in zip(c.encode(), level.pre_tokenize_str(c)[0][0])
+        }
+        self.known = Known(self.make, _KNOWN_CHUNKS)
+        self.marks = {c: self.ids(c) for c in _MARKS + "\n"}
+
+    def ids(self, text: str) -> bytes:
+        return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def make(self, key: str) -> bytes:
+        """Ids of the chunk that a key stands for."""
+        m = _SIMPLE.match(key)
+        if not m:
+            return self.ids(key[1:] if key[0] == " " else key if key[0] == "\n" else " " + key)
+        before, word, mark = m.groups()
+        if mark:
+            return self.known[before + word] + self.marks[mark]
+        if not before:
+            word = " " + word
+        written = word.encode().decode("latin-1").translate(self.written)
+        made = array.array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
+        return self.marks["\n"] + made if before == "\n" else made
 
     @staticmethod
-    def chunks(text: str) -> list[str]:
-        if _DOUBLE.search(text) or text[:1] == " " or text[-1:] == " ":
-            return _CHUNK.findall(text)
-        parts = text.split(" ")
-        return [parts[0], *(" " + p for p in parts[1:])]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.chunks(t) if t else [] for t in texts]
-        young, old = self.young, self.old
-        missing = {c for chunks in cut for c in chunks if c not in young}
-        found = [c for c in missing if c in old]
-        for c in found:
-            young[c] = old[c]
-        missing.difference_update(found)
-        names = list(missing)
-        encoded = self.tokenizer.encode_batch_fast(names, add_special_tokens=False)
-        for c, e in zip(names, encoded):
-            young[c] = array.array("I", e.ids).tobytes()
-        out = [b"".join(map(young.__getitem__, chunks)) for chunks in cut]
-        if len(young) > _KNOWN_CHUNKS:
-            self.old, self.young = young, {}
+    def keys(text: str) -> list[str]:
+        """The chunks of a text, each as a key: a chunk of one space and a word is the word alone,
+        one of a line break and a word is itself, any other one has a space before it."""
+        if not text:
+            return []
+        if not _DOUBLE.search(text) and text[0] != " " and text[-1] != " ":
+            parts = text.replace("\n", " \n").split(" ")
+            if parts[0] or len(parts) == 1:
+                parts[0] = " " + parts[0]
+            else:
+                del parts[0]
+            return parts
+        out = []
+        for chunk in _CHUNK.findall(text):
+            alone = len(chunk) > 1 and not _BLANK.match(chunk, 1)
+            out.append(chunk[1:] if alone and chunk[0] == " " else chunk if alone and chunk[0] == "\n" else " " + chunk)
         return out
 
+    def encode(self, text: str) -> bytes:
+        made = b"".join(map(self.known.__getitem__, self.keys(text)))
+        self.known.tidy()
+        return made
+
 
 @lru_cache(maxsize=2)
 def _tokens(path: str) -> Tokens:
@@ -169,8 +200,8 @@ def pack(
         placed, held = [], 0
         for batch in batches:
             ids = batch.column("id").to_pylist()
-            for doc, ids_of in zip(ids, tokens.encode(text_values(batch.column("text")))):
-                data = ids_of + last
+            for doc, text in zip(ids, text_values(batch.column("text"))):
+                data = tokens.encode(text) + last
                 n = len(data) // 4
                 at = 0
                 for length in cut_lengths(n, capacity):

@@ -18,14 +18,64 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillsight.llm.common import text_values, with_derived
+from tillsight.llm.common import Known, text_values, with_derived
 
 SPACE = "▁"
-_KNOWN_WORDS = 250_000
-_KNOWN_PAIRS = 2_000_000
+_KNOWN_WORDS = 400_000
+_KNOWN_PAIRS = 1_000_000
+_KNOWN_STEPS = 500_000
+#: before keys that are a word without space mark; a lone surrogate cannot stand in a text
+_BORDER = "\ud802"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
+class Automaton:
+    """Aho-Corasick automaton over pieces: after each character, the pieces that end there, the
+    longest first. Transitions that go through failure links are remembered."""
+
+    def __init__(self, pieces):
+        self.next: list[dict[str, int]] = [{}]
+        self.ends: list[tuple] = [()]
+        for piece in pieces:
+            state = 0
+            for c in piece:
+                to = self.next[state].get(c)
+                if to is None:
+                    to = self.next[state][c] = len(self.next)
+                    self.next.append({})
+                    self.ends.append(())
+                state = to
+            self.ends[state] = ((piece, len(piece)),)
+        self.fail = [0] * len(self.next)
+        self.room = _KNOWN_STEPS
+        level = list(self.next[0].values())
+        while level:
+            below = []
+            for state in level:
+                self.ends[state] += self.ends[self.fail[state]]
+                for c, to in self.next[state].items():
+                    self.fail[to] = self._after(self.fail[state], c)
+                    below.append(to)
+            level = below
+
+    def _after(self, state: int, c: str) -> int:
+        while True:
+            to = self.next[state].get(c)
+            if to is not None:
+                return to
+            if not state:
+                return 0
+            state = self.fail[state]
+
+    def step(self, state: int, c: str) -> int:
+        """The state after a character that the state has no transition for."""
+        to = self._after(self.fail[state], c) if state else 0
+        if self.room:
+            self.room -= 1
+            self.next[state][c] = to
+        return to
+
+
 @dataclass
 class Encoder:
     """Tables of one model; see :func:`load`."""
@@ -36,11 +86,13 @@ class Encoder:
     byte_ids: list[int]
     unknown: int
     whole: bool
-    automaton: object
+    automaton: Automaton
     prefix: bool
     pairs: dict = field(default_factory=dict)
-    young: dict = field(default_factory=dict)
-    old: dict = field(default_factory=dict)
+    #: marks that no piece joins to a letter before them
+    apart: frozenset = frozenset()
+    #: whether texts can be cut at spaces and line breaks without looking further
+    plain: bool = False
 
     def merge(self, text: str) -> list[str]:
         """Pieces by merging the best-scored pair first, leftmost among equals; for short texts."""
@@ -67,22 +119,24 @@ class Encoder:
 
     def table(self, text: str) -> list[str]:
         """The last piece of each prefix of ``text``; a character without a piece stands alone."""
-        last: list = [None] * len(text)
-        pairs = self.pairs
-        for end, (piece, size) in self.automaton.iter(text):
-            if last[end] is None:
-                start = end - size
-                if start < 0:
-                    last[end] = piece
-                    continue
-                # matches come by their ends, so the prefix before this one is settled
-                left = last[start]
-                if left is None:
-                    left = last[start] = text[start]
+        last: list[str] = []
+        pairs, follow, ends = self.pairs, self.automaton.next, self.automaton.ends
+        state = 0
+        for i, c in enumerate(text):
+            to = follow[state].get(c)
+            state = self.automaton.step(state, c) if to is None else to
+            for piece, size in ends[state]:
+                if size > i:
+                    last.append(piece)
+                    break
+                left = last[i - size]
                 fits = pairs.get((left, piece))
                 if fits or fits is None and self.compatible(left, piece):
-                    last[end] = piece
-        return [c if p is None else p for p, c in zip(last, text)] if None in last else last
+                    last.append(piece)
+                    break
+            else:
+                last.append(c)
+        return last
 
     def encode_word(self, text: str) -> list[int]:
         last, end, out = self.table(text), len(text) - 1, []
@@ -100,36 +154,42 @@ class Encoder:
         return out
 
     def words(self, text: str) -> list[str]:
-        """Parts that no piece reaches across: a word with the space marks before it."""
+        """Parts of a text that no piece reaches across, as keys: a word without mark has one space
+        mark before it, a word that begins with a line break or a space mark is itself."""
         if not text:
             return []
+        if self.plain and SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
+            parts = text.replace("\n", " \n").split(" ")
+            # a space before a line break, or a text that begins with one, is a space mark alone
+            return [w or SPACE for w in parts] if "" in parts else parts
         text = text.replace(" ", SPACE)
         if self.prefix:
             text = SPACE + text
         if self.whole:
-            return [text]
-        if SPACE + SPACE in text or text[-1] == SPACE or text[0] != SPACE:
-            return _WORD.findall(text)
-        return [SPACE + w for w in text[1:].split(SPACE)]
+            return [_BORDER + text]
+        out = []
+        for w in _WORD.findall(text):
+            single = self.plain and len(w) > 1 and w[0] == SPACE and w[1] not in (SPACE, "\n")
+            out.append(w[1:] if single else w if w[0] == SPACE else _BORDER + w)
+        return out
+
+    def make(self, key: str) -> bytes:
+        """Ids of the word that a key stands for, as 32-bit numbers. A mark that stands apart from the
+        letters before it is cut off first, since merging never crosses that border."""
+        if len(key) > 2 and key[-1] in self.apart and key[-2].isalpha():
+            return self.known[key[:-1]] + self.known[_BORDER + key[-1]]
+        if key[0] == _BORDER:
+            word = key[1:]
+        else:
+            word = key if key[0] in (SPACE, "\n") else SPACE + key
+        return np.array(self.encode_word(word), np.int32).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as 32-bit numbers. Words that return are looked up; those not used for a
-        whole generation are forgotten."""
+        """Ids of each text as 32-bit numbers; words that return are looked up."""
         out = []
         for text in texts:
-            words = self.words(text)
-            try:
-                out.append(b"".join(map(self.young.__getitem__, words)))
-            except KeyError:
-                for w in words:
-                    if w not in self.young:
-                        made = self.old.get(w)
-                        if made is None:
-                            made = np.array(self.encode_word(w), np.int32).tobytes()
-                        self.young[w] = made
-                out.append(b"".join(map(self.young.__getitem__, words)))
-                if len(self.young) > _KNOWN_WORDS:
-                    self.old, self.young = self.young, {}
+            out.append(b"".join(map(self.known.__getitem__, self.words(text))))
+            self.known.tidy()
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -146,6 +206,7 @@ class Encoder:
         return text.replace(SPACE, " ")
 
     def __post_init__(self):
+        self.known = Known(self.make, _KNOWN_WORDS)
         # byte pieces as private marks, two per byte, until the run they stand in is known
         first = {i: b for b, i in enumerate(self.byte_ids)}
         self._byte_mark = _MARK
@@ -182,7 +243,6 @@ def _read_bytes(m: re.Match) -> str:
 @lru_cache(maxsize=2)
 def load(path: str) -> Encoder:
     """Read a byte-pair model. Its normalizer must leave texts alone but for the space marks."""
-    import ahocorasick
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as messages
 
@@ -206,18 +266,17 @@ def load(path: str) -> Encoder:
     scores = {pieces[i]: processor.get_score(i) for i in normal}
     ids = {pieces[i]: i for i in normal}
     byte_ids = [processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)] if proto.trainer_spec.byte_fallback else []
-    automaton = ahocorasick.Automaton()
     made = Encoder(
         [" ⁇ " if processor.is_unknown(i) else _CONTROL if processor.is_control(i) else p for i, p in enumerate(pieces)],
         scores, ids, byte_ids, processor.unk_id(),
         any(a != SPACE and b == SPACE for p in ids for a, b in zip(p, p[1:])),
-        automaton, spec.add_dummy_prefix,
+        Automaton(()), spec.add_dummy_prefix,
     )
-    for p in ids:
-        # a piece that merging never makes cannot end a prefix
-        if len(p) == 1 or made.merge(p) == [p]:
-            automaton.add_word(p, (p, len(p)))
-    automaton.make_automaton()
+    # a piece that merging never makes cannot end a prefix
+    made.automaton = Automaton(p for p in ids if len(p) == 1 or made.merge(p) == [p])
+    joined = {c for p in ids for a, c in zip(p, p[1:]) if a.isalpha()}
+    made.plain = made.prefix and not made.whole and not any("\n" in p for p in ids)
+    made.apart = frozenset(",.;:!?") - joined
     return made
 
 
@@ -245,9 +304,9 @@ def decode(df: DataFrame, model_path: str, ids_col: str = "ids", out_col: str =
     def make(batch):
         model = load(model_path)
         column = batch.column(ids_col)
-        flat = column.flatten().to_numpy(zero_copy_only=False).tolist()
+        flat = column.flatten().to_numpy(zero_copy_only=False)
         sizes = np.array([0 if x is None else x for x in column.value_lengths().to_pylist()], np.int64)
         ends = np.cumsum(sizes)
-        return [pa.array([model.decode(flat[e - n : e]) for n, e in zip(sizes, ends)], pa.string())]
+        return [pa.array([model.decode(flat[e - n : e].tolist()) for n, e in zip(sizes, ends)], pa.string())]
 
     return with_derived(df, make, T.StructField(out_col, T.StringType()))
