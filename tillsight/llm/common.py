@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from tillsight.sources.storage import materialize
 
+BATCH_ROWS = 1000
+
 
 def plus(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     """``schema`` with ``fields`` at the end; a column of the same name gives way to the new one."""
@@ -30,17 +32,20 @@ def text_values(column: pa.ChunkedArray | pa.Array) -> list[str]:
 def with_derived(df: DataFrame, make, *fields: T.StructField) -> DataFrame:
     """Every row of ``df`` with columns that ``make`` derives from its Arrow batch.
 
-    ``make(batch)`` returns one Arrow array per field. The step is narrow: no row moves.
+    ``make(batch)`` returns one Arrow array per field. The step is narrow: no row moves. Batches are
+    cut to ``BATCH_ROWS`` rows first, so that what is made of them stays small.
     """
     schema = plus(df.schema, *fields)
     names = schema.names
 
     def run(batches):
-        for batch in batches:
-            made = dict(zip((f.name for f in fields), make(batch)))
-            yield pa.RecordBatch.from_arrays(
-                [made[n] if n in made else batch.column(n) for n in names], names
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                made = dict(zip((f.name for f in fields), make(batch)))
+                yield pa.RecordBatch.from_arrays(
+                    [made[n] if n in made else batch.column(n) for n in names], names
+                )
 
     return df.mapInArrow(run, schema)
 
