@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+import sys
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +23,6 @@ MODELS = {
     "Historical-rate baseline": "predicted_holdout_baskets_baseline",
     "BG/NBD": "predicted_holdout_baskets_bgnbd",
 }
-# Draws (replicates x households) up to which the bootstrap looks every draw up.
-EXACT_DRAWS = 100_000_000
 # Draws of eight hex digits that one MD5 of 32 digits gives.
 DRAWS_PER_HASH = 4
 
@@ -167,75 +170,102 @@ def _uniform(digits: Column | str) -> Column:
     return F.conv(digits, 16, 10).cast("double") / 4294967296.0
 
 
-def _poisson_one(u: Column) -> Column:
-    """Poisson(1) count of a uniform draw, by its distribution function."""
-    bound, mass = 0.0, math.exp(-1.0)
-    count = None
-    for k in range(13):
-        bound += mass
-        mass /= k + 1
-        count = F.when(u < bound, k) if count is None else count.when(u < bound, k)
-    return count.otherwise(13)
+def poisson_bounds() -> list[float]:
+    """Distribution function of Poisson(1), as far as a draw of 32 bits can tell it from one."""
+    bounds, mass = [], math.exp(-1.0)
+    while not bounds or bounds[-1] < 1.0 - 2.0**-32:
+        bounds.append((bounds[-1] if bounds else 0.0) + mass)
+        mass /= len(bounds)
+    return bounds
+
+
+def _weighted_sums(replicates: int, seed: int):
+    """Sums of weights, and of gains times weights, of every replicate: a row per replicate and task."""
+    bounds = np.array(poisson_bounds())
+    blocks = -(-replicates // DRAWS_PER_HASH)
+
+    def run(batches):
+        total, weight = np.zeros(replicates), np.zeros(replicates)
+        for batch in batches:
+            for key, gain in zip(batch.column("household_key").to_pylist(), batch.column("gain").to_pylist()):
+                if gain is None:
+                    continue
+                raw = b"".join(
+                    hashlib.md5(f"{key}|{block}|{seed}".encode()).digest() for block in range(blocks)
+                )
+                draws = np.frombuffer(raw, ">u4")[:replicates] / 4294967296.0
+                w = np.searchsorted(bounds, draws, side="right")
+                total += gain * w
+                weight += w
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(replicates)), pa.array(total), pa.array(weight)],
+            ["replicate", "total", "weight"],
+        )
+
+    return run
 
 
 def bootstrap_mae_improvement(
-    scored: DataFrame, replicates: int = 2000, seed: int = 42, exact_draws: int = EXACT_DRAWS
+    scored: DataFrame, replicates: int = 2000, seed: int = 42, method: str = "multinomial"
 ) -> DataFrame:
     """2.5, 50 and 97.5% points of the MAE gain over resampled households.
 
-    The gain of a resample is the mean of one column, the difference of the absolute errors. Up
-    to ``exact_draws`` draws, every draw picks the household at a random place. Beyond that each
-    household is given a Poisson(1) weight per replicate, the usual distributed form of the
-    bootstrap: it needs no lookup, and the size of a replicate varies slightly around n. The
-    ``method`` column says which form was used.
+    The gain of a resample is the mean of one column, the difference of the absolute errors. With
+    ``method`` "multinomial" every draw picks the household at a random place, replicates times
+    households draws in all. With "poisson" each household is given a Poisson(1) weight per
+    replicate, the usual form for very many households: nothing is looked up, a task hands on one
+    row per replicate, and the size of a replicate varies slightly around n. The caller chooses.
     """
     base, model = (F.abs(F.col(c) - F.col(ACTUAL)) for c in MODELS.values())
     gains = scored.select("household_key", (base - model).alias("gain"))
-    rows = scored.count()
-    exact = rows * replicates <= exact_draws
-    if exact:
-        session = scored.sparkSession
-        # one hash serves four draws
-        blocks = -(-rows // DRAWS_PER_HASH)
-        hashed = session.range(blocks * replicates).select(
-            F.call_function("div", F.col("id"), F.lit(blocks)).alias("replicate"),
-            (F.col("id") % blocks).alias("block"),
-        )
-        draws = (
-            hashed.withColumn("hash", F.md5(F.concat_ws("|", "replicate", "block", F.lit(seed))))
-            .select(
-                "replicate",
-                "block",
-                F.posexplode(
-                    F.array(*[F.substring("hash", 8 * i + 1, 8) for i in range(DRAWS_PER_HASH)])
-                ).alias("chunk", "digits"),
-            )
-            .filter(F.col("block") * DRAWS_PER_HASH + F.col("chunk") < rows)
-        )
-        at = F.floor(_uniform("digits") * rows).cast("bigint")
-        lookup = with_position(gains, F.asc("household_key")).select("position", "gain")
+    if method == "multinomial":
+        means = _resampled_means(gains, scored.count(), replicates, seed)
+    elif method == "poisson":
+        # the functions travel to the executors with the job
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
         means = (
-            draws.select("replicate", at.alias("position"))
-            .join(F.broadcast(lookup) if rows <= BROADCAST_ROWS else lookup, "position")
+            gains.mapInArrow(
+                _weighted_sums(replicates, seed), "replicate long, total double, weight double"
+            )
             .groupBy("replicate")
-            .agg(F.avg("gain").alias("value"))
+            .agg(F.try_divide(F.sum("total"), F.sum("weight")).alias("value"))
         )
     else:
-        bits = F.xxhash64("household_key", "replicate", F.lit(seed))
-        uniform = F.shiftrightunsigned(bits, 11).cast("double") / float(1 << 53)
-        weight = _poisson_one(uniform)
-        means = (
-            gains.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-            .select("replicate", "gain", weight.alias("w"))
-            .groupBy("replicate")
-            .agg((F.sum(F.col("gain") * F.col("w")) / F.sum("w")).alias("value"))
-        )
+        raise ValueError(f"unknown method {method!r}")
     # one row per replicate
     points = quantile_columns(
         materialize(means.select("value"), "replicates"),
         {"p2_5": ("value", 0.025), "p50": ("value", 0.50), "p97_5": ("value", 0.975)},
     )
-    return points.withColumn("method", F.lit("multinomial" if exact else "poisson"))
+    return points.withColumn("method", F.lit(method))
+
+
+def _resampled_means(gains: DataFrame, rows: int, replicates: int, seed: int) -> DataFrame:
+    """Mean gain of each replicate; one hash serves four draws."""
+    blocks = -(-rows // DRAWS_PER_HASH)
+    hashed = gains.sparkSession.range(blocks * replicates).select(
+        F.call_function("div", F.col("id"), F.lit(blocks)).alias("replicate"),
+        (F.col("id") % blocks).alias("block"),
+    )
+    draws = (
+        hashed.withColumn("hash", F.md5(F.concat_ws("|", "replicate", "block", F.lit(seed))))
+        .select(
+            "replicate",
+            "block",
+            F.posexplode(
+                F.array(*[F.substring("hash", 8 * i + 1, 8) for i in range(DRAWS_PER_HASH)])
+            ).alias("chunk", "digits"),
+        )
+        .filter(F.col("block") * DRAWS_PER_HASH + F.col("chunk") < rows)
+    )
+    at = F.floor(_uniform("digits") * rows).cast("bigint")
+    lookup = with_position(gains, F.asc("household_key")).select("position", "gain")
+    return (
+        draws.select("replicate", at.alias("position"))
+        .join(F.broadcast(lookup) if rows <= BROADCAST_ROWS else lookup, "position")
+        .groupBy("replicate")
+        .agg(F.avg("gain").alias("value"))
+    )
 
 
 def lowest_alive(scored: DataFrame, n: int = 20) -> DataFrame:

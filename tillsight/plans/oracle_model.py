@@ -48,9 +48,17 @@ FROM (
 
 
 def _bucket(order: str, buckets: int) -> str:
-    place = f"row_number() OVER (ORDER BY {order}) - 1"
+    """How many of the inner cuts a rank has passed. The cuts are the quantiles of the ranks 1..n in
+    the floating-point steps of linear interpolation."""
+    rank = f"row_number() OVER (ORDER BY {order})"
     rows = "count(*) OVER ()"
-    return f"greatest(1, (({place}) * {buckets} + {rows} - 2) // nullif({rows} - 1, 0))"
+    passed = []
+    for k in range(1, buckets):
+        at = f"(({k}::DOUBLE * (1.0::DOUBLE / {buckets})) * 100::DOUBLE / 100::DOUBLE * ({rows} - 1))"
+        part = f"({at} - floor({at}))"
+        cut = f"(floor({at}) + CASE WHEN {part} < 0.5 THEN 1 + {part} ELSE 2 - (1 - {part}) END)"
+        passed.append(f"({rank} > {cut})::INTEGER")
+    return f"(1 + {' + '.join(passed)})"
 
 
 _LABELS = "[" + ", ".join(f"'{x}'" for x in QUINTILE_LABELS) + "]"
@@ -323,6 +331,24 @@ FROM (
     JOIN (SELECT row_number() OVER (ORDER BY household_key) - 1 AS place,
       baseline_absolute_error - bgnbd_absolute_error AS gain FROM sc) USING (place)
   GROUP BY replicate)"""
+QUERIES["bootstrap_poisson"] = """
+SELECT 'poisson' AS method, round(quantile_cont(v, 0.025), 6) AS p2_5,
+  round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.975), 6) AS p97_5
+FROM (
+  SELECT replicate, sum(gain * w) / sum(w) AS v
+  FROM (SELECT replicate, gain, len(list_filter(
+          [exp(-1), exp(-1) * 2, exp(-1) * (2 + 1/2), exp(-1) * (2 + 1/2 + 1/6),
+           exp(-1) * (2 + 1/2 + 1/6 + 1/24), exp(-1) * (2 + 1/2 + 1/6 + 1/24 + 1/120),
+           exp(-1) * (2 + 1/2 + 1/6 + 1/24 + 1/120 + 1/720),
+           exp(-1) * (2 + 1/2 + 1/6 + 1/24 + 1/120 + 1/720 + 1/5040),
+           exp(-1) * (2 + 1/2 + 1/6 + 1/24 + 1/120 + 1/720 + 1/5040 + 1/40320),
+           exp(-1) * (2 + 1/2 + 1/6 + 1/24 + 1/120 + 1/720 + 1/5040 + 1/40320 + 1/362880)],
+          lambda c: u >= c)) AS w
+    FROM (SELECT replicate, baseline_absolute_error - bgnbd_absolute_error AS gain,
+        ('0x' || substr(md5(household_key || '|' || replicate // 4 || '|42'),
+          1 + 8 * (replicate % 4), 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS u
+      FROM sc, (SELECT unnest(range(2000)) AS replicate)))
+  GROUP BY replicate)"""
 QUERIES["lowest_alive"] = f"""
 SELECT household_key, frequency, recency_days, observation_days, days_since_last_purchase,
   round(probability_alive, 6) AS probability_alive, round({PRED}, 6) AS {PRED}, {ACTUAL}

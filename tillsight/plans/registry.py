@@ -292,6 +292,7 @@ EVALUATION: dict[str, Step] = {
     "decile_calibration": lambda s: evaluate.decile_calibration(evaluate.activity_decile(s.scored)),
     "top_share_capture": lambda s: evaluate.top_share_table(s.scored),
     "bootstrap_mae_improvement": lambda s: evaluate.bootstrap_mae_improvement(s.scored),
+    "bootstrap_poisson": lambda s: evaluate.bootstrap_mae_improvement(s.scored, method="poisson"),
     "lowest_alive": lambda s: evaluate.lowest_alive(s.scored),
     "largest_errors": lambda s: evaluate.largest_errors(s.scored),
 }
@@ -352,7 +353,7 @@ NOISY = {
     "log1p_pairs", "log1p_pairs_predicted", "bgnbd_fit", "bgnbd_summary", "bgnbd_log_likelihood",
     "probability_alive", "rate_check", "expected_purchases", "evaluate_predictions",
     "model_comparison", "improvement_pct", "prediction_errors", "decile_calibration",
-    "bootstrap_mae_improvement", "lowest_alive", "largest_errors", "within_quintile_split",
+    "bootstrap_mae_improvement", "bootstrap_poisson", "lowest_alive", "largest_errors", "within_quintile_split",
     "within_quintile_summary", "profile_cutoffs", "profile_relevance", "profile_commercial_weight",
     "profile_promotion_overview", "level_promotion_overview", "within_level_promotion_comparison",
     "comparison_primary", "comparison_secondary", "comparison_higher_value",
