@@ -27,25 +27,43 @@ def hot(spark):
     return storage.materialize(lines(spark, *rows), "hot")
 
 
-def test_hot_baskets_take_the_other_way(hot):
+def test_hot_basket_in_any_order(hot):
     usual = baskets.fact_basket(hot)
-    split = baskets.fact_basket(hot, hot_lines=100)
-    assert "collect_set" in plan(usual)
-    assert "left_anti" in split._jdf.queryExecution().logical().toString().lower() or "LeftAnti" in plan(split)
     key = ["household_key", "basket_id"]
-    assert usual.orderBy(*key).collect() == split.orderBy(*key).collect()
-    assert usual.filter("basket_id = 7").collect()[0]["basket_unique_product_count"] == 50
-    everything = baskets.fact_basket(hot, hot_lines=0)
-    assert everything.orderBy(*key).collect() == usual.orderBy(*key).collect()
+    mixed = baskets.fact_basket(hot.repartition(16, F.rand(3)))
+    assert usual.orderBy(*key).collect() == mixed.orderBy(*key).collect()
+    row = usual.filter("basket_id = 7").collect()[0]
+    assert (row["basket_unique_product_count"], row["basket_product_lines_count"]) == (50, 1000)
+    assert usual.filter("basket_id = 5000").collect()[0]["basket_unique_product_count"] == 0
+    assert plan(usual).count("FileScan") == 1 and "collect_set" not in plan(usual)
 
 
-def test_hot_basket_without_a_household(spark):
+def test_basket_without_a_household(spark):
     tx = lines(spark, *[dict(household_key=None, product_id=i % 4) for i in range(30)], dict(basket_id=2))
-    key = ["household_key", "basket_id"]
-    assert (
-        baskets.fact_basket(tx).orderBy(*key).collect()
-        == baskets.fact_basket(tx, hot_lines=10).orderBy(*key).collect()
-    )
+    row = baskets.fact_basket(tx).filter("household_key is null").collect()[0]
+    assert (row["basket_unique_product_count"], row["basket_product_lines_count"]) == (4, 30)
+
+
+def test_duplicates_take_one_scan_and_one_exchange_of_lines(hot):
+    text = plan(audit.exact_duplicates(hot))
+    assert text.count("FileScan") == 1 and "Join" not in text
+
+
+def test_quantiles_of_lines_from_value_counts(spark, tmp_path):
+    """One scan of the lines: afterwards the profile needs them no more."""
+    values = [(i * 37) % 101 for i in range(1000)]
+    tx = lines(spark, *[dict(quantity=v, sales_value=f"{v}.25") for v in values], dict(quantity=None))
+    stored = storage.write_table(tx, str(tmp_path / "lines"))
+    quantity, sales = audit.quantity_profile(stored), audit.sales_profile(stored)
+    for df in (quantity, sales):
+        assert str(tmp_path) not in df._jdf.queryExecution().optimizedPlan().toString()
+        assert str(tmp_path) not in plan(df)
+    ordered = sorted(values)
+    row = quantity.collect()[0]
+    assert row["median_quantity"] == (ordered[499] + ordered[500]) / 2
+    assert row["p99_quantity"] == pytest.approx(ordered[989] + 0.01 * (ordered[990] - ordered[989]))
+    assert (row["minimum_quantity"], row["maximum_quantity"]) == (0, 100)
+    assert row["zero_quantity_rows"] == values.count(0)
 
 
 def test_copies_are_listed_whole(spark):
@@ -66,7 +84,12 @@ def test_features_take_one_shuffle(spark):
     s = stages(spark, FOLDER)
     assert plan(features.customer_features(s.fact_basket, s.params)).count("Exchange hashpartitioning") == 1
     assert plan(holdout.holdout_activity(s.fact_basket, s.params)).count("Exchange hashpartitioning") == 1
-    assert plan(baskets.fact_basket(s.transactions)).count("Exchange hashpartitioning") == 1
+
+
+def test_basket_fact_spreads_a_basket_by_product_first(spark):
+    text = plan(baskets.fact_basket(stages(spark, FOLDER).transactions))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert ["product_id" in e for e in exchanges] == [False, True]
 
 
 def test_scan_reads_only_needed_columns(spark):

@@ -287,6 +287,32 @@ def quantiles(
     return _bracketed_quantiles(long, probs, keys, limit)
 
 
+def count_quantiles(counts: DataFrame, wanted: dict[str, float]) -> DataFrame:
+    """One row of named, linearly interpolated quantiles from stored value counts ``(value, n)``.
+
+    A column that repeats a lot is counted by value first, which combines on the map side; places
+    come from running totals over its distinct values, range-partitioned whatever their number.
+    """
+    placed = cumulative_counts(counts.filter(F.col("value").isNotNull()).select("value", "n"))
+    total = counts.agg(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("_total"))
+    found, value = [], F.col("value").cast("double")
+    for i, prob in enumerate(wanted.values()):
+        at = F.lit(float(prob)) * (F.col("_total") - 1)
+        for side, place in (("low", F.floor(at)), ("high", F.ceil(at))):
+            held = (place >= F.col("before")) & (place < F.col("before") + F.col("n"))
+            found.append(F.max(F.when(held, value)).alias(f"_{side}{i}"))
+        found.append(F.max(at).alias(f"_at{i}"))
+
+    def between(i: int) -> Column:
+        low, high, at = (F.col(f"_{c}{i}") for c in ("low", "high", "at"))
+        middle = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+        return F.when(low == high, low).otherwise(middle)
+
+    return placed.crossJoin(F.broadcast(total)).agg(*found).select(  # one row
+        *[between(i).alias(name) for i, name in enumerate(wanted)]
+    )
+
+
 def quantile_columns(
     df: DataFrame, wanted: dict[str, tuple[str, float]], by: Sequence[str] = ()
 ) -> DataFrame:

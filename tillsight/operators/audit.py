@@ -17,7 +17,7 @@ from tillsight.functions.columns import (
     percent,
     scaled,
 )
-from tillsight.functions.ordering import quantile_columns
+from tillsight.functions.ordering import count_quantiles
 from tillsight.schema import TRANSACTIONS
 from tillsight.sources.storage import materialize
 
@@ -153,22 +153,21 @@ def baskets_with_repeated_product(tx: DataFrame) -> DataFrame:
     )
 
 
+def _summed(condition, n: str = "n"):
+    return F.coalesce(F.sum(F.when(condition, F.col(n))), F.lit(0)).cast("bigint")
+
+
 def basket_size_distribution(tx: DataFrame) -> DataFrame:
-    sizes = materialize(
-        tx.groupBy("basket_id").agg(F.count("*").alias("lines")).select("lines"), "basket_sizes"
-    )
-    spread = quantile_columns(
-        sizes,
-        {
-            "median_product_lines": ("lines", 0.50),
-            "p90_product_lines": ("lines", 0.90),
-            "p99_product_lines": ("lines", 0.99),
-        },
-    )
-    totals = sizes.agg(
-        F.min("lines").alias("min_product_lines"),
-        (F.sum("lines") / F.count("*")).alias("avg_product_lines"),
-        F.max("lines").alias("max_product_lines"),
+    sizes = tx.groupBy("basket_id").agg(F.count("*").alias("value"))
+    counts = materialize(sizes.groupBy("value").agg(F.count("*").alias("n")), "basket_sizes")
+    spread = count_quantiles(
+        counts,
+        {"median_product_lines": 0.50, "p90_product_lines": 0.90, "p99_product_lines": 0.99},
+    )
+    totals = counts.agg(
+        F.min("value").alias("min_product_lines"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("avg_product_lines"),
+        F.max("value").alias("max_product_lines"),
     )
     return totals.crossJoin(F.broadcast(spread)).select(
         "min_product_lines", "avg_product_lines", *spread.columns, "max_product_lines"
@@ -176,19 +175,9 @@ def basket_size_distribution(tx: DataFrame) -> DataFrame:
 
 
 def exact_duplicates(tx: DataFrame) -> DataFrame:
-    """Only lines whose hash occurs again are compared in full.
-
-    Counting a hash moves two longs per line instead of all its columns. Lines that merely share a
-    hash fall apart again in the comparison.
-    """
-    columns = TRANSACTIONS.fieldNames()
-    hashed = tx.withColumn("_hash", F.xxhash64(*columns))
-    repeated = (
-        hashed.groupBy("_hash").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("_hash")
-    )
+    """One scan and one exchange: equal lines combine on the map side."""
     return (
-        hashed.join(repeated, "_hash", "left_semi")
-        .groupBy(*columns)
+        tx.groupBy(*TRANSACTIONS.fieldNames())
         .agg(F.count("*").alias("identical_rows"))
         .filter(F.col("identical_rows") > 1)
         .agg(
@@ -199,21 +188,30 @@ def exact_duplicates(tx: DataFrame) -> DataFrame:
 
 
 def quantity_profile(tx: DataFrame) -> DataFrame:
-    quantity, sales = F.col("quantity"), F.col("sales_value")
-    spread = quantile_columns(
-        tx, {"median_quantity": ("quantity", 0.50), "p99_quantity": ("quantity", 0.99)}
-    )
-    total = F.sum(quantity.cast("bigint"))
-    totals = tx.agg(
-        count_where(quantity < 0).alias("negative_quantity_rows"),
-        count_where(quantity == 0).alias("zero_quantity_rows"),
-        count_where(quantity > 0).alias("positive_quantity"),
-        count_where(quantity > 100).alias("quantity_over_100"),
-        count_where(sales < 0).alias("negative_sales_rows"),
-        count_where(sales == 0).alias("zero_sales_rows"),
-        F.min(quantity).alias("minimum_quantity"),
-        scaled(half_up_quotient(total, F.count(quantity), 2), 2, 14).alias("average_quantity"),
-        F.max(quantity).alias("maximum_quantity"),
+    """From the counts of each quantity, one scan of the lines."""
+    sales, value, n = F.col("sales_value"), F.col("value"), F.col("n")
+    counts = materialize(
+        tx.groupBy(F.col("quantity").alias("value")).agg(
+            F.count("*").alias("n"),
+            count_where(sales < 0).alias("negative_sales"),
+            count_where(sales == 0).alias("zero_sales"),
+        ),
+        "quantities",
+    )
+    spread = count_quantiles(counts, {"median_quantity": 0.50, "p99_quantity": 0.99})
+    total = F.sum(value.cast("bigint") * n)
+    totals = counts.agg(
+        _summed(value < 0).alias("negative_quantity_rows"),
+        _summed(value == 0).alias("zero_quantity_rows"),
+        _summed(value > 0).alias("positive_quantity"),
+        _summed(value > 100).alias("quantity_over_100"),
+        _summed(F.lit(True), "negative_sales").alias("negative_sales_rows"),
+        _summed(F.lit(True), "zero_sales").alias("zero_sales_rows"),
+        F.min(value).alias("minimum_quantity"),
+        scaled(half_up_quotient(total, F.sum(F.when(value.isNotNull(), n)), 2), 2, 14).alias(
+            "average_quantity"
+        ),
+        F.max(value).alias("maximum_quantity"),
     )
     return totals.crossJoin(F.broadcast(spread)).select(
         *totals.columns[:-1], *spread.columns, "maximum_quantity"
@@ -221,22 +219,21 @@ def quantity_profile(tx: DataFrame) -> DataFrame:
 
 
 def sales_profile(tx: DataFrame) -> DataFrame:
-    sales = F.col("sales_value")
-    spread = quantile_columns(
-        tx,
-        {
-            "p01_sales": ("sales_value", 0.01),
-            "median_sales": ("sales_value", 0.50),
-            "p99_sales": ("sales_value", 0.99),
-        },
-    )
-    totals = tx.agg(
-        count_where(sales < 0).alias("negative_sales"),
-        count_where(sales == 0).alias("zero_sales"),
-        count_where(sales > 0).alias("positive_sales"),
-        F.min(sales).alias("min_sales"),
-        exact_average(F.sum(as_cents(sales)), F.count(sales), 2, 14).alias("average_sales"),
-        F.max(sales).alias("max_sales"),
+    """From the counts of each amount, one scan of the lines."""
+    value, n = F.col("value"), F.col("n")
+    counts = materialize(
+        tx.groupBy(F.col("sales_value").alias("value")).agg(F.count("*").alias("n")), "amounts"
+    )
+    spread = count_quantiles(counts, {"p01_sales": 0.01, "median_sales": 0.50, "p99_sales": 0.99})
+    totals = counts.agg(
+        _summed(value < 0).alias("negative_sales"),
+        _summed(value == 0).alias("zero_sales"),
+        _summed(value > 0).alias("positive_sales"),
+        F.min(value).alias("min_sales"),
+        exact_average(
+            F.sum(as_cents(value) * n), F.sum(F.when(value.isNotNull(), n)), 2, 14
+        ).alias("average_sales"),
+        F.max(value).alias("max_sales"),
     )
     return totals.crossJoin(F.broadcast(spread)).select(
         *totals.columns[:-1], *spread.columns, "max_sales"

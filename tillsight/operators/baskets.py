@@ -11,10 +11,6 @@ from tillsight.schema import FACT_BASKET, PROJECT_PARAMETERS, Params
 
 KEYS = ["household_key", "basket_id"]
 
-# Above this many lines a basket's products are counted by shuffling them instead of by a set
-# held in one task.
-HOT_BASKET_LINES = 1_000_000
-
 
 def project_parameters(
     tx: DataFrame, in_end: int = 78, ho_start: int = 79, ho_end: int = 102, weeks: int = 24
@@ -56,50 +52,46 @@ def parameter_validation(parameters: DataFrame) -> DataFrame:
     )
 
 
-def _basket_rows(lines: DataFrame, unique_products: Column) -> DataFrame:
-    """Money is summed as whole cents: a long sum stays in the fast aggregation buffer."""
-    return lines.groupBy(*KEYS).agg(
-        F.min("day").alias("basket_day"),
-        F.min("week_no").alias("basket_week"),
-        F.min("store_id").alias("store_id"),
-        F.min("trans_time").alias("basket_trans_time"),
-        F.count("*").alias("basket_product_lines_count"),
-        unique_products.alias("basket_unique_product_count"),
-        F.sum(F.col("quantity").cast("bigint")).alias("basket_total_quantity"),
+def fact_basket(tx: DataFrame) -> DataFrame:
+    """One row per household and basket, by two aggregations.
+
+    The first is by product within the basket: the lines of a basket of any size spread over all
+    tasks by product. The second counts the products and adds up the rest, and combines on the map
+    side. Money is summed as whole cents: a long sum stays in the fast aggregation buffer.
+    """
+    products = tx.groupBy(*KEYS, "product_id").agg(
+        F.min("day").alias("day"),
+        F.min("week_no").alias("week"),
+        F.min("store_id").alias("store"),
+        F.min("trans_time").alias("time"),
+        F.count("*").alias("lines"),
+        F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
         F.sum(as_cents(F.col("sales_value"))).alias("sales"),
         F.sum(as_cents(F.col("retail_disc"))).alias("retail"),
         F.sum(as_cents(F.col("coupon_disc"))).alias("coupon"),
         F.sum(as_cents(F.col("coupon_match_disc"))).alias("match"),
-        F.bool_or(F.col("retail_disc") < 0).alias("has_retail_discount"),
-        F.bool_or(F.col("coupon_disc") < 0).alias("has_manufacturer_coupon"),
-        F.bool_or(F.col("coupon_match_disc") < 0).alias("has_retail_coupon_match"),
-        F.bool_or(F.col("quantity") > 0).alias("is_valid_purchase_basket"),
+        F.bool_or(F.col("retail_disc") < 0).alias("with_retail"),
+        F.bool_or(F.col("coupon_disc") < 0).alias("with_coupon"),
+        F.bool_or(F.col("coupon_match_disc") < 0).alias("with_match"),
+        F.bool_or(F.col("quantity") > 0).alias("bought"),
+    )
+    rows = products.groupBy(*KEYS).agg(
+        F.min("day").alias("basket_day"),
+        F.min("week").alias("basket_week"),
+        F.min("store").alias("store_id"),
+        F.min("time").alias("basket_trans_time"),
+        F.sum("lines").alias("basket_product_lines_count"),
+        F.count("product_id").alias("basket_unique_product_count"),
+        F.sum("quantity").alias("basket_total_quantity"),
+        F.sum("sales").alias("sales"),
+        F.sum("retail").alias("retail"),
+        F.sum("coupon").alias("coupon"),
+        F.sum("match").alias("match"),
+        F.bool_or("with_retail").alias("has_retail_discount"),
+        F.bool_or("with_coupon").alias("has_manufacturer_coupon"),
+        F.bool_or("with_match").alias("has_retail_coupon_match"),
+        F.bool_or("bought").alias("is_valid_purchase_basket"),
     )
-
-
-def fact_basket(tx: DataFrame, hot_lines: int = HOT_BASKET_LINES) -> DataFrame:
-    """One row per household and basket.
-
-    A distinct count would shuffle every receipt line twice. The lines of a basket are written
-    together, so a set of its products combines on the map side and only basket rows travel. A
-    first count of lines per basket bounds that set: baskets above ``hot_lines`` go through the
-    distinct count, whose first shuffle spreads one basket over all tasks.
-    """
-    sizes = tx.groupBy(*KEYS).agg(F.count("*").alias("lines"))
-    largest = sizes.agg(F.max("lines")).first()[0] or 0
-    in_set = F.size(F.collect_set("product_id"))
-    if largest <= hot_lines:
-        rows = _basket_rows(tx, in_set)
-    else:
-        hot = sizes.filter(F.col("lines") > hot_lines).select(
-            *[F.col(key).alias(f"hot_{key}") for key in KEYS]
-        )
-        same = (F.col("household_key").eqNullSafe(F.col("hot_household_key"))) & (
-            F.col("basket_id").eqNullSafe(F.col("hot_basket_id"))
-        )
-        usual = _basket_rows(tx.join(hot, same, "left_anti"), in_set)
-        large = _basket_rows(tx.join(hot, same, "left_semi"), F.countDistinct("product_id"))
-        rows = usual.unionByName(large)
     money = {
         "basket_sales_value": F.col("sales"),
         "retail_discount_amount": -F.col("retail"),

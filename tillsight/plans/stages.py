@@ -31,13 +31,8 @@ class Stages:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        """The imported lines. A source of fewer files than cores is spread by basket on import;
-        a large one keeps its files, in which the lines of a basket stand together."""
-        lines = self.receipt_lines
-        files = len(self.table("lineitem").inputFiles())
-        if files < self.spark.sparkContext.defaultParallelism:
-            lines = lines.repartition("basket_id")
-        return materialize(lines, "transactions")
+        """The imported lines."""
+        return materialize(self.receipt_lines, "transactions")
 
     @cached_property
     def params(self) -> Params:
