@@ -8,6 +8,8 @@ from tillsight.operators import checks, profiles
 from tillsight.plans.build import build
 from tillsight.plans.stages import stages
 from tillsight.schema import TRANSACTIONS
+from tillsight.sources import storage
+from tillsight.sources.transactions import load_transactions
 
 
 @pytest.fixture(scope="module")
@@ -57,3 +59,47 @@ def test_require_none_names_rows(spark):
     checks.require_none(spark.range(0), "nothing")
     with pytest.raises(ValueError, match="'id': 0"):
         checks.require_none(spark.range(1), "something")
+
+
+def test_loader_reads_what_it_wrote(spark, tmp_path):
+    tx = stages(spark, "/root/testdata/sf0.001").transactions
+    tx.write.parquet(str(tmp_path / "p"))
+    tx.write.option("header", True).csv(str(tmp_path / "c"))
+    for fmt, name in (("parquet", "p"), ("csv", "c")):
+        got = load_transactions(spark, str(tmp_path / name), fmt)
+        assert got.exceptAll(tx).isEmpty() and tx.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda tx: tx.drop("coupon_disc"),
+        lambda tx: tx.withColumn("more", F.lit(1)),
+        lambda tx: tx.select("basket_id", "household_key", *tx.columns[2:]),
+        lambda tx: tx.withColumnRenamed("day", "days"),
+    ],
+)
+def test_loader_refuses_other_columns(spark, tmp_path, fmt, change):
+    tx = lines(spark, dict(), dict(quantity=2))
+    change(tx).write.option("header", True).format(fmt).save(str(tmp_path / "x"))
+    with pytest.raises(ValueError, match="does not hold receipt lines"):
+        load_transactions(spark, str(tmp_path / "x"), fmt)
+    with pytest.raises(ValueError):
+        build(spark, str(tmp_path / "x"), str(tmp_path / "out"), fmt)
+
+
+def test_loader_refuses_other_types(spark, tmp_path):
+    tx = lines(spark, dict())
+    tx.withColumn("quantity", F.col("quantity").cast("string")).write.parquet(str(tmp_path / "x"))
+    with pytest.raises(ValueError, match="quantity string instead of quantity int"):
+        load_transactions(spark, str(tmp_path / "x"))
+
+
+def test_local_folder_is_for_local_sessions_only():
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda key, default=None: None)})
+        sparkContext = type("X", (), {"applicationId": "a", "master": "local-cluster[3,2,1024]"})
+
+    with pytest.raises(RuntimeError):
+        storage.shared_folder(Session)

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import sys
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,9 @@ def build(
     describe.assert_relationships(mi)
 
     fitted = bgnbd.fit(mi, penalizer)
+    if not fitted.converged:
+        # the written table bgnbd_fit says so too
+        warnings.warn(f"the model fit did not converge: {fitted}", stacklevel=2)
     keep("bgnbd_fit", bgnbd.fit_table(mi, fitted))
     scores = evaluate.score(describe.normalized_promotion(mi), fitted.params)
     scored = keep("scored", evaluate.activity_decile(evaluate.prediction_errors(scores)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = context.applicationId
     if folder:
         return f"{folder.rstrip('/')}/tillsight-{app}"
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if app not in _local_folder:
         _local_folder[app] = tempfile.TemporaryDirectory(

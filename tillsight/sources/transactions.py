@@ -9,15 +9,32 @@ from tillsight.schema import TRANSACTIONS
 
 
 def load_transactions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Receipt lines with the declared types; a malformed CSV line fails the job."""
-    reader = spark.read.schema(TRANSACTIONS)
+    """Receipt lines with the declared types.
+
+    Files must hold the declared columns, in their order, and no others; Parquet files must hold them
+    with the declared types. Anything else raises at once. A malformed CSV line fails the job.
+    """
     if fmt == "csv":
+        header = spark.read.option("header", True).csv(path).columns
+        _require(path, header, TRANSACTIONS.fieldNames())
+        reader = spark.read.schema(TRANSACTIONS).option("enforceSchema", False)
         return reader.option("header", True).option("mode", "FAILFAST").csv(path)
     if fmt == "parquet":
-        return reader.parquet(path)
+        # the schemas of all files, so that one file that differs is found too
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
+        _require(path, *([f"{f.name} {f.dataType.simpleString()}" for f in s] for s in (found, TRANSACTIONS)))
+        return spark.read.schema(TRANSACTIONS).parquet(path)
     raise ValueError(f"unknown format {fmt!r}")
 
 
+def _require(path: str, found: list[str], declared: list[str]) -> None:
+    if found != declared:
+        wrong = [f"{a} instead of {b}" for a, b in zip(found, declared) if a != b]
+        wrong += [f"missing {b}" for b in declared[len(found) :]]
+        wrong += [f"not declared: {a}" for a in found[len(declared) :]]
+        raise ValueError(f"{path} does not hold receipt lines: {', '.join(wrong)}")
+
+
 def transactions_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Receipt lines out of an order / order-line pair, by the fixed rules of FIXTURES.md.
 
