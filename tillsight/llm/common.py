@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.sources.storage import materialize
+from tillsight.sources.storage import shared_folder, write_table
 
 BATCH_ROWS = 1000
 
@@ -104,8 +106,19 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def spill(df: DataFrame, label: str) -> DataFrame:
-    """Written and read back, so that later steps neither repeat the work nor depend on executors."""
-    return materialize(df, label)
+    """Written to the shared folder and read back, so that later steps neither repeat the work nor
+    depend on executors. What a result still reads stays until the session's tables are released."""
+    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    made = write_table(df, path)
+    made.spilled_to = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete spilled tables that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.spilled_to)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def chars(df: DataFrame, text_col: str) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import spill
+from tillsight.llm.common import discard, spill
 
 MAX_ROUNDS = 60
 
@@ -17,7 +17,8 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     Each round hangs the larger neighbours of a node, then the smaller ones, on its least
     neighbour. The rounds grow with the logarithm of the longest path. A node with very many links
     is one row of minima joined to many rows, which adaptive execution may split; no node's
-    neighbours are ever gathered. Links to itself, to null and repeated links are ignored.
+    neighbours are ever gathered. Links to itself, to null and repeated links are ignored. The result
+    is a spilled table, which the caller may discard after use.
     """
     current = spill(_down(links.select(F.col(left).alias("a"), F.col(right).alias("b"))), "links")
     state = _state(current)
@@ -34,13 +35,16 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
             F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), "m"
         )
         small = _down(down.union(least).toDF("a", "b"))
-        current = spill(small, "links")
+        last, current = current, spill(small, "links")
+        discard(last)
         before, state = state, _state(current)
         if state == before:
             break
     else:
         raise RuntimeError(f"components: links still change after {MAX_ROUNDS} rounds")
-    return current.toDF("node", "root")
+    stars = current.toDF("node", "root")
+    stars.spilled_to = current.spilled_to
+    return stars
 
 
 def _down(links: DataFrame) -> DataFrame:

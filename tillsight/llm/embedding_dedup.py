@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import forest, spill
+from tillsight.llm.common import discard, forest, spill
 from tillsight.llm.components import components
 
 LEAST_COSINE = 0.93
@@ -336,6 +336,8 @@ def near_duplicates(
         rooted.join(least_id, "root").join(weights, rooted["rep"] == weights["a"], "left")
         .select("rep", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     )
+    named = spill(named, "named")
+    discard(packed, found, reach, *([homes] if centroids else []))
     told = points.select("rep", F.col("label").alias("l"), F.col("vec").alias("v")).join(named, "rep")
     joined = some.join(told, (some["label"] == told["l"]) & (some["vec"] == told["v"])).select(
         F.col("id").alias(id_col), "n_links", "component_id",

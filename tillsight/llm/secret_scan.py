@@ -226,12 +226,14 @@ def findings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def weak_labels(text: str) -> list[tuple[int, int, int]]:
-    """Candidates labelled by where they stand: 1 if quoted and assigned to the name of a secret."""
+    """Candidates labelled by where they stand: 1 if assigned to the name of a secret, and quoted or
+    made of letters and digits."""
     out = []
     for s, e in candidates(text):
         m = _ASSIGNED.search(text, max(0, s - _BESIDE), s)
         named = bool(m) and any(n in m[1].lower() for n in SECRET_NAMES)
-        out.append((s, e, int(named and bool(m[2]))))
+        mixed = any(c.isdigit() for c in text[s:e]) and any(c.isalpha() for c in text[s:e])
+        out.append((s, e, int(named and (bool(m[2]) or mixed))))
     return out
 
 

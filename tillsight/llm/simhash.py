@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.llm.common import byte_values, forest, run_ends, spill, with_derived
+from tillsight.llm.common import byte_values, discard, forest, run_ends, spill, with_derived
 from tillsight.llm.components import components
 
 SEED = 42
@@ -243,6 +243,7 @@ def near_duplicates(
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = spill(rooted.join(least, "root").select("mark", "component_id"), "named")
+    discard(points, reach)
     return marked.join(named, "mark").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"),
