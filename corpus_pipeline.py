@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.llm import packing, queries, secret_scan, simhash, substring_dedup, toxicity
-from tillsight.llm.common import spill
+from tillsight.llm.common import discard, spill
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -60,6 +60,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, each reading what the one before has written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = spill(stage(spark, docs, sf_dir), name)
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, spill(stage(spark, docs, sf_dir), name)
+        if i:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
