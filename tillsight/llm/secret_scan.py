@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.llm.common import plus, text_values
+from tillsight.llm.common import discard, plus, spill, text_values
 
 #: bounds of the fitting sample and of what is learned from it
 MAX_FINDINGS = 20000
@@ -290,7 +290,10 @@ def fit(
 
     sample = rows.mapInArrow(run, _SAMPLE)
     order = F.xxhash64("value", "before", "after", "path")
-    table = sample.orderBy(order, "value", "is_secret").limit(max_findings).toArrow().to_pylist()
+    # written first: the least of all tasks meet on an executor, and only the sample comes here
+    chosen = spill(sample.orderBy(order, "value", "is_secret").limit(max_findings), "findings")
+    table = sorted(chosen.toArrow().to_pylist(), key=lambda r: tuple(map(str, r.values())))
+    discard(chosen)
     return _fit_sample(documents.sparkSession, table)
 
 
