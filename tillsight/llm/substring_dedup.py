@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tillsight.llm.common import byte_values, chars, plus
 
 #: characters of text in a block, on average
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 3_000_000
 #: windows counted together in one hash range, on average
 RANGE_WINDOWS = 1_000_000
 #: a hash range keeps the low seven bytes of a hash, so there are at least so many
@@ -31,7 +31,7 @@ BASE = 0x9E3779B97F4A7C13
 _INVERSE = pow(BASE, -1, 1 << 64)
 _NO_ID = -(1 << 63)
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 150_000
 
 
 class _WordHashes(dict):

@@ -35,7 +35,7 @@ BEGINNINGS = range(3, 8)
 LEAST_Z, LEAST_LIFT = 6.0, 3.0
 LEAST_POSITIVES = 6
 MEMBERS = 5
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 150_000
 THRESHOLD = 0.7
 
 #: near copies are dropped from the sample by bands of this many minimum hashes
