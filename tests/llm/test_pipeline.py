@@ -2,6 +2,7 @@
 
 import sys
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -87,12 +88,40 @@ def test_every_query_is_registered_and_runs(spark):
         assert query(spark, FOLDER).count() > 0, name
 
 
-def test_top_k_equals_its_check_sql(spark):
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_its_check_sql(spark, name):
     from tests.compare import connect, differences
 
     con = connect(FOLDER)
-    got = queries.op10_top_k(spark, FOLDER).toArrow()
-    assert differences(got, con.execute(queries.ORACLE_SQL["op10_top_k"]).to_arrow_table()) == []
+    got = queries.QUERIES[name](spark, FOLDER).toArrow()
+    assert differences(got, con.sql(queries.ORACLE_SQL[name]).to_arrow_table()) == []
+
+
+def test_check_sql_of_the_dedup_queries_on_planted_copies(spark, tmp_path):
+    import duckdb
+
+    from tests.compare import differences
+    from tests.llm.test_dedup import DOCS, corpus
+
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, 8))
+    near = [base[i % 40] + rng.normal(size=8) * 0.12 for i in range(160)]
+    odd = [None, [0.0] * 8, [float("nan")] * 8, [None] * 8, near[3].tolist()]
+    vectors = [(7 * i % 401, v.tolist(), i % 40 % 3) for i, v in enumerate(near)]
+    vectors += [(500 + i, v, None if i == 4 else 1) for i, v in enumerate(odd)]
+    docs = [(i, t, "en", "x") for i, t in corpus(7)]
+    made = {
+        "embeddings": spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int"),
+        "documents": spark.createDataFrame(docs, DOCS),
+    }
+    con = duckdb.connect()
+    for table, df in made.items():
+        df.write.parquet(f"{tmp_path}/{table}.parquet")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet/*.parquet')")
+    for name in ("op3_embedding_dedup", "op6_substring_dedup"):
+        got = queries.QUERIES[name](spark, str(tmp_path)).toArrow()
+        assert differences(got, con.sql(queries.ORACLE_SQL[name]).to_arrow_table()) == []
+    assert con.sql(f"SELECT max(n_links) > 2 FROM ({queries.EMBEDDING_DEDUP_SQL})").fetchall() == [(True,)]
 
 
 def test_entry_works_without_the_subpackage(monkeypatch):

@@ -147,4 +147,61 @@ r AS (
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_top_k": TOP_K_SQL}
+_FOLLOWING = ", ".join(f"lead(word, {i}) OVER o" for i in range(1, 20))
+SUBSTRING_DEDUP_SQL = rf"""
+WITH w AS (
+  SELECT doc_id, list_filter(
+    regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+),
+p AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM w),
+k AS (
+  SELECT doc_id, place, concat_ws(' ', word, {_FOLLOWING}) AS win, lead(word, 19) OVER o AS last
+  FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY place)
+),
+r AS (
+  SELECT doc_id, place FROM (
+    SELECT doc_id, place, row_number() OVER (PARTITION BY win ORDER BY doc_id, place) AS n
+    FROM k WHERE last IS NOT NULL
+  ) WHERE n > 1
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(place, place + 20)) AS place FROM r),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+  FROM p ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+EMBEDDING_DEDUP_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+u AS (SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM v),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+),
+r AS (
+  SELECT vec_id AS node, vec_id AS root FROM embeddings
+  UNION
+  SELECT l.b, r.root FROM r JOIN l ON l.a = r.node WHERE r.root < l.b
+)
+SELECT vec_id, (SELECT count(*) FROM l WHERE a = vec_id) AS n_links, component_id,
+  vec_id = component_id AS kept
+FROM embeddings
+JOIN (SELECT node, min(root) AS component_id FROM r GROUP BY node) ON node = vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_embedding_dedup": EMBEDDING_DEDUP_SQL,
+    "op6_substring_dedup": SUBSTRING_DEDUP_SQL,
+    "op10_top_k": TOP_K_SQL,
+}
