@@ -55,6 +55,20 @@ def test_broken_input_stops_the_build(spark, tmp_path):
         build(spark, f"{tmp_path}/keyless", f"{tmp_path}/out")
 
 
+@pytest.mark.parametrize(
+    "second,message",
+    [
+        (dict(basket_id=2, week_no=2), "several weeks"),
+        (dict(store_id=9), "basket of several"),
+        (dict(basket_id=2, trans_time=1260), "clock time"),
+    ],
+)
+def test_audit_stops_the_build(spark, tmp_path, second, message):
+    lines(spark, dict(), second).write.parquet(f"{tmp_path}/lines")
+    with pytest.raises(ValueError, match=message):
+        build(spark, f"{tmp_path}/lines", f"{tmp_path}/out")
+
+
 def test_require_none_names_rows(spark):
     checks.require_none(spark.range(0), "nothing")
     with pytest.raises(ValueError, match="'id': 0"):

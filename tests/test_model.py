@@ -109,6 +109,14 @@ def test_fit_recovers_parameters(data):
     assert shrunk.log_likelihood < fit.log_likelihood
 
 
+def test_fit_is_compared_with_other_parameters(data):
+    _, df = data
+    fit = bgnbd.fit(df)
+    worse = bgnbd.BgnbdFit(THETA, fit.log_likelihood - 50, 6000, 1, True, False)
+    assert [r.reached for r in bgnbd.reached(df, fit, [THETA, fit.params]).collect()] == [True, True]
+    assert [r.reached for r in bgnbd.reached(df, worse, [THETA]).collect()] == [False]
+
+
 def test_fit_of_no_households(data):
     with pytest.raises(ValueError):
         bgnbd.fit(data[1].limit(0))

@@ -156,5 +156,8 @@ def test_release_deletes_the_folder(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "shared_folder", lambda session: str(tmp_path / "app"))
     storage.materialize(spark.range(3))
     assert (tmp_path / "app").exists()
+    before = stages(spark, "/root/testdata/sf0.001")
+    assert stages(spark, "/root/testdata/sf0.001/") is before
     storage.release(spark)
     assert not (tmp_path / "app").exists()
+    assert stages(spark, "/root/testdata/sf0.001") is not before

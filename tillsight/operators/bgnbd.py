@@ -217,6 +217,12 @@ class _Objective:
         hessian = np.array([(g[1 + 2 * i] - g[2 + 2 * i]) / (2 * step) for i in range(4)])
         return f[0], g[0], (hessian + hessian.T) / 2
 
+    def fine_curvature(self, u: np.ndarray, step: float) -> np.ndarray:
+        """Hessian with the error of the step's square taken out: two widths, extrapolated."""
+        _, _, near = self.curvature(u, step)
+        _, _, wide = self.curvature(u, 2 * step)
+        return (4 * near - wide) / 3
+
 
 def _at_bound(u: np.ndarray, g: np.ndarray) -> np.ndarray:
     """Parameters that would leave their range downhill."""
@@ -290,12 +296,23 @@ def fit_table(df: DataFrame, result: BgnbdFit) -> DataFrame:
     return df.sparkSession.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
 
 
+def reached(df: DataFrame, result: BgnbdFit, others: list[BgnbdParams]) -> DataFrame:
+    """One row per other parameter set: its log-likelihood, and whether the fit is at least as good."""
+    level = result.log_likelihood + 1e-9 * abs(result.log_likelihood)
+    return (
+        _expanded(_history(df), [astuple(theta) for theta in others])
+        .groupBy(*NAMES)
+        .agg(_steps()[1]["value"].alias("log_likelihood"))
+        .withColumn("reached", F.col("log_likelihood") <= F.lit(level))
+    )
+
+
 def standard_errors(df: DataFrame, theta: BgnbdParams, penalizer: float = 0.0) -> np.ndarray:
     """From the observed information in log parameters; NaN where it is not positive."""
     history = materialize(_history(df), "history")
     objective = _Objective(history, penalizer)
     values = np.array(astuple(theta))
-    _, _, hessian = objective.curvature(np.log(values), 1e-3)
+    hessian = objective.fine_curvature(np.log(values), 5e-3)
     try:
         covariance = np.linalg.inv(hessian * objective.rows)
     except np.linalg.LinAlgError:

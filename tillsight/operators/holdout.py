@@ -11,6 +11,7 @@ from tillsight.operators.checks import reconcile
 from tillsight.operators.features import MAX_BIT_RANGE
 from tillsight.schema import CUSTOMER_HOLDOUT, Params
 
+# fixed values: the columns of the view, in its order
 MODEL_INPUT = [
     "household_key",
     "frequency",

@@ -11,11 +11,13 @@ import warnings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.operators import baskets, bgnbd, checks, describe, evaluate, features, holdout, profiles
+from tillsight.operators import audit, baskets, bgnbd, checks, describe, evaluate, features, holdout, profiles
 from tillsight.schema import PROJECT_PARAMETERS
-from tillsight.sources.storage import write_table
+from tillsight.sources.storage import release, write_table
 from tillsight.sources.transactions import load_transactions
 
+ONE_PER_BASKET = ("household", "day", "week", "store")
+
 
 def build(
     spark: SparkSession,
@@ -25,7 +27,11 @@ def build(
     weeks: tuple[int, int, int] = (78, 79, 102),
     penalizer: float = 0.0,
 ) -> dict[str, DataFrame]:
-    """Writes every table below ``folder`` and returns them by name. A broken constraint stops it."""
+    """Writes every table below ``folder`` and returns them by name. A broken constraint stops it.
+
+    The lines are audited first: a day lies in one week, a basket has one household, day, week and store,
+    times are clock times.
+    """
     tables: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame) -> DataFrame:
@@ -33,6 +39,13 @@ def build(
         return tables[name]
 
     tx = load_transactions(spark, source, fmt)
+    checks.require_none(audit.day_week_violations(tx), "a day of several weeks")
+    consistency = audit.basket_attribute_consistency(tx)
+    checks.require_none(
+        consistency.filter(F.greatest(*[F.col(f"multi_{c}_baskets") for c in ONE_PER_BASKET]) > 0),
+        "a basket of several " + ", ".join(ONE_PER_BASKET),
+    )
+    checks.require_none(audit.invalid_hhmm(tx).filter("invalid_hhmm_values > 0"), "not a clock time")
     in_end, start, end = weeks
     parameters = keep(
         "project_parameters", baskets.project_parameters(tx, in_end, start, end, end - start + 1)
@@ -81,6 +94,7 @@ def main() -> None:
     tables = build(spark, source, folder, *(fmt or ["parquet"]))
     evaluate.model_comparison(tables["scored"]).show(truncate=False)
     profiles.profile_relevance(tables["profiles"]).show(truncate=False)
+    release(spark)
     spark.stop()
 
 

@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
-from tillsight.operators.describe import QUINTILE_LABELS, numeric_columns
-from tillsight.operators.promotions import CATALOG, METRICS
+import math
+
+from tillsight.operators.describe import numeric_columns
 from tillsight.plans import registry as steps
 from tillsight.plans.oracle_base import half_up, scaled
-from tillsight.plans.stages import THETA
+from tillsight.plans.stages import RULE_GRID, RULE_THETA, THETA
 
 SERIES_TERMS = 200
 
+# fixed values, typed here so that the code under test is not compared with itself
+QUINTILE_LABELS = ["Q1 - Lowest", "Q2", "Q3", "Q4", "Q5 - Highest"]
+_SHARE = ("%", "percentage points")
+_MONEY = ("$ per basket", "$ per basket")
+CATALOG = [
+    ("retail_discount_basket_rate", "Retail discount basket rate", "Primary", *_SHARE),
+    ("retail_discount_share_of_pre_discount_value", "Retail discount share of pre-discount value",
+     "Primary", *_SHARE),
+    ("manufacturer_coupon_basket_rate", "Manufacturer coupon basket rate", "Primary", *_SHARE),
+    ("manufacturer_coupon_value_per_basket", "Manufacturer coupon value per basket", "Primary", *_MONEY),
+    ("retail_coupon_match_basket_rate", "Retail coupon-match basket rate", "Secondary", *_SHARE),
+]
+METRICS = [row[0] for row in CATALOG]
+
 r, alpha, a, b = (f"{float(v)!r}::DOUBLE" for v in (THETA.r, THETA.alpha, THETA.a, THETA.b))
 P, Q = f"({a} + {b} - 1.0 - {r})", f"({a} - 1.0)"
 _X, _TX, _T = "frequency::DOUBLE", "recency_days::DOUBLE", "observation_days::DOUBLE"
@@ -17,7 +32,8 @@ _ALIVE = (
     f"CASE WHEN frequency > 0 THEN 1.0 / (1.0 + {a} / ({b} + {_X} - 1.0)"
     f" * pow(({alpha} + {_T}) / ({alpha} + {_TX}), {r} + {_X})) ELSE 1.0 END"
 )
-ACTUAL, PRED, BASE = "actual_holdout_baskets", steps.PREDICTED, steps.BASELINE
+ACTUAL = "actual_holdout_baskets"
+PRED, BASE = "predicted_holdout_baskets_bgnbd", "predicted_holdout_baskets_baseline"
 
 TABLES: dict[str, str] = {}
 TABLES["argument"] = f"""
@@ -45,6 +61,82 @@ FROM (
     total_manufacturer_coupon::DOUBLE / in_sample_baskets AS manufacturer_coupon_value_per_basket
   FROM mi JOIN series USING (household_key) WHERE k = {SERIES_TERMS}
 )"""
+TABLES["thinned"] = """
+SELECT o_custkey AS household_key, date_diff('day', DATE '1995-01-01', o_orderdate::DATE) AS day,
+  (o_orderkey * 53 + 11) % 100 < CASE o_custkey // 3 % 4 WHEN 0 THEN 2 WHEN 1 THEN 10 WHEN 2 THEN 25 ELSE 60 END
+    AS stops,
+  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate::DATE, o_orderkey) AS turn
+FROM orders WHERE (o_orderkey * 31 + o_custkey * 17) % 100
+  < CASE o_custkey % 3 WHEN 0 THEN 25 WHEN 1 THEN 60 ELSE 100 END"""
+TABLES["rule_history"] = """
+SELECT household_key, count(DISTINCT day) - 1 AS frequency, max(day) - min(day) AS recency_days,
+  2405 - min(day) AS observation_days
+FROM thinned LEFT JOIN (SELECT household_key, min(turn) AS final FROM thinned WHERE stops AND turn > 1 GROUP BY ALL)
+  USING (household_key)
+WHERE final IS NULL OR turn <= final GROUP BY household_key"""
+
+
+def _likelihoods(points: list[tuple[str, list[float]]]) -> str:
+    """Log-likelihood of the rule-made histories at named points."""
+    values = ", ".join(
+        f"('{name}', " + ", ".join(f"{v!r}::DOUBLE" for v in theta) + ")" for name, theta in points
+    )
+    return f"""
+SELECT point, r, alpha, a, b, sum(
+    lgamma(r + {_X}) - lgamma(r) + r * ln(alpha)
+    + lgamma(a + b) + lgamma(b + {_X}) - lgamma(b) - lgamma(a + b + {_X}) - (r + {_X}) * ln(alpha + {_T})
+    + CASE WHEN frequency > 0 THEN ln(1 + a / (b + {_X} - 1) * pow((alpha + {_T}) / (alpha + {_TX}), r + {_X}))
+      ELSE 0 END) AS ll
+FROM rule_history CROSS JOIN (VALUES {values}) AS g(point, r, alpha, a, b) GROUP BY ALL"""
+
+
+def _determinant(rows: list[int], columns: list[int]) -> str:
+    """Of a part of the matrix with entries h00 to h33."""
+    if not rows:
+        return "1"
+    return "(" + " ".join(
+        f"{'-' if i % 2 else '+'} h{rows[0]}{c} * {_determinant(rows[1:], columns[:i] + columns[i + 1:])}"
+        for i, c in enumerate(columns)
+    ) + ")"
+
+
+def _errors() -> str:
+    """Standard errors from second differences in log parameters, two widths extrapolated."""
+    at, step = (RULE_THETA.r, RULE_THETA.alpha, RULE_THETA.a, RULE_THETA.b), 0.01
+
+    def point(name: str, moves: dict[int, int]) -> tuple[str, list[float]]:
+        return name, [v * math.exp(step * moves.get(i, 0)) for i, v in enumerate(at)]
+
+    def value(name: str) -> str:
+        return f"any_value(ll) FILTER (WHERE point = '{name}')"
+
+    points, entries = [point("o", {})], []
+    for i in range(4):
+        points += [point(f"{i}:{k}", {i: k}) for k in (-2, -1, 1, 2)]
+        near = " + ".join(value(f"{i}:{k}") for k in (-1, 1))
+        wide = " + ".join(value(f"{i}:{k}") for k in (-2, 2))
+        entries.append(f"-(16 * ({near}) - ({wide}) - 30 * {value('o')}) / {12 * step**2!r} AS h{i}{i}")
+        for j in range(i):
+            crossed = []
+            for k in (1, 2):
+                corners = [(k, k, "+"), (-k, -k, "+"), (k, -k, "-"), (-k, k, "-")]
+                points += [point(f"{i}:{m},{j}:{n}", {i: m, j: n}) for m, n, _ in corners]
+                total = " ".join(f"{sign} {value(f'{i}:{m},{j}:{n}')}" for m, n, sign in corners)
+                crossed.append(f"({total}) / {4 * (k * step)**2!r}")
+            entry = f"-(4 * {crossed[0]} - {crossed[1]}) / 3"
+            entries += [f"{entry} AS h{i}{j}", f"{entry} AS h{j}{i}"]
+    every = [0, 1, 2, 3]
+    rows = []
+    for i, (name, v) in enumerate(zip(("r", "alpha", "a", "b"), at)):
+        others = [k for k in every if k != i]
+        error = f"sqrt({_determinant(others, others)} / {_determinant(every, every)}) * {v!r}::DOUBLE"
+        rows.append(
+            f"SELECT CAST({i + 1} AS INTEGER) AS position, '{name}' AS parameter, {v!r}::DOUBLE AS coefficient, "
+            f"round({error}, 3) AS standard_error, round({v!r} - 1.959963984540054::DOUBLE * {error}, 3) AS lower_95, "
+            f"round({v!r} + 1.959963984540054::DOUBLE * {error}, 3) AS upper_95 FROM hessian"
+        )
+    TABLES["hessian"] = f"SELECT {', '.join(entries)} FROM ({_likelihoods(points)})"
+    return " UNION ALL ".join(rows)
 
 
 def _bucket(order: str, buckets: int) -> str:
@@ -264,6 +356,11 @@ FROM (SELECT count(*) AS households, sum(
     - ({r} + {_X}) * ln({alpha} + {_T})
     + CASE WHEN frequency > 0 THEN ln(1 + {a} / ({b} + {_X} - 1)
         * pow(({alpha} + {_T}) / ({alpha} + {_TX}), {r} + {_X})) ELSE 0 END) AS ll FROM mi)"""
+_GRID = [(str(i), [p.r, p.alpha, p.a, p.b]) for i, p in enumerate(RULE_GRID)]
+QUERIES["bgnbd_fit_reached"] = f"""
+SELECT round(r, 6) AS r, round(alpha, 6) AS alpha, round(a, 6) AS a, round(b, 6) AS b,
+  round(ll, 3) AS log_likelihood, true AS reached FROM ({_likelihoods(_GRID)})"""
+QUERIES["bgnbd_summary_fixed"] = _errors()
 QUERIES["probability_alive"] = f"SELECT household_key, round({_ALIVE}, 6) AS probability_alive FROM mi"
 QUERIES["rate_check"] = f"""
 SELECT round(avg(rate), 6) AS observed_rate_mean, {_quantile('rate', 0.25, 6)} AS observed_rate_q25,

@@ -29,6 +29,10 @@ _KINDS = {
     "retail_disc": "decimal(12,2)", "trans_time": "smallint", "week_no": "smallint",
     "coupon_disc": "decimal(12,2)", "coupon_match_disc": "decimal(12,2)",
 }
+_PARAMETERS = (
+    "parameter_id", "in_sample_end_week", "holdout_start_week", "holdout_end_week",
+    "in_sample_end_day", "holdout_start_day", "holdout_end_day", "holdout_weeks",
+)
 _PRECISION = {"smallint": (16, 0), "int": (32, 0), "bigint": (64, 0), "decimal(12,2)": (12, 2)}
 
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, str] = {}
 
 # sources, checks
 QUERIES["load_transactions"] = f"SELECT {TX} FROM tx"
+QUERIES["load_transactions_csv"] = QUERIES["load_transactions"]
 QUERIES["imported_row_count"] = "SELECT count(*) AS imported_rows FROM tx"
 QUERIES["preview_rows"] = f"SELECT {TX} FROM tx ORDER BY {TX} LIMIT 20"
 QUERIES["check_schema"] = " UNION ALL ".join(
@@ -74,6 +79,10 @@ QUERIES["check_not_null"] = "SELECT " + _where(
     {f"null_{c}": f"{c} IS NULL" for c in _KINDS}
 ) + " FROM tx"
 QUERIES["check_predicate"] = f"SELECT {TX} FROM tx WHERE NOT (retail_disc <= 0)"
+QUERIES["check_not_null_parameters"] = "SELECT " + _where(
+    {f"null_{c}": f"{c} IS NULL" for c in _PARAMETERS}
+) + " FROM p"
+QUERIES["check_predicate_parameters"] = "SELECT * FROM p WHERE NOT (parameter_id = 1)"
 QUERIES["upsert_parameters"] = "SELECT * FROM p"
 QUERIES["project_parameters"] = "SELECT * FROM p"
 

@@ -28,7 +28,7 @@ _HISTORY = ["recency_days", "observation_days"]
 DECIMALS: dict[str, list[str]] = {
     **dict.fromkeys(
         (
-            "load_transactions", "preview_rows", "check_predicate", "zero_quantity_positive_sales",
+            "load_transactions", "load_transactions_csv", "preview_rows", "check_predicate", "zero_quantity_positive_sales",
             "positive_retail_discounts", "baskets_with_positive_retail", "coupon_match_exceptions",
             "extreme_lines",
         ),

@@ -20,8 +20,8 @@ from tillsight.operators import (
     profiles,
     promotions,
 )
-from tillsight.plans.stages import THETA, Stages, stages
-from tillsight.schema import TRANSACTIONS
+from tillsight.plans.stages import RULE_GRID, RULE_THETA, THETA, Stages, stages
+from tillsight.schema import PROJECT_PARAMETERS, TRANSACTIONS
 from tillsight.sources.storage import (
     preview_rows,
     register_view,
@@ -29,6 +29,7 @@ from tillsight.sources.storage import (
     upsert,
     write_table,
 )
+from tillsight.sources.transactions import load_transactions
 
 Step = Callable[[Stages], DataFrame]
 
@@ -47,6 +48,18 @@ def comparable(df: DataFrame, digits: int | None, special: dict[str, int]) -> Da
     return df.select(*columns)
 
 
+def _loaded(fmt: str) -> Step:
+    """The lines as the loader reads them from files."""
+
+    def step(s: Stages) -> DataFrame:
+        path = f"{shared_folder(s.spark)}/receipts_{fmt}"
+        writer = s.receipt_lines.write.mode("overwrite").format(fmt)
+        (writer.option("header", True) if fmt == "csv" else writer).save(path)
+        return load_transactions(s.spark, path, fmt)
+
+    return step
+
+
 def _write_table(s: Stages) -> DataFrame:
     return write_table(s.fact_basket, f"{shared_folder(s.spark)}/written_fact_basket")
 
@@ -64,7 +77,8 @@ def _upsert_parameters(s: Stages) -> DataFrame:
 
 
 SOURCES: dict[str, Step] = {
-    "load_transactions": lambda s: s.receipt_lines,
+    "load_transactions": _loaded("parquet"),
+    "load_transactions_csv": _loaded("csv"),
     "imported_row_count": lambda s: checks.imported_row_count(s.transactions),
     "preview_rows": lambda s: preview_rows(s.transactions, 20),
     "check_schema": lambda s: checks.check_schema(s.transactions, TRANSACTIONS),
@@ -84,6 +98,12 @@ SOURCES: dict[str, Step] = {
     ),
     "check_not_null": lambda s: checks.check_not_null(s.transactions, TRANSACTIONS.fieldNames()),
     "check_predicate": lambda s: checks.check_predicate(s.transactions, F.col("retail_disc") <= 0),
+    "check_not_null_parameters": lambda s: checks.check_not_null(
+        baskets.project_parameters(s.transactions), PROJECT_PARAMETERS.fieldNames()
+    ),
+    "check_predicate_parameters": lambda s: checks.check_predicate(
+        baskets.project_parameters(s.transactions), F.col("parameter_id") == 1
+    ),
     "upsert_parameters": _upsert_parameters,
 }
 
@@ -121,6 +141,7 @@ BASKETS: dict[str, Step] = {
     "estimated_customer_payment": lambda s: baskets.estimated_customer_payment(s.transactions),
 }
 
+# fixed values: the columns of both parts of the household table
 BGNBD_COLUMNS = [
     "household_key", "in_sample_baskets", "first_purchase_time_days", "last_purchase_time_days",
     "frequency", "recency_days", "observation_days", "days_since_last_purchase",
@@ -269,6 +290,10 @@ EVALUATION: dict[str, Step] = {
         BASELINE, "actual_holdout_baskets",
     ),
     "bgnbd_fit": lambda s: bgnbd.fit_table(s.model_input, s.fitted),
+    "bgnbd_fit_reached": lambda s: bgnbd.reached(
+        s.rule_histories, bgnbd.fit(s.rule_histories), RULE_GRID
+    ),
+    "bgnbd_summary_fixed": lambda s: bgnbd.summary(s.rule_histories, RULE_THETA),
     "bgnbd_log_likelihood": lambda s: bgnbd.log_likelihood(s.model_input, THETA),
     "bgnbd_summary": lambda s: bgnbd.summary(s.model_input, s.fitted.params),
     "probability_alive": lambda s: s.model_input.select(
@@ -351,6 +376,7 @@ EXACT = {
 NOISY = {
     "describe_predictions", "describe_errors", "log1p_histogram", "spearman", "spearman_predicted",
     "log1p_pairs", "log1p_pairs_predicted", "bgnbd_fit", "bgnbd_summary", "bgnbd_log_likelihood",
+    "bgnbd_fit_reached", "bgnbd_summary_fixed",
     "probability_alive", "rate_check", "expected_purchases", "evaluate_predictions",
     "model_comparison", "improvement_pct", "prediction_errors", "decile_calibration",
     "bootstrap_mae_improvement", "bootstrap_poisson", "lowest_alive", "largest_errors", "within_quintile_split",
@@ -368,6 +394,9 @@ SPECIAL_DIGITS: dict[str, dict[str, int]] = {
         )
     },
     "bgnbd_log_likelihood": {"log_likelihood": 3},
+    "bgnbd_fit_reached": {"log_likelihood": 3},
+    # second differences on both sides
+    "bgnbd_summary_fixed": dict.fromkeys(("standard_error", "lower_95", "upper_95"), 3),
 }
 
 

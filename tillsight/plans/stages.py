@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 from functools import cached_property
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillsight.operators import baskets, describe, evaluate, features, holdout, profiles
 from tillsight.operators.bgnbd import BgnbdFit, BgnbdParams, fit
 from tillsight.schema import Params
-from tillsight.sources.storage import materialize
+from tillsight.sources.storage import materialize, releases
 from tillsight.sources.transactions import transactions_from_orders
 
 # Parameters the queries score with: a fixed set, so that SQL can compute the same scores.
 THETA = BgnbdParams(r=1.2, alpha=60.0, a=0.6, b=8.0)
+# A set near the best one for the histories made by rule, and its neighbours.
+RULE_THETA = BgnbdParams(r=4.0, alpha=1500.0, a=0.55, b=1.6)
+RULE_GRID = [
+    BgnbdParams(*(getattr(RULE_THETA, name) * f for name, f in zip(("r", "alpha", "a", "b"), factors)))
+    for factors in product((0.8, 1.0, 1.25), repeat=4)
+]
 
 
 class Stages:
@@ -74,6 +82,43 @@ class Stages:
     def fitted(self) -> BgnbdFit:
         return fit(self.model_input)
 
+    @cached_property
+    def rule_histories(self) -> DataFrame:
+        """Histories of households that buy at unlike rates and stop buying, made of the orders by rule:
+        orders are thinned by customer, and of those left some are the customer's last. Whole
+        numbers only, so any engine gives the same rows."""
+        key, customer = F.col("o_orderkey"), F.col("o_custkey")
+        share = F.expr("CASE o_custkey % 3 WHEN 0 THEN 25 WHEN 1 THEN 60 ELSE 100 END")
+        stop = F.expr(
+            "CASE o_custkey div 3 % 4 WHEN 0 THEN 2 WHEN 1 THEN 10 WHEN 2 THEN 25 ELSE 60 END"
+        )
+        orders = (
+            self.table("orders")
+            .where((key * 31 + customer * 17) % 100 < share)
+            .select(
+                customer.alias("household_key"),
+                F.expr("datediff(o_orderdate, DATE'1995-01-01')").alias("day"),
+                F.struct(F.to_date("o_orderdate"), key).alias("place"),
+                ((key * 53 + 11) % 100 < stop).alias("last"),
+            )
+        )
+        first = F.min("place").alias("first")
+        ends = (
+            orders.join(orders.groupBy("household_key").agg(first), "household_key")
+            .where(F.col("last") & (F.col("place") > F.col("first")))
+            .groupBy("household_key").agg(F.min("place").alias("end"))
+        )
+        bought = orders.join(ends, "household_key", "left").where(
+            F.col("end").isNull() | (F.col("place") <= F.col("end"))
+        )
+        day = F.col("day")
+        histories = bought.groupBy("household_key").agg(
+            (F.countDistinct(day) - 1).alias("frequency"),
+            (F.max(day) - F.min(day)).alias("recency_days"),
+            (F.lit(2405) - F.min(day)).alias("observation_days"),
+        )
+        return materialize(histories, "rule_histories")
+
     @cached_property
     def scored(self) -> DataFrame:
         """Model input with promotion shares, baseline, P(alive), expected baskets and errors."""
@@ -89,11 +134,12 @@ class Stages:
         return materialize(profiles.profile_levels(split, cuts), "profiled")
 
 
-_open: dict[tuple[str, str], Stages] = {}
+_open: dict[tuple[str, str], tuple[int, Stages]] = {}
 
 
 def stages(spark: SparkSession, folder: str) -> Stages:
-    key = (spark.sparkContext.applicationId, folder.rstrip("/"))
-    if key not in _open:
-        _open[key] = Stages(spark, folder)
-    return _open[key]
+    app = spark.sparkContext.applicationId
+    key, round_ = (app, folder.rstrip("/")), releases[app]
+    if key not in _open or _open[key][0] != round_:  # released tables are gone, and are built anew
+        _open[key] = (round_, Stages(spark, folder))
+    return _open[key][1]

@@ -5,11 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 
 # folders of local sessions; they are removed when the process ends
 _local_folder: dict[str, tempfile.TemporaryDirectory] = {}
+# how often the tables of an application were released
+releases: Counter[str] = Counter()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -52,6 +55,7 @@ def release(spark: SparkSession) -> None:
     anything built on those, can no longer be used."""
     path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    releases[spark.sparkContext.applicationId] += 1
 
 
 def register_view(df: DataFrame, name: str) -> None:
