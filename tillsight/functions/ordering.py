@@ -79,17 +79,12 @@ def quantile_bucket(position: Column, rows: int, buckets: int) -> Column:
     return bucket
 
 
-def cumulative_counts(
-    counts: DataFrame, few: bool = False, order: Sequence[str] = ("value",)
-) -> DataFrame:
+def cumulative_counts(counts: DataFrame, order: Sequence[str] = ("value",)) -> DataFrame:
     """Adds ``before``: the number of rows earlier in the order, from distinct rows (..., n).
 
-    ``few`` states that the caller has counted at most LOCAL_VALUES rows; one ordered window then
-    does. Otherwise the rows are range-partitioned, and each partition's running total starts at
-    the total of the partitions before it.
+    The rows are range-partitioned, and each partition's running total starts at the total of the
+    partitions before it.
     """
-    if few:
-        return counts.withColumn("before", _before("n", order=order))
     ranged = materialize(
         counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged"
     )
@@ -107,52 +102,80 @@ def cumulative_counts(
     )
 
 
-def average_ranks(pairs: DataFrame, column: str, few: bool) -> DataFrame:
-    """Rank 1.. of each distinct value of a column of rows (..., n); ties share their mean rank."""
-    counts = pairs.groupBy(F.col(column).alias("value")).agg(F.sum("n").alias("n"))
-    return cumulative_counts(counts, few).select(
-        F.col("value").alias(column),
-        (F.col("before") + (F.col("n") + 1) / 2).alias(f"{column}_rank"),
+def average_ranks(df: DataFrame, column: str) -> DataFrame:
+    """Stored rows (value, rank) of the distinct values of a column, as doubles, without NULL; ties
+    share their mean rank."""
+    counts = (
+        df.filter(F.col(column).isNotNull())
+        .groupBy(F.col(column).cast("double").alias("value"))
+        .agg(F.count("*").alias("n"))
     )
+    rank = F.col("before") + (F.col("n") + 1) / 2
+    return materialize(cumulative_counts(counts).select("value", rank.alias("rank")), "ranks")
 
 
-def spearman(df: DataFrame, a: str, b: str, local_values: int | None = None) -> DataFrame:
-    """Rank correlation of two columns with average ranks for ties, as one row.
+def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rank correlation with average ranks for ties: rows ``a``, ``b``, ``n``, ``correlation``.
 
-    Equal pairs are counted first, so copies of a pair travel as one row. The rank table of a
-    column is joined back to the pairs: by broadcast when it was found small, otherwise by a
-    sort-merge join, where adaptive execution splits a value that very many pairs share.
+    ``df`` is read more than once, so it should be a stored table. A pair leaves out the rows in
+    which either value is NULL. Each column is ranked once; only a partner with NULLs makes another
+    ranking of the rows that are left. Equal pairs of values are counted first, so copies travel as
+    one row; whether a rank table is broadcast follows from its stored size, and where it is not,
+    adaptive execution splits a value that very many pairs share.
     """
-    pairs = materialize(
-        df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-        .groupBy(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
-        .agg(F.count("*").alias("n")),
-        "pairs",
-    )
-    few = pairs.count() <= (LOCAL_VALUES if local_values is None else local_values)
-    ranked = pairs
-    for column in ("a", "b"):
-        ranks = average_ranks(pairs, column, few)
-        if not few:
-            ranks = materialize(ranks, "ranks")
-        small = few or ranks.count() <= BROADCAST_ROWS
-        ranked = ranked.join(F.broadcast(ranks) if small else ranks, column)
-    # Ranks are centred before they are multiplied: their sums would otherwise cancel.
+    columns = sorted({c for pair in pairs for c in pair})
+    both = [F.col(a).isNotNull() & F.col(b).isNotNull() for a, b in pairs]
+    held = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count(c).alias(f"held_{c}") for c in columns],
+        *[F.count_if(kept).alias(f"pair_{i}") for i, kept in enumerate(both)],
+    ).first()
+    ranks: dict[tuple[str, str | None], DataFrame] = {}
+
+    def ranked(column: str, other: str) -> DataFrame:
+        complete = held[f"held_{other}"] == held["rows"]
+        key = (column, None if complete else other)
+        if key not in ranks:
+            rows = df if complete else df.filter(F.col(other).isNotNull())
+            ranks[key] = average_ranks(rows, column)
+        return ranks[key]
+
+    table = None
     n = F.col("n")
-    middle = pairs.agg(((F.sum("n") + 1) / 2).alias("_middle"))
-    x, y = F.col("a_rank") - F.col("_middle"), F.col("b_rank") - F.col("_middle")
-    return (
-        ranked.crossJoin(F.broadcast(middle))  # one row
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum(n * x * y).alias("xy"),
-            F.sum(n * x * x).alias("xx"),
-            F.sum(n * y * y).alias("yy"),
+    for i, (a, b) in enumerate(pairs):
+        counted = (
+            df.filter(both[i])
+            .groupBy(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
+            .agg(F.count("*").alias("n"))
         )
-        .select(
-            "n", F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))).alias("correlation")
+        of_a, of_b = (
+            ranked(c, o).select(F.col("value").alias(name), F.col("rank").alias(f"{name}_rank"))
+            for c, o, name in ((a, b, "a"), (b, a, "b"))
         )
-    )
+        # ranks are centred before they are multiplied: their sums would otherwise cancel
+        middle = F.lit((held[f"pair_{i}"] + 1) / 2)
+        x, y = F.col("a_rank") - middle, F.col("b_rank") - middle
+        row = (
+            counted.join(of_a, "a")
+            .join(of_b, "b")
+            .agg(
+                F.sum("n").alias("n"),
+                F.sum(n * x * y).alias("xy"),
+                F.sum(n * x * x).alias("xx"),
+                F.sum(n * y * y).alias("yy"),
+            )
+            .select(
+                F.lit(a).alias("a"), F.lit(b).alias("b"), "n",
+                F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy"))).alias("correlation"),
+            )
+        )
+        table = row if table is None else table.unionByName(row)
+    return table
+
+
+def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Rank correlation of two columns, as one row ``n``, ``correlation``."""
+    return spearman_pairs(df, [(a, b)]).select("n", "correlation")
 
 
 def _literals(probs: Sequence[float]) -> Column:

@@ -13,7 +13,7 @@ from tillsight.functions.ordering import (
     quantile_bucket,
     quantile_columns,
     quantiles,
-    spearman,
+    spearman_pairs,
     with_position,
 )
 from tillsight.operators.holdout import MODEL_INPUT
@@ -191,11 +191,9 @@ def center_lines(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def spearman_table(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """One row per pair of columns."""
-    table = None
-    for a, b in pairs:
-        row = spearman(df, a, b).select(F.lit(f"{a} ~ {b}").alias("pair"), "n", "correlation")
-        table = row if table is None else table.unionByName(row)
-    return table
+    return spearman_pairs(df, pairs).select(
+        F.concat_ws(" ~ ", "a", "b").alias("pair"), "n", "correlation"
+    )
 
 
 def log1p_pairs(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.ordering import BROADCAST_ROWS, quantile_columns, spearman, with_position
+from tillsight.functions.ordering import BROADCAST_ROWS, quantile_columns, spearman_pairs, with_position
 from tillsight.operators.bgnbd import BgnbdParams, expected_purchases, probability_alive
 from tillsight.operators.describe import rank_bucket
 from tillsight.sources.storage import materialize
@@ -87,12 +87,10 @@ def evaluate_predictions(scored: DataFrame) -> DataFrame:
             ),
         )
     )
-    ranks = None
-    for name, column in MODELS.items():
-        row = spearman(scored, ACTUAL, column).select(
-            F.lit(name).alias("model"), F.col("correlation").alias("spearman_correlation")
-        )
-        ranks = row if ranks is None else ranks.unionByName(row)
+    names = F.create_map(*[F.lit(v) for name, column in MODELS.items() for v in (column, name)])
+    ranks = spearman_pairs(scored, [(ACTUAL, column) for column in MODELS.values()]).select(
+        names[F.col("b")].alias("model"), F.col("correlation").alias("spearman_correlation")
+    )
     return measures.join(F.broadcast(ranks), "model")
 
 
