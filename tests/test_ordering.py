@@ -107,14 +107,14 @@ def test_spearman_ranks_each_column_once(spark, monkeypatch):
     df = frame(spark, **values).withColumn("d", F.when(~F.isnan("d"), F.col("d")))
     ranked, made = [], ordering.average_ranks
 
-    def counted(rows, column):
-        ranked.append(column)
-        return made(rows, column)
+    def counted(rows, columns):
+        ranked.append(sorted(columns))
+        return made(rows, columns)
 
     monkeypatch.setattr(ordering, "average_ranks", counted)
     got = ordering.spearman_pairs(df, [("a", "b"), ("a", "c"), ("b", "c"), ("a", "d"), ("d", "c")]).collect()
     # a and c again for the rows that d leaves
-    assert sorted(ranked) == ["a", "a", "b", "c", "c", "d"]
+    assert ranked == [["a", "a where d", "b", "c", "c where d", "d"]]
     local = pd.DataFrame(values)
     for r in got:
         both = local[[r.a, r.b]].dropna()

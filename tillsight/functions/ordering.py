@@ -102,24 +102,36 @@ def cumulative_counts(counts: DataFrame, order: Sequence[str] = ("value",)) -> D
     )
 
 
-def average_ranks(df: DataFrame, column: str) -> DataFrame:
-    """Stored rows (value, rank) of the distinct values of a column, as doubles, without NULL; ties
-    share their mean rank."""
+def average_ranks(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Stored rows (metric, value, rank) of the distinct values of named columns, as doubles, without
+    NULL; ties share their mean rank.
+
+    All columns are ranked in one pass: places over all of them together, less the first place of
+    each.
+    """
+    entries = [
+        F.struct(F.lit(name).alias("metric"), column.cast("double").alias("value"))
+        for name, column in columns.items()
+    ]
     counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("value"))
+        df.select(F.inline(F.array(*entries)))
+        .filter(F.col("value").isNotNull())
+        .groupBy("metric", "value")
         .agg(F.count("*").alias("n"))
     )
-    rank = F.col("before") + (F.col("n") + 1) / 2
-    return materialize(cumulative_counts(counts).select("value", rank.alias("rank")), "ranks")
+    placed = cumulative_counts(counts, ("metric", "value"))
+    first = placed.groupBy("metric").agg(F.min("before").alias("_first"))  # one row per column
+    rank = F.col("before") - F.col("_first") + (F.col("n") + 1) / 2
+    ranks = placed.join(F.broadcast(first), "metric").select("metric", "value", rank.alias("rank"))
+    return materialize(ranks, "ranks")
 
 
 def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Rank correlation with average ranks for ties: rows ``a``, ``b``, ``n``, ``correlation``.
 
     ``df`` is read more than once, so it should be a stored table. A pair leaves out the rows in
-    which either value is NULL. Each column is ranked once; only a partner with NULLs makes another
-    ranking of the rows that are left. Equal pairs of values are counted first, so copies travel as
+    which either value is NULL. Each column is ranked once, all in one pass; only a partner with NULLs
+    makes another ranking, of the rows that are left. Equal pairs of values are counted first, so copies travel as
     one row; whether a rank table is broadcast follows from its stored size, and where it is not,
     adaptive execution splits a value that very many pairs share.
     """
@@ -130,15 +142,23 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame
         *[F.count(c).alias(f"held_{c}") for c in columns],
         *[F.count_if(kept).alias(f"pair_{i}") for i, kept in enumerate(both)],
     ).first()
-    ranks: dict[tuple[str, str | None], DataFrame] = {}
+    wanted: dict[str, Column] = {}
 
-    def ranked(column: str, other: str) -> DataFrame:
-        complete = held[f"held_{other}"] == held["rows"]
-        key = (column, None if complete else other)
-        if key not in ranks:
-            rows = df if complete else df.filter(F.col(other).isNotNull())
-            ranks[key] = average_ranks(rows, column)
-        return ranks[key]
+    def ranking(column: str, other: str) -> str:
+        """Name of the ranking of a column beside another one."""
+        if held[f"held_{other}"] == held["rows"]:
+            wanted[column] = F.col(column)
+            return column
+        name = f"{column} where {other}"
+        wanted[name] = F.when(F.col(other).isNotNull(), F.col(column))
+        return name
+
+    named = [(ranking(a, b), ranking(b, a)) for a, b in pairs]
+    ranks = average_ranks(df, wanted)
+
+    def ranked(name: str, side: str) -> DataFrame:
+        rows = ranks.filter(F.col("metric") == name)
+        return rows.select(F.col("value").alias(side), F.col("rank").alias(f"{side}_rank"))
 
     table = None
     n = F.col("n")
@@ -148,16 +168,12 @@ def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame
             .groupBy(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
             .agg(F.count("*").alias("n"))
         )
-        of_a, of_b = (
-            ranked(c, o).select(F.col("value").alias(name), F.col("rank").alias(f"{name}_rank"))
-            for c, o, name in ((a, b, "a"), (b, a, "b"))
-        )
         # ranks are centred before they are multiplied: their sums would otherwise cancel
         middle = F.lit((held[f"pair_{i}"] + 1) / 2)
         x, y = F.col("a_rank") - middle, F.col("b_rank") - middle
         row = (
-            counted.join(of_a, "a")
-            .join(of_b, "b")
+            counted.join(ranked(named[i][0], "a"), "a")
+            .join(ranked(named[i][1], "b"), "b")
             .agg(
                 F.sum("n").alias("n"),
                 F.sum(n * x * y).alias("xy"),
