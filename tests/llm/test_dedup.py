@@ -179,6 +179,21 @@ def test_simhash_odd_tables(spark):
     assert simhash.keep_first(alone).count() == 2
 
 
+def test_keep_first_keeps_a_row_of_every_group(spark):
+    def text(k, n=40):
+        return " ".join(f"g{k}x{i}" for i in range(n))
+
+    rows = [
+        (None, text(1), "a"), (None, text(2), "b"), (None, text(2), "c"), (None, text(3), "d"),
+        (1, text(4), "e"), (5, text(4), "f"), (5, text(5), "g"), (7, text(6), "h"), (7, text(7), "i"),
+        (8, text(3), "j"), (9, None, "k"), (None, "", "l"), (7, text(6), "h"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = simhash.keep_first(df)
+    assert kept.columns == df.columns
+    assert sorted(r.source for r in kept.collect()) == ["a", "b", "e", "g", "h", "i", "j", "k"]
+
+
 def test_components_of_chains_stars_and_noise(spark):
     links = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1200)]
     links += [(5000, 5000), (None, 3), (1, None), (7000, 6999), (7000, 6999)]

@@ -228,6 +228,15 @@ def near_duplicates(
     equal ids stay separate rows; a row without id takes part but cannot name its component (null
     only if no member has an id). An empty table gives an empty result. Other columns are ignored.
     """
+    return _grouped(df, id_col, text_col, shingle, max_bits).select(
+        F.col("id").alias(id_col),
+        F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
+def _grouped(df: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
+    """``(id, mark, root, component_id)`` of every row; ``root`` is one fingerprint of the group."""
     marked = spill(
         with_fingerprint(
             df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")),
@@ -242,13 +251,9 @@ def near_duplicates(
         .select("mark", "first", F.coalesce("root", "mark").alias("root"))
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = spill(rooted.join(least, "root").select("mark", "component_id"), "named")
+    named = spill(rooted.join(least, "root").select("mark", "root", "component_id"), "named")
     discard(points, reach)
-    return marked.join(named, "mark").select(
-        F.col("id").alias(id_col),
-        F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    return marked.join(named, "mark").select("id", "mark", "root", "component_id")
 
 
 def keep_first(
@@ -258,21 +263,26 @@ def keep_first(
     shingle: int = 3,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """Rows of ``df`` whose id is the smallest of its near-duplicate group, with all columns.
+    """One row of each near-duplicate group, with all columns: the one with the smallest id.
 
-    Of several rows with that same id one stays, the one with the smallest text. Rows without id
-    stay if no row of their group has an id.
+    Of several rows of a group with that same id, or of a group without any id, the one with the
+    smallest text stays. Rows with equal ids in different groups do not touch each other.
     """
-    found = near_duplicates(df, id_col, text_col, shingle, max_bits)
-    kept = (
-        found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .select(F.col(id_col).alias("_kept")).distinct()
+    found = _grouped(df, id_col, text_col, shingle, max_bits)
+    least = (
+        found.where(F.col("id").eqNullSafe(F.col("component_id")))
+        .groupBy("id", "mark", "root").agg(F.count("*").alias("n"))
+        .select(F.col("id").alias("__id"), F.col("mark").alias("__least"), F.col("root").alias("__root"), "n")
     )
-    rows = df.join(kept, df[id_col].eqNullSafe(kept["_kept"]), "left_semi")
-    repeated = df.groupBy(id_col).agg(F.count("*").alias("_n")).where("_n > 1")
+    rows = with_fingerprint(df, text_col, shingle, "__mark")
+    # equal id and fingerprint mean equal group, so a row meets one row of the other side
+    first = rows.join(
+        least.drop("n"), rows[id_col].eqNullSafe(least["__id"]) & (rows["__mark"] == least["__least"])
+    ).select(*df.columns, "__root")
+    repeated = least.groupBy("__root").agg(F.sum("n").alias("n")).where("n > 1")
     if repeated.isEmpty():
-        return rows
-    first = rows.groupBy(F.col(id_col).alias("_id")).agg(
-        F.min(F.struct(text_col, *(c for c in df.columns if c != text_col))).alias("_row")
+        return first.drop("__root")
+    one = first.groupBy("__root").agg(
+        F.min(F.struct(text_col, *(c for c in df.columns if c != text_col))).alias("__row")
     )
-    return first.select("_row.*").select(*df.columns)
+    return one.select("__row.*").select(*df.columns)
