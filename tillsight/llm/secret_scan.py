@@ -45,7 +45,29 @@ SECRET_NAMES = (
 )
 
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_=\-]{16,}")
-_ASSIGNED = re.compile(r"([A-Za-z_][A-Za-z0-9_\-]*)[\"']?\s{0,3}(?:=|:)\s{0,3}([\"']?)$")
+_LEAST = 16
+_IS = re.compile(r"=+(?=[^=])")
+_ASSIGNED = re.compile(
+    r"([A-Za-z_][A-Za-z0-9_\-]*)[\"']?\s{0,3}(?::=|=>|=|:)\s{0,3}([\"']?)"
+    r"(?:(?:[Bb]earer|BEARER|[Bb]asic|BASIC|[Tt]oken)\s{1,3})?$"
+)
+_BEARER = re.compile(r"\b(?:[Bb]earer|BEARER)\s{1,3}$")
+_DOTTED = re.compile(r"eyJ[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]*)*")
+# Formats of keys that issuers give out.
+_KNOWN = re.compile(
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}"
+    r"|glpat-[A-Za-z0-9_\-]{16,}|xox[abeoprs]-[A-Za-z0-9\-]{12,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}"
+    r"|AIza[A-Za-z0-9_\-]{35}|npm_[A-Za-z0-9]{30,}|eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}"
+    r"(?:\.[A-Za-z0-9_\-]*)*)(?![A-Za-z0-9])"
+)
+# What is certainly no secret: dates, ids, paths, words; digests are ids behind their name.
+_DATE = re.compile(r"(?:19|20)\d\d([\-/]?)[01]\d\1[0-3]\d(?:[T_\-]?[\d\-]*)?Z?")
+_ID = re.compile(r"[\d\-/+]+|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+_WORDS = re.compile(r"[/\-_+=]*(?:(?:[A-Z]?[a-z]+|[A-Z]+|[a-z]+\d{1,2}|\d{1,4})(?:[/\-_+=]+|$))+")
+_DIGEST = re.compile(r"[0-9A-Fa-f]{16,}")
+_DIGEST_NAME = re.compile(
+    r"\b(?:commit|checksum|digest|md5|sha-?\d*|hash|etag|revision|uuid|guid)\b[\"']?\s{0,3}[=:]?\s{0,3}[\"']?$", re.I
+)
 _WORD = re.compile(r"[^\W\d_]+(?:_[^\W\d_]+)*")
 _BESIDE = 48
 _FEATURES = (
@@ -54,14 +76,36 @@ _FEATURES = (
 )
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans of at least 16 key characters that hold a digit or stand behind an assignment."""
+def _values(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """A run of key characters, cut behind each ``name=``; ``=`` at the end belongs to the value."""
     out = []
+    for m in _IS.finditer(text, start, end):
+        if m.end() < end:
+            if _KNOWN.fullmatch(text, start, m.start()):
+                out.append((start, m.start()))
+            start = m.end()
+    return [*out, (start, end)]
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Spans of at least 16 key characters that hold a digit, have a known format or stand behind
+    an assignment. The name before a ``=`` is no part of the value; a web token is one span, dots
+    included."""
+    out, done = [], 0
     for m in _CANDIDATE.finditer(text):
-        value = m[0]
-        if not value.isalpha() or _ASSIGNED.search(text, max(0, m.start() - _BESIDE), m.start()):
-            if any(c.isdigit() for c in value) or value.isalpha():
-                out.append(m.span())
+        if m.end() <= done:
+            continue
+        for s, e in _values(text, max(m.start(), done), m.end()):
+            if text.startswith("eyJ", s) and (dotted := _DOTTED.match(text, s)):
+                e = done = dotted.end()
+            value = text[s:e]
+            if len(value) < _LEAST:
+                continue
+            near = max(0, s - _BESIDE)
+            if any(c.isdigit() for c in value) or _KNOWN.search(value) or (
+                value.isalpha() and (_ASSIGNED.search(text, near, s) or _BEARER.search(text, near, s))
+            ):
+                out.append((s, e))
     return out
 
 
@@ -225,16 +269,26 @@ def findings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return rows.mapInArrow(run, f"`{id_col}` long, start long, length long")
 
 
-def weak_labels(text: str) -> list[tuple[int, int, int]]:
-    """Candidates labelled by where they stand: 1 if assigned to the name of a secret, and quoted or
-    made of letters and digits."""
-    out = []
-    for s, e in candidates(text):
-        m = _ASSIGNED.search(text, max(0, s - _BESIDE), s)
-        named = bool(m) and any(n in m[1].lower() for n in SECRET_NAMES)
-        mixed = any(c.isdigit() for c in text[s:e]) and any(c.isalpha() for c in text[s:e])
-        out.append((s, e, int(named and (bool(m[2]) or mixed))))
-    return out
+def weak_labels(text: str) -> list[tuple[int, int, int | None]]:
+    """Candidates with what is certain about them: 1 for a known format of keys and for a value of
+    letters and digits, or quoted, that is assigned to the name of a secret or follows Bearer; 0 for
+    dates, ids, paths and words; None for all others."""
+    return [(s, e, _certain(text, s, e)) for s, e in candidates(text)]
+
+
+def _certain(text: str, s: int, e: int) -> int | None:
+    value, near = text[s:e], max(0, s - _BESIDE)
+    if _KNOWN.search(value):
+        return 1
+    if _DATE.fullmatch(value):
+        return 0
+    m = _ASSIGNED.search(text, near, s)
+    if m and any(n in m[1].lower().replace("-", "_") for n in SECRET_NAMES) or _BEARER.search(text, near, s):
+        mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+        return 1 if mixed or m and m[2] else None
+    if _ID.fullmatch(value) or _WORDS.fullmatch(value):
+        return 0
+    return 0 if _DIGEST.fullmatch(value) and _DIGEST_NAME.search(text, near, s) else None
 
 
 def fit(
@@ -247,7 +301,9 @@ def fit(
 ) -> Model:
     """Learn from labelled findings ``(id, start, length, is_secret)`` of ``documents``.
 
-    Without ``labelled``, every candidate of the documents is labelled by :func:`weak_labels`. At
+    Without ``labelled``, the candidates of the documents of which :func:`weak_labels` is certain are
+    the findings; each also counts once without its neighbourhood, so that the forest learns the
+    value itself and can judge the candidates that are left, bare keys among them. At
     most ``max_findings`` findings are used, taken by hash; each travels with its neighbourhood
     only, not with its document. Trees are grown by Spark tasks, one each. Rows with null label or
     id do not count; without findings of both kinds nothing is ever called a secret if no finding
@@ -278,7 +334,7 @@ def fit(
                     if given is not None else weak_labels(text)
                 )
                 for s, e, mark in spans:
-                    if 0 <= s < e <= len(text):
+                    if mark is not None and 0 <= s < e <= len(text):
                         before, after = _around(text, s, e)
                         out.append((paths[k], before, text[s:e], after, mark))
             columns = list(zip(*out)) if out else [[]] * 5
@@ -294,7 +350,7 @@ def fit(
     chosen = spill(sample.orderBy(order, "value", "is_secret").limit(max_findings), "findings")
     table = sorted(chosen.toArrow().to_pylist(), key=lambda r: tuple(map(str, r.values())))
     discard(chosen)
-    return _fit_sample(documents.sparkSession, table)
+    return _fit_sample(documents.sparkSession, table, alone=not told)
 
 
 def _odds(groups: list[tuple[str, int]], most: int) -> dict[str, float]:
@@ -311,7 +367,7 @@ def _odds(groups: list[tuple[str, int]], most: int) -> dict[str, float]:
     }
 
 
-def _fit_sample(spark, sample: list[dict]) -> Model:
+def _fit_sample(spark, sample: list[dict], alone: bool) -> Model:
     before, after, paths, words = [], [], [], {}
     for r in sample:
         mark = r["is_secret"]
@@ -328,6 +384,8 @@ def _fit_sample(spark, sample: list[dict]) -> Model:
     )
     if not sample:
         return Model((), context)
+    if alone:
+        sample = sample + [r | {"before": "", "after": ""} for r in sample]
     x = np.array(
         [
             features(r["before"] + r["value"] + r["after"], len(r["before"]),
