@@ -55,6 +55,29 @@ def test_extract_without_article_element():
     assert html_extract.extract(page).startswith("Sentence 0")
 
 
+def test_extract_drops_no_chosen_content():
+    def long(name, n=150):
+        return (f"{name} has words, and marks, and more of them. " * n)[: n - 1] + "."
+
+    a, b, c = long("First"), long("Second"), long("Third", 400)
+    points = [long(f"Point {i}", 130) for i in range(3)]
+    items = "".join(f"<li>{x}</li>" for x in points)
+    every = html_extract.extract
+    menu = "<div class=menu><a>One</a></div>"
+    assert every(f"{menu}<div><p>{a}</p><ul>{items}</ul><p>{b}</p></div>").split("\n\n") == [a, *points, b]
+    for kind in ("section", "div"):
+        page = f"{menu}<{kind}><h2>One</h2><p>{c}</p></{kind}><{kind}><h2>Two</h2><p>{b}</p><p>{a}</p></{kind}>"
+        assert every(page).split("\n\n") == ["One", c, "Two", b, a]
+    quote = f"<div><p>{a}</p><blockquote><p>{c}</p><p>{c}</p></blockquote><p>{b}</p></div>"
+    assert every(quote).split("\n\n") == [a, c, c, b]
+    inner = f"<p>{a}</p><div class=text><p>{c}</p></div><p>{b}</p>"
+    for page in (f"<div class=content>{inner}</div>", f"<div>{inner}</div>"):
+        assert every(menu + page).split("\n\n") == [a, c, b]
+    two = f"<article><h2>One</h2><p>{c}</p></article><article><p>{a}</p></article><p>{b}</p>"
+    assert every(two).split("\n\n") == ["One", c, a]
+    assert every(f"<div><h1>Title</h1><p>{c}</p></div>").split("\n\n") == ["Title", c]
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<p", "</div></p>", "<script>x", "<!--", "<a<b>", "&#xfffffff;"])
 def test_extract_survives_broken_pages(page):
     assert isinstance(html_extract.extract(page), str)

@@ -3,9 +3,9 @@
 Every text node has a path of tags from the root. Per path the text length and the punctuation are
 summed over its nodes; both are divided by the number of nodes, put back on the nodes in page order,
 smoothed along the page and multiplied. Paths whose fused value reaches a threshold made from the
-page's own spread are content. The subtree that holds most of the content is the article; what
-stands in it is taken whole, headings and short paragraphs too, but for the parts that are marked
-as something else.
+page's own spread are content. The subtree that holds the content is the article; what stands in it
+is taken whole, headings and short paragraphs too, but for the parts that are marked as something
+else.
 """
 
 from __future__ import annotations
@@ -223,36 +223,50 @@ def extract(html: str) -> str:
     values = path_values([blocks[i] for i in open_], [texts[i] for i in open_])
     threshold = min(values.std(), values.max()) if len(values) > 1 else 0.0
     chosen = [i for i, v in zip(open_, values) if v >= threshold]
-    article = _article([blocks[i].node for i in chosen], [len(texts[i]) for i in chosen])
-    return "\n\n".join(texts[i] for i in open_ if _under(blocks[i].node, article))
+    tops = _articles([blocks[i].node for i in chosen], [len(texts[i]) for i in chosen])
+    # what was chosen is content wherever it stands, unless the page itself names its articles
+    kept = set() if all(n.tag in ("article", "main") for n in tops) else set(chosen)
+    marks = {id(n) for n in tops}
+    return "\n\n".join(texts[i] for i in open_ if i in kept or _under(blocks[i].node, marks))
 
 
-def _under(node: Node | None, top: Node) -> bool:
+def _under(node: Node | None, marks: set[int]) -> bool:
     while node is not None:
-        if node is top:
+        if id(node) in marks:
             return True
         node = node.parent
     return False
 
 
-def _article(nodes: list[Node], lengths: list[int]) -> Node:
-    """The deepest element marked as content that holds over half of the chosen text, else the
-    deepest element of any kind but a single block that does."""
-    held: dict[int, list] = {}
-    for node, n in zip(nodes, lengths):
-        above: Node | None = node
-        while above is not None:
-            held.setdefault(id(above), [above, 0])[1] += n
-            above = above.parent
+def _articles(nodes: list[Node], lengths: list[int]) -> list[Node]:
+    """The elements that are taken whole: the outermost ones of the kind article or main that hold
+    chosen text, if they hold over half of it together; else the outermost ones whose class or id
+    names content, if they do; else the deepest element, but for a single block, that holds all
+    chosen text."""
     half = sum(lengths) / 2
-    over = [n for n, s in held.values() if s > half]
-    marked = [n for n in over if n.content]
-    if marked:
-        # of nested marked elements the outermost article or main, else the deepest marked one
-        named = [n for n in marked if n.tag in ("article", "main")]
-        return min(named, key=lambda n: n.depth) if named else max(marked, key=lambda n: n.depth)
-    wide = [n for n in over if n.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td")]
-    return max(wide, key=lambda n: n.depth)
+    for fits in (lambda n: n.tag in ("article", "main"), lambda n: n.content):
+        tops = [_outermost(node, fits) for node in nodes]
+        if sum(n for n, top in zip(lengths, tops) if top is not None) > half:
+            return list({id(t): t for t in tops if t is not None}.values())
+    top = nodes[0]
+    for node in nodes[1:]:
+        while node is not top:
+            if node.depth > top.depth:
+                node = node.parent
+            else:
+                top = top.parent
+    while top.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td"):
+        top = top.parent
+    return [top]
+
+
+def _outermost(node: Node | None, fits) -> Node | None:
+    found = None
+    while node is not None:
+        if fits(node):
+            found = node
+        node = node.parent
+    return found
 
 
 def extract_pages(
