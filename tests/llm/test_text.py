@@ -292,6 +292,38 @@ def test_values_are_cut_from_their_names():
     assert marks("see 9f8e7d6c5b4aXz9281706 there") == [None]
 
 
+def test_whole_assigned_values_are_candidates():
+    for text, value, mark in [
+        ('password = "hunter2024"', "hunter2024", 1),
+        ("pwd: hunter.2024!x, next", "hunter.2024!x", 1),
+        ("passwd=a&b1%c2:d3 x", "a&b1%c2:d3", 1),
+        ('password: "p@ss w0rd#1"', "p@ss w0rd#1", None),
+        ("{'token': 'ab.cd.ef12'}", "ab.cd.ef12", 1),
+        ("/x?auth=abc123xyz&user=bob", "abc123xyz", 1),
+        ('"Authorization": "Bearer ab.c1.de~f"', "ab.c1.de~f", 1),
+        ("password: required here", "required", 0),
+        ("token: 'hunter.2024\" and 'x", "hunter.2024", 1),
+        ("secret: \"hunter'2024\" and 'x", "hunter'2024", 1),
+        ("password=${DB_PASSWORD}", "${DB_PASSWORD", 0),
+        ("MY_SECRET_TOKEN_NUMBER_2=x1.y2.z3", "x1.y2.z3", 1),
+    ]:
+        assert [(text[s:e], m) for s, e, m in secret_scan.weak_labels(text)] == [(value, mark)], text
+    assert secret_scan.candidates('password = ""; note: "hello world"; pin=12345; name: hunter2024') == []
+
+
+def test_short_and_broken_passwords_are_redacted(spark):
+    rng = random.Random(9)
+    key = lambda k, n: "".join(rng.choices(k, k=n))
+    forms = ['password = "%s"', "pwd: %s end", "?token=%s&a=b", "passwd='%s'"]
+    texts, keys = [], []
+    for i in range(200):
+        keys.append(key("abcdefgh", 4) + key("!@#$%.", 2) + key("123456789", 3 + i % 4))
+        texts.append(f"order {rng.randrange(10**15, 10**16)}, password: required, " + forms[i % 4] % keys[-1])
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in secret_scan.scan(df, secret_scan.fit(df), redact=True).collect()}
+    assert [got[i] for i in range(200)] == [t.replace(k, secret_scan.MARK) for t, k in zip(texts, keys)]
+
+
 def test_keys_without_quotes_are_redacted(spark):
     rng = random.Random(8)
     key = lambda n: "".join(rng.choices("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=n))

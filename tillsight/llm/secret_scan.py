@@ -46,13 +46,24 @@ SECRET_NAMES = (
 
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=\-])[A-Za-z0-9+/_=\-]{16,}")
 _LEAST = 16
-_IS = re.compile(r"=+(?=[^=])")
+_IS = re.compile(r"(?<!=)=++(?=[^=])")
 _ASSIGNED = re.compile(
-    r"([A-Za-z_][A-Za-z0-9_\-]*)[\"']?\s{0,3}(?::=|=>|=|:)\s{0,3}([\"']?)"
+    r"([A-Za-z_][A-Za-z0-9_\-]*)[\"']?\s{0,3}(?::=|=>|=+|:)\s{0,3}([\"']?)"
     r"(?:(?:[Bb]earer|BEARER|[Bb]asic|BASIC|[Tt]oken)\s{1,3})?$"
 )
 _BEARER = re.compile(r"\b(?:[Bb]earer|BEARER)\s{1,3}$")
 _DOTTED = re.compile(r"eyJ[A-Za-z0-9_\-]+\.[A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]*)*")
+_LEAST_GIVEN = 6
+_SIGN = re.compile(r":=|=>|=+|:")
+_NAMED = re.compile(r"([A-Za-z_][A-Za-z0-9_\-]*)[\"']?\s{0,3}$")
+_SCHEME = r"(?:(?:[Bb]earer|BEARER|[Bb]asic|BASIC|[Tt]oken)\s{1,3})?"
+# a quoted value, with the other quote in it only if there is no white space, or one up to white
+# space, a quote or the next parameter
+_GIVEN = re.compile(
+    r"\s{0,3}(?:(?P<quote>[\"'])" + _SCHEME
+    + r"(?:(?P<quoted>(?:\\.|[^\"'\\\r\n])*)|(?P<tight>(?:\\.|(?!(?P=quote))[^\\\s])*))(?P=quote)"
+    r"|[\"']?" + _SCHEME + r"(?P<bare>(?:(?![&;,](?:\s|$|[A-Za-z_][A-Za-z0-9_\-]*[=:]))[^\s\"'`<>])+))"
+)
 # Formats of keys that issuers give out.
 _KNOWN = re.compile(
     r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}"
@@ -60,6 +71,9 @@ _KNOWN = re.compile(
     r"|AIza[A-Za-z0-9_\-]{35}|npm_[A-Za-z0-9]{30,}|eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}"
     r"(?:\.[A-Za-z0-9_\-]*)*)(?![A-Za-z0-9])"
 )
+# what may be a sentence, a call or an address, and so is not certain
+_OPEN = re.compile(r"\s|[(\[{]|://")
+_VARIABLE = re.compile(r"\$\{\w+\}?|\$[A-Z_]+|%\w+%")
 # What is certainly no secret: dates, ids, paths, words; digests are ids behind their name.
 _DATE = re.compile(r"(?:19|20)\d\d([\-/]?)[01]\d\1[0-3]\d(?:[T_\-]?[\d\-]*)?Z?")
 _ID = re.compile(r"[\d\-/+]+|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
@@ -87,16 +101,53 @@ def _values(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return [*out, (start, end)]
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans of at least 16 key characters that hold a digit, have a known format or stand behind
-    an assignment. The name before a ``=`` is no part of the value; a web token is one span, dots
-    included."""
+def _secret_name(name: str) -> bool:
+    low = name.lower().replace("-", "_")
+    return any(n in low for n in SECRET_NAMES)
+
+
+def _given(text: str) -> list[tuple[int, int, int]]:
+    """``(start of the name, start, end)`` of whole values of at least 6 signs of any kind that are
+    assigned to the name of a secret, in order: what stands in the quotes, or up to white space."""
     out, done = [], 0
-    for m in _CANDIDATE.finditer(text):
+    for sign in _SIGN.finditer(text):
+        if sign.start() < done:
+            continue
+        name = _NAMED.search(text, max(0, sign.start() - _BESIDE), sign.start())
+        if not name or not _secret_name(name[1]) or not (m := _GIVEN.match(text, sign.end())):
+            continue
+        s, e = m.span(next(k for k in ("quoted", "tight", "bare") if m[k] is not None))
+        if m["bare"]:
+            e = s + len(text[s:e].rstrip(",;)]}."))
+        if e - s >= _LEAST_GIVEN:
+            out.append((name.start(1), s, e))
+            done = e
+    return out
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Spans that may be secrets, in order and apart from each other.
+
+    Values assigned to the name of a secret, whole; else runs of at least 16 key characters that
+    hold a digit, have a known format or stand behind an assignment. The name before a ``=`` is no
+    part of the value; a web token is one span, dots included."""
+    given = _given(text)
+    if not given:
+        return _bare(text, 0, len(text))
+    out, at = [], 0
+    for name, s, e in given:
+        out += [*_bare(text, at, name), (s, e)]
+        at = e
+    return out + _bare(text, at, len(text))
+
+
+def _bare(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    out, done = [], start
+    for m in _CANDIDATE.finditer(text, start, end):
         if m.end() <= done:
             continue
         for s, e in _values(text, max(m.start(), done), m.end()):
-            if text.startswith("eyJ", s) and (dotted := _DOTTED.match(text, s)):
+            if text.startswith("eyJ", s) and (dotted := _DOTTED.match(text, s, end)):
                 e = done = dotted.end()
             value = text[s:e]
             if len(value) < _LEAST:
@@ -271,8 +322,9 @@ def findings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def weak_labels(text: str) -> list[tuple[int, int, int | None]]:
     """Candidates with what is certain about them: 1 for a known format of keys and for a value of
-    letters and digits, or quoted, that is assigned to the name of a secret or follows Bearer; 0 for
-    dates, ids, paths and words; None for all others."""
+    letters and digits, or quoted, that is assigned to the name of a secret or follows Bearer, unless
+    it looks like a sentence, a call or an address; 0 for variables, dates, ids, paths and words; None
+    for all others."""
     return [(s, e, _certain(text, s, e)) for s, e in candidates(text)]
 
 
@@ -283,9 +335,13 @@ def _certain(text: str, s: int, e: int) -> int | None:
     if _DATE.fullmatch(value):
         return 0
     m = _ASSIGNED.search(text, near, s)
-    if m and any(n in m[1].lower().replace("-", "_") for n in SECRET_NAMES) or _BEARER.search(text, near, s):
+    if m and _secret_name(m[1]) or _BEARER.search(text, near, s):
         mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-        return 1 if mixed or m and m[2] else None
+        quoted = bool(m and m[2])
+        if _VARIABLE.fullmatch(value) or not quoted and value.isalpha() and value[1:].islower():
+            return 0
+        quoted = quoted and (len(value) >= _LEAST or not value.isalpha())
+        return 1 if (mixed or quoted) and not _OPEN.search(value) else None
     if _ID.fullmatch(value) or _WORDS.fullmatch(value):
         return 0
     return 0 if _DIGEST.fullmatch(value) and _DIGEST_NAME.search(text, near, s) else None
