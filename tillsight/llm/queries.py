@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.llm import (
-    chat_format, embedding_dedup, html_extract, packing, piece_encode, secret_scan, simhash,
-    substring_dedup, topk, toxicity,
+    chat_format, chat_repair, embedding_dedup, filter_audit, html_extract, mixing, packing, piece_encode,
+    secret_scan, simhash, substring_dedup, topk, toxicity,
 )
+from tillsight.llm.check_sql import CHAT_REPAIR_SQL, FILTER_AUDIT_SQL, MIXING_SQL
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: documents of which a score holds out the labels
@@ -114,6 +115,24 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    counts = filter_audit.combinations(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+    return filter_audit.audit(counts)
+
+
+def op12_structure_repair(spark: SparkSession, folder: str) -> DataFrame:
+    repaired = chat_repair.repair(chat_repair.damage(_read(spark, folder, "conversations")))
+    told = chat_repair.digests(repaired.turns).select(
+        F.col("conv_id").alias("_id"), F.col("sha256").alias("repaired_sha256")
+    )
+    rows = repaired.conversations
+    return rows.join(told, rows["conv_id"].eqNullSafe(told["_id"])).drop("_id")
+
+
+def op13_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.taken(mixing.mix(_read(spark, folder, "documents")))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -124,7 +143,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_secret_scan, op3_embedding_dedup, op4_packing, op5_sentencepiece,
-        op6_substring_dedup, op7_simhash_dedup, op8_toxicity, op9_chat_format, op10_top_k, pipeline,
+        op6_substring_dedup, op7_simhash_dedup, op8_toxicity, op9_chat_format, op10_top_k,
+        op11_filter_audit, op12_structure_repair, op13_source_mixing, pipeline,
     )
 }
 
@@ -204,4 +224,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_embedding_dedup": EMBEDDING_DEDUP_SQL,
     "op6_substring_dedup": SUBSTRING_DEDUP_SQL,
     "op10_top_k": TOP_K_SQL,
+    "op11_filter_audit": FILTER_AUDIT_SQL,
+    "op12_structure_repair": CHAT_REPAIR_SQL,
+    "op13_source_mixing": MIXING_SQL,
 }
