@@ -31,6 +31,38 @@ def test_tables_equal_the_steps(spark, built):
         assert built[name].exceptAll(step).isEmpty() and step.exceptAll(built[name]).isEmpty()
 
 
+def test_lines_are_read_once(spark, tmp_path, monkeypatch):
+    """Audits, parameters and baskets come out of one pass over the lines."""
+    tx = stages(spark, "/root/testdata/sf0.001").transactions
+    tx.write.parquet(f"{tmp_path}/lines")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def load(*args):
+        loaded = load_transactions(*args)
+        return loaded.mapInArrow(counted, loaded.schema)
+
+    monkeypatch.setattr("tillsight.plans.build.load_transactions", load)
+    tables = build(spark, f"{tmp_path}/lines", f"{tmp_path}/out")
+    assert read.value == tx.count()
+    params = storage.read_table(spark, f"{tmp_path}/out/project_parameters")
+    assert params.collect() == tables["project_parameters"].collect()
+    expected = stages(spark, "/root/testdata/sf0.001").params
+    assert tables["project_parameters"].first()["holdout_end_day"] == expected.holdout_end_day
+
+
+def test_a_failed_build_leaves_the_tables(spark, tmp_path):
+    lines(spark, dict(), dict(store_id=9)).write.parquet(f"{tmp_path}/lines")
+    before = storage.write_table(spark.range(4), f"{tmp_path}/out/fact_basket")
+    with pytest.raises(ValueError, match="basket of several"):
+        build(spark, f"{tmp_path}/lines", f"{tmp_path}/out")
+    assert storage.read_table(spark, f"{tmp_path}/out/fact_basket").count() == before.count() == 4
+
+
 def test_profiles_are_complete(built):
     households = built["bgnbd_model_input"].count()
     assert built["profiles"].count() == households

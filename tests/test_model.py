@@ -198,3 +198,56 @@ def test_scores_and_evaluation(spark, data):
     for row in (exact, weighted):
         assert row["p50"] == pytest.approx(gain.mean(), abs=0.5 * error)
         assert row["p97_5"] - row["p2_5"] == pytest.approx(2 * 1.96 * error, rel=0.25)
+
+
+def test_draws_split_over_blocks_add_up(monkeypatch):
+    """Every block finds its draws alone; together each replicate has as many as there are rows, spread
+    as a multinomial."""
+    monkeypatch.setattr(evaluate, "BLOCK_ROWS", 10)
+    rows, replicates = 137, 4000
+    counts = np.array([evaluate.block_draws(b, rows, replicates, 5) for b in range(14)])
+    assert (counts.sum(0) == rows).all() and (counts >= 0).all()
+    sizes = np.array([10] * 13 + [7])
+    np.testing.assert_allclose(counts.mean(1), sizes, atol=0.25)
+    np.testing.assert_allclose(counts.var(1), sizes * (1 - sizes / rows), rtol=0.12)
+    together = np.cov(counts)[0, 1:13]
+    np.testing.assert_allclose(together.mean(), -100 / rows, atol=0.2)
+
+
+def test_sums_of_a_block_are_those_of_its_draws(monkeypatch):
+    monkeypatch.setattr(evaluate, "DRAWN_REPLICATES", 7)
+    draws = evaluate.block_draws(0, 40, 50, 3)
+    ones = evaluate.block_sums(0, np.ones(40), 40, 50, 3)
+    np.testing.assert_array_equal(ones, draws)
+    gains = np.arange(40.0) ** 2
+    sums = np.array([evaluate.block_sums(0, gains, 40, 50, s) for s in range(80)]).ravel()
+    assert sums.mean() / 40 == pytest.approx(gains.mean(), rel=0.02)
+    assert sums.std() == pytest.approx(gains.std() * math.sqrt(40), rel=0.05)
+
+
+def test_counter_draws_are_uniform_and_unrelated():
+    keys = np.array([1, 2, 3, -1, 2**33 + 1, 2**33 + 2] + list(range(1000, 1200)))
+    draws = evaluate.counter_draws(keys, 3000, 42).astype(float) / 2**32
+    assert len(np.unique(draws)) > 0.999 * draws.size
+    np.testing.assert_allclose(draws.mean(1), 0.5, atol=0.03)
+    related = np.corrcoef(draws) - np.eye(len(keys))
+    assert np.abs(related).max() < 0.1 and abs(related.mean()) < 0.002
+    assert not (evaluate.counter_draws(keys, 10, 43) == evaluate.counter_draws(keys, 10, 42)).any()
+    bounds = np.array(evaluate.poisson_bounds(), float) / 2**32
+    weights = np.searchsorted(bounds, draws, side="right")
+    assert weights.mean() == pytest.approx(1, abs=0.01) and weights.var() == pytest.approx(1, abs=0.02)
+
+
+@pytest.mark.parametrize("method", ["multinomial", "poisson"])
+def test_bootstrap_does_not_depend_on_partitions(spark, data, method, monkeypatch):
+    monkeypatch.setattr(evaluate, "BLOCK_ROWS", 64)
+    pdf, df = data
+    scored = evaluate.score(df, THETA).withColumn("actual_holdout_baskets", F.col("frequency") % 7)
+    got = [
+        evaluate.bootstrap_mae_improvement(frame, replicates=50, method=method).collect()[0].asDict()
+        for frame in (scored.repartition(2), scored.repartition(9).orderBy(F.rand(1)))
+    ]
+    for name, value in got[0].items():
+        assert got[1][name] == (value if isinstance(value, str) else pytest.approx(value, rel=1e-9))
+    plan = evaluate.bootstrap_means(scored, 50, 42, method)._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan and "SortMergeJoin" not in plan and "NestedLoop" not in plan

@@ -24,7 +24,7 @@ def con():
 
 def test_every_check_has_a_query():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"bgnbd_fit", "bgnbd_summary"}
+    assert set(QUERIES) - set(SQL) == {"bgnbd_fit", "bgnbd_summary", "bootstrap_points"}
 
 
 def test_entry(spark):

@@ -1,4 +1,4 @@
-"""Order statistics against pandas, on random and skewed data, on every execution path."""
+"""Order statistics against pandas, on random, skewed and odd data."""
 
 import numpy as np
 import pandas as pd
@@ -27,41 +27,90 @@ def frame(spark, **columns):
     return spark.createDataFrame(pd.DataFrame({"household_key": np.arange(n, dtype="int32"), **columns}))
 
 
-@pytest.mark.parametrize("limit", [10**9, 10_000, 10])
-def test_quantiles(spark, limit):
-    """The built-in percentile, the two-scan form, and its distributed ranking agree."""
-    groups = np.array(["a", "b", "c"])[np.arange(9000) % 3]
+@pytest.mark.parametrize("bins", [2, 16, 4096])
+def test_quantiles(spark, monkeypatch, bins):
+    """However finely a round divides, the answer is exact."""
+    monkeypatch.setattr(ordering, "BINS", bins)
+    groups = np.array(["a", "b", None])[np.arange(9000) % 3]
     values, other = skewed(9000), np.random.default_rng(3).normal(size=9000)
     other[::50] = np.nan
     df = frame(spark, g=groups, v=values, w=other).withColumn("w", F.nanvl("w", F.lit(None)))
-    got = ordering.quantiles(df.repartition(6), ["v", "w"], PROBS, ["g"], limit).collect()
+    got = ordering.quantiles(df.repartition(6), ["v", "w"], PROBS, ["g"]).collect()
     assert len(got) == 6
-    source = pd.DataFrame({"g": groups, "v": values, "w": other})
+    source = pd.DataFrame({"g": groups, "v": values, "w": other}).fillna({"g": "none"})
     for row in got:
-        expected = source[source.g == row["g"]][row["metric"]].quantile(PROBS).to_numpy()
+        expected = source[source.g == (row["g"] or "none")][row["metric"]].quantile(PROBS).to_numpy()
         np.testing.assert_allclose(row["q"], expected, rtol=1e-12, atol=1e-12)
 
 
-def test_quantiles_when_the_bracket_misses(spark, monkeypatch):
-    """A useless sketch must widen the bracket, not change the answer."""
-    monkeypatch.setattr(ordering, "SKETCH_ACCURACY", 2)
-    values = np.random.default_rng(5).normal(size=4000)
-    row = ordering.quantiles(frame(spark, v=values), ["v"], PROBS, (), 10).collect()[0]
-    np.testing.assert_allclose(row["q"], np.quantile(values, PROBS), rtol=1e-12, atol=1e-12)
+@pytest.mark.parametrize(
+    "values",
+    [
+        [3.0], [2.0, 1.0, 5.0], [0.0, -0.0, 0.0], [7.0] * 40,
+        [1e308, -1e308, 5e-324, -5e-324, 0.0, 1.0, np.inf, -np.inf],
+        list(2.0 ** np.arange(-1000, 1000, 7)), list(-(2.0 ** np.arange(-30, 30))),
+        list(np.nextafter(8.0, [0, 9]).repeat(5)) + [8.0], list(1 + np.arange(3000) * 2.0**-52),
+    ],
+)
+def test_quantiles_of_few_and_odd_values(spark, values):
+    got = ordering.quantiles(frame(spark, v=np.array(values)), ["v"], [0.0, 0.25, 0.5, 1.0]).collect()[0]["q"]
+    at = np.array([0.0, 0.25, 0.5, 1.0]) * (len(values) - 1)
+    ordered = np.sort(values)
+    low, high = ordered[np.floor(at).astype(int)], ordered[np.ceil(at).astype(int)]
+    with np.errstate(invalid="ignore"):
+        between = np.where(low == high, low, (np.ceil(at) - at) * low + (at - np.floor(at)) * high)
+    np.testing.assert_array_equal(got, between)
+
+
+def test_quantiles_of_millions(spark):
+    """The same way as for three rows: a few passes, nothing sorted, nothing ranked."""
+    df = spark.range(3_000_000).select(
+        (F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 3_000_000 / 7).alias("v"),
+        F.when(F.col("id") % 5 == 0, F.log1p("id")).alias("w"),
+    )
+    got = {(r["g"], r["metric"]): r["q"] for r in ordering.quantiles(df, ["v", "w"], [0.1, 0.5], ["g"]).collect()}
+    i = np.arange(3_000_000)
+    v, w = (i * 7919) % 3_000_000 / 7, np.log1p(i)
+    for g in range(3):
+        np.testing.assert_allclose(got[g, "v"], np.quantile(v[i % 3 == g], [0.1, 0.5]), rtol=1e-14)
+        np.testing.assert_allclose(got[g, "w"], np.quantile(w[(i % 3 == g) & (i % 5 == 0)], [0.1, 0.5]), rtol=1e-12)
+
+
+def test_quantiles_of_nothing(spark):
+    df = frame(spark, v=np.array([1.0])).withColumn("v", F.lit(None).cast("double"))
+    assert ordering.quantiles(df, ["v"], [0.5], ["household_key"]).collect() == []
+    assert ordering.quantile_columns(df, {"m": ("v", 0.5)}).collect()[0]["m"] is None
 
 
 def test_position(spark):
     values = skewed(5000)
     df = frame(spark, v=values).repartition(7)
-    got = ordering.with_position(df, F.asc("v"), F.asc("household_key")).orderBy("household_key").toPandas()
+    key = "household_key"
+    got = ordering.with_position(df, F.asc("v"), F.asc(key), key=key).orderBy(key).toPandas()
     np.testing.assert_array_equal(got["position"], pd.Series(values).rank(method="first").astype(int) - 1)
-    back = ordering.with_position(df, F.desc("v"), F.asc("household_key")).toPandas()
+    back = ordering.with_position(df, F.desc("v"), F.asc(key), key=key).toPandas()
     assert sorted(back["position"]) == list(range(5000))
     top = back.sort_values("position").head(1700)["household_key"]
     expected = pd.DataFrame({"v": values}).nlargest(1700, "v").index
     assert list(top) == list(expected)
 
 
+def test_only_key_and_place_are_written(spark, monkeypatch):
+    written, made = [], ordering.materialize
+
+    def kept(df, label):
+        written.append(sorted(df.columns))
+        return made(df, label)
+
+    monkeypatch.setattr(ordering, "materialize", kept)
+    df = frame(spark, v=skewed(50), w=np.arange(50.0), x=np.ones(50))
+    got = describe.rank_bucket(df, "v", 5, "b")
+    assert got.columns == [*df.columns, "b"] and written == [["_place", "household_key"]]
+    named = df.withColumn("household_key", F.when(F.col("household_key") > 0, F.col("household_key")))
+    placed = ordering.with_position(named, F.asc_nulls_first("household_key"), key="household_key").collect()
+    assert {r["household_key"]: r["position"] for r in placed} == {None: 0, **{i: i for i in range(1, 50)}}
+
+
 def test_position_of_a_hot_value_spreads(spark):
     """Rows that share one value still end up in several partitions."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

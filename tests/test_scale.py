@@ -1,13 +1,16 @@
 """Hot keys give the same answers, and plans keep the shape that large tables need."""
 
+import os
 import re
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.lines import lines, week_of
-from tillsight.operators import audit, baskets, features, holdout
+from tillsight.functions import columns
+from tillsight.operators import audit, baskets, checks, features, holdout
 from tillsight.plans.stages import stages
 from tillsight.sources import storage
 
@@ -80,10 +83,51 @@ def test_literal_period_reaches_the_scan(spark):
     assert re.search(r"Filter .*basket_day#\d+ <= 711", text)
 
 
-def test_features_take_one_shuffle(spark):
+def test_features_combine_by_bucket_and_by_household(spark):
+    """Two exchanges of rows that are combined before them; nothing runs while the plan is made."""
     s = stages(spark, FOLDER)
-    assert plan(features.customer_features(s.fact_basket, s.params)).count("Exchange hashpartitioning") == 1
-    assert plan(holdout.holdout_activity(s.fact_basket, s.params)).count("Exchange hashpartitioning") == 1
+    s.fact_basket, s.params
+    for build in (features.customer_features, holdout.holdout_activity):
+        text = plan(build(s.fact_basket, s.params))
+        exchanges = re.findall(r"Exchange hashpartitioning\((.*?), 8\)", text)
+        assert ["_groupingexpression" in e or "bucket" in e for e in exchanges] == [False, True]
+        assert "Expand" not in text and "collect_set" not in text and text.count("FileScan") == 1
+
+
+def test_weeks_and_days_have_no_range(spark):
+    """Bitmaps count weeks 1 to 10,000 and negative ones, and days beyond 16 bits."""
+    days = [(d, (d - 1) // 7 + 1) for d in range(1, 70_001, 5)] + [(-3, -40), (-3, -40), (0, 0), (None, None)]
+    rows = [(i, h, d, w) for h in (1, 2) for i, (d, w) in enumerate(days) if h == 1 or i % 3 == 0]
+    df = spark.createDataFrame(rows, "basket_id long, household_key int, basket_day int, basket_week int")
+    day, week = F.col("basket_day"), F.col("basket_week")
+    for value in (day, week):
+        got = (
+            df.groupBy("household_key", columns.bitmap_bucket(value).alias("bucket"))
+            .agg(columns.bitmap(value).alias("bits"))
+            .groupBy("household_key").agg(columns.bitmap_values("bits").alias("n"))
+        )
+        expected = df.groupBy("household_key").agg(F.countDistinct(value).alias("n"))
+        assert sorted(got.collect()) == sorted(expected.collect())
+    fact = stages(spark, FOLDER).fact_basket
+    wide = df.where("basket_day > 0 AND basket_day <= 32767").select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(True) if f.dataType.typeName() == "boolean" else F.lit(1))
+            .cast(f.dataType).alias(f.name)
+            for f in fact.schema
+        ]
+    )
+    params = replace(
+        stages(spark, FOLDER).params, in_sample_end_day=20_000, holdout_start_day=20_001, holdout_end_day=32_767
+    )
+    cf = {r["household_key"]: r["active_weeks"] for r in features.customer_features(wide, params).collect()}
+    ha = {r["household_key"]: r for r in holdout.holdout_activity(wide, params).collect()}
+    for h in (1, 2):
+        held = {(d, w) for _, k, d, w in rows if k == h and d}
+        assert cf[h] == len({w for d, w in held if 0 < d <= 20_000})
+        late = [(d, w) for d, w in held if 20_000 < d <= 32_767]
+        assert ha[h]["actual_holdout_purchase_days"] == len({d for d, _ in late})
+        assert ha[h]["actual_holdout_active_weeks"] == len({w for _, w in late})
+        assert ha[h]["actual_holdout_baskets"] == len(late)
 
 
 def test_basket_fact_spreads_a_basket_by_product_first(spark):
@@ -161,3 +205,52 @@ def test_release_deletes_the_folder(spark, tmp_path, monkeypatch):
     storage.release(spark)
     assert not (tmp_path / "app").exists()
     assert stages(spark, "/root/testdata/sf0.001") is not before
+
+
+def test_a_table_is_switched_at_once(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        storage.read_table(spark, path)
+    first = storage.write_table(spark.range(5), path)
+    second = storage.write_table(spark.range(7), path)
+    assert (first.count(), second.count(), storage.read_table(spark, path).count()) == (5, 7, 7)
+    broken = spark.range(9).withColumn("id", F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("no"))))
+    with pytest.raises(Exception, match="no"):
+        storage.write_table(broken, path)
+    with pytest.raises(ValueError, match="refused"):
+        storage.write_table(spark.range(3), path, lambda df: checks.require_none(df, "refused"))
+    assert sorted(r.id for r in storage.read_table(spark, path).collect()) == list(range(7))
+    # what a writer left that died before the switch is not read, and goes with the next write
+    spark.range(2).write.parquet(f"{path}/v00000009-0123abcd")
+    assert storage.read_table(spark, path).count() == 7
+    assert storage.write_table(spark.range(11), path).count() == 11
+    assert storage.read_table(spark, path).count() == 11 and second.count() == 7
+    assert len([p for p in os.listdir(path) if p.startswith("v")]) == 2
+
+
+def test_upsert_onto_the_table_itself(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = "k int, v string"
+    storage.write_table(spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], schema), path)
+    new = spark.createDataFrame([(2, "B"), (3, "c"), (None, "N")], schema)
+    got = storage.upsert_table(new, path, "k")
+    expected = [(None, "N"), (None, "n"), (1, "a"), (2, "B"), (3, "c")]
+    for df in (got, storage.read_table(spark, path)):
+        assert sorted((tuple(r) for r in df.collect()), key=str) == sorted(expected, key=str)
+    bad = new.withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        storage.upsert_table(bad, path, "k")
+    assert storage.read_table(spark, path).count() == 5
+    # and from the table itself
+    storage.upsert_table(storage.read_table(spark, path).where("k = 3").withColumn("v", F.lit("C")), path, "k")
+    assert {r.k: r.v for r in storage.read_table(spark, path).where("k > 1").collect()} == {2: "B", 3: "C"}
+
+
+def test_rules_are_observed_while_rows_are_written(spark, tmp_path):
+    watch = checks.Watch(
+        spark.range(10), {"no sevens": F.col("id") == 7, "no twenties": F.col("id") > 19}, {"most": F.max("id")}
+    )
+    storage.write_table(watch.rows, str(tmp_path / "t"))
+    assert watch.values() == {"most": 9}
+    with pytest.raises(ValueError, match="^no sevens$"):
+        watch.require()

@@ -57,19 +57,26 @@ def percent(part: Column, whole: Column, decimals: int) -> Column:
     return scaled(half_up_quotient(part * 100, whole, decimals), decimals, 7 + decimals)
 
 
-def distinct_in_range(value: Column, low: int, high: int) -> Column:
-    """``COUNT(DISTINCT value)`` for whole numbers known to lie in ``low..high``.
+# Values that one long of a bitmap tells apart.
+BITMAP_BITS = 63
 
-    The values seen are kept as bits of a few longs, so the count combines on the map side in
-    fixed space and costs no extra shuffle, unlike a distinct aggregate.
+
+def bitmap_bucket(value: Column) -> Column:
+    """Number of the long of a bitmap in which a whole number has its bit, NULL for NULL.
+
+    Rows are grouped by it, so a bitmap is as many rows as it needs and the numbers have no range:
+    :func:`bitmap` combines on the map side, and the distinct values are the bits of all buckets.
     """
-    words = (high - low) // 63 + 1
-    place = value.cast("int") - low
-    total = F.lit(0)
-    for word in range(words):
-        bit = F.when(
-            (place >= 63 * word) & (place < 63 * (word + 1)),
-            F.call_function("shiftleft", F.lit(1).cast("bigint"), place - 63 * word),
-        )
-        total = total + F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0))
-    return total
+    wide = value.cast("bigint")
+    return F.call_function("div", wide - F.pmod(wide, F.lit(BITMAP_BITS)), F.lit(BITMAP_BITS).cast("bigint"))
+
+
+def bitmap(value: Column) -> Column:
+    """Aggregate: the values of a bucket as bits."""
+    place = F.pmod(value.cast("bigint"), F.lit(BITMAP_BITS)).cast("int")
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
+
+
+def bitmap_values(bits: Column | str) -> Column:
+    """Aggregate over the buckets of one bitmap: how many distinct values it holds."""
+    return F.coalesce(F.sum(F.bit_count(bits)), F.lit(0)).cast("bigint")

@@ -1,28 +1,27 @@
 """Exact order statistics that stay spread over the cluster.
 
-Rows are range-partitioned in the wanted order and written with the place each has in its own
+Places: keys are range-partitioned in the wanted order and written with the place each has in its own
 partition; the number of rows in the partitions before, one small table, turns the local place
-into a global one. No step sorts or buffers a whole column in one task.
+into a global one. Quantiles: histograms that merge are refined around the wanted ranks until one value
+is left. No step sorts or buffers a whole column in one task.
 """
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
 from collections.abc import Sequence
 
+import pyarrow as pa
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillsight.sources.storage import materialize
 
-# Up to this many rows may be ordered or held by one task.
-LOCAL_VALUES = 200_000
-# Up to this many rows, a lookup table may be broadcast.
-BROADCAST_ROWS = 500_000
-# Rank error of the approximate quantiles, as one part in this many, and the distances to both
-# sides of a quantile within which it is then looked for; the last one takes in every row.
-SKETCH_ACCURACY = 10_000
-BRACKET_MARGINS = (2 / SKETCH_ACCURACY, 20 / SKETCH_ACCURACY, 1.0)
+# Equal parts that a range of values is cut into when a histogram is refined.
+BINS = 4096
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, place in the partition below
 
@@ -34,35 +33,53 @@ def _before(total: str, *groups: str, order: str | Sequence[str]) -> Column:
     return F.coalesce(running, F.lit(0))
 
 
-def with_position(df: DataFrame, *order: Column | str, name: str = "position") -> DataFrame:
-    """Adds the 0-based place of each row in the global order.
+def _offsets(stored: DataFrame) -> DataFrame:
+    """Rows (_part, _rows, _before): one per partition of the range exchange."""
+    return (
+        stored.groupBy(F.shiftright("_place", _LOCAL_BITS).alias("_part"))
+        .agg(F.count("*").alias("_rows"))
+        .withColumn("_before", _before("_rows", order="_part"))
+    )
+
+
+def ordered(df: DataFrame, *order: Column | str, keep: Sequence[str]) -> DataFrame:
+    """Stored rows of the columns ``keep`` with the place that each has in its own partition.
 
     The order must end in a unique key: that fixes the answer and lets a value shared by very many
     rows spread over several partitions.
     """
-    ranged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    stored = materialize(ranged, "ordered")
-    part = F.shiftright("_place", _LOCAL_BITS)
-    # one row per partition of the range exchange
-    offsets = (
-        stored.groupBy(part.alias("_part"))
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_before", _before("_rows", order="_part"))
-        .select("_part", "_before")
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return materialize(
+        ranged.select(*keep, F.monotonically_increasing_id().alias("_place")), "ordered"
     )
+
+
+def global_place(stored: DataFrame, name: str = "position") -> DataFrame:
+    """The stored rows with their 0-based place among all."""
     local = F.col("_place").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     return (
-        stored.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
+        stored.withColumn("_part", F.shiftright("_place", _LOCAL_BITS))
+        .join(F.broadcast(_offsets(stored).select("_part", "_before")), "_part")
         .withColumn(name, F.col("_before") + local)
         .drop("_part", "_before", "_place")
     )
 
 
+def with_position(df: DataFrame, *order: Column | str, key: str, name: str = "position") -> DataFrame:
+    """Adds the 0-based place of each row in the global order, which must end in the unique ``key``.
+
+    Only the key and its place are written; they are joined back to the row.
+    """
+    placed = global_place(ordered(df, *order, keep=[key]), name)
+    return joined_back(df, placed, key)
+
+
+def joined_back(df: DataFrame, made: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` with what was made for their key, a NULL key included."""
+    made = made.withColumnRenamed(key, "_key")
+    return df.join(made, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+
+
 def quantile_cuts(rows: int, buckets: int) -> list[float]:
     """Where equally spaced quantiles of the ranks 1..rows fall, in the floating-point steps of
     linear interpolation: some cuts that should be a whole rank miss it by a rounding."""
@@ -194,10 +211,6 @@ def spearman(df: DataFrame, a: str, b: str) -> DataFrame:
     return spearman_pairs(df, [(a, b)]).select("n", "correlation")
 
 
-def _literals(probs: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(p)) for p in probs])
-
-
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows (by..., metric, value) for each of the columns, as doubles."""
     pairs = F.array(
@@ -209,121 +222,153 @@ def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataF
     return df.select(*by, F.inline(pairs))
 
 
-def _sketch(
-    long: DataFrame, probs: Sequence[float], keys: list[str], margin: float
-) -> DataFrame:
-    """Rows (keys..., _total, _b): size of a group, and a bracket (_i, _low, _high) around each
-    wanted quantile.
+def _binade(value: Column) -> Column:
+    """First bin of a value: its sign and power of two, in the order of the values."""
+    power = 1100 + F.floor(F.least(F.log2(F.abs(value)), F.lit(1100.0)))
+    return (
+        F.when(F.isnan(value), 5000).when(value == 0, 0).when(value > 0, power).otherwise(-power).cast("int")
+    )
 
-    The brackets are the approximate quantiles ``margin`` to both sides, whose rank error is far
-    smaller.
-    """
-    k = len(probs)
-    sides = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
-    found = long.groupBy(*keys).agg(
-        F.count("*").alias("_total"),
-        F.percentile_approx("value", _literals(sides), SKETCH_ACCURACY).alias("_s"),
-        F.min("value").alias("_min"),
-        F.max("value").alias("_max"),
+
+def _part(value: Column) -> Column:
+    """Bin of a value within a range: the ends never share one, so every step narrows."""
+    share = (value - F.col("_low")) / (F.col("_high") - F.col("_low"))
+    return F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+
+
+def _histogram(rows: DataFrame, *groups: Column | str) -> DataFrame:
+    return rows.groupBy(*groups).agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
     )
-    brackets = [
-        F.struct(
-            F.lit(i).alias("_i"),
-            (F.col("_s")[i] if p > margin else F.col("_min")).alias("_low"),
-            (F.col("_s")[k + i] if p < 1 - margin else F.col("_max")).alias("_high"),
-        )
-        for i, p in enumerate(probs)
-    ]
-    return found.select(*keys, "_total", F.array(*brackets).alias("_b"))
 
 
-def _near_quantiles(long: DataFrame, sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows (keys..., _i, _below, value, n): per bracket, how many rows lie below it, and the counts
-    of the values inside it. Rows below collapse before the shuffle, rows above are dropped."""
-    below = F.col("value") < F.col("_low")
+def _found(histogram: DataFrame, groups: list[str], ranks: Column) -> DataFrame:
+    """Rows (groups..., _total, rank, below, low, high): the bin that holds each wanted rank.
+
+    A group has a bounded number of bins, so its running total is a small window.
+    """
+    counted = histogram.withColumns(
+        {"below": _before("n", *groups, order="bin"), "_total": F.sum("n").over(Window.partitionBy(*groups))}
+    )
+    inside = (F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("n"))
     return (
-        long.join(F.broadcast(sketch.select(*keys, "_b")), keys)  # one row per group
-        .select(*keys, "value", F.inline("_b"))
-        .filter(F.col("value") <= F.col("_high"))
-        .groupBy(*keys, "_i", below.alias("_below"), F.when(~below, F.col("value")).alias("value"))
-        .agg(F.count("*").alias("n"))
+        counted.withColumn("rank", F.explode(ranks))
+        .where(inside)
+        .select(*groups, "_total", "rank", "below", "low", "high")
     )
 
 
-def _bracketed_quantiles(
-    long: DataFrame, probs: Sequence[float], keys: list[str], few_values: int
-) -> DataFrame:
-    """Exact quantiles from two scans: approximate brackets, then the places inside them."""
-    at = _literals(probs)[F.col("_i")] * (F.col("_total") - 1)
-    for margin in BRACKET_MARGINS:
-        sketch = materialize(_sketch(long, probs, keys, margin), "sketch")
-        near = materialize(_near_quantiles(long, sketch, keys), "brackets")
-        reach = (
-            near.groupBy(*keys, "_i")
-            .agg(
-                F.coalesce(F.sum(F.when(F.col("_below"), F.col("n"))), F.lit(0)).alias("_start"),
-                F.sum("n").alias("_end"),
+def _neighbours(prob: float, total) -> tuple:
+    at = prob * (total - 1)
+    return at, math.floor(at), math.ceil(at)
+
+
+def _settled(low: float, high: float) -> bool:
+    return low == high or (math.isnan(low) and math.isnan(high))
+
+
+def order_statistics(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
+) -> dict[tuple, tuple[int, dict[int, float]]]:
+    """Exact values at the ranks around each quantile: (by..., column) to the number of values and
+    a value per rank.
+
+    Round by round a histogram of the rows that still matter is counted, which combines on the
+    map side, and the bins that hold a wanted rank become the ranges of the next round. The first bins are
+    powers of two, later ones equal parts, so a handful of rounds reaches one value whatever the
+    distribution; bins keep their least and greatest value, so few values end it sooner. Only the bins
+    with a wanted rank reach the driver, a few per group, column and quantile.
+    """
+    keys = [*by, "metric"]
+    long = melt(df, columns, by).filter(F.col("value").isNotNull())
+    total = F.col("_total")
+    wanted = F.array_distinct(
+        F.flatten(
+            F.array(
+                *[F.array(F.floor(at).cast("long"), F.ceil(at).cast("long")) for at in (F.lit(float(p)) * (total - 1) for p in probs)]
             )
-            .join(F.broadcast(sketch.select(*keys, "_total")), keys)
-            .withColumn("_at", at)
         )
-        missed = reach.filter(
-            (F.floor("_at") < F.col("_start")) | (F.ceil("_at") >= F.col("_end"))
+    )
+    first = _histogram(long, *keys, _binade(F.col("value")).alias("bin"))
+    totals: dict[tuple, int] = {}
+    values: dict[tuple, dict[int, float]] = defaultdict(dict)
+    ranges: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
+
+    def sort_in(group: tuple, rank: int, row) -> None:
+        """A rank is known, or looked for in the range of its bin; ``below`` counts what lies before it."""
+        if _settled(row["low"], row["high"]):
+            values[group][rank] = row["low"] + 0.0  # one zero
+        else:
+            ranges[group, row["low"], row["high"]].append((rank, row["below"]))
+
+    for row in _found(first, keys, wanted).collect():
+        group = tuple(row[k] for k in keys)
+        totals[group] = row["_total"]
+        sort_in(group, row["rank"], row)
+    group_types = [df.schema[c] for c in by]
+    while ranges:
+        open_, ranges = list(ranges.items()), defaultdict(list)
+        table = small_table(
+            df,
+            [
+                (*group, low, high, i, [rank - below for rank, below in ranks])
+                for i, ((group, low, high), ranks) in enumerate(open_)
+            ],
+            [
+                *[T.StructField(f"_{f.name}", f.dataType) for f in group_types],
+                T.StructField("_metric", T.StringType()), T.StructField("_low", T.DoubleType()),
+                T.StructField("_high", T.DoubleType()), T.StructField("_id", T.IntegerType()),
+                T.StructField("_ranks", T.ArrayType(T.LongType())),
+            ],
         )
-        if missed.isEmpty():
-            break
-    inside = near.filter(~F.col("_below")).drop("_below")
-    group = [*keys, "_i"]
-    if inside.count() <= few_values:
-        placed = inside.withColumn("_from", _before("n", *group, order="value"))
-    else:
-        # places over all groups together, then less the first place of each group
-        ordered = cumulative_counts(inside, order=[*group, "value"])
-        first = ordered.groupBy(*group).agg(F.min("before").alias("_first"))
-        placed = (
-            ordered.join(F.broadcast(first), group)
-            .withColumn("_from", F.col("before") - F.col("_first"))
-            .drop("before", "_first")
+        left = sorted({group[-1] for (group, _, _), _ in open_})
+        rows = melt(df, left, by).filter(F.col("value").isNotNull())
+        same = F.col("metric") == F.col("_metric")
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        within = F.col("value").between(F.col("_low"), F.col("_high"))
+        # a few ranges per group and column
+        inside = rows.join(F.broadcast(table.drop("_ranks")), same & within)
+        refined = _histogram(inside, "_id", _part(F.col("value")).alias("bin")).join(
+            F.broadcast(table.select("_id", "_ranks")), "_id"
         )
-    placed = placed.join(F.broadcast(reach), group).withColumn(
-        "_from", F.col("_from") + F.col("_start")
-    )
+        for row in _found(refined, ["_id"], F.col("_ranks")).collect():
+            (group, _, _), ranks = open_[row["_id"]]
+            for rank, below in ranks:
+                if rank - below == row["rank"]:
+                    sort_in(group, rank, {**row.asDict(), "below": below + row["below"]})
+    return {group: (total, values[group]) for group, total in totals.items()}
 
-    def value_at(place: Column) -> Column:
-        held = (place >= F.col("_from")) & (place < F.col("_from") + F.col("n"))
-        return F.max(F.when(held, F.col("value")))
 
-    low, high = F.col("_low"), F.col("_high")
-    between = (F.ceil("_at") - F.col("_at")) * low + (F.col("_at") - F.floor("_at")) * high
-    found = (
-        placed.groupBy(*group, "_at")
-        .agg(value_at(F.floor("_at")).alias("_low"), value_at(F.ceil("_at")).alias("_high"))
-        .withColumn("_q", F.when(low == high, low).otherwise(between))
-    )
-    # as many entries as probabilities
-    entries = F.array_sort(F.collect_list(F.struct("_i", "_q")))
-    return found.groupBy(*keys).agg(F.transform(entries, lambda e: e["_q"]).alias("q"))
+def small_table(df: DataFrame, rows: list[tuple], fields: list[T.StructField]) -> DataFrame:
+    """Rows of the driver as a table of the session of ``df``."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = T.StructType(fields)
+    names = schema.names
+    table = pa.Table.from_pylist([dict(zip(names, row)) for row in rows], to_arrow_schema(schema))
+    return df.sparkSession.createDataFrame(table, schema=schema)
 
 
 def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    local_values: int | None = None,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Linearly interpolated quantiles: rows by..., ``metric``, ``q`` (an array). NULLs are left out.
 
-    ``by`` holds labels with few distinct combinations. ``df`` is read more than once, so it
-    should be a stored table or close to one. A table of few rows goes to the built-in percentile,
-    which holds all values of a group in one task; a larger one takes two scans and no sort.
+    ``by`` holds labels with few distinct combinations. ``df`` is read a few times, so it should be
+    a stored table or close to one. See :func:`order_statistics`; the way is the same at every size.
     """
-    limit = LOCAL_VALUES if local_values is None else local_values
-    keys = [*by, "metric"]
-    long = melt(df, columns, by).filter(F.col("value").isNotNull())
-    if df.count() * len(columns) <= limit:
-        return long.groupBy(*keys).agg(F.percentile("value", _literals(probs)).alias("q"))
-    return _bracketed_quantiles(long, probs, keys, limit)
+    rows = []
+    for group, (total, values) in order_statistics(df, columns, probs, by).items():
+        found = []
+        for prob in probs:
+            at, below, above = _neighbours(float(prob), total)
+            low, high = values[below], values[above]
+            found.append(low if low == high else (above - at) * low + (at - below) * high)
+        rows.append((*group, found))
+    fields = [T.StructField(c, df.schema[c].dataType) for c in by]
+    fields += [T.StructField("metric", T.StringType()), T.StructField("q", T.ArrayType(T.DoubleType()))]
+    return small_table(df, rows, fields)
 
 
 def count_quantiles(counts: DataFrame, wanted: dict[str, float]) -> DataFrame:

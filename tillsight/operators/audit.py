@@ -6,7 +6,7 @@ distinct column on its own, so no plan multiplies the receipt lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillsight.functions.columns import (
@@ -385,11 +385,13 @@ def trans_time_range(tx: DataFrame) -> DataFrame:
     )
 
 
-def invalid_hhmm(tx: DataFrame) -> DataFrame:
+def not_a_clock_time() -> Column:
     time = F.col("trans_time")
-    return tx.agg(
-        count_where((time < 0) | (time > 2359) | (time % 100 > 59)).alias("invalid_hhmm_values")
-    )
+    return (time < 0) | (time > 2359) | (time % 100 > 59)
+
+
+def invalid_hhmm(tx: DataFrame) -> DataFrame:
+    return tx.agg(count_where(not_a_clock_time()).alias("invalid_hhmm_values"))
 
 
 def multi_time_baskets(tx: DataFrame) -> DataFrame:

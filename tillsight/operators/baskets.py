@@ -12,16 +12,20 @@ from tillsight.schema import FACT_BASKET, PROJECT_PARAMETERS, Params
 KEYS = ["household_key", "basket_id"]
 
 
-def project_parameters(
-    tx: DataFrame, in_end: int = 78, ho_start: int = 79, ho_end: int = 102, weeks: int = 24
-) -> DataFrame:
-    """The parameter row: week bounds as given, day bounds as observed in those weeks."""
+def period_bounds(in_end: int = 78, ho_start: int = 79, ho_end: int = 102) -> dict[str, Column]:
+    """Days that bound the periods, as aggregates of receipt lines."""
     week, day = F.col("week_no"), F.col("day")
-    bounds = tx.filter(week.isin(in_end, ho_start, ho_end)).agg(
-        F.max(F.when(week == in_end, day)).alias("in_sample_end_day"),
-        F.min(F.when(week == ho_start, day)).alias("holdout_start_day"),
-        F.max(F.when(week == ho_end, day)).alias("holdout_end_day"),
-    )
+    return {
+        "in_sample_end_day": F.max(F.when(week == in_end, day)),
+        "holdout_start_day": F.min(F.when(week == ho_start, day)),
+        "holdout_end_day": F.max(F.when(week == ho_end, day)),
+    }
+
+
+def parameter_row(
+    bounds: DataFrame, in_end: int = 78, ho_start: int = 79, ho_end: int = 102, weeks: int = 24
+) -> DataFrame:
+    """The parameter row from one row of :func:`period_bounds`."""
     fixed = {
         "parameter_id": 1,
         "in_sample_end_week": in_end,
@@ -35,6 +39,17 @@ def project_parameters(
     )
 
 
+def project_parameters(
+    tx: DataFrame, in_end: int = 78, ho_start: int = 79, ho_end: int = 102, weeks: int = 24
+) -> DataFrame:
+    """The parameter row: week bounds as given, day bounds as observed in those weeks."""
+    days = period_bounds(in_end, ho_start, ho_end)
+    bounds = tx.filter(F.col("week_no").isin(in_end, ho_start, ho_end)).agg(
+        *[day.alias(name) for name, day in days.items()]
+    )
+    return parameter_row(bounds, in_end, ho_start, ho_end, weeks)
+
+
 def read_params(parameters: DataFrame) -> Params:
     """The one parameter row on the driver."""
     return Params.from_row(parameters.filter(F.col("parameter_id") == 1).first())
@@ -52,9 +67,17 @@ def parameter_validation(parameters: DataFrame) -> DataFrame:
     )
 
 
-def fact_basket(tx: DataFrame) -> DataFrame:
+# Attributes that a basket has one value of, by their columns in the lines.
+ONE_PER_BASKET = {"day": "day", "week": "week_no", "store": "store_id"}
+
+
+def fact_basket(tx: DataFrame, audited: bool = False) -> DataFrame:
     """One row per household and basket, by two aggregations.
 
+    With ``audited``, further columns ``several_day``, ``several_week`` and ``several_store`` tell
+    whether the basket's lines differ there.
+
+
     The first is by product within the basket: the lines of a basket of any size spread over all
     tasks by product. The second counts the products and adds up the rest, and combines on the map
     side. Money is summed as whole cents: a long sum stays in the fast aggregation buffer.
@@ -74,6 +97,7 @@ def fact_basket(tx: DataFrame) -> DataFrame:
         F.bool_or(F.col("coupon_disc") < 0).alias("with_coupon"),
         F.bool_or(F.col("coupon_match_disc") < 0).alias("with_match"),
         F.bool_or(F.col("quantity") > 0).alias("bought"),
+        *[F.max(column).alias(f"last_{c}") for c, column in ONE_PER_BASKET.items() if audited],
     )
     rows = products.groupBy(*KEYS).agg(
         F.min("day").alias("basket_day"),
@@ -91,6 +115,7 @@ def fact_basket(tx: DataFrame) -> DataFrame:
         F.bool_or("with_coupon").alias("has_manufacturer_coupon"),
         F.bool_or("with_match").alias("has_retail_coupon_match"),
         F.bool_or("bought").alias("is_valid_purchase_basket"),
+        *[(F.min(c) != F.max(f"last_{c}")).alias(f"several_{c}") for c in ONE_PER_BASKET if audited],
     )
     money = {
         "basket_sales_value": F.col("sales"),
@@ -105,7 +130,8 @@ def fact_basket(tx: DataFrame) -> DataFrame:
                 f.name
             )
             for f in FACT_BASKET
-        ]
+        ],
+        *[f"several_{c}" for c in ONE_PER_BASKET if audited],
     )
 
 

@@ -1,11 +1,12 @@
 """Constraint checks and reconciliations. Each returns violations or differences as a table;
-``require_none`` turns a table of violations into an error."""
+``require_none`` turns a table of violations into an error. ``Watch`` checks rows while they are written."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
 
@@ -75,6 +76,34 @@ def check_predicate(df: DataFrame, predicate: Column) -> DataFrame:
     return df.filter(~predicate)
 
 
+class Watch:
+    """Rules that rows must keep, and values they hold, observed in the pass that reads the rows.
+
+    Use ``rows`` in place of the frame, run the one action that reads it, then ask. A rule is a condition
+    that no row may fulfil; values should be least or greatest ones. A task that runs again is seen twice,
+    so counts are only told from zero.
+    """
+
+    def __init__(
+        self, df: DataFrame, rules: Mapping[str, Column], values: Mapping[str, Column] | None = None
+    ):
+        self._seen, self._rules, self._values = Observation(), list(rules), list(values or {})
+        counts = [count_where(rule).alias(f"rule_{i}") for i, rule in enumerate(rules.values())]
+        self.rows = df.observe(
+            self._seen, *counts, *[column.alias(name) for name, column in (values or {}).items()]
+        )
+
+    def require(self) -> None:
+        """Raises, naming the rules, when rows broke some."""
+        seen = self._seen.get
+        broken = [rule for i, rule in enumerate(self._rules) if seen[f"rule_{i}"]]
+        if broken:
+            raise ValueError("; ".join(broken))
+
+    def values(self) -> dict:
+        return {name: self._seen.get[name] for name in self._values}
+
+
 def require_none(violations: DataFrame, rule: str) -> None:
     """Raises, naming a few of them, when there are violations."""
     found = violations.take(3)

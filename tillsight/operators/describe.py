@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.columns import count_where, percent
 from tillsight.functions.ordering import (
+    global_place,
+    joined_back,
     melt,
+    ordered,
     quantile_bucket,
     quantile_columns,
     quantiles,
     spearman_pairs,
-    with_position,
 )
 from tillsight.operators.holdout import MODEL_INPUT
 
@@ -62,17 +64,22 @@ def model_null_counts(mi: DataFrame) -> DataFrame:
     return mi.agg(*[count_where(F.col(c).isNull()).alias(c) for c in REQUIRED])
 
 
-def relationship_violations(mi: DataFrame) -> DataFrame:
+def relationships() -> dict[str, Column]:
+    """Conditions that no purchase history fulfils."""
     x, recency, observed = F.col("frequency"), F.col("recency_days"), F.col("observation_days")
-    return mi.agg(
-        count_where(x < 0).alias("negative_frequency"),
-        count_where(x != F.col("in_sample_baskets") - 1).alias("frequency_not_baskets_minus_one"),
-        count_where(recency < 0).alias("negative_recency"),
-        count_where(observed <= 0).alias("nonpositive_observation"),
-        count_where(recency > observed).alias("recency_above_observation"),
-        count_where((x == 0) & (recency != 0)).alias("one_time_with_recency"),
-        count_where((x > 0) & (recency <= 0)).alias("repeat_without_recency"),
-    )
+    return {
+        "negative_frequency": x < 0,
+        "frequency_not_baskets_minus_one": x != F.col("in_sample_baskets") - 1,
+        "negative_recency": recency < 0,
+        "nonpositive_observation": observed <= 0,
+        "recency_above_observation": recency > observed,
+        "one_time_with_recency": (x == 0) & (recency != 0),
+        "repeat_without_recency": (x > 0) & (recency <= 0),
+    }
+
+
+def relationship_violations(mi: DataFrame) -> DataFrame:
+    return mi.agg(*[count_where(broken).alias(name) for name, broken in relationships().items()])
 
 
 def assert_relationships(mi: DataFrame) -> None:
@@ -260,13 +267,15 @@ def normalized_promotion_checks(df: DataFrame) -> DataFrame:
 
 
 def rank_bucket(df: DataFrame, column: str, buckets: int, name: str) -> DataFrame:
-    """Equal-sized buckets 1.. by value; equal values are taken in key order."""
-    placed = with_position(df, F.asc_nulls_last(column), F.asc("household_key"))
-    rows = df.filter(F.col(column).isNotNull()).count()
-    bucket = F.when(
-        F.col(column).isNotNull(), quantile_bucket(F.col("position"), rows, buckets)
-    )
-    return placed.withColumn(name, bucket.cast("int")).drop("position")
+    """Equal-sized buckets 1.. by value; equal values are taken in key order, NULL has no bucket.
+
+    The key and its place are all that is written and sorted; the bucket is joined back by key.
+    """
+    held = df.filter(F.col(column).isNotNull())
+    keys = ordered(held, F.asc(column), F.asc("household_key"), keep=["household_key"])
+    bucket = quantile_bucket(F.col("position"), keys.count(), buckets).cast("int")
+    placed = global_place(keys).select("household_key", bucket.alias(name))
+    return joined_back(df, placed, "household_key")
 
 
 def sales_quintile(df: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import sys
 
@@ -12,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.ordering import BROADCAST_ROWS, quantile_columns, spearman_pairs, with_position
+from tillsight.functions.ordering import global_place, ordered, quantile_columns, spearman_pairs
 from tillsight.operators.bgnbd import BgnbdParams, expected_purchases, probability_alive
 from tillsight.operators.describe import rank_bucket
 from tillsight.sources.storage import materialize
@@ -23,8 +22,8 @@ MODELS = {
     "Historical-rate baseline": "predicted_holdout_baskets_baseline",
     "BG/NBD": "predicted_holdout_baskets_bgnbd",
 }
-# Draws of eight hex digits that one MD5 of 32 digits gives.
-DRAWS_PER_HASH = 4
+# Households of a block whose draws one task makes, replicates drawn at once, and households weighted at once.
+BLOCK_ROWS, DRAWN_REPLICATES, WEIGHT_ROWS = 8192, 100, 128
 
 
 def rate_baseline(mi: DataFrame) -> DataFrame:
@@ -141,15 +140,10 @@ def decile_calibration(with_decile: DataFrame) -> DataFrame:
 
 def top_share_capture(df: DataFrame, score_column: str, share: float = 0.20) -> DataFrame:
     """Share of the actual baskets held by the best-scored households; equal scores in key order."""
-    rows = df.count()
-    chosen = math.ceil(rows * share)
-    placed = with_position(
-        df.select("household_key", score_column, ACTUAL),
-        F.desc_nulls_last(score_column),
-        F.asc("household_key"),
-    )
+    stored = ordered(df, F.desc_nulls_last(score_column), F.asc("household_key"), keep=[ACTUAL])
+    chosen = math.ceil(stored.count() * share)
     held = F.sum(F.when(F.col("position") < chosen, F.col(ACTUAL)).otherwise(0))
-    return placed.agg(
+    return global_place(stored).agg(
         F.lit(chosen).cast("bigint").alias("households_chosen"),
         F.try_divide(held.cast("double"), F.sum(ACTUAL).cast("double")).alias("captured_share"),
     )
@@ -163,38 +157,50 @@ def top_share_table(scored: DataFrame, share: float = 0.20) -> DataFrame:
     return table
 
 
-def _uniform(digits: Column | str) -> Column:
-    """Eight hex digits as a number in [0, 1)."""
-    return F.conv(digits, 16, 10).cast("double") / 4294967296.0
-
-
-def poisson_bounds() -> list[float]:
-    """Distribution function of Poisson(1), as far as a draw of 32 bits can tell it from one."""
-    bounds, mass = [], math.exp(-1.0)
-    while not bounds or bounds[-1] < 1.0 - 2.0**-32:
-        bounds.append((bounds[-1] if bounds else 0.0) + mass)
+def poisson_bounds() -> list[int]:
+    """Numbers of 32 bits from which on a draw gives 1, 2, ... by the Poisson(1) distribution."""
+    bounds, below, mass = [], 0.0, math.exp(-1.0)
+    while not bounds or bounds[-1] < 2**32 - 1:
+        below += mass
+        bounds.append(min(int(below * 2**32), 2**32 - 1))
         mass /= len(bounds)
     return bounds
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """32-bit numbers mixed so that neighbours have nothing in common."""
+    mask, factor = np.uint64(0xFFFFFFFF), np.uint64(0x45D9F3B)
+    for _ in range(2):
+        x = ((x >> np.uint64(16)) ^ x) * factor & mask
+    return (x >> np.uint64(16)) ^ x
+
+
+def counter_draws(keys: np.ndarray, replicates: int, seed: int) -> np.ndarray:
+    """A 32-bit draw for every key (rows) and replicate (columns), from their numbers alone."""
+    mask, shift = np.uint64(0xFFFFFFFF), np.uint64(32)
+    start = mixed(np.array([seed], np.uint64) & mask)
+    keys = keys.astype(np.int64).view(np.uint64)
+    low = mixed((keys & mask) + start & mask)
+    rows = mixed(low ^ (keys >> shift))
+    columns = mixed(np.arange(replicates, dtype=np.uint64) + np.uint64(1))
+    return mixed(rows[:, None] + columns[None, :] & mask)
+
+
 def _weighted_sums(replicates: int, seed: int):
     """Sums of weights, and of gains times weights, of every replicate: a row per replicate and task."""
-    bounds = np.array(poisson_bounds())
-    blocks = -(-replicates // DRAWS_PER_HASH)
+    bounds = np.array(poisson_bounds(), np.uint64)
 
     def run(batches):
         total, weight = np.zeros(replicates), np.zeros(replicates)
         for batch in batches:
-            for key, gain in zip(batch.column("household_key").to_pylist(), batch.column("gain").to_pylist()):
-                if gain is None:
-                    continue
-                raw = b"".join(
-                    hashlib.md5(f"{key}|{block}|{seed}".encode()).digest() for block in range(blocks)
-                )
-                draws = np.frombuffer(raw, ">u4")[:replicates] / 4294967296.0
-                w = np.searchsorted(bounds, draws, side="right")
-                total += gain * w
-                weight += w
+            held = batch.filter(batch.column("gain").is_valid())
+            keys = held.column("household_key").to_numpy(zero_copy_only=False)
+            gains = held.column("gain").to_numpy(zero_copy_only=False)
+            for at in range(0, len(keys), WEIGHT_ROWS):
+                draws = counter_draws(keys[at : at + WEIGHT_ROWS], replicates, seed)
+                w = np.searchsorted(bounds, draws.ravel(), side="right").reshape(draws.shape).astype(np.float64)
+                total += gains[at : at + WEIGHT_ROWS] @ w
+                weight += w.sum(0)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(replicates)), pa.array(total), pa.array(weight)],
             ["replicate", "total", "weight"],
@@ -203,66 +209,114 @@ def _weighted_sums(replicates: int, seed: int):
     return run
 
 
-def bootstrap_mae_improvement(
-    scored: DataFrame, replicates: int = 2000, seed: int = 42, method: str = "multinomial"
-) -> DataFrame:
-    """2.5, 50 and 97.5% points of the MAE gain over resampled households.
+def block_draws(block: int, rows: int, replicates: int, seed: int) -> np.ndarray:
+    """How many of the ``rows`` draws of each replicate fall on the rows of a block.
 
-    The gain of a resample is the mean of one column, the difference of the absolute errors. With
-    ``method`` "multinomial" every draw picks the household at a random place, replicates times
-    households draws in all. With "poisson" each household is given a Poisson(1) weight per
-    replicate, the usual form for very many households: nothing is looked up, a task hands on one
-    row per replicate, and the size of a replicate varies slightly around n. The caller chooses.
+    The draws are split in halves of the blocks, and again, by binomials whose generator is set by
+    the seed and the blocks in question: every block finds its counts alone, and all add up.
     """
+    first, last = 0, -(-rows // BLOCK_ROWS)
+    draws = np.full(replicates, rows, np.int64)
+    while last - first > 1:
+        middle = (first + last) // 2
+        here = min(last * BLOCK_ROWS, rows) - first * BLOCK_ROWS
+        left = (middle - first) * BLOCK_ROWS
+        generator = np.random.Generator(np.random.Philox(np.random.SeedSequence([seed, first, last])))
+        taken = generator.binomial(draws, left / here)
+        if block < middle:
+            draws, last = taken, middle
+        else:
+            draws, first = draws - taken, middle
+    return draws
+
+
+def block_sums(block: int, gains: np.ndarray, rows: int, replicates: int, seed: int) -> np.ndarray:
+    """Sum of the gains that each replicate draws from a block, which holds them in order."""
+    draws = block_draws(block, rows, replicates, seed)
+    generator = np.random.Generator(np.random.Philox(np.random.SeedSequence([seed, block])))
+    sums = np.zeros(replicates)
+    for at in range(0, replicates, DRAWN_REPLICATES):
+        ends = np.cumsum(draws[at : at + DRAWN_REPLICATES])
+        drawn = gains[generator.integers(0, len(gains), ends[-1])]
+        running = np.concatenate([[0.0], np.cumsum(drawn)])
+        sums[at : at + DRAWN_REPLICATES] = np.diff(running[np.concatenate([[0], ends])])
+    return sums
+
+
+def _drawn_sums(rows: int, replicates: int, seed: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        ordered_ = table.sort_by("position")
+        gains = ordered_.column("gain").to_numpy()
+        sums = block_sums(key[0].as_py(), gains, rows, replicates, seed)
+        return pa.table({"replicate": np.arange(replicates), "total": sums})
+
+    return run
+
+
+def bootstrap_means(scored: DataFrame, replicates: int, seed: int, method: str) -> DataFrame:
+    """Mean gain of each replicate: rows ``replicate``, ``value``."""
+    # the functions travel to the executors with the job
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     base, model = (F.abs(F.col(c) - F.col(ACTUAL)) for c in MODELS.values())
-    gains = scored.select("household_key", (base - model).alias("gain"))
+    gains = scored.select("household_key", (base - model).alias("gain")).filter(F.col("gain").isNotNull())
     if method == "multinomial":
-        means = _resampled_means(gains, scored.count(), replicates, seed)
-    elif method == "poisson":
-        # the functions travel to the executors with the job
-        cloudpickle.register_pickle_by_value(sys.modules[__name__])
-        means = (
+        stored = ordered(gains, F.asc("household_key"), keep=["gain"])
+        rows = stored.count()
+        block = F.call_function("div", F.col("position"), F.lit(BLOCK_ROWS))
+        return (
+            global_place(stored)
+            .groupBy(block.alias("block"))
+            .applyInArrow(_drawn_sums(rows, replicates, seed), "replicate long, total double")
+            .groupBy("replicate")
+            .agg((F.sum("total") / rows).alias("value"))
+        )
+    if method == "poisson":
+        return (
             gains.mapInArrow(
                 _weighted_sums(replicates, seed), "replicate long, total double, weight double"
             )
             .groupBy("replicate")
             .agg(F.try_divide(F.sum("total"), F.sum("weight")).alias("value"))
         )
-    else:
-        raise ValueError(f"unknown method {method!r}")
-    # one row per replicate
+    raise ValueError(f"unknown method {method!r}")
+
+
+def bootstrap_mae_improvement(
+    scored: DataFrame, replicates: int = 2000, seed: int = 42, method: str = "multinomial"
+) -> DataFrame:
+    """2.5, 50 and 97.5% points of the MAE gain over resampled households.
+
+    The gain of a resample is the mean of one column, the difference of the absolute errors. With
+    ``method`` "multinomial" every replicate draws as many households as there are, with replacement; the
+    draws are split over blocks of households, so that no draw is looked up and no task holds more
+    than a block. With "poisson" each household is given a Poisson(1) weight per replicate, and the size of a
+    replicate varies slightly around n. Either way a task hands on one row per replicate, and the
+    answer does not depend on how the rows are dealt out. The caller chooses.
+    """
     points = quantile_columns(
-        materialize(means.select("value"), "replicates"),
+        materialize(bootstrap_means(scored, replicates, seed, method).select("value"), "replicates"),
         {"p2_5": ("value", 0.025), "p50": ("value", 0.50), "p97_5": ("value", 0.975)},
     )
     return points.withColumn("method", F.lit(method))
 
 
-def _resampled_means(gains: DataFrame, rows: int, replicates: int, seed: int) -> DataFrame:
-    """Mean gain of each replicate; one hash serves four draws."""
-    blocks = -(-rows // DRAWS_PER_HASH)
-    hashed = gains.sparkSession.range(blocks * replicates).select(
-        F.call_function("div", F.col("id"), F.lit(blocks)).alias("replicate"),
-        (F.col("id") % blocks).alias("block"),
-    )
-    draws = (
-        hashed.withColumn("hash", F.md5(F.concat_ws("|", "replicate", "block", F.lit(seed))))
-        .select(
-            "replicate",
-            "block",
-            F.posexplode(
-                F.array(*[F.substring("hash", 8 * i + 1, 8) for i in range(DRAWS_PER_HASH)])
-            ).alias("chunk", "digits"),
-        )
-        .filter(F.col("block") * DRAWS_PER_HASH + F.col("chunk") < rows)
+def bootstrap_in_errors(scored: DataFrame, points: DataFrame) -> DataFrame:
+    """The points of a bootstrap as whole standard errors from the mean gain, beside both numbers:
+    what a check without the same random numbers can tell."""
+    base, model = (F.abs(F.col(c) - F.col(ACTUAL)) for c in MODELS.values())
+    gain = base - model
+    moments = scored.agg(
+        F.count(gain).alias("households"),
+        F.avg(gain).alias("mean_gain"),
+        (F.stddev_pop(gain) / F.sqrt(F.count(gain))).alias("standard_error"),
     )
-    at = F.floor(_uniform("digits") * rows).cast("bigint")
-    lookup = with_position(gains, F.asc("household_key")).select("position", "gain")
-    return (
-        draws.select("replicate", at.alias("position"))
-        .join(F.broadcast(lookup) if rows <= BROADCAST_ROWS else lookup, "position")
-        .groupBy("replicate")
-        .agg(F.avg("gain").alias("value"))
+    told = {"p2_5": "lower_errors", "p50": "median_errors", "p97_5": "upper_errors"}
+    return moments.crossJoin(F.broadcast(points)).select(  # one row each
+        "method", "households", "mean_gain", "standard_error",
+        *[
+            F.round((F.col(c) - F.col("mean_gain")) / F.col("standard_error")).cast("bigint").alias(name)
+            for c, name in told.items()
+        ],
     )
 
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.columns import (
     as_cents,
+    bitmap,
+    bitmap_bucket,
+    bitmap_values,
     count_where,
-    distinct_in_range,
     exact_average,
     exact_ratio,
     from_cents,
@@ -19,9 +21,6 @@ from tillsight.operators.baskets import valid_in_sample
 from tillsight.operators.checks import reconcile
 from tillsight.schema import CUSTOMER_FEATURES, Params
 
-# A bit set wider than this many longs costs more than a distinct aggregate.
-MAX_BIT_RANGE = 63 * 16
-
 
 def same_day_baskets(fb: DataFrame, params: Params) -> DataFrame:
     return (
@@ -88,47 +87,48 @@ def purchase_time_days(fb: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def _active_weeks(baskets: DataFrame):
-    """Distinct weeks as bits when the weeks seen span a short range, which holds for any calendar
-    of less than two decades."""
-    low, high = baskets.agg(F.min("basket_week"), F.max("basket_week")).first()
-    if low is not None and high - low < MAX_BIT_RANGE:
-        return distinct_in_range(F.col("basket_week"), low, high)
-    return F.countDistinct("basket_week")
-
-
 def customer_features(fb: DataFrame, params: Params) -> DataFrame:
-    """Timing and profile features from one aggregation per household.
+    """Timing and profile features of each household.
 
-    All sums are longs, and weeks are counted as bits, so one shuffle of partial rows is enough
-    and a household with very many baskets is combined before it.
+    All sums are longs. The first aggregation is by household and bucket of its bitmap of weeks, which
+    leaves a row for each 63 weeks; the second adds the buckets up. Both combine on the map side, so a
+    household with very many baskets is a few rows before any shuffle, and weeks have no range.
     """
     baskets = valid_in_sample(fb, params)
     when = _time_units(F.col("basket_day"), F.col("basket_trans_time"))
+    week = F.col("basket_week")
 
     def users(flag: str):
         return F.sum(F.col(flag).cast("bigint"))
 
-    grouped = baskets.groupBy("household_key").agg(
-        F.count("*").alias("n"),
-        F.min(when).alias("first"),
-        F.max(when).alias("last"),
-        _active_weeks(baskets).alias("active_weeks"),
-        F.sum(as_cents(F.col("basket_sales_value"))).alias("sales"),
-        F.count("basket_sales_value").alias("sales_n"),
-        F.sum("basket_total_quantity").alias("historical_quantity"),
-        users("has_retail_discount").alias("retail_users"),
-        F.count("has_retail_discount").alias("retail_flags"),
-        F.sum(as_cents(F.col("retail_discount_amount"))).alias("retail"),
-        F.count("retail_discount_amount").alias("retail_n"),
-        users("has_manufacturer_coupon").alias("coupon_users"),
-        F.count("has_manufacturer_coupon").alias("coupon_flags"),
-        F.sum(as_cents(F.col("manufacturer_coupon_amount"))).alias("coupon"),
-        users("has_retail_coupon_match").alias("match_users"),
-        F.count("has_retail_coupon_match").alias("match_flags"),
-        F.sum(as_cents(F.col("retail_coupon_match_amount"))).alias("match"),
-        F.count("retail_coupon_match_amount").alias("match_n"),
-        F.sum(as_cents(F.col("estimated_pre_retail_discount_value"))).alias("pre"),
+    least, most = {"first": F.min(when)}, {"last": F.max(when)}
+    sums = {
+        "n": F.count("*"),
+        "sales": F.sum(as_cents(F.col("basket_sales_value"))),
+        "sales_n": F.count("basket_sales_value"),
+        "historical_quantity": F.sum("basket_total_quantity"),
+        "retail_users": users("has_retail_discount"),
+        "retail_flags": F.count("has_retail_discount"),
+        "retail": F.sum(as_cents(F.col("retail_discount_amount"))),
+        "retail_n": F.count("retail_discount_amount"),
+        "coupon_users": users("has_manufacturer_coupon"),
+        "coupon_flags": F.count("has_manufacturer_coupon"),
+        "coupon": F.sum(as_cents(F.col("manufacturer_coupon_amount"))),
+        "match_users": users("has_retail_coupon_match"),
+        "match_flags": F.count("has_retail_coupon_match"),
+        "match": F.sum(as_cents(F.col("retail_coupon_match_amount"))),
+        "match_n": F.count("retail_coupon_match_amount"),
+        "pre": F.sum(as_cents(F.col("estimated_pre_retail_discount_value"))),
+    }
+    parts = baskets.groupBy("household_key", bitmap_bucket(week).alias("bucket")).agg(
+        bitmap(week).alias("weeks"),
+        *[f.alias(name) for name, f in {**least, **most, **sums}.items()],
+    )
+    grouped = parts.groupBy("household_key").agg(
+        bitmap_values("weeks").alias("active_weeks"),
+        *[F.min(name).alias(name) for name in least],
+        *[F.max(name).alias(name) for name in most],
+        *[F.sum(name).alias(name) for name in sums],
     )
     c = {name: F.col(name) for name in grouped.columns}
     end = F.lit(params.in_sample_end_day * 1_000_000).cast("bigint")

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.functions.columns import as_cents, count_where, distinct_in_range, from_cents
+from tillsight.functions.columns import (
+    as_cents,
+    bitmap,
+    bitmap_bucket,
+    bitmap_values,
+    count_where,
+    from_cents,
+)
 from tillsight.operators.baskets import valid_in_holdout
 from tillsight.operators.checks import reconcile
-from tillsight.operators.features import MAX_BIT_RANGE
 from tillsight.schema import CUSTOMER_HOLDOUT, Params
 
 # fixed values: the columns of the view, in its order
@@ -43,25 +49,37 @@ MODEL_INPUT = [
 
 
 def holdout_activity(fb: DataFrame, params: Params) -> DataFrame:
-    """Outcomes of the households that bought in the holdout, in one aggregation.
+    """Outcomes of the households that bought in the holdout.
 
-    Days lie inside the holdout by the filter; the range of weeks is read first.
+    Every basket gives two entries, one for the bitmap of days, with the basket's amounts, one for that of
+    weeks. They are grouped by household and bucket, then the buckets are added up; both steps
+    combine on the map side.
     """
     baskets = valid_in_holdout(fb, params)
-    low, high = baskets.agg(F.min("basket_week"), F.max("basket_week")).first()
-
-    def distinct(column: str, first: int, last: int):
-        if last - first < MAX_BIT_RANGE:
-            return distinct_in_range(F.col(column), first, last)
-        return F.countDistinct(column)
-
-    return baskets.groupBy("household_key").agg(
-        F.count("*").cast("int").alias("actual_holdout_baskets"),
-        distinct("basket_day", params.holdout_start_day, params.holdout_end_day)
-        .cast("int")
-        .alias("actual_holdout_purchase_days"),
-        distinct("basket_week", low or 0, high or 0).cast("int").alias("actual_holdout_active_weeks"),
-        from_cents(F.sum(as_cents(F.col("basket_sales_value"))), 16).alias("actual_holdout_sales"),
+    none = F.lit(0).cast("bigint")
+    day = F.struct(
+        F.lit("day").alias("kind"), F.col("basket_day").cast("bigint").alias("value"),
+        F.lit(1).cast("bigint").alias("n"), as_cents(F.col("basket_sales_value")).alias("sales"),
+    )
+    week = F.struct(
+        F.lit("week").alias("kind"), F.col("basket_week").cast("bigint").alias("value"),
+        none.alias("n"), F.lit(None).cast("bigint").alias("sales"),
+    )
+    value = F.col("value")
+    parts = (
+        baskets.select("household_key", F.inline(F.array(day, week)))
+        .groupBy("household_key", "kind", bitmap_bucket(value).alias("bucket"))
+        .agg(bitmap(value).alias("bits"), F.sum("n").alias("n"), F.sum("sales").alias("sales"))
+    )
+
+    def distinct(kind: str):
+        return bitmap_values(F.when(F.col("kind") == kind, F.col("bits"))).cast("int")
+
+    return parts.groupBy("household_key").agg(
+        F.sum("n").cast("int").alias("actual_holdout_baskets"),
+        distinct("day").alias("actual_holdout_purchase_days"),
+        distinct("week").alias("actual_holdout_active_weeks"),
+        from_cents(F.sum("sales"), 16).alias("actual_holdout_sales"),
     )
 
 

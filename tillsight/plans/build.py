@@ -7,18 +7,17 @@ from __future__ import annotations
 
 import sys
 import warnings
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.operators import audit, baskets, bgnbd, checks, describe, evaluate, features, holdout, profiles
-from tillsight.schema import PROJECT_PARAMETERS
 from tillsight.sources.storage import release, write_table
 from tillsight.sources.transactions import load_transactions
 
-ONE_PER_BASKET = ("household", "day", "week", "store")
-
-
 def build(
     spark: SparkSession,
     source: str,
@@ -27,52 +26,79 @@ def build(
     weeks: tuple[int, int, int] = (78, 79, 102),
     penalizer: float = 0.0,
 ) -> dict[str, DataFrame]:
-    """Writes every table below ``folder`` and returns them by name. A broken constraint stops it.
+    """Writes every table below ``folder`` and returns them by name; ``read_table`` reads them later.
 
-    The lines are audited first: a day lies in one week, a basket has one household, day, week and store,
-    times are clock times.
+    A day must lie in one week, a basket have one household, day, week and store, times be clock times. The lines
+    are read once: what they must keep, and the days that bound the periods, is observed in the pass that
+    writes the baskets. A table with a broken constraint stops the build and does not take effect.
     """
     tables: dict[str, DataFrame] = {}
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        tables[name] = write_table(df, f"{folder.rstrip('/')}/{name}")
+    def keep(name: str, df: DataFrame, check: Callable[[DataFrame], None] | None = None) -> DataFrame:
+        tables[name] = write_table(df, f"{folder.rstrip('/')}/{name}", check)
         return tables[name]
 
-    tx = load_transactions(spark, source, fmt)
-    checks.require_none(audit.day_week_violations(tx), "a day of several weeks")
-    consistency = audit.basket_attribute_consistency(tx)
-    checks.require_none(
-        consistency.filter(F.greatest(*[F.col(f"multi_{c}_baskets") for c in ONE_PER_BASKET]) > 0),
-        "a basket of several " + ", ".join(ONE_PER_BASKET),
-    )
-    checks.require_none(audit.invalid_hhmm(tx).filter("invalid_hhmm_values > 0"), "not a clock time")
     in_end, start, end = weeks
-    parameters = keep(
-        "project_parameters", baskets.project_parameters(tx, in_end, start, end, end - start + 1)
+    lines = checks.Watch(
+        load_transactions(spark, source, fmt),
+        {"not a clock time": audit.not_a_clock_time()},
+        baskets.period_bounds(in_end, start, end),
+    )
+    several = "a basket of several " + ", ".join(["household", *baskets.ONE_PER_BASKET])
+    rows = checks.Watch(
+        baskets.fact_basket(lines.rows, audited=True),
+        {
+            several: reduce(or_, [F.col(f"several_{c}") for c in baskets.ONE_PER_BASKET]),
+            "fact_basket key": reduce(or_, [F.col(key).isNull() for key in baskets.KEYS]),
+        },
+    )
+
+    def check_fact(fact: DataFrame) -> None:
+        lines.require()
+        rows.require()
+        # (household, basket) is what the baskets are grouped by; a basket twice has two households
+        checks.require_none(checks.check_primary_key(fact, ["basket_id"]), several)
+        by_day = fact.select(F.col("basket_day").alias("day"), F.col("basket_week").alias("week_no"))
+        checks.require_none(audit.day_week_violations(by_day), "a day of several weeks")
+        if None in lines.values().values():
+            raise ValueError(f"a week that bounds a period has no receipt lines: {lines.values()}")
+
+    fact = keep(
+        "fact_basket",
+        rows.rows.drop(*[f"several_{c}" for c in baskets.ONE_PER_BASKET]).sortWithinPartitions("basket_day"),
+        check_fact,
     )
-    missing = parameters.filter(
-        F.greatest(*[F.col(c).isNull().cast("int") for c in PROJECT_PARAMETERS.fieldNames()]) == 1
+    days = spark.range(1).select(*[F.lit(day).alias(name) for name, day in lines.values().items()])
+    params = baskets.read_params(
+        keep("project_parameters", baskets.parameter_row(days, in_end, start, end, end - start + 1))
     )
-    checks.require_none(missing, "a week that bounds a period has no receipt lines")
-    params = baskets.read_params(parameters)
 
-    fact = keep("fact_basket", baskets.fact_basket(tx).sortWithinPartitions("basket_day"))
-    checks.require_none(checks.check_primary_key(fact, baskets.KEYS), "fact_basket key")
+    def unique(table: str) -> Callable[[DataFrame], None]:
+        return lambda df: checks.require_none(
+            checks.check_primary_key(df, ["household_key"]), f"{table} key"
+        )
+
+    cf = keep("customer_features", features.customer_features(fact, params), unique("customer_features"))
 
-    cf = keep("customer_features", features.customer_features(fact, params))
-    checks.require_none(checks.check_primary_key(cf, ["household_key"]), "customer_features key")
+    def check_holdout(ch: DataFrame) -> None:
+        unique("customer_holdout")(ch)
+        checks.require_none(
+            checks.check_foreign_key(ch, cf, "household_key"), "customer_holdout without history"
+        )
 
     ch = keep(
-        "customer_holdout", holdout.customer_holdout(cf, holdout.holdout_activity(fact, params))
-    )
-    checks.require_none(checks.check_primary_key(ch, ["household_key"]), "customer_holdout key")
-    checks.require_none(
-        checks.check_foreign_key(ch, cf, "household_key"), "customer_holdout without history"
+        "customer_holdout",
+        holdout.customer_holdout(cf, holdout.holdout_activity(fact, params)),
+        check_holdout,
     )
 
-    mi = keep("bgnbd_model_input", holdout.bgnbd_model_input(cf, ch, params))
-    describe.assert_cohort(mi)
-    describe.assert_relationships(mi)
+    histories = checks.Watch(holdout.bgnbd_model_input(cf, ch, params), describe.relationships())
+
+    def check_histories(mi: DataFrame) -> None:
+        histories.require()
+        describe.assert_cohort(mi)
+
+    mi = keep("bgnbd_model_input", histories.rows, check_histories)
 
     fitted = bgnbd.fit(mi, penalizer)
     if not fitted.converged:
@@ -83,8 +109,8 @@ def build(
     scored = keep("scored", evaluate.activity_decile(evaluate.prediction_errors(scores)))
     quintiles = keep("sales_quintiles", describe.sales_quintile(scored))
     split = profiles.within_quintile_split(quintiles)
-    profiled = keep("profiles", profiles.profile_levels(split, profiles.profile_cutoffs(quintiles)))
-    profiles.assert_profiles(profiled)
+    levels = profiles.profile_levels(split, profiles.profile_cutoffs(quintiles))
+    keep("profiles", levels, profiles.assert_profiles)
     return tables
 
 

@@ -415,37 +415,41 @@ FROM (SELECT {ACTUAL}, row_number() OVER (ORDER BY {c} DESC, household_key) AS p
   count(*) OVER () AS n FROM sc)"""
     for name, c in (("Historical-rate baseline", BASE), ("BG/NBD", PRED))
 )
+# resampled means lie around the mean gain by its standard error: -1.96, 0 and 1.96 of them, rounded
 QUERIES["bootstrap_mae_improvement"] = """
-SELECT 'multinomial' AS method, round(quantile_cont(v, 0.025), 6) AS p2_5,
-  round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.975), 6) AS p97_5
-FROM (
-  SELECT replicate, avg(gain) AS v
-  FROM (SELECT replicate, floor(('0x' || substr(md5(replicate || '|' || draw // 4 || '|42'),
-        1 + 8 * (draw % 4), 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE * n)::BIGINT AS place
-      FROM (SELECT count(*) AS n FROM sc),
-        (SELECT replicate, unnest(range((SELECT count(*) FROM sc))) AS draw
-          FROM (SELECT unnest(range(2000)) AS replicate)))
-    JOIN (SELECT row_number() OVER (ORDER BY household_key) - 1 AS place,
-      baseline_absolute_error - bgnbd_absolute_error AS gain FROM sc) USING (place)
-  GROUP BY replicate)"""
-QUERIES["bootstrap_poisson"] = """
+SELECT 'multinomial' AS method, count(gain) AS households, round(avg(gain), 6) AS mean_gain,
+  round(stddev_pop(gain) / sqrt(count(gain)), 6) AS standard_error,
+  round(-1.96)::BIGINT AS lower_errors, 0::BIGINT AS median_errors, round(1.96)::BIGINT AS upper_errors
+FROM (SELECT baseline_absolute_error - bgnbd_absolute_error AS gain FROM sc)"""
+
+
+def _mixed(x: str) -> str:
+    """32 bits mixed as a chain of single-variable steps."""
+    for _ in range(2):
+        x = f"list_transform([{x}], lambda x: (xor(x >> 16, x) * 73244475) % 4294967296)[1]"
+    return f"list_transform([{x}], lambda x: xor(x >> 16, x))[1]"
+
+
+QUERIES["bootstrap_poisson"] = f"""
+SELECT * FROM (WITH h AS (
+  SELECT baseline_absolute_error - bgnbd_absolute_error AS gain,
+    {_mixed(_mixed(f"(household_key::BIGINT + {_mixed('42::BIGINT')}) % 4294967296"))} AS start FROM sc
+),
+r AS (
+  SELECT replicate, {_mixed('replicate + 1')} AS step FROM (SELECT unnest(range(2000)) AS replicate)
+),
+-- 1/e times the sums of 1/k!: from which draw on the weight is 1, 2, ...
+b AS (
+  SELECT list(least(floor(exp(-1) * e * 4294967296::DOUBLE), 4294967295::DOUBLE)::BIGINT) AS bounds
+  FROM (SELECT sum(1 / factorial(k::INTEGER)::DOUBLE) OVER (ORDER BY k) AS e FROM range(13) x(k))
+),
+w AS (
+  SELECT replicate, gain, len(list_filter(bounds, lambda c: draw >= c)) AS w
+  FROM (SELECT replicate, gain, {_mixed('(start + step) % 4294967296')} AS draw FROM h, r), b
+)
 SELECT 'poisson' AS method, round(quantile_cont(v, 0.025), 6) AS p2_5,
   round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.975), 6) AS p97_5
-FROM (
-  SELECT replicate, sum(gain * w) / sum(w) AS v
-  FROM (SELECT replicate, gain, len(list_filter(
-          [exp(-1), exp(-1) * 2, exp(-1) * (2 + 1/2), exp(-1) * (2 + 1/2 + 1/6),
-           exp(-1) * (2 + 1/2 + 1/6 + 1/24), exp(-1) * (2 + 1/2 + 1/6 + 1/24 + 1/120),
-           exp(-1) * (2 + 1/2 + 1/6 + 1/24 + 1/120 + 1/720),
-           exp(-1) * (2 + 1/2 + 1/6 + 1/24 + 1/120 + 1/720 + 1/5040),
-           exp(-1) * (2 + 1/2 + 1/6 + 1/24 + 1/120 + 1/720 + 1/5040 + 1/40320),
-           exp(-1) * (2 + 1/2 + 1/6 + 1/24 + 1/120 + 1/720 + 1/5040 + 1/40320 + 1/362880)],
-          lambda c: u >= c)) AS w
-    FROM (SELECT replicate, baseline_absolute_error - bgnbd_absolute_error AS gain,
-        ('0x' || substr(md5(household_key || '|' || replicate // 4 || '|42'),
-          1 + 8 * (replicate % 4), 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE AS u
-      FROM sc, (SELECT unnest(range(2000)) AS replicate)))
-  GROUP BY replicate)"""
+FROM (SELECT replicate, sum(gain * w) / sum(w) AS v FROM w GROUP BY replicate))"""
 QUERIES["lowest_alive"] = f"""
 SELECT household_key, frequency, recency_days, observation_days, days_since_last_purchase,
   round(probability_alive, 6) AS probability_alive, round({PRED}, 6) AS {PRED}, {ACTUAL}

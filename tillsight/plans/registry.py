@@ -26,7 +26,7 @@ from tillsight.sources.storage import (
     preview_rows,
     register_view,
     shared_folder,
-    upsert,
+    upsert_table,
     write_table,
 )
 from tillsight.sources.transactions import load_transactions
@@ -72,8 +72,10 @@ def _register_view(s: Stages) -> DataFrame:
 
 
 def _upsert_parameters(s: Stages) -> DataFrame:
-    earlier = baskets.project_parameters(s.transactions, 52, 53, 78)
-    return upsert(earlier, baskets.project_parameters(s.transactions), "parameter_id")
+    """Written, then upserted in place."""
+    path = f"{shared_folder(s.spark)}/upserted_parameters"
+    write_table(baskets.project_parameters(s.transactions, 52, 53, 78), path)
+    return upsert_table(baskets.project_parameters(s.transactions), path, "parameter_id")
 
 
 SOURCES: dict[str, Step] = {
@@ -316,7 +318,10 @@ EVALUATION: dict[str, Step] = {
     ),
     "decile_calibration": lambda s: evaluate.decile_calibration(evaluate.activity_decile(s.scored)),
     "top_share_capture": lambda s: evaluate.top_share_table(s.scored),
-    "bootstrap_mae_improvement": lambda s: evaluate.bootstrap_mae_improvement(s.scored),
+    "bootstrap_mae_improvement": lambda s: evaluate.bootstrap_in_errors(
+        s.scored, evaluate.bootstrap_mae_improvement(s.scored)
+    ),
+    "bootstrap_points": lambda s: evaluate.bootstrap_mae_improvement(s.scored),
     "bootstrap_poisson": lambda s: evaluate.bootstrap_mae_improvement(s.scored, method="poisson"),
     "lowest_alive": lambda s: evaluate.lowest_alive(s.scored),
     "largest_errors": lambda s: evaluate.largest_errors(s.scored),
@@ -379,7 +384,7 @@ NOISY = {
     "bgnbd_fit_reached", "bgnbd_summary_fixed",
     "probability_alive", "rate_check", "expected_purchases", "evaluate_predictions",
     "model_comparison", "improvement_pct", "prediction_errors", "decile_calibration",
-    "bootstrap_mae_improvement", "bootstrap_poisson", "lowest_alive", "largest_errors", "within_quintile_split",
+    "bootstrap_mae_improvement", "bootstrap_points", "bootstrap_poisson", "lowest_alive", "largest_errors", "within_quintile_split",
     "within_quintile_summary", "profile_cutoffs", "profile_relevance", "profile_commercial_weight",
     "profile_promotion_overview", "level_promotion_overview", "within_level_promotion_comparison",
     "comparison_primary", "comparison_secondary", "comparison_higher_value",
