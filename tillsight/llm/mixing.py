@@ -55,7 +55,7 @@ def _targets(sizes: DataFrame, weight: Callable[[Column], Column], share: float,
     Sources in the order of what they can take for a unit of weight: those before the level take all
     they can, the others their weight times the level.
     """
-    placed = with_position(sizes, F.asc_nulls_last("source"), name="place")
+    placed = with_position(sizes, F.asc_nulls_last("source"), key="source", name="place")
     placed = spill(
         placed.withColumn("weight", weight(F.col("place")).cast("long"))
         .withColumn("_most", F.col("source_size") * cap)
@@ -102,16 +102,16 @@ def slot_number(point: Column, bits: int) -> Column:
     return slot
 
 
-def _slots_before(point: Column, below: Column, bits: int) -> Column:
-    """How many slots before that of ``point`` belong to points under ``below``.
+def slot_rank(point: Column, first: Column, until: Column, bits: int) -> Column:
+    """How many slots before that of ``point`` belong to the points ``first`` up to, without, ``until``.
 
     An earlier slot agrees with this one in its leading digits, has 0 where this one has 1, and any
     digits behind. Reversed, these are points that agree in the low ``p`` bits, every 2**(p+1)-th.
     """
     found = F.lit(0).cast("long")
     for p in range(bits):
-        same = point.bitwiseAND(F.lit((1 << p) - 1).cast("long"))
-        count = F.shiftright(below - same + ((1 << (p + 1)) - 1), p + 1)
+        same = point.bitwiseAND(F.lit((1 << p) - 1).cast("long")) - ((1 << (p + 1)) - 1)
+        count = F.shiftright(until - same, p + 1) - F.shiftright(first - same, p + 1)
         found = found + F.shiftright(point, p).bitwiseAND(F.lit(1)) * count
     return found
 
@@ -119,14 +119,16 @@ def _slots_before(point: Column, below: Column, bits: int) -> Column:
 def slots(sources: DataFrame, bits: int) -> DataFrame:
     """Rows (place, block, slot): the ``block``-th slot of a source, its slots in their order."""
     last = F.col("point") + F.col("slots") - 1
+    # a number, so that the few rows stay spread: each makes many
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = sources.select(
         "place", "point", last.alias("last"),
         F.explode(F.sequence(F.floor(F.col("point") / CHUNK), F.floor(last / CHUNK))).alias("chunk"),
-    ).repartition("place", "chunk")
+    ).repartition(parts, "place", "chunk")
     first = F.greatest("point", F.col("chunk") * CHUNK)
     until = F.least("last", F.col("chunk") * CHUNK + (CHUNK - 1))
     points = pieces.select("place", "point", "last", F.explode(F.sequence(first, until)).alias("j"))
-    rank = _slots_before(F.col("j"), F.col("last") + 1, bits) - _slots_before(F.col("j"), F.col("point"), bits)
+    rank = slot_rank(F.col("j"), F.col("point"), F.col("last") + 1, bits)
     return points.select("place", rank.alias("block"), slot_number(F.col("j"), bits).alias("slot"))
 
 
@@ -221,7 +223,7 @@ def mix(
     held = _with_source(lined, sources)
     pieces = (
         _pieces(held)
-        .join(slots(sources, bits), ["place", "block"])
+        .join(slots(sources, bits).hint("merge"), ["place", "block"])  # both sides grow
         .select("row", "slot", "start", "words")
     )
     return Mix(
