@@ -14,6 +14,8 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillsight.llm.common import spill
+
 #: the filters in the order of their bits
 FILTERS = "ABCDE"
 COPY = 1 << FILTERS.index("E")
@@ -42,28 +44,40 @@ def own_failures(text: Column) -> Column:
     return F.transform(F.array(words), bits)[0]
 
 
-def copies(documents: DataFrame, id_col: str, text_col: str, *kept: str) -> DataFrame:
-    """Rows (id, ``kept``..., hash) whose text a smaller id has too.
+def copies(documents: DataFrame, hashes: DataFrame) -> DataFrame:
+    """Rows (_id, part, _hash) of ``documents`` (_id, part, _text, _hash) whose text a smaller id has too.
+    Ids must not be null. ``hashes`` holds the ``_hash`` of every row, so that the texts need not be read for it.
 
-    The side that is looked up holds each text once, with its smallest id; it is made with partial
-    aggregation, so copies do not travel. A hash with a large share of the rows (there are at most
-    ``SHARE`` of them) is dealt out to ``PARTS`` parts, and its few texts go to each. Ids must not be null.
+    Only texts whose hash returns are moved. The side that is looked up holds each of them once, with its
+    smallest id; it is made with partial aggregation, so copies do not travel there. A hash with a
+    large share of the rows (there are at most ``SHARE`` of them) is dealt out to ``PARTS`` parts, and its few
+    texts go to each.
     """
-    rows = documents.select(id_col, *kept, text_col, F.xxhash64(text_col).alias("_hash"))
-    counted = rows.groupBy("_hash").agg(F.count("*").alias("_n"))
-    total = documents.count()
+    total = hashes.count()
+    often = F.col("_n") * SHARE > F.lit(total)
+    again = spill(
+        hashes.groupBy("_hash").agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
+        .select("_hash", often.alias("_hot")),
+        "repeated",
+    )
     # at most SHARE rows
-    hot = F.broadcast(
-        counted.where(F.col("_n") * SHARE > F.lit(total)).select("_hash", F.lit(True).alias("_hot"))
+    hot = F.broadcast(again.where("_hot").select("_hash", F.lit(True).alias("_dealt")))
+    every, one = F.sequence(F.lit(0), F.lit(PARTS - 1)), F.array(F.lit(0))
+
+    def in_parts(df: DataFrame) -> DataFrame:
+        return df.withColumn("_part", F.explode(F.when(F.col("_hot"), every).otherwise(one)))
+
+    part = F.pmod(F.xxhash64("_id"), F.lit(PARTS)).cast("int")
+    dealt = (
+        documents.join(hot, "_hash", "left")
+        .withColumn("_part", F.when(F.col("_dealt"), part).otherwise(0))
+        .drop("_dealt")
     )
-    part = F.pmod(F.xxhash64(id_col), F.lit(PARTS)).cast("int")
-    left = rows.join(hot, "_hash", "left").withColumn("_part", F.when(F.col("_hot"), part).otherwise(0))
-    first = rows.groupBy("_hash", text_col).agg(F.min(id_col).alias("_first")).join(hot, "_hash", "left")
-    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
-    first = first.withColumn("_part", F.explode(parts))
-    same = [left[c] == first[c] for c in ("_hash", text_col, "_part")]
-    found = left.join(first, [*same, first["_first"] < left[id_col]], "left_semi")
-    return found.select(id_col, *kept, "_hash")
+    met = spill(dealt.join(in_parts(again), ["_hash", "_part"]), "met")
+    first = in_parts(met.groupBy("_hash", "_hot", "_text").agg(F.min("_id").alias("_first")))
+    same = [met[c] == first[c] for c in ("_hash", "_text", "_part")]
+    found = met.join(first, [*same, first["_first"] < met["_id"]], "left_semi")
+    return found.select("_id", "part", "_hash")
 
 
 def combinations(
@@ -80,23 +94,25 @@ def combinations(
     several labels is good (toxic) if one of them says so. Rows without id have no label and are no
     copies. Other columns, whatever their names, are not read.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
     docs = documents.select(
         F.col(id_col).alias("_id"),
         F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
-        text.alias("_text"),
-    )
-    alone = docs.select(
-        "_id", "part", F.xxhash64("_text").alias("_hash"),
-        own_failures(F.col("_text")).alias("_bits"), F.lit(1).cast("long").alias("_n"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
+    ).withColumn("_hash", F.xxhash64("_text"))
+    alone = spill(
+        docs.select(
+            "_id", "part", "_hash", own_failures(F.col("_text")).alias("_bits"),
+            F.lit(1).cast("long").alias("_n"),
+        ),
+        "alone",
     )
-    sure = docs.where(F.col("_id").isNotNull())
-    again = copies(sure, "_id", "_text", "part").withColumns(
+    known = F.col("_id").isNotNull()
+    again = copies(docs.where(known), alone.where(known).select("_hash")).withColumns(
         {"_bits": F.lit(COPY), "_n": F.lit(0).cast("long")}
     )
     # all rows of an id with the same text fail the same filters
     failures = (
-        alone.where(F.col("_id").isNotNull())
+        alone.where(known)
         .unionByName(again)
         .groupBy("_id", "part", "_hash")
         .agg(F.bit_or("_bits").alias("bits"), F.sum("_n").alias("_n"))
@@ -113,7 +129,7 @@ def combinations(
     )
     # rows without id meet nothing: they are counted where they are
     none = F.lit(0).cast("long")
-    bare = alone.where(F.col("_id").isNull()).select(
+    bare = alone.where(~known).select(
         "part", F.col("_bits").alias("bits"), "_n", none.alias("_good"), none.alias("_toxic")
     )
     return (
