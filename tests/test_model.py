@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tillsight.functions.gamma import digamma, log_gamma_rise
+from tillsight.functions.gamma import digamma, log_gamma_rise, trigamma
 from tillsight.operators import bgnbd, evaluate
 from tillsight.operators.bgnbd import BgnbdParams
 
@@ -62,6 +62,8 @@ def test_gamma_functions():
     assert digamma(1.0) == pytest.approx(-0.5772156649015329, rel=1e-13)
     for z in (0.01, 0.5, 3.0, 200.0):
         assert digamma(z + 1) - digamma(z) == pytest.approx(1 / z, rel=1e-10)
+        assert trigamma(z) - trigamma(z + 1) == pytest.approx(1 / z**2, rel=1e-9)
+    assert trigamma(1.0) == pytest.approx(math.pi**2 / 6, rel=1e-13)
 
 
 def test_log_likelihood(data):
@@ -87,10 +89,26 @@ def test_derivatives(data):
             moved = theta.copy()
             moved[i] += sign * step
             points.append(moved)
-    values, slopes = bgnbd._evaluate(history, points)
+    values, slopes, bends = bgnbd._evaluate(history, points)
     for i in range(4):
         numeric = (values[1 + 2 * i] - values[2 + 2 * i]) / (2 * step)
         assert slopes[0][i] == pytest.approx(numeric, rel=1e-4, abs=1e-2)
+        numeric = (slopes[1 + 2 * i] - slopes[2 + 2 * i]) / (2 * step)
+        np.testing.assert_allclose(bends[0][i], numeric, rtol=1e-5, atol=1e-3)
+    np.testing.assert_array_equal(bends[0], bends[0].T)
+
+
+def test_fit_takes_one_aggregation_an_iteration(spark, data, monkeypatch):
+    """Equal histories travel as one with a count, and an iteration is one call."""
+    _, df = data
+    calls, made = [], bgnbd._evaluate
+    monkeypatch.setattr(bgnbd, "_evaluate", lambda history, points: calls.append(len(points)) or made(history, points))
+    small = df.where("household_key < 300")
+    once = bgnbd.fit(small)
+    assert once.converged and len(calls) <= once.iterations + 1 and set(calls[1:]) == {8}
+    often = bgnbd.fit(small.union(small).union(small))
+    assert often.households == 900 and bgnbd._history(small.union(small)).count() == bgnbd._history(small).count()
+    assert often.log_likelihood == pytest.approx(3 * once.log_likelihood, rel=1e-9)
 
 
 def test_fit_recovers_parameters(data):

@@ -1,6 +1,6 @@
-"""Log-gamma differences and the digamma function, for floats and for column expressions.
+"""Log-gamma differences, the digamma and the trigamma function, for floats and for column expressions.
 
-Spark SQL has neither. Both use the asymptotic series after moving the argument up by eight, which
+Spark SQL has none. All use the asymptotic series after moving the argument up by eight, which
 leaves an error near 1e-14. The pieces are functions of ``z`` and of ``l = ln(z + 8)``,
 ``i = 1 / (z + 8)``, ``w = i * i``, so that a plan can compute those once as columns.
 """
@@ -16,6 +16,7 @@ SHIFT = 8
 # fixed values: coefficients of the asymptotic series in powers of 1/y^2
 LOG_GAMMA_SERIES = [1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188, -691 / 360360]
 DIGAMMA_SERIES = [-1 / 12, 1 / 120, -1 / 252, 1 / 240, -1 / 132, 691 / 32760]
+TRIGAMMA_SERIES = [1 / 6, -1 / 30, 1 / 42, -1 / 30, 5 / 66, -691 / 2730]
 
 
 def _log(value):
@@ -45,6 +46,13 @@ def digamma_of(z, l, i, w):
     return l - 0.5 * i + _polynomial(DIGAMMA_SERIES, w) * w - below
 
 
+def trigamma_of(z, i, w):
+    below = 1.0 / (z * z)
+    for k in range(1, SHIFT):
+        below = below + 1.0 / ((z + float(k)) * (z + float(k)))
+    return i + 0.5 * w + _polynomial(TRIGAMMA_SERIES, w) * w * i + below
+
+
 def rise_of(z, d, l_end, tail_start, tail_end):
     """ln Gamma(z + d) - ln Gamma(z) for z > 0, d >= 0, without cancellation for large z.
 
@@ -66,6 +74,10 @@ def digamma(z: float) -> float:
     return digamma_of(z, *_pieces(z))
 
 
+def trigamma(z: float) -> float:
+    return trigamma_of(z, *_pieces(z)[1:])
+
+
 def log_gamma_tail(z: float) -> float:
     return tail(*_pieces(z)[1:])
 

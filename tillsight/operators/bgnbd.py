@@ -1,9 +1,9 @@
 """The BG/NBD purchase-count model (Fader, Hardie and Lee, 2005) on Spark.
 
-Fitting runs one aggregation per batch of candidate parameters: the candidates are an array that
-each household row is expanded by, so the generated code is the same for every batch, and only a
-likelihood and four derivatives per candidate come back. Steps between batches are taken on the
-driver over four numbers.
+Fitting runs one aggregation per iteration, over the distinct histories with their counts: candidate
+parameters are an array that each history is expanded by, so the generated code is the same for every
+batch, and a likelihood with its first and second derivatives comes back for each. The best
+candidate's derivatives give the next batch, by steps the driver takes over four numbers.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from tillsight.functions.gamma import (
     log_gamma_tail,
     rise_of,
     tail,
+    trigamma,
+    trigamma_of,
 )
 from tillsight.functions.ordering import quantile_columns
 from tillsight.sources.storage import materialize
@@ -58,14 +60,16 @@ class BgnbdFit:
 
 
 def _history(df: DataFrame) -> DataFrame:
-    return df.select(
+    """Distinct histories (x, tx, t) and how many households have each."""
+    return df.groupBy(
         F.col("frequency").cast("double").alias("x"),
         F.col("recency_days").cast("double").alias("tx"),
         F.col("observation_days").cast("double").alias("t"),
-    )
+    ).agg(F.count("*").alias("n"))
 
 
 SLOPES = [f"d_{name}" for name in NAMES]
+BENDS = {(i, j): f"d_{NAMES[i]}_{NAMES[j]}" for i in range(4) for j in range(i, 4)}
 
 
 def _candidate(position: int, theta) -> str:
@@ -81,6 +85,9 @@ def _candidate(position: int, theta) -> str:
         "psi_r": digamma(r),
         "psi_b": digamma(b),
         "psi_ab": digamma(a + b),
+        "bend_r": trigamma(r),
+        "bend_b": trigamma(b),
+        "bend_ab": trigamma(a + b),
         "tail_r": log_gamma_tail(r),
         "base": log_gamma_rise(b, a) + r * math.log(alpha),
     }
@@ -90,9 +97,9 @@ def _candidate(position: int, theta) -> str:
 
 @cache
 def _steps() -> tuple[list[dict[str, Column]], dict[str, Column]]:
-    """Columns added one after the other, then the likelihood and its derivatives.
+    """Columns added one after the other, then the likelihood and its first and second derivatives.
 
-    Over x, tx, t and the fields of a candidate. Built once: a fit uses them in every batch.
+    Over x, tx, t, n and the fields of a candidate. Built once: a fit uses them in every batch.
     """
     c = F.col
     arguments = ["rx", "bx", "abx"]
@@ -121,6 +128,12 @@ def _steps() -> tuple[list[dict[str, Column]], dict[str, Column]]:
                 f"{z}_psi": digamma_of(c(z), c(f"{z}_l"), c(f"{z}_i"), c(f"{z}_w"))
                 for z in arguments
             },
+            **{f"{z}_bend": trigamma_of(c(z), c(f"{z}_i"), c(f"{z}_w")) for z in arguments},
+            # derivatives of the log odds of having dropped out
+            "gap_r": c("log_t") - c("log_tx"),
+            "gap_alpha": c("rx") * (1.0 / (c("alpha") + c("t")) - 1.0 / (c("alpha") + c("tx"))),
+            "gap_a": 1.0 / c("a"),
+            "gap_b": -1.0 / c("after"),
             "gone": F.coalesce(1.0 / (1.0 + F.exp(-c("gap"))), F.lit(0.0)),
             # log of the sum of both branches, less the branch of staying alive
             "extra": F.coalesce(
@@ -146,7 +159,25 @@ def _steps() -> tuple[list[dict[str, Column]], dict[str, Column]]:
         "d_a": dropout + c("gone") / c("a"),
         "d_b": dropout - c("psi_b") + c("bx_psi") - c("gone") / c("after"),
     }
-    return steps, {name: F.sum(term).alias(name) for name, term in terms.items()}
+    end, last = c("alpha") + c("t"), c("alpha") + c("tx")
+    turn = c("bend_ab") - c("abx_bend")
+    # second derivatives of the branch of staying alive, and of the log odds
+    bends = {
+        "d_r_r": (c("rx_bend") - c("bend_r"), 0.0),
+        "d_r_alpha": (1.0 / c("alpha") - 1.0 / end, 1.0 / end - 1.0 / last),
+        "d_alpha_alpha": (
+            c("rx") / (end * end) - c("r") / (c("alpha") * c("alpha")),
+            -c("rx") * (1.0 / (end * end) - 1.0 / (last * last)),
+        ),
+        "d_a_a": (turn, -c("gap_a") * c("gap_a")),
+        "d_a_b": (turn, 0.0),
+        "d_b_b": (turn + c("bx_bend") - c("bend_b"), c("gap_b") * c("gap_b")),
+    }
+    for (i, j), name in BENDS.items():
+        apart = c("gone") * alive * c(f"gap_{NAMES[i]}") * c(f"gap_{NAMES[j]}")
+        here, there = bends.get(name, (0.0, 0.0))
+        terms[name] = here + c("gone") * there + apart
+    return steps, {name: F.sum(c("n") * term).alias(name) for name, term in terms.items()}
 
 
 def _expanded(history: DataFrame, candidates) -> DataFrame:
@@ -156,14 +187,14 @@ def _expanded(history: DataFrame, candidates) -> DataFrame:
     is compiled once for a whole fit.
     """
     literal = ", ".join(_candidate(i, theta) for i, theta in enumerate(candidates))
-    rows = history.select("x", "tx", "t", F.expr(f"inline(array({literal}))"))
+    rows = history.select("x", "tx", "t", "n", F.expr(f"inline(array({literal}))"))
     for columns in _steps()[0]:
         rows = rows.withColumns(columns)
     return rows
 
 
-def _evaluate(history: DataFrame, candidates) -> tuple[np.ndarray, np.ndarray]:
-    """Total log-likelihood and its derivatives by r, alpha, a, b for each candidate."""
+def _evaluate(history: DataFrame, candidates) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Total log-likelihood, its derivatives by r, alpha, a, b and its Hessian, for each candidate."""
     rows = (
         _expanded(history, candidates)
         .groupBy("candidate")
@@ -172,14 +203,18 @@ def _evaluate(history: DataFrame, candidates) -> tuple[np.ndarray, np.ndarray]:
     )
     ordered = sorted(rows, key=lambda row: row["candidate"])
     values = np.array([row["value"] for row in ordered])
-    return values, np.array([[row[name] for name in SLOPES] for row in ordered])
+    slopes = np.array([[row[name] for name in SLOPES] for row in ordered])
+    bends = np.array(
+        [[[row[BENDS[min(i, j), max(i, j)]] for j in range(4)] for i in range(4)] for row in ordered]
+    )
+    return values, slopes, bends
 
 
 def log_likelihood(df: DataFrame, theta: BgnbdParams) -> DataFrame:
     """The objective at fixed parameters."""
     return (
         _expanded(_history(df), [astuple(theta)])
-        .agg(F.count("*").alias("households"), _steps()[1]["value"].alias("log_likelihood"))
+        .agg(F.sum("n").alias("households"), _steps()[1]["value"].alias("log_likelihood"))
         .withColumn("mean_log_likelihood", F.col("log_likelihood") / F.col("households"))
     )
 
@@ -190,38 +225,23 @@ class _Objective:
     def __init__(self, history: DataFrame, penalizer: float):
         self.history = history
         self.penalizer = penalizer
+        n = F.col("n")
         self.rows, self.sum_x, self.sum_t, longest = history.agg(
-            F.count("*"), F.sum("x"), F.sum("t"), F.max("t")
+            F.coalesce(F.sum(n), F.lit(0)), F.sum(n * F.col("x")), F.sum(n * F.col("t")), F.max("t")
         ).first()
         self.weights = np.array([1.0, PENALTY_TIME / longest if longest else 1.0, 1.0, 1.0])
 
-    def __call__(self, points: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, points: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Value, gradient and Hessian at each point, in one aggregation."""
         thetas = [np.exp(u) for u in points]
-        values, slopes = _evaluate(self.history, thetas)
-        f, g = [], []
-        for theta, value, slope in zip(thetas, values, slopes):
-            penalized = theta * self.weights
-            f.append(-value / self.rows + self.penalizer * float(penalized @ penalized))
-            g.append(-slope * theta / self.rows + 2 * self.penalizer * penalized * penalized)
-        return np.array(f), np.array(g)
-
-    def curvature(self, u: np.ndarray, step: float) -> tuple[float, np.ndarray, np.ndarray]:
-        """Value, gradient and a central-difference Hessian at one point, in one batch."""
-        points = [u]
-        for i in range(4):
-            for sign in (1, -1):
-                moved = u.copy()
-                moved[i] += sign * step
-                points.append(moved)
-        f, g = self(points)
-        hessian = np.array([(g[1 + 2 * i] - g[2 + 2 * i]) / (2 * step) for i in range(4)])
-        return f[0], g[0], (hessian + hessian.T) / 2
-
-    def fine_curvature(self, u: np.ndarray, step: float) -> np.ndarray:
-        """Hessian with the error of the step's square taken out: two widths, extrapolated."""
-        _, _, near = self.curvature(u, step)
-        _, _, wide = self.curvature(u, 2 * step)
-        return (4 * near - wide) / 3
+        f, g, h = [], [], []
+        for theta, value, slope, bend in zip(thetas, *_evaluate(self.history, thetas)):
+            square = (theta * self.weights) ** 2
+            f.append(-value / self.rows + self.penalizer * float(square.sum()))
+            g.append(-slope * theta / self.rows + 2 * self.penalizer * square)
+            curved = bend * np.outer(theta, theta) + np.diag(slope * theta)
+            h.append(-curved / self.rows + np.diag(4 * self.penalizer * square))
+        return np.array(f), np.array(g), np.array(h)
 
 
 def _at_bound(u: np.ndarray, g: np.ndarray) -> np.ndarray:
@@ -248,7 +268,8 @@ def _downhill(
 def fit(
     df: DataFrame, penalizer: float = 0.0, max_iterations: int = 60, tolerance: float = 1e-7
 ) -> BgnbdFit:
-    """Maximum likelihood over the households. Two aggregations per iteration."""
+    """Maximum likelihood over the households. One aggregation per iteration: a batch of steps is
+    tried, and the derivatives at the best of them give the next batch."""
     history = materialize(_history(df), "history")
     objective = _Objective(history, penalizer)
     if not objective.rows:
@@ -256,9 +277,9 @@ def fit(
     # a start with the observed mean rate; one-time buyers only give no rate to start from
     rate = max(objective.sum_x, 1.0) / objective.sum_t
     u = np.log([1.0, 1.0 / rate, 0.5, 5.0])
+    f, g, hessian = (part[0] for part in objective([u]))
     iteration = 0
     for iteration in range(1, max_iterations + 1):
-        f, g, hessian = objective.curvature(u, 1e-4)
         stuck = _at_bound(u, g)
         if np.max(np.abs(np.where(stuck, 0.0, g))) < tolerance:
             break
@@ -269,20 +290,19 @@ def fit(
         newton *= 3.0 / max(3.0, np.max(np.abs(newton)))
         steps += [newton, 2 * newton, 4 * newton]
         tries = [np.clip(u + step, LOWER, UPPER) for step in steps]
-        values, _ = objective(tries)
+        values, slopes, hessians = objective(tries)
         best = int(np.nanargmin(values))
         gain = f - values[best]
         if gain > 0:
-            u = tries[best]
+            u, f, g, hessian = tries[best], values[best], slopes[best], hessians[best]
         if not gain > tolerance * 1e-2 * abs(f):
             break
-    f, g = objective([u])
-    slope = np.max(np.abs(np.where(_at_bound(u, g[0]), 0.0, g[0])))
+    slope = np.max(np.abs(np.where(_at_bound(u, g), 0.0, g)))
     theta = np.exp(u)
     penalty = penalizer * float((theta * objective.weights) @ (theta * objective.weights))
     return BgnbdFit(
         params=BgnbdParams(*[float(v) for v in theta]),
-        log_likelihood=float(-(f[0] - penalty) * objective.rows),
+        log_likelihood=float(-(f - penalty) * objective.rows),
         households=int(objective.rows),
         iterations=iteration,
         converged=bool(slope < CONVERGED_SLOPE),
@@ -312,7 +332,7 @@ def standard_errors(df: DataFrame, theta: BgnbdParams, penalizer: float = 0.0) -
     history = materialize(_history(df), "history")
     objective = _Objective(history, penalizer)
     values = np.array(astuple(theta))
-    hessian = objective.fine_curvature(np.log(values), 5e-3)
+    hessian = objective([np.log(values)])[2][0]
     try:
         covariance = np.linalg.inv(hessian * objective.rows)
     except np.linalg.LinAlgError:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 from tillsight.operators.describe import numeric_columns
-from tillsight.plans import registry as steps
 from tillsight.plans.oracle_base import half_up, scaled
 from tillsight.plans.stages import RULE_GRID, RULE_THETA, THETA
 
@@ -237,6 +236,35 @@ QUERIES["coerce_numeric"] = (
 QUERIES["assert_cohort"] = (
     "SELECT count(*) AS rows, count(DISTINCT household_key) AS unique_households FROM mi"
 )
+# fixed values: the columns, points and bins that the checks ask for, written out apart from the queries
+_MODEL_COLUMNS = "frequency recency_days observation_days actual_holdout_baskets".split()
+_HISTORY = (
+    "in_sample_baskets active_weeks days_since_last_purchase observation_days historical_sales "
+    "average_basket_value"
+).split()
+_PROMOTION = (
+    "retail_discount_basket_rate retail_discount_per_basket manufacturer_coupon_basket_rate "
+    "manufacturer_coupon_amount_per_redeeming_basket retail_coupon_match_basket_rate "
+    "retail_coupon_match_per_basket"
+).split()
+_NORMALIZED = (
+    "retail_discount_share_of_pre_discount_value retailer_funded_discount_share_of_pre_discount_value "
+    "manufacturer_coupon_value_per_basket"
+).split()
+_SPREAD = [0.25, 0.50, 0.75, 0.90, 0.95, 0.99]
+_CENTERED = ["historical_sales", "in_sample_baskets", "days_since_last_purchase"]
+_HISTOGRAM = dict.fromkeys(["frequency", *_CENTERED], 50) | dict.fromkeys(
+    (
+        "retail_discount_basket_rate", "manufacturer_coupon_basket_rate", "retail_coupon_match_basket_rate",
+    ),
+    40,
+)
+_RANKED_PAIRS = [
+    ("historical_sales", c)
+    for c in ("in_sample_baskets", "average_basket_value", "observation_days", "actual_holdout_baskets")
+]
+_SCORED_PAIRS = [(c, "predicted_holdout_baskets_bgnbd") for c in ("historical_sales", "actual_holdout_baskets")]
+
 QUERIES["model_null_counts"] = "SELECT " + ", ".join(
     f"count(*) FILTER (WHERE {c} IS NULL) AS {c}"
     for c in ("frequency", "recency_days", "observation_days", "prediction_horizon_days", ACTUAL)
@@ -256,26 +284,26 @@ _GAP = "(observation_days::DOUBLE - recency_days::DOUBLE)"
 QUERIES["recency_allclose"] = f"""
 SELECT count(*) FILTER (WHERE abs(days_since_last_purchase::DOUBLE - {_GAP})
   > 0.00001 + 0.0000001 * abs({_GAP})) AS not_close FROM mi"""
-QUERIES["describe"] = _describe("mi", steps.MODEL_COLUMNS, [0.01, 0.25, 0.50, 0.75, 0.99])
-QUERIES["describe_history"] = _describe("mi", steps.HISTORY, steps.SPREAD)
+QUERIES["describe"] = _describe("mi", _MODEL_COLUMNS, [0.01, 0.25, 0.50, 0.75, 0.99])
+QUERIES["describe_history"] = _describe("mi", _HISTORY, _SPREAD)
 QUERIES["describe_observation"] = _describe(
     "mi", ["observation_days"], [0.25, 0.50, 0.75, 0.90, 0.99]
 )
-QUERIES["describe_promotions"] = _describe("mi", steps.PROMOTION, steps.SPREAD)
-QUERIES["describe_normalized"] = _describe("sc", steps.NORMALIZED, steps.SPREAD)
+QUERIES["describe_promotions"] = _describe("mi", _PROMOTION, _SPREAD)
+QUERIES["describe_normalized"] = _describe("sc", _NORMALIZED, _SPREAD)
 QUERIES["describe_predictions"] = _describe("sc", ["probability_alive", PRED], digits=6)
 QUERIES["describe_errors"] = _describe(
     "sc",
     ["baseline_error", "bgnbd_error", "baseline_absolute_error", "bgnbd_absolute_error"],
     digits=6,
 )
-QUERIES["histogram"] = _histogram("mi", steps.HISTOGRAM)
+QUERIES["histogram"] = _histogram("mi", _HISTOGRAM)
 QUERIES["histogram_up_to_p99"] = _histogram(
     "(SELECT * FROM mi WHERE frequency <= (SELECT quantile_cont(frequency::DOUBLE, 0.99) FROM mi))",
     {"frequency": 50},
 )
 QUERIES["log1p_histogram"] = _histogram(
-    "mi", {c: 50 for c in steps.CENTERED}, "ln(1 + {}::DOUBLE)", 6
+    "mi", {c: 50 for c in _CENTERED}, "ln(1 + {}::DOUBLE)", 6
 )
 QUERIES["between_median_and_mean"] = f"""
 SELECT count(*) FILTER (WHERE s > median AND s < mean) AS households,
@@ -286,10 +314,10 @@ FROM (SELECT historical_sales::DOUBLE AS s FROM mi),
     sum(historical_sales)::DOUBLE / count(historical_sales) AS mean FROM mi)"""
 QUERIES["center_lines"] = " UNION ALL ".join(
     f"SELECT '{c}' AS metric, round(avg({c}::DOUBLE), 6) AS mean, {_quantile(c, 0.5, 8)} AS median FROM mi"
-    for c in steps.CENTERED
+    for c in _CENTERED
 )
-QUERIES["spearman"] = _ranks("mi", steps.RANKED_PAIRS)
-QUERIES["spearman_predicted"] = _ranks("sc", steps.SCORED_PAIRS)
+QUERIES["spearman"] = _ranks("mi", _RANKED_PAIRS)
+QUERIES["spearman_predicted"] = _ranks("sc", _SCORED_PAIRS)
 
 
 def _log_pair(table: str, x: str, y: str) -> str:
@@ -312,9 +340,9 @@ QUERIES["promotion_incidence"] = " UNION ALL ".join(
     )
 )
 QUERIES["normalized_promotion"] = (
-    "SELECT household_key, " + ", ".join(steps.NORMALIZED) + " FROM sc"
+    "SELECT household_key, " + ", ".join(_NORMALIZED) + " FROM sc"
 )
-_RS, _FS = steps.NORMALIZED[:2]
+_RS, _FS = _NORMALIZED[:2]
 QUERIES["normalized_promotion_checks"] = f"""
 SELECT count(*) FILTER (WHERE estimated_pre_retail_discount_value <= 0) AS nonpositive_pre_discount_value,
   count(*) FILTER (WHERE {_RS} IS NULL) AS missing_retail_share,
