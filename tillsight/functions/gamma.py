@@ -1,4 +1,4 @@
-"""Log-gamma differences, the digamma and the trigamma function, for floats and for column expressions.
+"""Log-gamma differences, the digamma and the trigamma function, for numbers, arrays and column expressions.
 
 Spark SQL has none. All use the asymptotic series after moving the argument up by eight, which
 leaves an error near 1e-14. The pieces are functions of ``z`` and of ``l = ln(z + 8)``,
@@ -7,8 +7,7 @@ leaves an error near 1e-14. The pieces are functions of ``z`` and of ``l = ln(z
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,11 +19,11 @@ TRIGAMMA_SERIES = [1 / 6, -1 / 30, 1 / 42, -1 / 30, 5 / 66, -691 / 2730]
 
 
 def _log(value):
-    return F.log(value) if isinstance(value, Column) else math.log(value)
+    return F.log(value) if isinstance(value, Column) else np.log(value)
 
 
 def _log1p(value):
-    return F.log1p(value) if isinstance(value, Column) else math.log1p(value)
+    return F.log1p(value) if isinstance(value, Column) else np.log1p(value)
 
 
 def _polynomial(series, w):
@@ -65,22 +64,22 @@ def rise_of(z, d, l_end, tail_start, tail_end):
     return (y - 0.5) * _log1p(d / y) + d * l_end - d + tail_end - tail_start - _log(product)
 
 
-def _pieces(z: float) -> tuple[float, float, float]:
+def _pieces(z):
     i = 1.0 / (z + SHIFT)
-    return math.log(z + SHIFT), i, i * i
+    return np.log(z + SHIFT), i, i * i
 
 
-def digamma(z: float) -> float:
+def digamma(z):
     return digamma_of(z, *_pieces(z))
 
 
-def trigamma(z: float) -> float:
+def trigamma(z):
     return trigamma_of(z, *_pieces(z)[1:])
 
 
-def log_gamma_tail(z: float) -> float:
+def log_gamma_tail(z):
     return tail(*_pieces(z)[1:])
 
 
-def log_gamma_rise(z: float, d: float) -> float:
+def log_gamma_rise(z, d):
     return rise_of(z, d, _pieces(z + d)[0], log_gamma_tail(z), log_gamma_tail(z + d))

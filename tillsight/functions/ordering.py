@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 
 from tillsight.sources.storage import materialize
 
-# Equal parts that a range of values is cut into when a histogram is refined.
-BINS = 4096
+# Bins of the first histogram for every power of two, and equal parts that a bin is cut into when it is refined.
+POWERS, BINS = 32, 4096
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, place in the partition below
 
@@ -222,11 +222,11 @@ def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataF
     return df.select(*by, F.inline(pairs))
 
 
-def _binade(value: Column) -> Column:
-    """First bin of a value: its sign and power of two, in the order of the values."""
-    power = 1100 + F.floor(F.least(F.log2(F.abs(value)), F.lit(1100.0)))
+def _power(value: Column) -> Column:
+    """First bin of a value: its sign and its size by parts of a power of two, in the order of the values."""
+    size = 1100 * POWERS + F.floor(F.least(F.log2(F.abs(value)), F.lit(1100.0)) * POWERS)
     return (
-        F.when(F.isnan(value), 5000).when(value == 0, 0).when(value > 0, power).otherwise(-power).cast("int")
+        F.when(F.isnan(value), 3000 * POWERS).when(value == 0, 0).when(value > 0, size).otherwise(-size).cast("int")
     )
 
 
@@ -275,7 +275,7 @@ def order_statistics(
 
     Round by round a histogram of the rows that still matter is counted, which combines on the
     map side, and the bins that hold a wanted rank become the ranges of the next round. The first bins are
-    powers of two, later ones equal parts, so a handful of rounds reaches one value whatever the
+    parts of powers of two, later ones equal parts, so a handful of rounds reaches one value whatever the
     distribution; bins keep their least and greatest value, so few values end it sooner. Only the bins
     with a wanted rank reach the driver, a few per group, column and quantile.
     """
@@ -289,7 +289,7 @@ def order_statistics(
             )
         )
     )
-    first = _histogram(long, *keys, _binade(F.col("value")).alias("bin"))
+    first = _histogram(long, *keys, _power(F.col("value")).alias("bin"))
     totals: dict[tuple, int] = {}
     values: dict[tuple, dict[int, float]] = defaultdict(dict)
     ranges: dict[tuple, list[tuple[int, int]]] = defaultdict(list)

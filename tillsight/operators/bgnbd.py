@@ -1,9 +1,9 @@
 """The BG/NBD purchase-count model (Fader, Hardie and Lee, 2005) on Spark.
 
-Fitting runs one aggregation per iteration, over the distinct histories with their counts: candidate
-parameters are an array that each history is expanded by, so the generated code is the same for every
-batch, and a likelihood with its first and second derivatives comes back for each. The best
-candidate's derivatives give the next batch, by steps the driver takes over four numbers.
+Fitting runs one aggregation per iteration, over the distinct histories with their counts: each task
+adds up the likelihood of its histories with its first and second derivatives, for a batch of candidate
+parameters, in whole arrays, and hands on one row per candidate. The best candidate's derivatives give
+the next batch, by steps the driver takes over four numbers.
 """
 
 from __future__ import annotations
@@ -15,20 +15,20 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillsight.functions import gamma
 from tillsight.functions.gamma import (
     SHIFT,
     digamma,
-    digamma_of,
     log_gamma_rise,
     log_gamma_tail,
     rise_of,
     tail,
     trigamma,
-    trigamma_of,
 )
 from tillsight.functions.ordering import quantile_columns
 from tillsight.sources.storage import materialize
@@ -68,10 +68,6 @@ def _history(df: DataFrame) -> DataFrame:
     ).agg(F.count("*").alias("n"))
 
 
-SLOPES = [f"d_{name}" for name in NAMES]
-BENDS = {(i, j): f"d_{NAMES[i]}_{NAMES[j]}" for i in range(4) for j in range(i, 4)}
-
-
 def _candidate(position: int, theta) -> str:
     """A parameter set with everything that depends on it alone, as a SQL struct literal."""
     r, alpha, a, b = (float(v) for v in theta)
@@ -81,25 +77,18 @@ def _candidate(position: int, theta) -> str:
         "a": a,
         "b": b,
         "log_a": math.log(a),
-        "log_alpha": math.log(alpha),
-        "psi_r": digamma(r),
-        "psi_b": digamma(b),
-        "psi_ab": digamma(a + b),
-        "bend_r": trigamma(r),
-        "bend_b": trigamma(b),
-        "bend_ab": trigamma(a + b),
-        "tail_r": log_gamma_tail(r),
-        "base": log_gamma_rise(b, a) + r * math.log(alpha),
+        "tail_r": float(log_gamma_tail(r)),
+        "base": float(log_gamma_rise(b, a)) + r * math.log(alpha),
     }
     fields = ", ".join(f"'{name}', {value!r}D" for name, value in values.items())
     return f"named_struct('candidate', {position}, {fields})"
 
 
 @cache
-def _steps() -> tuple[list[dict[str, Column]], dict[str, Column]]:
-    """Columns added one after the other, then the likelihood and its first and second derivatives.
+def _steps() -> tuple[list[dict[str, Column]], Column]:
+    """Columns added one after the other, then the total likelihood.
 
-    Over x, tx, t, n and the fields of a candidate. Built once: a fit uses them in every batch.
+    Over x, tx, t, n and the fields of a candidate.
     """
     c = F.col
     arguments = ["rx", "bx", "abx"]
@@ -108,7 +97,6 @@ def _steps() -> tuple[list[dict[str, Column]], dict[str, Column]]:
             "rx": c("r") + c("x"),
             "bx": c("b") + c("x"),
             "abx": c("a") + c("b") + c("x"),
-            "after": c("b") + F.greatest(c("x"), F.lit(1.0)) - 1.0,
             "log_t": F.log(c("alpha") + c("t")),
             "log_tx": F.log(c("alpha") + c("tx")),
         },
@@ -118,73 +106,31 @@ def _steps() -> tuple[list[dict[str, Column]], dict[str, Column]]:
             # log odds of having dropped out; a one-time buyer has not
             "gap": F.when(
                 c("x") > 0,
-                c("log_a") - F.log("after") + c("rx") * (c("log_t") - c("log_tx")),
+                c("log_a") - F.log(c("bx") - 1.0) + c("rx") * (c("log_t") - c("log_tx")),
             ),
         },
-        {f"{z}_w": c(f"{z}_i") * c(f"{z}_i") for z in arguments},
         {
-            **{f"{z}_tail": tail(c(f"{z}_i"), c(f"{z}_w")) for z in arguments},
-            **{
-                f"{z}_psi": digamma_of(c(z), c(f"{z}_l"), c(f"{z}_i"), c(f"{z}_w"))
-                for z in arguments
-            },
-            **{f"{z}_bend": trigamma_of(c(z), c(f"{z}_i"), c(f"{z}_w")) for z in arguments},
-            # derivatives of the log odds of having dropped out
-            "gap_r": c("log_t") - c("log_tx"),
-            "gap_alpha": c("rx") * (1.0 / (c("alpha") + c("t")) - 1.0 / (c("alpha") + c("tx"))),
-            "gap_a": 1.0 / c("a"),
-            "gap_b": -1.0 / c("after"),
-            "gone": F.coalesce(1.0 / (1.0 + F.exp(-c("gap"))), F.lit(0.0)),
+            **{f"{z}_tail": tail(c(f"{z}_i"), c(f"{z}_i") * c(f"{z}_i")) for z in arguments},
             # log of the sum of both branches, less the branch of staying alive
             "extra": F.coalesce(
                 F.greatest(c("gap"), F.lit(0.0)) + F.log1p(F.exp(-F.abs("gap"))), F.lit(0.0)
             ),
         },
     ]
-    alive = 1.0 - c("gone")
-    dropout = c("psi_ab") - c("abx_psi")
-    terms = {
-        "value": c("base")
+    value = (
+        c("base")
         + rise_of(c("r"), c("x"), c("rx_l"), c("tail_r"), c("rx_tail"))
         - rise_of(c("bx"), c("a"), c("abx_l"), c("bx_tail"), c("abx_tail"))
         - c("rx") * c("log_t")
-        + c("extra"),
-        "d_r": c("rx_psi")
-        - c("psi_r")
-        + c("log_alpha")
-        - alive * c("log_t")
-        - c("gone") * c("log_tx"),
-        "d_alpha": c("r") / c("alpha")
-        - c("rx") * (alive / (c("alpha") + c("t")) + c("gone") / (c("alpha") + c("tx"))),
-        "d_a": dropout + c("gone") / c("a"),
-        "d_b": dropout - c("psi_b") + c("bx_psi") - c("gone") / c("after"),
-    }
-    end, last = c("alpha") + c("t"), c("alpha") + c("tx")
-    turn = c("bend_ab") - c("abx_bend")
-    # second derivatives of the branch of staying alive, and of the log odds
-    bends = {
-        "d_r_r": (c("rx_bend") - c("bend_r"), 0.0),
-        "d_r_alpha": (1.0 / c("alpha") - 1.0 / end, 1.0 / end - 1.0 / last),
-        "d_alpha_alpha": (
-            c("rx") / (end * end) - c("r") / (c("alpha") * c("alpha")),
-            -c("rx") * (1.0 / (end * end) - 1.0 / (last * last)),
-        ),
-        "d_a_a": (turn, -c("gap_a") * c("gap_a")),
-        "d_a_b": (turn, 0.0),
-        "d_b_b": (turn + c("bx_bend") - c("bend_b"), c("gap_b") * c("gap_b")),
-    }
-    for (i, j), name in BENDS.items():
-        apart = c("gone") * alive * c(f"gap_{NAMES[i]}") * c(f"gap_{NAMES[j]}")
-        here, there = bends.get(name, (0.0, 0.0))
-        terms[name] = here + c("gone") * there + apart
-    return steps, {name: F.sum(c("n") * term).alias(name) for name, term in terms.items()}
+        + c("extra")
+    )
+    return steps, F.sum(c("n") * value).alias("log_likelihood")
 
 
 def _expanded(history: DataFrame, candidates) -> DataFrame:
-    """Each household once per candidate, with the columns the likelihood is made of.
+    """Each history once per candidate, with the columns the likelihood is made of.
 
-    The candidates are one literal array: their values are not part of the generated code, so it
-    is compiled once for a whole fit.
+    The candidates are one literal array: their values are not part of the generated code.
     """
     literal = ", ".join(_candidate(i, theta) for i, theta in enumerate(candidates))
     rows = history.select("x", "tx", "t", "n", F.expr(f"inline(array({literal}))"))
@@ -193,28 +139,86 @@ def _expanded(history: DataFrame, candidates) -> DataFrame:
     return rows
 
 
+#: what is added up per candidate: the likelihood, its slopes by r, alpha, a, b, the upper half of its Hessian
+UPPER_HALF = [(i, j) for i in range(4) for j in range(i, 4)]
+
+
+def terms(theta, x: np.ndarray, tx: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Log-likelihood of histories, its first derivatives and its second ones, one row each."""
+    r, alpha, a, b = theta
+    rx, bx, abx = r + x, b + x, a + b + x
+    end, last, after = alpha + t, alpha + tx, b + np.maximum(x, 1.0) - 1.0
+    # log odds of having dropped out; a one-time buyer has not
+    gap = np.where(x > 0, np.log(a) - np.log(after) + rx * (np.log(end) - np.log(last)), -np.inf)
+    gone = np.where(gap > 0, 1.0 / (1.0 + np.exp(-np.abs(gap))), 1.0 - 1.0 / (1.0 + np.exp(-np.abs(gap))))
+    value = (
+        log_gamma_rise(r, x) + log_gamma_rise(b, a) - log_gamma_rise(bx, a)
+        + r * np.log(alpha) - rx * np.log(end) + np.maximum(gap, 0.0) + np.log1p(np.exp(-np.abs(gap)))
+    )
+    gaps = [np.log(end) - np.log(last), rx * (1.0 / end - 1.0 / last), 1.0 / a, -1.0 / after]
+    dropout, turn = digamma(a + b) - digamma(abx), trigamma(a + b) - trigamma(abx)
+    slopes = [
+        digamma(rx) - digamma(r) + np.log(alpha) - np.log(end),
+        r / alpha - rx / end,
+        dropout,
+        dropout + digamma(bx) - digamma(b),
+    ]
+    # second derivatives of the branch of staying alive, and of the log odds
+    bends = {
+        (0, 0): (trigamma(rx) - trigamma(r), 0.0),
+        (0, 1): (1.0 / alpha - 1.0 / end, 1.0 / end - 1.0 / last),
+        (1, 1): (rx / end**2 - r / alpha**2, -rx * (1.0 / end**2 - 1.0 / last**2)),
+        (2, 2): (turn, -1.0 / a**2),
+        (2, 3): (turn, 0.0),
+        (3, 3): (turn + trigamma(bx) - trigamma(b), 1.0 / after**2),
+    }
+    out = [value] + [slope + gone * by for slope, by in zip(slopes, gaps)]
+    for i, j in UPPER_HALF:
+        here, there = bends.get((i, j), (0.0, 0.0))
+        out.append(here + gone * there + gone * (1.0 - gone) * gaps[i] * gaps[j])
+    return np.array(np.broadcast_arrays(*out))
+
+
+def _sums(thetas):
+    """The terms of every candidate added up over a task's histories: a row per candidate."""
+
+    def run(batches):
+        total = np.zeros((len(thetas), 5 + len(UPPER_HALF)))
+        for batch in batches:
+            x, tx, t, n = (batch.column(c).to_numpy().astype(float) for c in ("x", "tx", "t", "n"))
+            for i, theta in enumerate(thetas):
+                total[i] += terms(theta, x, tx, t) @ n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(thetas))), pa.array(list(total))], ["candidate", "sums"]
+        )
+
+    return run
+
+
 def _evaluate(history: DataFrame, candidates) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Total log-likelihood, its derivatives by r, alpha, a, b and its Hessian, for each candidate."""
+    # the functions travel to the executors with the job, where this package need not be installed
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    cloudpickle.register_pickle_by_value(gamma)
+    thetas = [tuple(float(v) for v in theta) for theta in candidates]
+    sums = history.mapInArrow(_sums(thetas), "candidate long, sums array<double>")
+    width = 5 + len(UPPER_HALF)
     rows = (
-        _expanded(history, candidates)
-        .groupBy("candidate")
-        .agg(*_steps()[1].values())
-        .collect()  # one row per candidate
-    )
-    ordered = sorted(rows, key=lambda row: row["candidate"])
-    values = np.array([row["value"] for row in ordered])
-    slopes = np.array([[row[name] for name in SLOPES] for row in ordered])
-    bends = np.array(
-        [[[row[BENDS[min(i, j), max(i, j)]] for j in range(4)] for i in range(4)] for row in ordered]
+        sums.groupBy("candidate").agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(width)])
+        .orderBy("candidate").collect()  # one row per candidate
     )
-    return values, slopes, bends
+    total = np.array([[row[f"s{i}"] for i in range(width)] for row in rows])
+    bends = np.zeros((len(rows), 4, 4))
+    for k, (i, j) in enumerate(UPPER_HALF):
+        bends[:, i, j] = bends[:, j, i] = total[:, 5 + k]
+    return total[:, 0], total[:, 1:5], bends
 
 
 def log_likelihood(df: DataFrame, theta: BgnbdParams) -> DataFrame:
     """The objective at fixed parameters."""
     return (
         _expanded(_history(df), [astuple(theta)])
-        .agg(F.sum("n").alias("households"), _steps()[1]["value"].alias("log_likelihood"))
+        .agg(F.sum("n").alias("households"), _steps()[1])
         .withColumn("mean_log_likelihood", F.col("log_likelihood") / F.col("households"))
     )
 
@@ -322,7 +326,7 @@ def reached(df: DataFrame, result: BgnbdFit, others: list[BgnbdParams]) -> DataF
     return (
         _expanded(_history(df), [astuple(theta) for theta in others])
         .groupBy(*NAMES)
-        .agg(_steps()[1]["value"].alias("log_likelihood"))
+        .agg(_steps()[1])
         .withColumn("reached", F.col("log_likelihood") <= F.lit(level))
     )
 
