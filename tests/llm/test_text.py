@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -78,6 +79,59 @@ def test_extract_drops_no_chosen_content():
     assert every(f"<div><h1>Title</h1><p>{c}</p></div>").split("\n\n") == ["Title", c]
 
 
+SENTENCE = "A sentence with words, and with marks, that is long enough to be content. "
+
+
+@pytest.mark.parametrize(
+    "head",
+    [
+        "<html><head><title>T</title><body>", "<html><head><meta charset=utf-8><title>T</title>",
+        "<title>T</title><body>", "<html><head><script>var a;</script><title>T</title></head>", "<head><style>p{}</style>",
+    ],
+)
+def test_extract_without_the_end_of_head(head):
+    assert html_extract.extract(f"{head}<article><p>{SENTENCE}</p></article>") == SENTENCE.strip()
+
+
+@pytest.mark.parametrize(
+    "part,kept",
+    [
+        ('<h2 id="legal-status">{}</h2>', True), ('<section id="related-work"><h2>{}</h2></section>', True),
+        ('<p id="share-prices">{}</p>', True), ('<p class="social">{}</p>', True),
+        ('<ul class="search results"><li>{}</li></ul>', True), ('<div id="social-history"><p>{}</p></div>', True),
+        ('<div class="article-header"><h1>{}</h1></div>', True), ('<header><h1>{}</h1></header>', True),
+        ('<div class="has-sidebar"><p>{}</p></div>', True), ('<section id="comments"><p>{}</p></section>', True),
+        ('<div class="layout-sidebar-left"><p>{}</p></div>', True), ('<blockquote class="alert">{}</blockquote>', True),
+        ('<article class="comment"><p>{}</p></article>', False), ('<article class="user-reply"><p>{}</p></article>', False),
+        ('<div id="comments"><p>{}</p></div>', False), ('<div id="comments-area"><p>{}</p></div>', False),
+        ('<ol class="comment-list"><li>{}</li></ol>', False), ('<div class="post-comments"><p>{}</p></div>', False),
+        ('<div class="shareButtons">{}</div>', False), ('<div class="site-header">{}</div>', False),
+        ('<section class="related">{}</section>', False), ('<div class="ad">{}</div>', False),
+        ('<p class="cookie-notice">{}</p>', False), ('<ul class="social"><li>{}</li></ul>', False),
+        ('<div role="navigation">{}</div>', False), ('<aside>{}</aside>', False), ('<footer>{}</footer>', False),
+        ('<div class="left-sidebar"><p>{}</p></div>', False), ('<span class="advert">{}</span>', False),
+    ],
+)
+def test_extract_goes_by_what_parts_are_named(part, kept):
+    page = f"<body><article><h1>Title</h1><p>{SENTENCE * 3}</p>{part.format('Part, here.')}<p>{SENTENCE}</p></article>"
+    expected = ["Title", (SENTENCE * 3).strip(), "Part, here.", SENTENCE.strip()]
+    assert html_extract.extract(page).split("\n\n") == [t for t in expected if kept or t != "Part, here."]
+
+
+def test_comments_beside_the_article_are_left_out():
+    page = f"<article><p>{SENTENCE * 4}</p></article><article class=comment><p>{SENTENCE * 2}</p></article>"
+    assert html_extract.extract(page) == (SENTENCE * 4).strip()
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "section", "p><span", "ul><li", "article", "table><tr><td"])
+def test_deep_pages_take_time_by_their_length(tag):
+    """20,000 elements in one another, with text and end tags of others at each depth."""
+    page = f"<{tag}>t, e</i></p></em>" * 20_000 + f"<p>{SENTENCE}</p>" * 50
+    started = time.process_time()
+    assert SENTENCE.strip() in html_extract.extract(page)
+    assert time.process_time() - started < 3
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<p", "</div></p>", "<script>x", "<!--", "<a<b>", "&#xfffffff;"])
 def test_extract_survives_broken_pages(page):
     assert isinstance(html_extract.extract(page), str)

@@ -11,6 +11,7 @@ else.
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -44,35 +45,51 @@ SIBLING = {
     "tfoot": ("tbody", "tr", "td", "th"),
 }
 SCOPES = frozenset("ul ol dl table td th html body article section main div aside nav footer header form".split())
-# Words in class, id and role that name a part of a page.
-NOT_CONTENT = frozenset(
-    "ad ads advert adverts advertisement advertising adbox adslot banner promo promotion sponsor "
-    "sponsored menu nav navbar navigation breadcrumb breadcrumbs sidebar aside widget footer header "
-    "masthead cookie cookies consent gdpr notice notices newsletter subscribe signup login popup "
-    "modal overlay comment comments disqus respond reply replies share sharing social related "
-    "recommended recommendations pagination pager toolbar search contentinfo complementary "
-    "copyright legal alert paywall".split()
+HEAD_PARTS = frozenset("head title meta link base basefont bgsound script style noscript template".split())
+# Elements whose class or role may take them out of the content with any word of the list below; an id only
+# where it is made for the layout, not from a heading.
+CONTAINERS = frozenset("div aside form table center dl ul ol".split())
+# Words in class, id and role that name a part of a page. Those of the first list do so in any
+# element, as first or last part of a name, those of the second in containers, as its first part.
+SURELY_NOT = frozenset(
+    "ad ads advert adverts advertisement advertising adbox adslot sponsor sponsored cookie cookies "
+    "consent gdpr newsletter subscribe sidebar breadcrumb breadcrumbs comment comments disqus "
+    "pagination navbar contentinfo complementary copyright paywall notice notices".split()
 )
+NOT_CONTENT = SURELY_NOT | frozenset(
+    "banner promo promotion menu nav navigation aside widget footer header masthead "
+    "signup login popup modal overlay respond reply replies share sharing social related recommended "
+    "recommendations pager toolbar search legal alert".split()
+)
+LISTS, NOT_LISTS = frozenset("ul ol dl".split()), frozenset("search legal alert related respond".split())
+COMMENTS = frozenset("comment comments reply replies disqus".split())
+#: first parts that say where on the page something stands, and those that only speak of another part
+PLACES = frozenset("site page main top bottom left right global primary secondary".split())
+SPEAKS_OF = frozenset("no has with without hide".split())
 CONTENT = frozenset("article content main post entry story body text".split())
 PUNCTUATION = frozenset(",.;:!?，。；：！？、…。")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z0-9]+")
+_HUMP = re.compile(r"([a-z])([A-Z])")
 _RADIUS = 1
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
+    """An element; ``path`` numbers its labels from the root, ``article`` and ``named`` are the outermost
+    elements above or at it of the kind article or main, and named as content."""
+
     tag: str
-    label: str
     parent: Node | None
     depth: int
-    excluded: bool
-    content: bool
-    hidden: bool
-    value: float = 0.0
+    path: int
+    excluded: bool = False
+    hidden: bool = False
+    article: Node | None = None
+    named: Node | None = None
 
 
-@dataclass
+@dataclass(eq=False)
 class Block:
     """Text between two block borders, in one element."""
 
@@ -84,16 +101,48 @@ class Block:
         return _SPACE.sub(" ", "".join(self.parts)).strip()
 
 
-def _names(attrs: dict) -> set[str]:
-    given = " ".join(str(attrs.get(k) or "") for k in ("class", "id", "role"))
-    return set(_NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", given).lower()))
+def _parts(name: str) -> list[str]:
+    return _NAME.findall(_HUMP.sub(r"\1 \2", name).lower())
+
+
+def _names_another_part(tag: str, attrs: dict, inside: bool) -> bool:
+    """Whether class, role or id say that an element is no content. ``inside`` an article, an
+    article whose class says so is a comment."""
+    given = [_parts(n) for k in ("class", "role") for n in str(attrs.get(k) or "").split()]
+    ident = _parts(str(attrs.get("id") or ""))
+    if tag in ("article", "main"):
+        return any(COMMENTS & set(parts) for parts in given) or inside and COMMENTS.issuperset(ident) and bool(ident)
+    loose = tag in CONTAINERS or tag == "section"
+    if tag in CONTAINERS and len(ident) == 1:
+        given.append(ident)
+    elif tag in CONTAINERS and ident and ident[0] in SURELY_NOT:
+        given.append(ident[:1])
+    for parts in given:
+        if not parts or parts[0] in SPEAKS_OF:
+            continue
+        if not SURELY_NOT.isdisjoint((parts[0], parts[-1])) or not COMMENTS.isdisjoint(parts):
+            return True
+        if parts[0] in PLACES and len(parts) > 1:
+            parts = parts[1:]
+        words = NOT_CONTENT - NOT_LISTS if tag in LISTS else NOT_CONTENT
+        if loose and parts[0] in words:
+            return True
+    return False
 
 
 class _Reader(HTMLParser):
+    """Blocks of a page in its order. Work grows with the page, not with the depth of its elements: what
+    must be known of the elements above is kept at each node or in the places of the open tags."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Node("#root", "#root", None, 0, False, False, False)
-        self.stack = [self.root]
+        root = Node("#root", None, 0, 0)
+        self.stack = [root]
+        self.nodes = [root]
+        self.paths: dict[tuple[int, str], int] = {}
+        #: places in the stack of the open elements, by tag, and of those that are blocks
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.block_places = [0]
         self.blocks: list[Block] = []
         self.open: Block | None = None
 
@@ -102,6 +151,8 @@ class _Reader(HTMLParser):
             if tag == "br":
                 self.handle_data(" ")
             return
+        if tag not in HEAD_PARTS:
+            self._end_head()
         if tag in ENDS_P:
             self._close_within("p", SCOPES - {"div"})
         for sibling in SIBLING.get(tag, ()):
@@ -112,17 +163,27 @@ class _Reader(HTMLParser):
             return
         above = self.stack[-1]
         attrs = dict(attrs)
-        names = _names(attrs)
-        marked = tag in BOILERPLATE and not (tag == "header" and _inside(above, "article"))
-        marked |= bool(names & NOT_CONTENT) and tag not in ("html", "body", "article", "main")
+        inside = bool(self.places["article"] or self.places["main"])
+        marked = tag in BOILERPLATE and not (tag == "header" and self.places["article"])
+        marked |= tag not in ("html", "body") and _names_another_part(tag, attrs, inside)
         style = (attrs.get("style") or "").replace(" ", "").lower()
-        hidden = tag in UNSEEN or "hidden" in attrs or "display:none" in style
+        names = sorted({n for k in ("class", "id", "role") for n in _parts(str(attrs.get(k) or ""))})
+        label = ".".join([tag, *names])
         node = Node(
-            tag, ".".join([tag, *sorted(names)]), above, above.depth + 1,
+            tag, above, above.depth + 1, self.paths.setdefault((above.path, label), len(self.paths) + 1),
             above.excluded or marked,
-            tag in ("article", "main") or bool(names & CONTENT) and tag in ("div", "section", "td"),
-            above.hidden or hidden,
+            above.hidden or tag in UNSEEN or "hidden" in attrs or "display:none" in style,
+            above.article, above.named,
         )
+        if tag in ("article", "main"):
+            node.article = node.article or node
+            node.named = node.named or node
+        elif tag in ("div", "section", "td") and not CONTENT.isdisjoint(names):
+            node.named = node.named or node
+        self.nodes.append(node)
+        self.places[tag].append(len(self.stack))
+        if tag in BLOCKS:
+            self.block_places.append(len(self.stack))
         self.stack.append(node)
 
     def handle_startendtag(self, tag, attrs):
@@ -133,64 +194,54 @@ class _Reader(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "br":
             self.handle_data(" ")
-        if tag == "p" and not any(n.tag == "p" for n in self.stack):
+        places = self.places[tag]
+        if not places:
+            if tag == "p":
+                self.open = None
+        elif tag in BLOCKS or places[-1] > self.block_places[-1]:
+            # a block's end reaches past inline elements that were never closed, not past other blocks
+            self._cut(places[-1])
+
+    def _cut(self, place: int) -> None:
+        """Close the element at a place of the stack and all in it."""
+        if self.block_places[-1] >= place:
             self.open = None
-        # a block's end reaches past inline elements that were never closed, not past other blocks
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                if any(n.tag in BLOCKS for n in self.stack[i:]):
-                    self.open = None
-                del self.stack[i:]
-                return
-            if tag not in BLOCKS and self.stack[i].tag in BLOCKS:
-                return
+        while len(self.stack) > place:
+            node = self.stack.pop()
+            self.places[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.block_places.pop()
 
     def _close_within(self, tag, scopes):
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                self.open = None
-                return
-            if self.stack[i].tag in scopes:
-                return
+        places = self.places[tag]
+        if places and all(self.places[s][-1] <= places[-1] for s in scopes if self.places[s]):
+            self.open = None
+            self._cut(places[-1])
+
+    def _end_head(self) -> None:
+        """The end tag of ``head`` may be left out: what cannot stand in it ends it."""
+        if self.stack[-1].tag == "head":
+            self._cut(len(self.stack) - 1)
 
     def handle_data(self, data):
-        owner = self.stack[-1]
-        if owner.hidden:
+        if not data.isspace():
+            self._end_head()
+        inner = self.stack[-1]
+        if inner.hidden:
+            return
+        owner = self.stack[self.block_places[-1]]
+        if inner.excluded and not owner.excluded:
             return
-        while owner.parent is not None and owner.tag not in BLOCKS:
-            if owner.excluded and not owner.parent.excluded:
-                return
-            owner = owner.parent
         if self.open is None or self.open.node is not owner:
             self.open = Block(owner)
             self.blocks.append(self.open)
         self.open.parts.append(data)
 
 
-def _inside(node: Node | None, tag: str) -> bool:
-    while node is not None:
-        if node.tag == tag:
-            return True
-        node = node.parent
-    return False
-
-
-def _path(node: Node) -> str:
-    labels = []
-    while node.parent is not None:
-        labels.append(node.label)
-        node = node.parent
-    return "/".join(reversed(labels))
-
-
 def path_values(blocks: list[Block], texts: list[str]) -> np.ndarray:
     """Fused tag-path ratio of each block: text and punctuation per node of its path, each smoothed
     along the page with a triangle of weights, multiplied."""
-    paths, place = {}, []
-    for b in blocks:
-        place.append(paths.setdefault(_path(b.node), len(paths)))
-    at = np.array(place)
+    at = np.unique([b.node.path for b in blocks], return_inverse=True)[1]
     nodes = np.bincount(at)
     length = np.bincount(at, [len(t) for t in texts]) / nodes
     marks = np.bincount(at, [sum(c in PUNCTUATION for c in t) for t in texts]) / nodes
@@ -223,52 +274,39 @@ def extract(html: str) -> str:
     values = path_values([blocks[i] for i in open_], [texts[i] for i in open_])
     threshold = min(values.std(), values.max()) if len(values) > 1 else 0.0
     chosen = [i for i, v in zip(open_, values) if v >= threshold]
-    tops = _articles([blocks[i].node for i in chosen], [len(texts[i]) for i in chosen])
+    tops = _articles(reader.nodes, [blocks[i].node for i in chosen], [len(texts[i]) for i in chosen])
     # what was chosen is content wherever it stands, unless the page itself names its articles
     kept = set() if all(n.tag in ("article", "main") for n in tops) else set(chosen)
-    marks = {id(n) for n in tops}
-    return "\n\n".join(texts[i] for i in open_ if i in kept or _under(blocks[i].node, marks))
+    under = {id(n) for n in tops}
+    for node in reader.nodes:  # parents come before what is in them
+        if id(node.parent) in under:
+            under.add(id(node))
+    return "\n\n".join(texts[i] for i in open_ if i in kept or id(blocks[i].node) in under)
 
 
-def _under(node: Node | None, marks: set[int]) -> bool:
-    while node is not None:
-        if id(node) in marks:
-            return True
-        node = node.parent
-    return False
-
-
-def _articles(nodes: list[Node], lengths: list[int]) -> list[Node]:
+def _articles(every: list[Node], nodes: list[Node], lengths: list[int]) -> list[Node]:
     """The elements that are taken whole: the outermost ones of the kind article or main that hold
     chosen text, if they hold over half of it together; else the outermost ones whose class or id
     names content, if they do; else the deepest element, but for a single block, that holds all
     chosen text."""
     half = sum(lengths) / 2
-    for fits in (lambda n: n.tag in ("article", "main"), lambda n: n.content):
-        tops = [_outermost(node, fits) for node in nodes]
+    for kind in ("article", "named"):
+        tops = [getattr(node, kind) for node in nodes]
         if sum(n for n, top in zip(lengths, tops) if top is not None) > half:
             return list({id(t): t for t in tops if t is not None}.values())
-    top = nodes[0]
-    for node in nodes[1:]:
-        while node is not top:
-            if node.depth > top.depth:
-                node = node.parent
-            else:
-                top = top.parent
+    held = Counter(id(n) for n in nodes)
+    top = every[0]
+    for node in reversed(every):  # what is in an element comes after it
+        if held[id(node)] == len(nodes):
+            top = node
+            break
+        if node.parent is not None:
+            held[id(node.parent)] += held[id(node)]
     while top.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "td"):
         top = top.parent
     return [top]
 
 
-def _outermost(node: Node | None, fits) -> Node | None:
-    found = None
-    while node is not None:
-        if fits(node):
-            found = node
-        node = node.parent
-    return found
-
-
 def extract_pages(
     df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
