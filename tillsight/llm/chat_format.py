@@ -22,9 +22,8 @@ from tillsight.llm.common import text_values, with_derived
 ROLES = ("system", "user", "assistant")
 #: a role that begins, then the same role going on
 STATES = tuple((r, b) for r in ROLES for b in (True, False))
-MAX_TRANSCRIPTS = 2000
-#: turns of a conversation that make up one transcript
-SEGMENT_TURNS = 256
+#: turns of a conversation that make up one transcript; transcripts and characters handed on at once
+SEGMENT_TURNS, BATCH_TRANSCRIPTS, BATCH_CHARS = 256, 256, 1 << 22
 
 # Speaker names by role.
 SPEAKERS = {
@@ -58,13 +57,21 @@ _KINDS = {k: i for i, k in enumerate((*ROLES, "quote", "other", ""))}
 _SIZES = (len(_KINDS), 3, len(_LENGTHS) + 1, 3)
 
 
+def markers(lines: list[str]) -> list[tuple[str, int]]:
+    """The marker of each line of a transcript; where users have a name, ``>`` only quotes."""
+    found = [marker(line) for line in lines]
+    if any(kind == "user" for kind, _ in found):
+        found = [("", 0) if kind == "quote" else (kind, n) for kind, n in found]
+    return found
+
+
 def observe(lines: list[str]) -> np.ndarray:
     out = np.zeros((len(lines), len(_SIZES)), np.int64)
     before = 2
-    for i, line in enumerate(lines):
+    for i, (line, (kind, _)) in enumerate(zip(lines, markers(lines))):
         text = line.strip()
         out[i] = (
-            _KINDS[marker(line)[0]],
+            _KINDS[kind],
             before,
             sum(len(text) > n for n in _LENGTHS),
             1 if text[-1:] in ("?", "？") else 2 if text[-1:] in (".", "!", "…") else 0,
@@ -97,28 +104,40 @@ class Model:
         return at
 
 
-def fit_lines(transcripts: list[list[tuple[str, bool, str]]]) -> Model:
-    """Counts of labelled lines ``(role, begins, line)``, each smoothed by a half."""
+#: cells of the counts a model is made of: first states, moves, then each feature by state
+_CELLS = len(STATES) * (1 + len(STATES) + sum(_SIZES))
+_NUMBER = {s: i for i, s in enumerate(STATES)}
+
+
+def count_lines(lines: list[tuple[str, bool, str]]) -> np.ndarray:
+    """What one labelled transcript, lines ``(role, begins, line)``, adds to the cells."""
+    n, out = len(STATES), np.zeros(_CELLS)
+    if not lines:
+        return out
+    states = np.array([_NUMBER[role, begins] for role, begins, _ in lines])
+    out[states[0]] += 1
+    np.add.at(out, n + states[:-1] * n + states[1:], 1)
+    at = n + n * n
+    for values, size in zip(observe([line for _, _, line in lines]).T, _SIZES):
+        np.add.at(out, at + states * size + values, 1)
+        at += n * size
+    return out
+
+
+def model_of(counts: np.ndarray) -> Model:
+    """Log shares of the counts, each smoothed by a half, moves by a twentieth; a turn cannot go on
+    in another role."""
     n = len(STATES)
-    number = {s: i for i, s in enumerate(STATES)}
-    start, move = np.full(n, 0.5), np.full((n, n), 0.05)
-    emit = [np.full((n, size), 0.5) for size in _SIZES]
+    start, move = 0.5 + counts[:n], 0.05 + counts[n : n + n * n].reshape(n, n)
     for i, (role, begins) in enumerate(STATES):
-        if not begins:
-            start[i] = 0.01
+        start[i] -= 0.0 if begins else 0.49
         for j, (other, new) in enumerate(STATES):
             if not new and other != role:
-                move[i, j] = 1e-9
-    for rows in transcripts:
-        if not rows:
-            continue
-        states = [number[(role, begins)] for role, begins, _ in rows]
-        start[states[0]] += 1
-        for a, b in zip(states, states[1:]):
-            move[a, b] += 1
-        for s, seen in zip(states, observe([line for _, _, line in rows])):
-            for f, v in enumerate(seen):
-                emit[f][s, v] += 1
+                move[i, j] -= 0.05 - 1e-9
+    emit, at = [], n + n * n
+    for size in _SIZES:
+        emit.append(0.5 + counts[at : at + n * size].reshape(n, size))
+        at += n * size
     return Model(
         np.log(start / start.sum()),
         np.log(move / move.sum(axis=1, keepdims=True)),
@@ -126,20 +145,31 @@ def fit_lines(transcripts: list[list[tuple[str, bool, str]]]) -> Model:
     )
 
 
+def fit_lines(transcripts: list[list[tuple[str, bool, str]]]) -> Model:
+    """The model of labelled transcripts."""
+    return model_of(sum((count_lines(rows) for rows in transcripts), np.zeros(_CELLS)))
+
+
 def parse(model: Model, text: str) -> list[dict]:
-    """Turns of a transcript in order. A marker that begins a turn is taken off; white space around a
-    turn goes; a turn that is empty then stays as an empty turn if a marker began it."""
+    """Turns of a transcript in order. A marker that begins a turn and names its role is taken off, ``>``
+    from a user's turn; anything else is text. A line without marker below a marker that stands alone goes
+    with it, whatever its state. White space around a turn goes; a turn that is empty then stays as an empty
+    turn if a marker began it."""
     if not text or not text.strip():
         return []
     lines = text.split("\n")
     turns: list[tuple[str, list[str], bool]] = []
-    for line, s in zip(lines, model.states(observe(lines))):
+    waits = False  # the turn has a marker and nothing else yet
+    for line, (kind, length), s in zip(lines, markers(lines), model.states(observe(lines))):
         role, begins = STATES[s]
-        if begins or not turns:
-            kind, length = marker(line)
-            turns.append((role, [line[length:]], bool(kind)))
+        if not turns or begins and not (waits and kind not in ROLES):
+            named = kind == role or kind == "quote" and role == "user"
+            line = line[length:] if named else line
+            turns.append((role, [line], named))
+            waits = named
         else:
             turns[-1][1].append(line)
+        waits = waits and not line.strip()
     made = [(role, "\n".join(part).strip(), marked) for role, part, marked in turns]
     return [{"role": role, "content": content} for role, content, marked in made if content or marked]
 
@@ -176,21 +206,29 @@ def format_chats(df: DataFrame, model: Model, text_col: str = "transcript") -> D
     )
 
 
-def fit(df: DataFrame, turns_col: str = "lines", max_transcripts: int = MAX_TRANSCRIPTS) -> Model:
-    """Learn from labelled transcripts, an array of ``(role, text)`` per row, the text of a turn as it
-    stands in the transcript, marker included. At most ``max_transcripts`` rows are used, those with
-    the least hash; turns of unknown role end a transcript."""
-    rows = df.where(F.size(turns_col) > 0).orderBy(F.xxhash64(turns_col)).limit(max_transcripts)
-    labelled = []
-    for (turns,) in rows.select(turns_col).toLocalIterator():
-        lines: list[tuple[str, bool, str]] = []
-        for t in turns:
-            if t["role"] not in ROLES:
-                break
-            for i, line in enumerate((t["text"] or "").split("\n")):
-                lines.append((t["role"], i == 0, line))
-        labelled.append(lines)
-    return fit_lines(labelled)
+def fit(df: DataFrame, turns_col: str = "lines") -> Model:
+    """Learn from all labelled transcripts, an array of ``(role, text)`` per row, the text of a turn as it
+    stands in the transcript, marker included. Tasks count, Spark adds up, and a table of fixed size comes
+    to the driver. Turns of unknown role end a transcript; no transcripts give the smoothed model."""
+
+    def run(batches):
+        total = np.zeros(_CELLS)
+        for batch in batches:
+            for turns in batch.column(0).to_pylist():
+                lines: list[tuple[str, bool, str]] = []
+                for t in turns or ():
+                    if t["role"] not in ROLES:
+                        break
+                    lines += [(t["role"], i == 0, line) for i, line in enumerate((t["text"] or "").split("\n"))]
+                total += count_lines(lines)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
+
+    counts = np.zeros(_CELLS)
+    sums = df.select(turns_col).mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n"))
+    for cell, n in sums.collect():  # _CELLS rows at most
+        counts[cell] = n
+    return model_of(counts)
 
 
 # Ways in which raw transcripts mark their speakers, and what stands between turns.
@@ -204,15 +242,62 @@ STYLES = (
 )
 
 
+_LINES = T.ArrayType(
+    T.StructType([T.StructField(c, T.StringType()) for c in ("role", "text", "content")])
+)
+
+
+def _assembling(schema: pa.Schema):
+    """Turns in order to transcripts, held one at a time."""
+
+    def run(batches):
+        made, chars, said, key, between = [], 0, [], None, ""
+
+        def close():
+            last = len(said) - 1
+            made.append(
+                {
+                    "conv_id": key[0], "segment": key[1], "transcript": between.join(t for _, t, _ in said),
+                    "lines": [
+                        # with the empty lines before the next turn
+                        {"role": r, "text": t + between[1:] if i < last else t, "content": c}
+                        for i, (r, t, c) in enumerate(said)
+                    ],
+                }
+            )
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = (row["conv_id"], row["segment"], row["single"])
+                if said and (own != key or len(said) == SEGMENT_TURNS):
+                    close()
+                    said = []
+                key, between, text = own, row["between"], row["text"] or ""
+                said.append((row["role"], row["mark"] + text, text.strip()))
+                chars += len(text)
+                if len(made) >= BATCH_TRANSCRIPTS or chars >= BATCH_CHARS:
+                    yield pa.RecordBatch.from_pylist(made, schema)
+                    made, chars = [], 0
+        if said:
+            close()
+        yield pa.RecordBatch.from_pylist(made, schema)
+
+    return run
+
+
 def transcripts(df: DataFrame) -> DataFrame:
     """Raw transcripts made from ``(conv_id, turn, role, text)``: ``conv_id, segment, transcript,
-    lines``, in a style chosen by the id; every seventh answer has lost its marker.
-
-    A conversation of any length is cut into segments of ``SEGMENT_TURNS`` turns by its turn numbers,
-    each a transcript. Turns with the same number follow by role and text. Unknown and null roles
-    get no marker; null texts are empty. Rows without conversation id or turn number make up
-    conversations and segments of their own.
+    lines`` (role, text as it stands there, content), in a style chosen by the id; every seventh answer
+    has lost its marker.
+
+    A conversation of any length is cut into segments of ``SEGMENT_TURNS`` turn numbers, each a
+    transcript. Turns with the same number follow by role and text; where they make a segment longer, it
+    gives several transcripts. Rows without conversation id or turn number have no neighbours: each is a
+    transcript of its own. Unknown and null roles get no marker; null texts are empty. Rows are read in
+    order and a transcript is held at a time, so no group must fit in memory.
     """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
     style = F.pmod(F.xxhash64("conv_id"), F.lit(len(STYLES))).cast("int")
     lost = (F.col("role") == "assistant") & (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(7)) == 0)
     mark = F.lit("")
@@ -220,29 +305,20 @@ def transcripts(df: DataFrame) -> DataFrame:
         for role, name in names.items():
             mark = F.when((F.col("style") == i) & (F.col("role") == role), F.lit(name)).otherwise(mark)
     between = F.element_at(F.array(*(F.lit(b) for _, b in STYLES)), F.col("style") + 1)
-    turn = F.struct(
-        "turn", "role",
-        F.concat(F.when(lost, F.lit("")).otherwise(mark), F.coalesce("text", F.lit(""))).alias("text"),
+    alone = F.col("conv_id").isNull() | F.col("turn").isNull()
+    schema = T.StructType(
+        [df.schema["conv_id"], T.StructField("segment", T.LongType()),
+         T.StructField("transcript", T.StringType()), T.StructField("lines", _LINES)]
     )
+    rows = df.select("conv_id", "turn", "role", "text", style.alias("style")).select(
+        "conv_id", "turn", "role", "text", between.alias("between"),
+        F.floor(F.col("turn") / SEGMENT_TURNS).cast("long").alias("segment"),
+        F.when(lost, F.lit("")).otherwise(mark).alias("mark"),
+        F.when(alone, F.monotonically_increasing_id()).alias("single"),
+    )
+    key = ["conv_id", "segment", "single"]
     return (
-        df.withColumn("style", style)
-        .withColumn("segment", F.floor(F.col("turn") / SEGMENT_TURNS).cast("long"))
-        .groupBy("conv_id", "segment", "style")
-        .agg(F.sort_array(F.collect_list(turn)).alias("said"))
-        .select(
-            "conv_id", "segment",
-            F.array_join(F.transform("said", lambda t: t["text"]), "\u0000").alias("joined"),
-            F.transform(
-                "said",
-                lambda t, i: F.struct(
-                    t["role"].alias("role"),
-                    # with the empty lines before the next turn
-                    F.when(i + 1 < F.size("said"), F.concat(t["text"], F.substring(between, 2, 9)))
-                    .otherwise(t["text"]).alias("text"),
-                ),
-            ).alias("lines"),
-            between.alias("between"),
-        )
-        .withColumn("transcript", F.expr("replace(joined, chr(0), between)"))
-        .drop("joined", "between")
+        rows.repartition(*key)
+        .sortWithinPartitions(*key, "turn", "role", "text")
+        .mapInArrow(_assembling(to_arrow_schema(schema)), schema)
     )

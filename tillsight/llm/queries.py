@@ -12,6 +12,7 @@ from tillsight.llm import (
     chat_format, chat_repair, embedding_dedup, filter_audit, html_extract, mixing, packing, piece_encode,
     secret_scan, simhash, substring_dedup, topk, toxicity,
 )
+from tillsight.llm.common import spill
 from tillsight.llm.check_sql import CHAT_REPAIR_SQL, FILTER_AUDIT_SQL, MIXING_SQL
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -97,15 +98,19 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
-    """Transcripts made from the conversations, their recovered turns, and whether the roles are
-    those that the conversation had."""
-    raw = chat_format.transcripts(_read(spark, folder, "conversations"))
+    """Transcripts made from the conversations, their recovered turns, and whether the roles and the
+    contents are those that the conversation had, white space around a turn apart."""
+    raw = spill(chat_format.transcripts(_read(spark, folder, "conversations")), "transcripts")
     model = chat_format.fit(raw)
-    told = F.transform("lines", lambda t: t["role"])
+
+    def told(turns: str, part: str):
+        return F.transform(turns, lambda t: t[part])
+
     return chat_format.format_chats(raw, model).select(
         "conv_id", "segment",
         F.size("turns").cast("long").alias("n_turns"),
-        (F.transform("turns", lambda t: t["role"]) == told).alias("roles_recovered"),
+        (told("turns", "role") == told("lines", "role")).alias("roles_recovered"),
+        (told("turns", "content") == told("lines", "content")).alias("content_recovered"),
         "chat",
     )
 
