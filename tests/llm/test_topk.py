@@ -54,3 +54,35 @@ def test_few_candidates_large_numbers_and_odd_tables(spark):
     assert {r.vec_id for r in topk.top_k(twice, one).collect()} == {7, 50}
     big = spark.createDataFrame([(0, [1e7, 1.0], 1), (1, [9e6, 5.0], 1), (2, [9e6, 4.0], 1)], SCHEMA)
     assert sorted(map(tuple, topk.top_k(big, big).collect())) == by_hand([tuple(r) for r in big.collect()], {0, 1, 2}, 5)
+
+
+def test_vectors_of_length_zero_and_large_components(spark):
+    schema = "vec_id long, embedding array<double>, label int"
+    rows = [(i, [], 1) for i in range(0, 140, 7)] + [(200 + i, [i / 100, 1.0], 1) for i in range(20)]
+    # components past 2**45 stay in the search
+    rows += [(300, [1e14, 0.5], 1), (301, [0.0, 3.0], 1), (303, [-0.25, 2.0**20], 1)]
+    df = spark.createDataFrame(rows, schema).repartition(4)
+    got = topk.top_k(df, df.where("vec_id % 50 = 0"))
+    assert sorted(map(tuple, got.collect())) == by_hand(rows, {0, 50, 100, 200, 300}, 5)
+    # whole numbers tell scores apart that doubles do not
+    near = [(i, [3e6 + i % 3, 7.0 + i / 256, 1.0], 1) for i in range(30)]
+    df = spark.createDataFrame(near, schema).repartition(4)
+    got = topk.top_k(df, df.where("vec_id % 10 = 0"))
+    assert sorted(map(tuple, got.collect())) == by_hand(near, {0, 10, 20}, 5)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        far = spark.createDataFrame([(0, [1e14, 1.0], 1), (1, [1e14, 1.0], 1)], schema)
+        topk.top_k(far, far).collect()
+    # what is far below the best may have any size
+    low = [(0, [1e12], 1), (1, [-1e15], 1)] + [(2 + i, [-float(i)], 1) for i in range(6)]
+    df = spark.createDataFrame(low, schema)
+    assert sorted(map(tuple, topk.top_k(df, df.where("vec_id = 0")).collect())) == by_hand(low, {0}, 5)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_k(df, df.where("vec_id = 0"), k=7).collect()
+
+
+def test_candidates_are_dealt_once(spark):
+    """Only query blocks are sent to every group; vectors of candidates are shuffled once a phase."""
+    rows = [(i, [float(i % 7), float(i % 11)], 1) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    plan = topk.top_k(df, df.where("vec_id % 50 = 0"))._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan and plan.count("hashpartitioning(group") == 1

@@ -257,7 +257,7 @@ def _assembling(schema: pa.Schema):
             last = len(said) - 1
             made.append(
                 {
-                    "conv_id": key[0], "segment": key[1], "transcript": between.join(t for _, t, _ in said),
+                    "conv_id": key[0], "segment": key[1],
                     "lines": [
                         # with the empty lines before the next turn
                         {"role": r, "text": t + between[1:] if i < last else t, "content": c}
@@ -286,9 +286,19 @@ def _assembling(schema: pa.Schema):
 
 
 def transcripts(df: DataFrame) -> DataFrame:
-    """Raw transcripts made from ``(conv_id, turn, role, text)``: ``conv_id, segment, transcript,
-    lines`` (role, text as it stands there, content), in a style chosen by the id; every seventh answer
-    has lost its marker.
+    """The turns of :func:`transcript_turns` with their ``transcript``."""
+    return with_transcript(transcript_turns(df))
+
+
+def with_transcript(turns: DataFrame) -> DataFrame:
+    """Adds the raw text that the turns make up."""
+    return turns.withColumn("transcript", F.array_join(F.transform("lines", lambda t: t["text"]), "\n"))
+
+
+def transcript_turns(df: DataFrame) -> DataFrame:
+    """Turns of raw transcripts made from ``(conv_id, turn, role, text)``: ``conv_id, segment, lines``
+    (role, text as it stands there, content), in a style chosen by the id; every seventh answer has lost
+    its marker.
 
     A conversation of any length is cut into segments of ``SEGMENT_TURNS`` turn numbers, each a
     transcript. Turns with the same number follow by role and text; where they make a segment longer, it
@@ -308,7 +318,7 @@ def transcripts(df: DataFrame) -> DataFrame:
     alone = F.col("conv_id").isNull() | F.col("turn").isNull()
     schema = T.StructType(
         [df.schema["conv_id"], T.StructField("segment", T.LongType()),
-         T.StructField("transcript", T.StringType()), T.StructField("lines", _LINES)]
+         T.StructField("lines", _LINES)]
     )
     rows = df.select("conv_id", "turn", "role", "text", style.alias("style")).select(
         "conv_id", "turn", "role", "text", between.alias("between"),

@@ -12,8 +12,8 @@ from tillsight.llm import (
     chat_format, chat_repair, embedding_dedup, filter_audit, html_extract, mixing, packing, piece_encode,
     secret_scan, simhash, substring_dedup, topk, toxicity,
 )
-from tillsight.llm.common import spill
 from tillsight.llm.check_sql import CHAT_REPAIR_SQL, FILTER_AUDIT_SQL, MIXING_SQL
+from tillsight.llm.common import spill
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: documents of which a score holds out the labels
@@ -100,7 +100,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Transcripts made from the conversations, their recovered turns, and whether the roles and the
     contents are those that the conversation had, white space around a turn apart."""
-    raw = spill(chat_format.transcripts(_read(spark, folder, "conversations")), "transcripts")
+    turns = chat_format.transcript_turns(_read(spark, folder, "conversations"))
+    raw = chat_format.with_transcript(spill(turns, "transcripts"))
     model = chat_format.fit(raw)
 
     def told(turns: str, part: str):

@@ -7,13 +7,15 @@ reaches the cutoff must reach an equal share of it in some slice, so phase two s
 each query out and collects only entries at or above that share. Phase three resolves the full
 scores of these entries and ranks them.
 
-Queries are held in blocks and meet all candidates block by block.
+Queries and candidates are held in blocks. Candidate blocks are dealt to groups once; query blocks are sent
+to every group and stream past its candidates, so a task holds one group and a batch of queries.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -26,68 +28,88 @@ CANDIDATE_BLOCK = 4096
 SCALE = 256
 #: products in double precision are exact while no sum can pass this
 _EXACT = float(1 << 53)
+#: vectors with a component from here on are kept apart: their products may need whole numbers of any size
+_WIDE = float(1 << 20)
+#: scores lie between these; one that does not raises an error
+_LEAST, _MOST = -(1 << 63), (1 << 63) - 1
+_TOO_LARGE = "a score does not fit 64 bits"
 
 _HIT = "query_id long, vec_id long, score long"
+_BLOCK = "block long, dim int, ids binary, vecs binary"
 
 
-def quantized(df: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
-    """``(id, vec)`` of the vectors whose components are all finite numbers, as whole numbers."""
-    numbers = F.transform(vec_col, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    sound = F.forall(
+def sound(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """``(id, vec)`` of the vectors whose components are all finite numbers."""
+    finite = F.forall(
         vec_col,
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float(1 << 45))),
+        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))),
     )
-    return df.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull() & sound).select(
-        F.col(id_col).cast("long").alias("id"), numbers.alias("vec")
+    return df.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull() & finite).select(
+        F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")
     )
 
 
-def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Rows of ``(name, ids, vecs, dim)``: up to ``size`` vectors of one length as packed numbers."""
+def _blocks(rows: DataFrame, size: int, scale: int) -> DataFrame:
+    """Rows of a block number, ids and vectors: up to ``size`` vectors of one length, wide ones apart, as
+    ``floor(scale * x)``."""
 
     def run(batches):
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
             ids = batch.column("id").to_numpy()
             lists = batch.column("vec")
             dims = lists.value_lengths().to_numpy()
-            flat = lists.flatten().to_numpy()
+            with np.errstate(over="ignore"):
+                flat = np.floor(scale * lists.flatten().to_numpy())
+            if np.isinf(flat).any():
+                raise OverflowError("a component times the scale is no finite number")
             begin = np.concatenate([[0], np.cumsum(dims)])
+            # the widest component of each vector; an empty one has none
+            wide = np.zeros(len(dims), bool)
+            held = np.flatnonzero(dims)
+            if len(held):
+                wide[held] = np.maximum.reduceat(np.abs(flat), begin[:-1][held]) >= _WIDE
             out = []
-            for dim in np.unique(dims):
-                at = np.flatnonzero(dims == dim)
+            for dim, apart in sorted(set(zip(dims.tolist(), wide.tolist()))):
+                at = np.flatnonzero((dims == dim) & (wide == apart))
                 for i in range(0, len(at), size):
                     own = at[i : i + size]
                     index = begin[own][:, None] + np.arange(dim)
-                    out.append((int(dim), ids[own].tobytes(), flat[index].astype(np.int64).tobytes()))
+                    out.append((number, dim, ids[own].tobytes(), flat[index].tobytes()))
+                    number += 1
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([o[0] for o in out], pa.int32()),
-                    pa.array([o[1] for o in out], pa.binary()),
-                    pa.array([o[2] for o in out], pa.binary()),
-                ],
-                ["dim", f"{name}_ids", f"{name}_vecs"],
+                [pa.array([o[i] for o in out], kind) for i, kind in enumerate(kinds)],
+                ["block", "dim", "ids", "vecs"],
             )
 
-    return rows.mapInArrow(run, f"dim int, {name}_ids binary, {name}_vecs binary")
+    return rows.mapInArrow(run, _BLOCK)
 
 
-def _matrix(raw: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(raw, np.int64).reshape(-1, dim) if dim else np.zeros((0, 0), np.int64)
+def _matrix(raw: bytes, rows: int, dim: int) -> np.ndarray:
+    return np.frombuffer(raw, float).reshape(rows, dim)
+
+
+def _whole(x: np.ndarray) -> np.ndarray:
+    """Whole numbers of any size."""
+    return np.array([[int(v) for v in row] for row in x], object).reshape(x.shape)
 
 
 def _product(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Integer inner products of all rows, in double precision where that is exact."""
+    """Integer inner products of all rows: 64 bits where double precision is exact, else of any size."""
     most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
     if most < _EXACT:
-        return (q.astype(float) @ c.astype(float).T).astype(np.int64)
-    wide = q.astype(object) @ c.astype(object).T
-    if len(wide) and wide.shape[1] and max(abs(int(wide.max())), abs(int(wide.min()))) >= 1 << 63:
-        raise OverflowError("a score does not fit 64 bits")
-    return wide.astype(np.int64)
+        return (q @ c.T).astype(np.int64)
+    return _whole(q) @ _whole(c).T
 
 
-def _slices(dim: int, slices: int) -> list[np.ndarray]:
-    return [s for s in np.array_split(np.arange(dim), slices) if len(s)]
+def _lists(q: np.ndarray, c: np.ndarray, slices: int) -> list[np.ndarray]:
+    """Score lists of the slices of the components: what each adds to every score. Vectors of length
+    0 have one, of zeros."""
+    parts = [s for s in np.array_split(np.arange(q.shape[1]), slices) if len(s)]
+    lists = [_product(q[:, s], c[:, s]) for s in parts] or [np.zeros((len(q), len(c)), np.int64)]
+    # whole numbers of any size if one slice needs them, so that sums cannot overflow
+    return [x.astype(object) for x in lists] if any(x.dtype == object for x in lists) else lists
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -103,34 +125,21 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))]
 
 
-def _meet(pairs: DataFrame, body) -> DataFrame:
-    """``body(query ids, query vectors, candidate ids, candidate vectors, cutoffs)`` gives hits."""
-
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                dim = row["dim"]
-                q_ids = np.frombuffer(row["q_ids"], np.int64)
-                c_ids = np.frombuffer(row["c_ids"], np.int64)
-                cut = row.get("cutoffs")
-                cuts = np.frombuffer(cut, np.int64) if cut is not None else None
-                q, c = _matrix(row["q_vecs"], dim), _matrix(row["c_vecs"], dim)
-                hits = body(q_ids, q, c_ids, c, cuts)
-                columns = list(zip(*hits)) if hits else [[], [], []]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x) if len(x) else np.zeros(0, np.int64)) for x in columns],
-                    ["query_id", "vec_id", "score"],
-                )
-
-    return pairs.mapInArrow(run, _HIT)
+def _fitting(scores: np.ndarray) -> np.ndarray:
+    """Best scores as 64 bits; what lies below them becomes the least number, which may still drop out."""
+    if scores.dtype == object:
+        if any(int(x) > _MOST for x in scores):
+            raise OverflowError(_TOO_LARGE)
+        scores = np.array([max(int(x), _LEAST) for x in scores], np.int64)
+    return scores
 
 
 def _heads(k: int, slices: int):
-    """Phase one in one block: the heads of its score lists, the k best in full of what they name."""
+    """Phase one in one block: the heads of its score lists, and the k best of what they name, which alone
+    is scored in full."""
 
     def body(q_ids, q, c_ids, c, _):
-        lists = [_product(q[:, s], c[:, s]) for s in _slices(q.shape[1], slices)]
-        full = sum(lists)
+        lists = _lists(q, c, slices)
         out = []
         for i, query in enumerate(q_ids):
             others = np.flatnonzero(c_ids != query)
@@ -139,8 +148,9 @@ def _heads(k: int, slices: int):
             named = np.unique(
                 np.concatenate([others[_top(part[i, others], k)] for part in lists])
             )
-            at = named[_best(full[i, named], c_ids[named], k)]
-            out.append((np.full(len(at), query), c_ids[at], full[i, at]))
+            full = sum(part[i, named] for part in lists)
+            at = _best(full, c_ids[named], k)
+            out.append((np.full(len(at), query), c_ids[named][at], _fitting(full[at])))
         return out
 
     return body
@@ -155,26 +165,68 @@ def _collect(k: int, slices: int):
     resolved in full, the k best of those at or above the cutoff."""
 
     def body(q_ids, q, c_ids, c, cuts):
-        parts = _slices(q.shape[1], slices)
-        lists = [_product(q[:, s], c[:, s]) for s in parts]
+        lists = _lists(q, c, slices)
         out = []
         for i, query in enumerate(q_ids):
             # whole numbers: some slice reaches the cutoff's share if its multiple reaches the cutoff
-            entry = c_ids != query
-            reach = np.zeros(len(c_ids), bool)
+            # without a cutoff all are wanted
+            reach = np.full(len(c_ids), cuts[i] == _LEAST)
             for part in lists:
-                reach |= part[i] >= -(-int(cuts[i]) // len(parts))
-            at = np.flatnonzero(entry & reach)
+                reach |= (part[i] >= -(-int(cuts[i]) // len(lists))).astype(bool)
+            at = np.flatnonzero((c_ids != query) & reach)
             full = sum(part[i, at] for part in lists)
-            good = full >= cuts[i]
+            good = (full >= int(cuts[i])).astype(bool) | (cuts[i] == _LEAST)
             at, full = at[good], full[good]
             best = _best(full, c_ids[at], k)
-            out.append((np.full(len(best), query), c_ids[at][best], full[best]))
+            out.append((np.full(len(best), query), c_ids[at][best], _fitting(full[best])))
         return out
 
     return body
 
 
+def _search(candidates: DataFrame, queries: DataFrame, groups: int, body) -> DataFrame:
+    """Hits that ``body(query ids, query vectors, candidate ids, candidate vectors, cutoffs)`` gives for
+    every query block and every candidate block of the same length.
+
+    Candidate blocks are dealt to the groups by their number, each query block goes to all of them. In a group
+    the candidates come first and are held, the queries stream past.
+    """
+    none = F.lit(None).cast("binary")
+    held = candidates.select(
+        F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("group"), F.lit(0).alias("asks"),
+        "dim", "ids", "vecs", none.alias("cutoffs"),
+    )
+    asked = queries.select(
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.lit(1).alias("asks"),
+        "dim", "ids", "vecs", "cutoffs",
+    )
+
+    def run(batches):
+        group, kept = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = np.frombuffer(row["ids"], np.int64)
+                vecs = _matrix(row["vecs"], len(ids), row["dim"])
+                if row["group"] != group:
+                    group, kept = row["group"], []
+                if not row["asks"]:
+                    kept.append((row["dim"], ids, vecs))
+                    continue
+                cuts = None if row["cutoffs"] is None else np.frombuffer(row["cutoffs"], np.int64)
+                hits = [h for dim, c_ids, c in kept if dim == row["dim"] for h in body(ids, vecs, c_ids, c, cuts)]
+                if hits:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(x)) for x in zip(*hits)], ["query_id", "vec_id", "score"]
+                    )
+
+    return (
+        held.unionByName(asked)
+        .repartition("group")
+        .sortWithinPartitions("group", "asks")
+        .mapInArrow(run, _HIT)
+    )
+
+
 def _k_best(hits: DataFrame, k: int) -> DataFrame:
     """The ``k`` best hits of each query with their rank; each task drops its others first."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -195,60 +247,50 @@ def top_k(
     Components become ``floor(scale * x)``, the score is their integer inner product, ties go to the
     smaller id, a query with fewer than ``k`` candidates gets all of them. Rows with null id or
     vector, or with null or non-finite components, take no part; vectors meet only vectors of their
-    own length. Rows with equal ids are one vector to a query with that id (none of them is its
-    candidate) and else candidates of their own; a repeated query id is asked once, with its smallest
-    vector. Other columns are ignored; empty tables give no rows.
+    own length, and those of length 0 score 0. Scores are whole numbers however large the components; one
+    among the best that does not fit 64 bits raises an OverflowError. Rows with equal ids are one vector to a
+    query with that id (none of them is its candidate) and else candidates of their own; a repeated query id is
+    asked once, with its smallest vector. Other columns are ignored; empty tables give no rows.
     """
-    rows = quantized(df, id_col, vec_col, scale)
-    asked = quantized(queries, id_col, vec_col, scale).groupBy("id").agg(F.min("vec").alias("vec"))
-    spark = df.sparkSession
-    q_blocks = spill(
-        _blocks(asked, QUERY_BLOCK, "q").withColumn("q", F.monotonically_increasing_id()), "queries"
-    )
-    c_blocks = spill(_blocks(rows, CANDIDATE_BLOCK, "c"), "candidates")
-    # every query block meets every candidate block: the block numbers are spread, the vectors join
-    numbers = q_blocks.select("q", "dim")
-    count = numbers.count()
-    if not count:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    met = (
-        c_blocks.withColumn("c", F.monotonically_increasing_id())
-        .join(F.broadcast(numbers), "dim")
-        .join(q_blocks.drop("dim"), "q")
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "q", "c")
+    asked = sound(queries, id_col, vec_col).groupBy("id").agg(F.min("vec").alias("vec"))
+    q_blocks = spill(_blocks(asked, QUERY_BLOCK, scale), "queries")
+    c_blocks = spill(_blocks(sound(df, id_col, vec_col), CANDIDATE_BLOCK, scale), "candidates")
+    groups = max(1, c_blocks.count())
+    heads = _search(
+        c_blocks, q_blocks.withColumn("cutoffs", F.lit(None).cast("binary")), groups, _heads(k, slices)
     )
-    heads = _k_best(_meet(met, _heads(k, slices)), k)
     cutoffs = spill(
-        heads.where(F.col("rank") == k).select("query_id", F.col("score").alias("cutoff")), "cutoffs"
+        _k_best(heads, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("cutoff")),
+        "cutoffs",
     )
-    again = met.join(_with_cutoffs(q_blocks, cutoffs), "q")
-    hits = _meet(again, _collect(k, slices))
-    return _k_best(hits, k).select("query_id", "rank", "vec_id", "score")
+    hits = _search(c_blocks, _with_cutoffs(q_blocks, cutoffs), groups, _collect(k, slices))
+    score = F.when(F.col("score") == F.lit(_LEAST), F.raise_error(F.lit(_TOO_LARGE))).otherwise(F.col("score"))
+    return _k_best(hits, k).select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 def _with_cutoffs(q_blocks: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """``(q, cutoffs)``: the cutoffs of a block's queries in their order; the least number where
-    fewer than k candidates exist."""
+    """The query blocks with the cutoffs of their queries, in their order; the least number where fewer than
+    k candidates exist."""
 
     def ids(batches):
         for batch in batches:
-            for number, raw in zip(batch.column("q").to_pylist(), batch.column("q_ids").to_pylist()):
+            for number, raw in zip(batch.column("block").to_pylist(), batch.column("ids").to_pylist()):
                 own = np.frombuffer(raw, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(own), number)), pa.array(np.arange(len(own))), pa.array(own)],
-                    ["q", "place", "query_id"],
+                    ["block", "place", "query_id"],
                 )
 
-    rows = q_blocks.select("q", "q_ids").mapInArrow(ids, "q long, place long, query_id long")
+    rows = q_blocks.select("block", "ids").mapInArrow(ids, "block long, place long, query_id long")
 
     def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         by = np.argsort(table.column("place").to_numpy())
         cuts = table.column("cutoff").to_numpy()[by].astype(np.int64)
-        return pa.table({"q": pa.array([key[0].as_py()], pa.int64()), "cutoffs": pa.array([cuts.tobytes()], pa.binary())})
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "cutoffs": pa.array([cuts.tobytes()], pa.binary())})
 
-    least = F.lit(-(1 << 62))
-    return (
+    packed = (
         rows.join(cutoffs, "query_id", "left")
-        .select("q", "place", F.coalesce("cutoff", least).alias("cutoff"))
-        .groupBy("q").applyInArrow(pack, "q long, cutoffs binary")
+        .select("block", "place", F.coalesce("cutoff", F.lit(_LEAST)).alias("cutoff"))
+        .groupBy("block").applyInArrow(pack, "block long, cutoffs binary")  # a block of queries
     )
+    return q_blocks.join(packed, "block")
