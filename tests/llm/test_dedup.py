@@ -275,3 +275,46 @@ def test_queries_give_digests_of_kept_words(spark, tmp_path):
         n, gone, kept = expected[r.doc_id]
         assert (r.n_words, r.n_removed) == (n, gone)
         assert r.kept_sha256 == hashlib.sha256(" ".join(kept).encode()).hexdigest()
+
+
+def test_embedding_dedup_of_very_large_and_small_vectors(spark):
+    """Cosines do not depend on the size of the components."""
+    schema = "vec_id long, embedding array<double>, label int"
+    shapes = [[3.0, 4.0, 0.0], [3.0, 4.0, 0.5], [0.0, 0.0, 1.0], [-3.0, -4.0, 0.1]]
+    rows = [(10 * i + j, [x * s for x in v], 1) for i, v in enumerate(shapes) for j, s in enumerate((1e200, 1.0, 1e-300, 5e-324))]
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, schema)).collect()}
+    for i, v in enumerate(shapes):
+        for j in range(3):
+            others = sum(np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w) >= 0.93 for w in shapes) * 3 - 1
+            # the least numbers lose their digits: 3, 4 and 0 stay apart, fractions go
+            tiny = [np.array([x * 5e-324 for x in w]) / 5e-324 for w in shapes]
+            others += sum(bool(np.any(t)) and np.dot(v, t) / np.linalg.norm(v) / np.linalg.norm(t) >= 0.93 for t in tiny)
+            assert got[10 * i + j].n_links == others
+
+
+def test_embedding_visits_are_sent_in_small_parts(monkeypatch):
+    """10,000 vectors of 256 components against 64 cells: no batch holds more than its bound, whatever the
+    vectors visit, and the visits are those of one go."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    centroids = rng.normal(size=(64, 256))
+    centroids /= np.linalg.norm(centroids, axis=1, keepdims=True)
+    x = rng.normal(size=(10_000, 256))
+    cells = np.argmax((x / np.linalg.norm(x, axis=1, keepdims=True)) @ centroids.T, axis=1).astype(np.int32)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.full(10_000, 7)), pa.array(np.arange(10_000)), pa.array(np.ones(10_000, np.int64)),
+         pa.array([v.tobytes() for v in x], pa.binary()), pa.array(cells), pa.array(np.ones(10_000))],
+        ["group", "rep", "n", "vec", "cell", "cosine"],
+    )
+    widest = {(7, k): 3.0 for k in range(64)}
+    made = homes = visits = 0
+    for out in embedding_dedup._visits({7: centroids}, widest, 0.5)([batch]):
+        assert out.num_rows <= embedding_dedup.SENT
+        made += 1
+        count = int(np.sum(out.column("home").to_numpy(zero_copy_only=False)))
+        homes, visits = homes + count, visits + out.num_rows - count
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    apart = embedding_dedup._apart(centroids, cells)
+    all_at_once = embedding_dedup.visited(unit @ centroids.T, cells, apart, np.full(64, 3.0), 0.5)
+    assert (homes, visits) == (10_000, int(all_at_once.sum())) and visits > 50_000 and made > 20

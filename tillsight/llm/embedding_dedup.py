@@ -28,6 +28,8 @@ MAX_SAMPLE = 100_000
 ROUNDS = 12
 TILE = 2048
 _STRIP = 512
+#: vectors held against all centroids at once, and visits handed on at once
+HELD, SENT = 1000, 2000
 #: scores this close to the threshold are computed again pair by pair
 _NEAR = 1e-9
 _SLACK = 1e-9
@@ -63,11 +65,15 @@ def linked(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
 
 
 def _packed(batches):
-    """``vec`` as packed double numbers."""
+    """``vec`` as packed double numbers, times the power of two that brings its largest component near one:
+    that is exact, and squares neither overflow nor vanish."""
     for batch in batches:
         lists = batch.column("vec")
         flat = lists.flatten().to_numpy().astype("<f8")
-        ends = np.cumsum(lists.value_lengths().to_numpy())
+        sizes = lists.value_lengths().to_numpy()
+        ends = np.cumsum(sizes)
+        power = np.frexp(np.maximum.reduceat(np.abs(flat), ends - sizes))[1] if len(sizes) else np.zeros(0, int)
+        flat = np.ldexp(flat, -np.repeat(power, sizes))
         raw = [flat[e - n : e].tobytes() for n, e in zip(lists.value_lengths().to_numpy(), ends)]
         yield pa.RecordBatch.from_arrays(
             [pa.array(raw, pa.binary()) if n == "vec" else batch.column(n) for n in batch.schema.names],
@@ -111,11 +117,17 @@ def _centroids(points: DataFrame, cell: int) -> dict:
     return {r["group"]: np.frombuffer(r["rows"], float).reshape(-1, r["dim"]) for r in made}
 
 
+def _slices(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, HELD):
+            yield batch.slice(at, HELD)
+
+
 def _home(centroids: dict):
     """Cell of the nearest centroid, and the cosine with it."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             groups = batch.column("group").to_numpy()
             raw = batch.column("vec").to_pylist()
             cell, cosine = np.zeros(len(groups), np.int32), np.ones(len(groups))
@@ -132,49 +144,51 @@ def _home(centroids: dict):
     return run
 
 
-def _visits(centroids: dict, widest: dict, least: float):
-    """Rows of every vector for its own cell and for each later cell where it could have a link."""
+def visited(scores: np.ndarray, own: np.ndarray, apart: np.ndarray, widest: np.ndarray, least: float) -> np.ndarray:
+    """Which later cells a vector visits, from its cosine with all centroids, its own cell, the distances
+    of its centroid from all, and the widest angle in each cell (below zero: the cell is empty)."""
     angle = np.arccos(np.clip(least, -1, 1))
     sine = np.sin(min(angle, np.pi / 2)) + _SLACK
+    near = scores[np.arange(len(own)), own][:, None] - scores <= sine * apart + _SLACK
+    near &= np.arccos(np.clip(scores, -1, 1)) <= np.minimum(widest + angle, np.pi)[None, :] + 1e-7
+    return near & (np.arange(scores.shape[1])[None, :] > own[:, None])
+
+
+def _visits(centroids: dict, widest: dict, least: float):
+    """Rows of every vector for its own cell and for each later cell where it could have a link."""
+
+    def sent(batch, rows, cells, home):
+        for at in range(0, len(rows), SENT):
+            picked = batch.take(pa.array(rows[at : at + SENT]))
+            into = cells[at : at + SENT].astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [picked.column("group"), pa.array(into), pa.array(np.full(len(into), home)),
+                 picked.column("rep"), picked.column("n"), picked.column("vec")],
+                ["group", "cell", "home", "rep", "n", "vec"],
+            )
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             groups, cells = batch.column("group").to_numpy(), batch.column("cell").to_numpy()
+            yield from sent(batch, np.arange(len(groups)), cells, True)
             raw = batch.column("vec").to_pylist()
-            take, into = [np.arange(len(groups))], [cells]
             for g in np.unique(groups):
                 c = centroids.get(int(g))
                 if c is None:
                     continue
                 at = np.flatnonzero(groups == g)
-                scores = _unit([raw[i] for i in at]) @ c.T
                 own = cells[at]
-                apart = np.linalg.norm(c[own][:, None, :] - c[None, :, :], axis=2) if len(c) <= 64 else _apart(c, own)
-                near = scores[np.arange(len(at)), own][:, None] - scores <= sine * apart + _SLACK
-                reach = np.minimum(np.array([widest.get((int(g), k), -1.0) for k in range(len(c))]) + angle, np.pi)
-                near &= np.arccos(np.clip(scores, -1, 1)) <= reach[None, :] + 1e-7
-                near &= np.arange(len(c))[None, :] > own[:, None]
+                angles = np.array([widest.get((int(g), k), -1.0) for k in range(len(c))])
+                near = visited(_unit([raw[i] for i in at]) @ c.T, own, _apart(c, own), angles, least)
                 row, cell = np.nonzero(near)
-                take.append(at[row])
-                into.append(cell.astype(np.int32))
-            rows = np.concatenate(take)
-            home = np.zeros(len(rows), bool)
-            home[: len(groups)] = True
-            picked = pa.Table.from_batches([batch]).take(pa.array(rows))
-            yield from pa.table(
-                {
-                    "group": picked.column("group"), "cell": pa.array(np.concatenate(into).astype(np.int32)),
-                    "home": pa.array(home), "rep": picked.column("rep"), "n": picked.column("n"),
-                    "vec": picked.column("vec"),
-                }
-            ).combine_chunks().to_batches()
+                yield from sent(batch, at[row], cell, False)
 
     return run
 
 
 def _apart(c: np.ndarray, own: np.ndarray) -> np.ndarray:
-    gram = c @ c.T
-    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * gram))[own] + 1e-7
+    """Distances of some centroids from all, never too small."""
+    return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (c[own] @ c.T))) + 1e-7
 
 
 def _tile(least: float):
@@ -278,10 +292,9 @@ def near_duplicates(
     if not 0 < least <= 1:
         raise ValueError("the least cosine must be over 0")
     vec = F.transform(vec_col, lambda x: x.cast("double"))
-    limit = F.lit(1e150)
     sound = F.coalesce(
-        F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < limit))
-        & F.exists(vec_col, lambda x: F.abs(x.cast("double")) > F.lit(1e-150))
+        F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
+        & F.exists(vec_col, lambda x: x.cast("double") != F.lit(0.0))
         & F.col(label_col).isNotNull(),
         F.lit(False),
     )
