@@ -257,7 +257,54 @@ def test_packing_round_trip(spark, capacity):
     assert rng and packing.pack(df.limit(0), BPE).count() == 0
 
 
-def test_cut_lengths_are_reciprocals_of_the_capacity():
+@pytest.mark.parametrize("seed,most", [(1, 3000), (2, 40), (3, 1024), (4, 1)])
+def test_bins_hold_whole_tails_of_one_class(seed, most):
+    """A bin of class k holds k tails, each in one piece, and one run that fills it."""
+    rng, capacity = random.Random(seed), 1024
+    bins, placed, tails = packing._Bins(0, capacity), [], {}
+    for doc in range(4000):
+        n = rng.randint(1, most)
+        done = len(placed)
+        placed += bins.place(doc, bytes(4 * n))
+        tails[doc] = n
+        assert len(bins.waiting) <= 1 + 1024 // max(1, most) and len(placed) >= done
+    full = {s for _, s, _ in placed}
+    closing = bins.close()
+    assert len({s for _, s, _ in closing} - full) <= 11 + sum(len(p[3]) // 4 for p, _, _ in closing) // capacity
+    held, ends = {}, {}
+    for (doc, start, n, data), sequence, offset in placed + closing:
+        held.setdefault(sequence, []).append((offset, len(data) // 4, start + len(data) // 4 == n, start))
+        ends[doc] = ends.get(doc, 0) + len(data) // 4
+    assert ends == tails
+    for sequence in full:
+        parts = sorted(held[sequence])
+        assert sum(length for _, length, _, _ in parts) == capacity
+        if len(parts) > 1:
+            k = capacity // parts[0][1]
+            whole = parts[:k]
+            assert all(end and capacity // (k + 1) < length <= capacity // k for _, length, end, _ in whole)
+            assert all(start == 0 for _, _, _, start in parts[k:])  # filled from the front of documents
+    pieces = len(placed) + len(closing)
+    assert pieces <= sum(-(-n // capacity) for n in tails.values()) + 2 * len(held) + 64
+
+
+def test_packing_cuts_seldom(spark):
+    """About a cut for a sequence, where binary digits of lengths took five pieces a document."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = packing.pack(documents, BPE).select("doc_id", "length", "sequence_id").collect()
+    sequences = len({p.sequence_id for p in pieces})
+    assert len(pieces) <= documents.count() + 1.2 * sequences
+    assert sum(p.length <= 8 for p in pieces) < 0.05 * len(pieces)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json"])
+def test_packing_refuses_other_tokenizers(spark, name):
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="no byte-level tokenizer"):
+        packing.pack(df, public_tokenizers.path(name))
+
+
+def test_closing_sequences_are_powers_of_two():
     assert packing.cut_lengths(1024 * 2 + 7) == [1024, 1024, 4, 2, 1]
     assert packing.cut_lengths(0) == []
     with pytest.raises(ValueError):

@@ -1,18 +1,20 @@
 """Packing of token sequences by harmonic classes.
 
-The classes are the reciprocals of the capacity that divide it: 1, 1/2, 1/4, ... A document is cut
-into pieces of exactly these lengths, full sequences first, then the binary digits of what is left.
-A bin of class 1/k holds k pieces and nothing else, so every full bin is filled to the last token.
-Each worker fills the bins of each class on its own, with one open bin per class. At its end the
-open bins are closed: the pieces of a bin that is not full are dealt to bins whose counts are powers
-of two, which need no padding either.
+A document gives full sequences first. What is left, its tail, is of class k if it is longer than
+1/(k+1) of the capacity and not longer than 1/k: the classes are the reciprocals 1, 1/2, 1/3, ... A bin
+of class k takes exactly k tails, whole, so each worker fills the bins of each class on its own, by
+counting. What k tails leave free is filled with the first tokens of the next document, the only
+place where a tail is cut, so a bin is full to the last token. At its end a worker joins the tails of
+its open bins, in sequences whose lengths are the capacity and then powers of two.
 """
 
 from __future__ import annotations
 
 import array
+import json
 import os
 import re
+from collections import deque
 from functools import lru_cache
 
 import numpy as np
@@ -112,13 +114,28 @@ class Tokens:
         return made
 
 
+def require_byte_level(path: str) -> None:
+    """Raises unless the file holds the kind of tokenizer whose chunks are known here."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    split, model = told.get("pre_tokenizer") or {}, told.get("model") or {}
+    plain = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if (
+        told.get("normalizer") is not None
+        or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True)
+        or model.get("type", "BPE") != "BPE" or any(model.get(name) for name in plain)
+        or any(not token["special"] or token["lstrip"] or token["rstrip"] for token in told.get("added_tokens", ()))
+    ):
+        raise ValueError(f"{path} is no byte-level tokenizer without normalizer")
+
+
 @lru_cache(maxsize=2)
 def _tokens(path: str) -> Tokens:
     return Tokens(path)
 
 
 def cut_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
-    """Lengths of the pieces of ``n`` tokens: full sequences, then falling powers of two."""
+    """Lengths of sequences that ``n`` tokens fill: the capacity, then falling powers of two."""
     rest = n % capacity
     return [capacity] * (n // capacity) + [
         1 << b for b in range(capacity.bit_length() - 1, -1, -1) if rest >> b & 1
@@ -126,34 +143,69 @@ def cut_lengths(n: int, capacity: int = CAPACITY) -> list[int]:
 
 
 class _Bins:
-    """The open bin of each class of one worker. Places of pieces in open bins are set at the end."""
+    """The open bin of each class of one worker, and the bins that have their tails and wait to be filled. A
+    piece is (document, start, tokens of the document, bytes of the piece)."""
 
     def __init__(self, first: int, capacity: int):
         self.next, self.capacity = first, capacity
         self.open: dict[int, list] = {}
+        self.waiting: deque[list] = deque()
 
-    def place(self, length: int, piece) -> list:
+    def place(self, doc, data: bytes) -> list:
         """Pieces whose bin is full now, each with its sequence and offset."""
-        waiting = self.open.setdefault(length, [])
-        waiting.append(piece)
-        if len(waiting) * length < self.capacity:
-            return []
-        del self.open[length]
-        return self._bin(waiting, length)
+        n, at, out = len(data) // 4, 0, []
+
+        def piece(length: int) -> tuple:
+            nonlocal at
+            at += length
+            return doc, at - length, n, data[4 * (at - length) : 4 * at]
+
+        while self.waiting and at < n:
+            held = self.waiting[0]
+            free = self.capacity - _used(held)
+            held.append(piece(min(free, n - at)))
+            if _used(held) == self.capacity:
+                out += self._bin(self.waiting.popleft())
+        while n - at >= self.capacity:
+            out += self._bin([piece(self.capacity)])
+        if at < n:
+            tails = self.capacity // (n - at)
+            held = self.open.setdefault(tails, [])
+            held.append(piece(n - at))
+            if len(held) == tails:
+                del self.open[tails]
+                if _used(held) == self.capacity:
+                    out += self._bin(held)
+                else:
+                    self.waiting.append(held)
+        return out
 
     def close(self) -> list:
-        out = []
-        for length, waiting in sorted(self.open.items(), reverse=True):
-            at = 0
-            for count in cut_lengths(len(waiting), self.capacity):
-                out += self._bin(waiting[at : at + count], length)
-                at += count
-        self.open = {}
+        """All that is left, end to end, cut where a sequence is full."""
+        left = [p for held in [*self.waiting, *self.open.values()] for p in held]
+        self.open, self.waiting, out = {}, deque(), []
+        left.reverse()
+        for length in cut_lengths(_used(left), self.capacity):
+            held: list = []
+            while (free := length - _used(held)) > 0:
+                doc, start, n, data = left.pop()
+                if len(data) > 4 * free:
+                    left.append((doc, start + free, n, data[4 * free :]))
+                held.append((doc, start, n, data[: 4 * free]))
+            out += self._bin(held)
         return out
 
-    def _bin(self, pieces: list, length: int) -> list:
+    def _bin(self, pieces: list) -> list:
         number, self.next = self.next, self.next + 1
-        return [(p, number, i * length) for i, p in enumerate(pieces)]
+        out, at = [], 0
+        for p in pieces:
+            out.append((p, number, at))
+            at += len(p[3]) // 4
+        return out
+
+
+def _used(pieces: list) -> int:
+    return sum(len(p[3]) for p in pieces) // 4
 
 
 def _batch(placed: list) -> pa.RecordBatch:
@@ -183,15 +235,17 @@ def pack(
 
     A document is its token ids (no special tokens added) and ``end_id``; ``tokens`` holds the ids
     of the piece as little-endian unsigned 32-bit numbers. A sequence is filled without gaps from
-    offset 0; its used length is the capacity or a smaller power of two, so nothing is padded.
-    ``capacity`` must be a power of two. Null and empty texts are the end id alone. Rows without id
+    offset 0; its used length is the capacity or, a few times a task, a smaller power of two, so nothing is
+    padded. A tail is one piece but where it fills a bin. ``capacity`` must be a power of two, the tokenizer a
+    byte-level one with the usual pattern and without normalizer; others are refused. Null and empty texts are the end id alone. Rows without id
     and rows with the same id are documents of their own. Other columns are ignored, and an empty
-    table gives no pieces. Nothing is shuffled and no task holds more than one open bin per class.
+    table gives no pieces. Nothing is shuffled, and a task holds one open bin per class.
 
     Sequence ids are unique but follow the tasks: another split of the input gives other bins.
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
+    require_byte_level(tokenizer_path)
 
     def run(batches):
         tokens = _tokens(tokenizer_path)
@@ -202,13 +256,8 @@ def pack(
             ids = batch.column("id").to_pylist()
             for doc, text in zip(ids, text_values(batch.column("text"))):
                 data = tokens.encode(text) + last
-                n = len(data) // 4
-                at = 0
-                for length in cut_lengths(n, capacity):
-                    piece = (doc, at, n, data[4 * at : 4 * (at + length)])
-                    placed += bins.place(length, piece)
-                    at += length
-                held += n
+                placed += bins.place(doc, data)
+                held += len(data) // 4
                 if held >= BATCH_TOKENS:
                     yield _batch(placed)
                     placed, held = [], 0
