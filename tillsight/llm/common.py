@@ -52,25 +52,35 @@ def with_derived(df: DataFrame, make, *fields: T.StructField) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+#: characters of a key from which on its value is not kept, and of an entry on average
+LONG_KEY, KEY_CHARS = 32, 12
+
+
 class Known(dict):
-    """Values made on demand and looked up when they return. Two generations of at most about
-    ``most`` entries are kept; what is not used during a whole generation is forgotten."""
+    """Values made on demand and looked up when they return. Two generations are kept, each of at most
+    about ``most`` entries, whose keys have ``KEY_CHARS`` characters on average; what is not used during a
+    whole generation is forgotten. Values of long keys are made anew: such keys seldom return."""
 
     def __init__(self, make, most: int):
         super().__init__()
         self.make, self.most, self.old = make, most, {}
+        self.chars = 0
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+            if len(key) > LONG_KEY:
+                return value
         self[key] = value
+        self.chars += len(key)
         return value
 
     def tidy(self) -> None:
-        if len(self) > self.most:
+        if len(self) > self.most or self.chars > self.most * KEY_CHARS:
             self.old = dict(self)
             self.clear()
+            self.chars = 0
 
 
 def run_ends(keys: np.ndarray) -> np.ndarray:
