@@ -20,13 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillsight.llm.common import text_values, with_derived
+from tillsight.llm.common import LONG_KEY, text_values, with_derived
 
 #: bounds of the fitting sample, in documents
 MAX_POSITIVE = 3000
 MAX_UNLABELLED = 9000
-#: distinct words of a sampled document that the sample keeps, those with the least hash
-MAX_DOCUMENT_WORDS = 2000
 MAX_FEATURES = 200
 #: lengths of the word beginnings that can be features beside whole words
 BEGINNINGS = range(3, 8)
@@ -37,6 +35,8 @@ LEAST_POSITIVES = 6
 MEMBERS = 5
 _KNOWN_WORDS = 150_000
 THRESHOLD = 0.7
+#: ways to keep the risk from being negative
+GROUPED, PLAIN = "grouped", "plain"
 
 #: near copies are dropped from the sample by bands of this many minimum hashes
 _BAND = 3
@@ -75,9 +75,11 @@ class Model:
             for w in set(words_of(text)):
                 found = known.get(w)
                 if found is None:
-                    if len(known) >= _KNOWN_WORDS:
-                        known.clear()
-                    found = known[w] = tuple(place[f] for f in features_of(w) if f in place)
+                    found = tuple(place[f] for f in features_of(w) if f in place)
+                    if len(w) <= LONG_KEY:
+                        if len(known) >= _KNOWN_WORDS:
+                            known.clear()
+                        known[w] = found
                 if found:
                     own.update(found)
             rows.append(own)
@@ -171,12 +173,14 @@ def evidence_of(held_p: list[set], held_u: list[set], n: int, prior: float) -> n
 
 
 def fit_weights(
-    x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 1500
+    x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 1500, risk: str = GROUPED
 ) -> np.ndarray:
     """Logistic weights with the least non-negative risk, by gradient steps with momentum.
 
     The risk is the prior times the loss on the positives, plus the loss as negatives on what is left
-    of the unlabelled texts, told for groups of texts with like evidence.
+    of the unlabelled texts. ``GROUPED`` keeps what is left from being negative for each group of texts with
+    like evidence; ``PLAIN`` keeps the whole second part from it, as the estimator was published: where it
+    falls below zero, a step leads back up.
     """
     x, row = np.unique(np.vstack([x_p, x_u]), axis=0, return_inverse=True)
     row = row.ravel()
@@ -185,15 +189,22 @@ def fit_weights(
     group = np.where(x[:, 0] > 0, 1 + np.digitize(x[:, 1], (-1.0, 0.0, 1.0, 2.0)), 0)
     p, u = (np.bincount(group, c) for c in (positive, unlabelled))
     left = left_over(p, u, len(x_p), len(x_u), prior)
-    rest = unlabelled * (left / np.maximum(u, 1))[group]
     toxic = prior * positive / len(x_p)
+    grouped = unlabelled * (left / np.maximum(u, 1))[group]
+    plain = unlabelled / len(x_u) - toxic
     w, mean, square = np.zeros((3, x.shape[1]))
     w[-1] = np.log(prior / (1 - prior))
     keep = np.append(np.full(len(w) - 1, 1e-4), 0.0)
     for t in range(1, steps + 1):
         f = x @ w
         # a toxic text costs log(1 + exp(-f)), another one log(1 + exp(f))
-        g = (_sigmoid(f) * rest - _sigmoid(-f) * toxic) @ x + keep * w
+        if risk == GROUPED:
+            pull = _sigmoid(f) * grouped - _sigmoid(-f) * toxic
+        elif plain @ np.logaddexp(0.0, f) >= 0:
+            pull = _sigmoid(f) * plain - _sigmoid(-f) * toxic
+        else:
+            pull = -_sigmoid(f) * plain
+        g = pull @ x + keep * w
         mean = 0.9 * mean + 0.1 * g
         square = 0.999 * square + 0.001 * g * g
         rate = 0.1 / (1 + t / 500)
@@ -201,7 +212,7 @@ def fit_weights(
     return w
 
 
-def fit_samples(positive: list, unlabelled: list, prior: float) -> Model:
+def fit_samples(positive: list, unlabelled: list, prior: float, risk: str = GROUPED) -> Model:
     """The ensemble on the word lists of both samples: one member on them, the others on samples
     drawn from them with replacement."""
     prior = min(max(prior, 1e-4), 0.9)
@@ -217,10 +228,10 @@ def fit_samples(positive: list, unlabelled: list, prior: float) -> Model:
     evidence = evidence_of(held_p, held_u, len(names), prior)
     x_p, x_u = inputs(held_p, evidence), inputs(held_u, evidence)
     rng = np.random.default_rng(0)
-    members = [fit_weights(x_p, x_u, prior)]
+    members = [fit_weights(x_p, x_u, prior, risk=risk)]
     for _ in range(MEMBERS - 1):
         drawn = (x[rng.integers(0, len(x), len(x))] for x in (x_p, x_u))
-        members.append(fit_weights(*drawn, prior))
+        members.append(fit_weights(*drawn, prior, risk=risk))
     return Model(tuple(names), evidence, np.array(members))
 
 
@@ -232,10 +243,7 @@ def _sampled_words(documents: DataFrame, ids: DataFrame) -> list[tuple]:
         for batch in batches:
             out = []
             for text in text_values(batch.column("text")):
-                found = sorted(set(words_of(text)))
-                if len(found) > MAX_DOCUMENT_WORDS:
-                    found = sorted(found, key=_order)[:MAX_DOCUMENT_WORDS]
-                out.append(" ".join(found))
+                out.append(" ".join(sorted(set(words_of(text)))))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.string())], ["id", "words"])
 
     chosen = documents.join(F.broadcast(ids), "id", "left_semi")
@@ -258,13 +266,14 @@ def fit(
     prior: float | None = None,
     max_positive: int = MAX_POSITIVE,
     max_unlabelled: int = MAX_UNLABELLED,
+    risk: str = GROUPED,
 ) -> Model:
     """Learn from the documents given: those labelled 1 are confirmed, all are unlabelled text.
 
     ``prior`` is the share of toxic text; by default the share of 1 among the labels given. Ids
     that are labelled both ways count as 1; null labels and ids do not count. The sample is bounded
     by ``max_positive`` and ``max_unlabelled`` documents, taken by hash, so that it does not depend
-    on the order of rows. Without positives or without text all scores equal the prior.
+    on the order of rows; their words are all read. ``risk``: see :func:`fit_weights`. Without positives or without text all scores equal the prior.
     """
     marks = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -279,7 +288,7 @@ def fit(
     confirmed = marks.where("mark = 1").select("id").orderBy(rank, "id").limit(max_positive)
     every = texts.select("id").where("id is not null").distinct().orderBy(rank, "id").limit(max_unlabelled)
     positive, unlabelled = _sampled_words(texts, confirmed), _sampled_words(texts, every)
-    return fit_samples(positive, unlabelled, prior)
+    return fit_samples(positive, unlabelled, prior, risk)
 
 
 def with_score(
