@@ -103,6 +103,35 @@ def test_substring_dedup_odd_tables(spark):
     assert substring_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_substring_dedup_of_rows_without_id(spark, monkeypatch):
+    """A third of the rows has no id, many of them one text: they are spread over the blocks, and of equal
+    passages one stays."""
+    monkeypatch.setattr(substring_dedup, "BLOCK_CHARS", 400)
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(40)]
+    shared = " ".join(f"s{i}" for i in range(25))
+    rows = [(None, texts[0])] * 60 + [(None, t) for t in texts[1:20]] + [(None, f"n{i} {shared} m{i}") for i in range(30)]
+    rows += [(i, t) for i, t in enumerate(texts)] + [(100, shared)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = substring_dedup.remove_repeats(df).collect()
+    assert len(got) == len(rows)
+    copies = [r for r in got if r.doc_id is None and r.n_words == 30]
+    assert sorted(r.n_removed for r in copies) == [0] * 20 + [30] * 59
+    passages = [r for r in got if r.doc_id is None and r.n_words == 27]
+    assert sorted(r.n_removed for r in passages) == [0] + [25] * 29
+    named = {r.doc_id: r.n_removed for r in got if r.doc_id is not None}
+    assert named == {**{i: 30 if i < 20 else 0 for i in range(40)}, 100: 25}
+
+
+def test_windows_with_one_equal_hash_are_told_apart():
+    hashes, more = np.array([5, 7, 5, 5, 7], np.uint64), np.array([1, 1, 2, 1, 1], np.uint16)
+    by, begin = substring_dedup.runs(hashes, more)
+    groups = [by[a:b].tolist() for a, b in zip(begin, [*begin[1:], len(by)])]
+    assert sorted(groups) == [[0, 3], [1, 4], [2]]
+    by, begin = substring_dedup.runs(hashes[:0], more[:0])
+    assert len(by) == len(begin) == 0
+
+
 def test_cut_keeps_white_space_between_kept_words():
     text = b" a  b\nc d\te "
     assert substring_dedup.cut(text, np.array([0, 0, 1, 0, 0], bool)) == b"a  b d\te"
