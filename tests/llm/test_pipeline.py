@@ -73,9 +73,16 @@ def test_every_document_is_packed(stages):
 
 
 def test_run_gives_the_packed_tokens_of_the_stages(spark, stages):
+    def texts(pieces):
+        out = {}
+        for p in sorted(pieces, key=lambda p: (p.doc_id, p.start)):
+            assert p.start == len(out.get(p.doc_id, b"")) // 4
+            out[p.doc_id] = out.get(p.doc_id, b"") + bytes(p.tokens)
+        return out
+
+    # where documents are cut follows the order of the rows, their tokens do not
     got = corpus_pipeline.run(spark, FOLDER).collect()
-    key = lambda p: (p.doc_id, p.start, p.length, p.tokens)
-    assert sorted(map(key, got)) == sorted(map(key, stages[5]))
+    assert texts(got) == texts(stages[5])
 
 
 def test_every_query_is_registered_and_runs(spark):
@@ -83,7 +90,7 @@ def test_every_query_is_registered_and_runs(spark):
 
     registered = __spark_entry__.queries()
     assert set(queries.QUERIES) <= set(registered)
-    assert sorted(n.split("_")[0] for n in queries.QUERIES if n != "pipeline") == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in queries.QUERIES if n != "pipeline") == sorted(f"op{i}" for i in range(1, 14))
     for name, query in queries.QUERIES.items():
         assert query(spark, FOLDER).count() > 0, name
 

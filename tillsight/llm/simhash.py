@@ -268,17 +268,29 @@ def keep_first(
     Of several rows of a group with that same id, or of a group without any id, the one with the
     smallest text stays. Rows with equal ids in different groups do not touch each other.
     """
-    found = _grouped(df, id_col, text_col, shingle, max_bits)
+    found = spill(_grouped(df, id_col, text_col, shingle, max_bits), "found")
+    rows = found.groupBy("id").agg(F.count("*").alias("rows"))
     least = (
         found.where(F.col("id").eqNullSafe(F.col("component_id")))
         .groupBy("id", "mark", "root").agg(F.count("*").alias("n"))
         .select(F.col("id").alias("__id"), F.col("mark").alias("__least"), F.col("root").alias("__root"), "n")
+        .join(rows.withColumnRenamed("id", "__of"), F.col("__id").eqNullSafe(F.col("__of")))
+        .withColumn("__once", F.col("__id").isNotNull() & (F.col("rows") == 1))
+        .drop("__of", "rows")
     )
-    rows = with_fingerprint(df, text_col, shingle, "__mark")
+    least = spill(least, "least")
+    # an id that one row bears tells the row; of others the fingerprint is made again
+    once = least.where("__once").select("__id", "__root")
+    alone = df.join(once, df[id_col] == once["__id"]).select(*df.columns, "__root")
+    more = least.where(~F.col("__once")).select("__id", "__least", "__root")
+    ids = more.select("__id").distinct()
+    among = df.join(ids, df[id_col].eqNullSafe(ids["__id"]), "left_semi")
+    marked = with_fingerprint(among, text_col, shingle, "__mark")
     # equal id and fingerprint mean equal group, so a row meets one row of the other side
-    first = rows.join(
-        least.drop("n"), rows[id_col].eqNullSafe(least["__id"]) & (rows["__mark"] == least["__least"])
+    others = marked.join(
+        more, marked[id_col].eqNullSafe(more["__id"]) & (marked["__mark"] == more["__least"])
     ).select(*df.columns, "__root")
+    first = alone.unionByName(others)
     repeated = least.groupBy("__root").agg(F.sum("n").alias("n")).where("n > 1")
     if repeated.isEmpty():
         return first.drop("__root")
