@@ -402,10 +402,16 @@ def fit(
 
     sample = rows.mapInArrow(run, _SAMPLE)
     order = F.xxhash64("value", "before", "after", "path")
+    # copies of a finding are one, and each label has its share, so that no key or kind crowds out the others
+    distinct = spill(sample.distinct(), "distinct")
+    each = [
+        distinct.where(F.col("is_secret") == mark).orderBy(order, "value").limit(max_findings // 2)
+        for mark in (0, 1)
+    ]
     # written first: the least of all tasks meet on an executor, and only the sample comes here
-    chosen = spill(sample.orderBy(order, "value", "is_secret").limit(max_findings), "findings")
+    chosen = spill(each[0].unionByName(each[1]), "findings")
     table = sorted(chosen.toArrow().to_pylist(), key=lambda r: tuple(map(str, r.values())))
-    discard(chosen)
+    discard(chosen, distinct)
     return _fit_sample(documents.sparkSession, table, alone=not told)
 
 
