@@ -39,7 +39,7 @@ _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 # Letters of the Latin blocks, and marks that the pattern keeps apart from them.
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]")
 _MARKS = ",.;:!?"
-_SIMPLE = re.compile(f"([ \\n]?)({_LATIN.pattern}+)([{_MARKS}]?)$(?!\\n)")
+_SIMPLE = re.compile(f"([ \\n]?)({_LATIN.pattern}+)$(?!\\n)")
 _BLANK = re.compile(f"[{_SPACE}]")
 _DOUBLE = re.compile(r"\s\s")
 
@@ -77,12 +77,13 @@ class Tokens:
 
     def make(self, key: str) -> bytes:
         """Ids of the chunk that a key stands for."""
+        mark = self.marks.get(key[-1])
+        if mark and key[-1] != "\n" and key[-2:-1].isalpha():
+            return self.known[key[:-1]] + mark
         m = _SIMPLE.match(key)
         if not m:
             return self.ids(key[1:] if key[0] == " " else key if key[0] == "\n" else " " + key)
-        before, word, mark = m.groups()
-        if mark:
-            return self.known[before + word] + self.marks[mark]
+        before, word = m.groups()
         if not before:
             word = " " + word
         written = word.encode().decode("latin-1").translate(self.written)
