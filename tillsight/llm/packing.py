@@ -10,10 +10,10 @@ its open bins, in sequences whose lengths are the capacity and then powers of tw
 
 from __future__ import annotations
 
-import array
 import json
 import os
 import re
+import unicodedata
 from collections import deque
 from functools import lru_cache
 
@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import Known, text_values
+from tillsight.llm.common import text_values
 
 CAPACITY = 1024
 END_ID = 0
@@ -31,17 +31,9 @@ END_ID = 0
 TASK_SEQUENCES = 1 << 40
 #: pieces with token bytes held before a batch is handed on
 BATCH_TOKENS = 1_000_000
-_KNOWN_CHUNKS = 400_000
-
-# Fixed value: the white space of the pre-tokenizer's pattern (Unicode White_Space).
-_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-# Letters of the Latin blocks, and marks that the pattern keeps apart from them.
-_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]")
-_MARKS = ",.;:!?"
-_SIMPLE = re.compile(f"([ \\n]?)({_LATIN.pattern}+)$(?!\\n)")
-_BLANK = re.compile(f"[{_SPACE}]")
-_DOUBLE = re.compile(r"\s\s")
+
+# Fixed value: the pattern by which byte-level tokenizers part a text before merging.
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 OUT = (
     "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
@@ -49,84 +41,92 @@ OUT = (
 )
 
 
+def _kind(database, c: str) -> str:
+    """What the pattern sees of a character: letter, digit, other, or unassigned."""
+    category = database.category(c)
+    return category if category in ("Cn", "Cs") else category[0] if category[0] in "LN" else "-"
+
+
+@lru_cache(maxsize=1)
+def _unsteady() -> re.Pattern:
+    """Characters that are not the same to every version of Unicode since 3.2, and those beyond 16 bits: on
+    them two implementations of the pattern may differ."""
+    steady = [
+        c for c in map(chr, range(0x10000))
+        if _kind(unicodedata, c) == _kind(unicodedata.ucd_3_2_0, c) not in ("Cn", "Cs")
+    ]
+    runs: list[list[str]] = []
+    for c in steady:
+        if runs and ord(c) == ord(runs[-1][1]) + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return re.compile("[^" + "".join(f"{re.escape(x)}-{re.escape(y)}" for x, y in runs) + "]")
+
+
 class Tokens:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    The pre-tokenizer never joins white space to the word before it, so a text can be cut before
-    each run of white space, and chunks that return are looked up. A word of letters and the mark
-    after it are separate to the pre-tokenizer as well, and such a word goes to the model directly.
+    The vocabulary and the merges of the file are run by a faster implementation of byte-pair merging; a text with
+    characters on which the two might part it differently goes to the tokenizer itself.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tiktoken import Encoding
+        from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        # how the pre-tokenizer writes the bytes that Latin letters and the space are made of
-        wanted = [" "] + [c for c in map(chr, range(0x250)) if _LATIN.fullmatch(c)]
-        self.written = {
-            b: w for c in wanted for b, w in zip(c.encode(), level.pre_tokenize_str(c)[0][0])
+        told = _told(path)
+        self.special = {t["content"]: t["id"] for t in told["added_tokens"]}
+        written = {c: b for b, c in _byte_letters().items()}
+        ranks = {
+            bytes(written[c] for c in word): i
+            for word, i in told["model"]["vocab"].items() if word not in self.special
         }
-        self.known = Known(self.make, _KNOWN_CHUNKS)
-        self.marks = {c: self.ids(c) for c in _MARKS + "\n"}
-
-    def ids(self, text: str) -> bytes:
-        return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def make(self, key: str) -> bytes:
-        """Ids of the chunk that a key stands for."""
-        mark = self.marks.get(key[-1])
-        if mark and key[-1] != "\n" and key[-2:-1].isalpha():
-            return self.known[key[:-1]] + mark
-        m = _SIMPLE.match(key)
-        if not m:
-            return self.ids(key[1:] if key[0] == " " else key if key[0] == "\n" else " " + key)
-        before, word = m.groups()
-        if not before:
-            word = " " + word
-        written = word.encode().decode("latin-1").translate(self.written)
-        made = array.array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
-        return self.marks["\n"] + made if before == "\n" else made
-
-    @staticmethod
-    def keys(text: str) -> list[str]:
-        """The chunks of a text, each as a key: a chunk of one space and a word is the word alone,
-        one of a line break and a word is itself, any other one has a space before it."""
-        if not text:
-            return []
-        if not _DOUBLE.search(text) and text[0] != " " and text[-1] != " ":
-            parts = text.replace("\n", " \n").split(" ")
-            if parts[0] or len(parts) == 1:
-                parts[0] = " " + parts[0]
-            else:
-                del parts[0]
-            return parts
-        out = []
-        for chunk in _CHUNK.findall(text):
-            alone = len(chunk) > 1 and not _BLANK.match(chunk, 1)
-            out.append(chunk[1:] if alone and chunk[0] == " " else chunk if alone and chunk[0] == "\n" else " " + chunk)
-        return out
+        self.fast = Encoding(path, pat_str=_PARTS, mergeable_ranks=ranks, special_tokens=self.special)
+        self.unsteady = _unsteady()
 
     def encode(self, text: str) -> bytes:
-        made = b"".join(map(self.known.__getitem__, self.keys(text)))
-        self.known.tidy()
-        return made
+        if self.unsteady.search(text):
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        else:
+            ids = self.fast.encode_to_numpy(text, allowed_special="all")
+        return ids.astype("<u4", copy=False).tobytes()
 
 
-def require_byte_level(path: str) -> None:
-    """Raises unless the file holds the kind of tokenizer whose chunks are known here."""
+def _byte_letters() -> dict[int, str]:
+    """How byte-level tokenizers write bytes: printable ones as themselves, the others, in their order, as the
+    letters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+def _told(path: str) -> dict:
     with open(path, encoding="utf-8") as file:
-        told = json.load(file)
+        return json.load(file)
+
+
+def require_byte_level(path: str) -> None:
+    """Raises unless the file holds a tokenizer of the kind that :class:`Tokens` runs: byte-level, with
+    the usual pattern, no normalizer, and ids that rise with the merges."""
+    told = _told(path)
     split, model = told.get("pre_tokenizer") or {}, told.get("model") or {}
     plain = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
-    if (
-        told.get("normalizer") is not None
-        or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True)
-        or model.get("type", "BPE") != "BPE" or any(model.get(name) for name in plain)
-        or any(not token["special"] or token["lstrip"] or token["rstrip"] for token in told.get("added_tokens", ()))
-    ):
+    fits = (
+        told.get("normalizer") is None
+        and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+        and model.get("type", "BPE") == "BPE" and not any(model.get(name) for name in plain)
+        and all(t["special"] and not t["lstrip"] and not t["rstrip"] for t in told.get("added_tokens", ()))
+    )
+    if fits:
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [model["vocab"].get("".join(pair), -1) for pair in pairs]
+        fits = made == sorted(made) and all(
+            0 <= model["vocab"].get(c, -1) < (made or [256])[0] for c in _byte_letters().values()
+        )
+    if not fits:
         raise ValueError(f"{path} is no byte-level tokenizer without normalizer")
 
 
