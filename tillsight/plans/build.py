@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.operators import audit, baskets, bgnbd, checks, describe, evaluate, features, holdout, profiles
+from tillsight.schema import PROJECT_PARAMETERS
 from tillsight.sources.storage import release, write_table
 from tillsight.sources.transactions import load_transactions
 
+
 def build(
     spark: SparkSession,
     source: str,
@@ -69,9 +71,17 @@ def build(
         check_fact,
     )
     days = spark.range(1).select(*[F.lit(day).alias(name) for name, day in lines.values().items()])
-    params = baskets.read_params(
-        keep("project_parameters", baskets.parameter_row(days, in_end, start, end, end - start + 1))
-    )
+
+    def check_parameters(row: DataFrame) -> None:
+        missing = reduce(or_, [F.col(c).isNull() for c in PROJECT_PARAMETERS.fieldNames()])
+        checks.require_none(row.filter(missing), "a parameter is missing")
+        checks.require_none(checks.check_primary_key(row, ["parameter_id"]), "project_parameters key")
+        checks.require_none(
+            checks.check_predicate(row, F.col("parameter_id") == 1), "one parameter set, numbered 1"
+        )
+
+    row = baskets.parameter_row(days, in_end, start, end, end - start + 1)
+    params = baskets.read_params(keep("project_parameters", row, check_parameters))
 
     def unique(table: str) -> Callable[[DataFrame], None]:
         return lambda df: checks.require_none(
