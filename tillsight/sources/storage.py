@@ -63,6 +63,12 @@ def _versions(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     return sorted(whole), sorted(broken)
 
 
+def in_effect(spark: SparkSession, path: str) -> str:
+    """Folder of the files of a written table; a path that holds no versions is such a folder itself."""
+    whole, _ = _versions(spark, path)
+    return f"{path.rstrip('/')}/{whole[-1]}" if whole else path
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The version of a written table that is in effect."""
     whole, _ = _versions(spark, path)

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.schema import TRANSACTIONS
+from tillsight.sources.storage import in_effect
 
 
 def load_transactions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Receipt lines with the declared types.
 
     Files must hold the declared columns, in their order, and no others; Parquet files must hold them
-    with the declared types. Anything else raises at once. A malformed CSV line fails the job.
+    with the declared types. Anything else raises at once. A malformed CSV line fails the job. Of a table
+    that ``write_table`` wrote, the version in effect is read.
     """
     if fmt == "csv":
         header = spark.read.option("header", True).csv(path).columns
@@ -20,6 +22,7 @@ def load_transactions(spark: SparkSession, path: str, fmt: str = "parquet") -> D
         reader = spark.read.schema(TRANSACTIONS).option("enforceSchema", False)
         return reader.option("header", True).option("mode", "FAILFAST").csv(path)
     if fmt == "parquet":
+        path = in_effect(spark, path)
         # the schemas of all files, so that one file that differs is found too
         found = spark.read.option("mergeSchema", True).parquet(path).schema
         _require(path, *([f"{f.name} {f.dataType.simpleString()}" for f in s] for s in (found, TRANSACTIONS)))
