@@ -1,5 +1,6 @@
 """The purchase-count model against direct evaluation, and the fit on data with known parameters."""
 
+import hashlib
 import math
 from fractions import Fraction
 
@@ -256,6 +257,32 @@ def test_counter_draws_are_uniform_and_unrelated():
     assert weights.mean() == pytest.approx(1, abs=0.01) and weights.var() == pytest.approx(1, abs=0.02)
 
 
+def test_hashed_bootstrap_makes_every_draw(spark, monkeypatch):
+    """All draws of all replicates, over several blocks, as a loop over the hashes makes them; a household
+    without a gain is drawn and does not count, repeated and NULL keys have their places."""
+    monkeypatch.setattr(evaluate, "BLOCK_ROWS", 16)
+    keys = [*range(150), 149, None]
+    pdf = [(k, float(i % 7), float(i % 5), None if i == 3 else i % 11) for i, k in enumerate(keys)]
+    scored = spark.createDataFrame(pdf, (
+        "household_key int, predicted_holdout_baskets_baseline double, "
+        "predicted_holdout_baskets_bgnbd double, actual_holdout_baskets int"
+    ))
+    gains = sorted(
+        ((k is None, k or 0, math.nan if y is None else abs(b - y) - abs(m - y)) for k, b, m, y in pdf),
+    )
+    gains = np.array([gain for _, _, gain in gains])
+    got = {r["replicate"]: r["value"] for r in evaluate.hashed_means(scored.repartition(5), 21, 42).collect()}
+    assert sorted(got) == list(range(21))
+    for replicate, value in got.items():
+        drawn = []
+        for i in range(len(gains)):
+            digits = hashlib.md5(f"{replicate}|{i // 4}|42".encode()).hexdigest()[8 * (i % 4) :][:8]
+            drawn.append(gains[math.floor(int(digits, 16) / 2**32 * len(gains))])
+        assert value == pytest.approx(np.nanmean(drawn), rel=1e-12)
+    again = evaluate.bootstrap_mae_improvement(scored, replicates=21, hashed=True).collect()[0]
+    assert again["p50"] == pytest.approx(np.median(list(got.values())), rel=1e-9)
+
+
 @pytest.mark.parametrize("method", ["multinomial", "poisson"])
 def test_bootstrap_does_not_depend_on_partitions(spark, data, method, monkeypatch):
     monkeypatch.setattr(evaluate, "BLOCK_ROWS", 64)

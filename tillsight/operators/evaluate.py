@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,11 @@ MODELS = {
 }
 # Households of a block whose draws one task makes, replicates drawn at once, and households weighted at once.
 BLOCK_ROWS, DRAWN_REPLICATES, WEIGHT_ROWS = 8192, 100, 128
+# Draws that one hash serves, and replicates whose hashed draws are sent together: a draw is a replicate of
+# these and a place in a block, in 16 bits.
+DRAWS_PER_HASH, SENT_REPLICATES = 4, 8
+# Places that are dealt together, so that draws of one hash are made together.
+DEALT_PLACES = 256
 
 
 def rate_baseline(mi: DataFrame) -> DataFrame:
@@ -253,6 +259,96 @@ def _drawn_sums(rows: int, replicates: int, seed: int):
     return run
 
 
+def hashed_draws(numbers: np.ndarray, rows: int, replicate: int, seed: int) -> np.ndarray:
+    """Places of the draws with these numbers (ascending) in a replicate, by hashes of four draws each."""
+    hashes, at = np.unique(numbers // DRAWS_PER_HASH, return_inverse=True)
+    raw = b"".join([md5(f"{replicate}|{h}|{seed}".encode()).digest() for h in hashes.tolist()])
+    draws = np.frombuffer(raw, ">u4").reshape(-1, DRAWS_PER_HASH)[at, numbers % DRAWS_PER_HASH]
+    return np.floor(draws / 4294967296.0 * rows).astype(np.int64)
+
+
+def _sent_draws(rows: int, replicates: int, seed: int):
+    """The draws numbered as the places of the rows, a row per block drawn from and few replicates."""
+
+    def run(batches):
+        for batch in batches:
+            numbers = np.sort(batch.column("position").to_numpy())
+            if not len(numbers):
+                continue
+            for first in range(0, replicates, SENT_REPLICATES):
+                some = range(first, min(first + SENT_REPLICATES, replicates))
+                places = np.concatenate([hashed_draws(numbers, rows, r, seed) for r in some])
+                codes = np.repeat(np.arange(len(some)) * BLOCK_ROWS, len(numbers)) + places % BLOCK_ROWS
+                order = np.argsort(places // BLOCK_ROWS, kind="stable")
+                blocks, starts = np.unique((places // BLOCK_ROWS)[order], return_index=True)
+                parts = np.split(codes[order].astype("<u2"), starts[1:])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(blocks, pa.int64()),
+                        pa.array(np.full(len(blocks), first), pa.int64()),
+                        pa.array([part.tobytes() for part in parts], pa.binary()),
+                    ],
+                    ["block", "first", "draws"],
+                )
+
+    return run
+
+
+def _sums_of_sent_draws(replicates: int):
+    """Sums of the gains drawn from a block, and how many draws met one, by replicate."""
+
+    def run(key: tuple[pa.Scalar, ...], held: pa.Table, sent: pa.Table) -> pa.Table:
+        gains = held.sort_by("position").column("gain").to_numpy()
+        known = ~np.isnan(gains)
+        gains = np.where(known, gains, 0.0)
+        total, drawn = np.zeros(replicates + SENT_REPLICATES), np.zeros(replicates + SENT_REPLICATES, np.int64)
+        for first, draws in zip(sent.column("first").to_pylist(), sent.column("draws")):
+            codes = np.frombuffer(draws.as_buffer(), "<u2").astype(np.int64)
+            replicate, place = codes // BLOCK_ROWS, codes % BLOCK_ROWS
+            some = slice(first, first + SENT_REPLICATES)
+            total[some] += np.bincount(replicate, gains[place], SENT_REPLICATES)
+            drawn[some] += np.bincount(replicate[known[place]], minlength=SENT_REPLICATES)
+        return pa.table(
+            {"replicate": np.arange(replicates), "total": total[:replicates], "drawn": drawn[:replicates]}
+        )
+
+    return run
+
+
+def hashed_means(scored: DataFrame, replicates: int, seed: int) -> DataFrame:
+    """Mean gain of each replicate: rows ``replicate``, ``value``. Draw ``i`` of a replicate is a number hashed
+    from the two, so any engine draws the same households.
+
+    There are as many draws as households: the household at place ``i`` makes the draws ``i`` of all replicates.
+    They are sent, two bytes each, to the block of households that holds the place drawn. Households without a gain
+    are drawn, but do not count.
+    """
+    # the functions travel to the executors with the job
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    base, model = (F.abs(F.col(c) - F.col(ACTUAL)) for c in MODELS.values())
+    gains = scored.select("household_key", (base - model).alias("gain"))
+    stored = ordered(gains, F.asc_nulls_last("household_key"), F.asc("gain"), keep=["gain"])
+    rows = stored.count()
+    placed = global_place(stored)
+    block = F.call_function("div", F.col("position"), F.lit(BLOCK_ROWS)).alias("block")
+    sent = (
+        # a household makes as many draws as there are replicates: runs of places are dealt to all tasks
+        placed.select("position").repartition(
+            3 * placed.sparkSession.sparkContext.defaultParallelism,
+            F.call_function("div", F.col("position"), F.lit(DEALT_PLACES)),
+        )
+        .mapInArrow(_sent_draws(rows, replicates, seed), "block long, first long, draws binary")
+        .groupBy("block")
+    )
+    held = placed.select(block, "position", F.coalesce("gain", F.lit(math.nan)).alias("gain")).groupBy("block")
+    return (
+        held.cogroup(sent)
+        .applyInArrow(_sums_of_sent_draws(replicates), "replicate long, total double, drawn long")
+        .groupBy("replicate")
+        .agg(F.try_divide(F.sum("total"), F.sum("drawn")).alias("value"))
+    )
+
+
 def bootstrap_means(scored: DataFrame, replicates: int, seed: int, method: str) -> DataFrame:
     """Mean gain of each replicate: rows ``replicate``, ``value``."""
     # the functions travel to the executors with the job
@@ -282,19 +378,27 @@ def bootstrap_means(scored: DataFrame, replicates: int, seed: int, method: str)
 
 
 def bootstrap_mae_improvement(
-    scored: DataFrame, replicates: int = 2000, seed: int = 42, method: str = "multinomial"
+    scored: DataFrame,
+    replicates: int = 2000,
+    seed: int = 42,
+    method: str = "multinomial",
+    hashed: bool = False,
 ) -> DataFrame:
     """2.5, 50 and 97.5% points of the MAE gain over resampled households.
 
     The gain of a resample is the mean of one column, the difference of the absolute errors. With
     ``method`` "multinomial" every replicate draws as many households as there are, with replacement; the
     draws are split over blocks of households, so that no draw is looked up and no task holds more
-    than a block. With "poisson" each household is given a Poisson(1) weight per replicate, and the size of a
+    than a block; if ``hashed``, each draw is a hash of its number instead, which any engine can repeat
+    (:func:`hashed_means`). With "poisson" each household is given a Poisson(1) weight per replicate, and the size of a
     replicate varies slightly around n. Either way a task hands on one row per replicate, and the
     answer does not depend on how the rows are dealt out. The caller chooses.
     """
+    if hashed and method != "multinomial":
+        raise ValueError(f"no hashed draws for method {method!r}")
+    means = hashed_means(scored, replicates, seed) if hashed else bootstrap_means(scored, replicates, seed, method)
     points = quantile_columns(
-        materialize(bootstrap_means(scored, replicates, seed, method).select("value"), "replicates"),
+        materialize(means.select("value"), "replicates"),
         {"p2_5": ("value", 0.025), "p50": ("value", 0.50), "p97_5": ("value", 0.975)},
     )
     return points.withColumn("method", F.lit(method))

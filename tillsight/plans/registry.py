@@ -318,7 +318,8 @@ EVALUATION: dict[str, Step] = {
     ),
     "decile_calibration": lambda s: evaluate.decile_calibration(evaluate.activity_decile(s.scored)),
     "top_share_capture": lambda s: evaluate.top_share_table(s.scored),
-    "bootstrap_mae_improvement": lambda s: evaluate.bootstrap_in_errors(
+    "bootstrap_mae_improvement": lambda s: evaluate.bootstrap_mae_improvement(s.scored, hashed=True),
+    "bootstrap_in_errors": lambda s: evaluate.bootstrap_in_errors(
         s.scored, evaluate.bootstrap_mae_improvement(s.scored)
     ),
     "bootstrap_points": lambda s: evaluate.bootstrap_mae_improvement(s.scored),
@@ -384,7 +385,7 @@ NOISY = {
     "bgnbd_fit_reached", "bgnbd_summary_fixed",
     "probability_alive", "rate_check", "expected_purchases", "evaluate_predictions",
     "model_comparison", "improvement_pct", "prediction_errors", "decile_calibration",
-    "bootstrap_mae_improvement", "bootstrap_points", "bootstrap_poisson", "lowest_alive", "largest_errors", "within_quintile_split",
+    "bootstrap_mae_improvement", "bootstrap_in_errors", "bootstrap_points", "bootstrap_poisson", "lowest_alive", "largest_errors", "within_quintile_split",
     "within_quintile_summary", "profile_cutoffs", "profile_relevance", "profile_commercial_weight",
     "profile_promotion_overview", "level_promotion_overview", "within_level_promotion_comparison",
     "comparison_primary", "comparison_secondary", "comparison_higher_value",
