@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.lines import lines, week_of
 from tillsight.functions import columns
 from tillsight.operators import audit, baskets, checks, features, holdout
-from tillsight.plans.stages import stages
+from tillsight.plans.stages import Stages, stages
 from tillsight.sources import storage
 
 FOLDER = "/root/testdata/sf0.001"
@@ -136,6 +136,31 @@ def test_basket_fact_spreads_a_basket_by_product_first(spark):
     assert ["product_id" in e for e in exchanges] == [False, True]
 
 
+def test_lines_move_once_to_the_basket_fact(spark, tmp_path, monkeypatch):
+    """Lines are joined and grouped where the join put them, and are not written; the period days are those of
+    the lines. Repeated orders, orders without lines and NULL keys give what the plain way gives."""
+    monkeypatch.setattr("tillsight.plans.stages.LINES_PER_PARTITION", 100)
+    orders = [(i, i % 40, i * 5) for i in range(481)] + [(7, 3, 2400), (8, 8, 40), (None, 1, 50), (9000, 2, 2404)]
+    rows = [(i % 479, i % 30, i % 6, float(i % 9), i * 1.25, i % 11 / 100) for i in range(1500)]
+    rows += [(None, 1, 1, 2.0, 3.0, 0.1), (8, None, None, None, None, None)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, days int").selectExpr(
+        "o_orderkey", "o_custkey", "timestamp(date_add(date'1995-01-01', days)) o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(rows, (
+        "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double"
+    )).write.parquet(f"{tmp_path}/lineitem.parquet")
+    s = Stages(spark, str(tmp_path))
+    key = ["household_key", "basket_id"]
+    assert s.fact_basket.orderBy(key).collect() == baskets.fact_basket(s.receipt_lines).orderBy(key).collect()
+    assert s.params == baskets.read_params(baskets.project_parameters(s.receipt_lines))
+    assert "transactions" not in vars(s)
+    text = plan(baskets.fact_basket(s.lines_by_basket))
+    moved = re.findall(r"Exchange hashpartitioning\((\w+)#\w+, (\d+)\), (\w+)", text)
+    assert sorted(moved) == [(k, "16", "REPARTITION_BY_NUM") for k in ("l_orderkey", "o_orderkey")]
+    assert text.count("Exchange hashpartitioning") == 2
+
+
 def test_scan_reads_only_needed_columns(spark):
     s = stages(spark, FOLDER)
     schema = re.search(r"ReadSchema: (\S+)", plan(baskets.project_parameters(s.transactions))).group(1)

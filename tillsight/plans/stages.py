@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.operators import baskets, describe, evaluate, features, holdout, profiles
+from tillsight.operators import baskets, checks, describe, evaluate, features, holdout, profiles
 from tillsight.operators.bgnbd import BgnbdFit, BgnbdParams, fit
 from tillsight.schema import Params
 from tillsight.sources.storage import materialize, releases
 from tillsight.sources.transactions import transactions_from_orders
 
+# Lines that one task joins and groups in memory.
+LINES_PER_PARTITION = 1_000_000
 # Parameters the queries score with: a fixed set, so that SQL can compute the same scores.
 THETA = BgnbdParams(r=1.2, alpha=60.0, a=0.6, b=8.0)
 # A set near the best one for the histories made by rule, and its neighbours.
@@ -37,20 +40,40 @@ class Stages:
         """The lines straight from the given tables, not yet written."""
         return transactions_from_orders(self.table("lineitem"), self.table("orders"))
 
+    @property
+    def lines_by_basket(self) -> DataFrame:
+        """The same lines, those of a basket together, in as many partitions as their number asks for."""
+        lines = self.table("lineitem")
+        least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return transactions_from_orders(
+            lines, self.table("orders"), max(least, math.ceil(lines.count() / LINES_PER_PARTITION))
+        )
+
     @cached_property
     def transactions(self) -> DataFrame:
         """The imported lines."""
         return materialize(self.receipt_lines, "transactions")
 
+    @cached_property
+    def _fact(self) -> tuple[DataFrame, dict]:
+        """The basket fact, and the days that bound the periods, observed in the pass that writes it.
+
+        Lines are joined and grouped where the join put them: they are moved once, and not written.
+        """
+        lines = checks.Watch(self.lines_by_basket, {}, baskets.period_bounds())
+        fact = baskets.fact_basket(lines.rows).sortWithinPartitions("basket_day")
+        return materialize(fact, "fact_basket"), lines.values()
+
     @cached_property
     def params(self) -> Params:
-        return baskets.read_params(baskets.project_parameters(self.transactions))
+        days = self._fact[1]
+        bounds = self.spark.range(1).select(*[F.lit(day).alias(name) for name, day in days.items()])
+        return baskets.read_params(baskets.parameter_row(bounds))
 
     @cached_property
     def fact_basket(self) -> DataFrame:
         """Sorted by day inside each file, so that a filter on the period skips row groups."""
-        fact = baskets.fact_basket(self.transactions)
-        return materialize(fact.sortWithinPartitions("basket_day"), "fact_basket")
+        return self._fact[0]
 
     @cached_property
     def customer_features(self) -> DataFrame:

@@ -38,21 +38,21 @@ def _require(path: str, found: list[str], declared: list[str]) -> None:
         raise ValueError(f"{path} does not hold receipt lines: {', '.join(wrong)}")
 
 
-def transactions_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+def transactions_from_orders(
+    lineitem: DataFrame, orders: DataFrame, partitions: int | None = None
+) -> DataFrame:
     """Receipt lines out of an order / order-line pair, by the fixed rules of FIXTURES.md.
 
-    Whole-number arithmetic only, so any engine gives the same values.
+    Whole-number arithmetic only, so any engine gives the same values. With ``partitions``, both sides are dealt by
+    order to so many, and what is grouped by basket afterwards moves no line again.
     """
     line = lineitem.select(
         "l_orderkey",
         "l_partkey",
-        (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_partkey") * 3).alias("k"),
+        "l_linenumber",
         F.col("l_quantity").cast("int").alias("ordered"),
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("price"),
-        F.expr(
-            "(cast(round(l_extendedprice * 100) as bigint)"
-            " * cast(round(l_discount * 100) as bigint) + 50) div 100"
-        ).alias("disc"),
+        F.round(F.col("l_discount") * 100).cast("bigint").alias("share"),
     )
     order = orders.select(
         "o_orderkey",
@@ -78,7 +78,15 @@ def transactions_from_orders(lineitem: DataFrame, orders: DataFrame) -> DataFram
             "decimal(12,2)"
         )
 
-    joined = line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
+    if partitions:
+        line, order = line.repartition(partitions, "l_orderkey"), order.repartition(partitions, "o_orderkey")
+    # what follows from other columns is computed after the join, and not moved
+    joined = line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).withColumns(
+        {
+            "k": F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_partkey") * 3,
+            "disc": F.expr("(price * share + 50) div 100"),
+        }
+    )
     return joined.withColumn("quantity", quantity).select(
         F.col("o_custkey").cast("int").alias("household_key"),
         F.col("o_orderkey").alias("basket_id"),
