@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import sys
 from hashlib import md5
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -259,12 +260,15 @@ def _drawn_sums(rows: int, replicates: int, seed: int):
     return run
 
 
-def hashed_draws(numbers: np.ndarray, rows: int, replicate: int, seed: int) -> np.ndarray:
-    """Places of the draws with these numbers (ascending) in a replicate, by hashes of four draws each."""
+def hashed_draws(numbers: np.ndarray, rows: int, replicates: int, seed: int):
+    """Places of the draws with these numbers, replicate by replicate, by hashes of four draws each."""
     hashes, at = np.unique(numbers // DRAWS_PER_HASH, return_inverse=True)
-    raw = b"".join([md5(f"{replicate}|{h}|{seed}".encode()).digest() for h in hashes.tolist()])
-    draws = np.frombuffer(raw, ">u4").reshape(-1, DRAWS_PER_HASH)[at, numbers % DRAWS_PER_HASH]
-    return np.floor(draws / 4294967296.0 * rows).astype(np.int64)
+    ends = [f"|{h}|{seed}".encode() for h in hashes.tolist()]
+    for replicate in range(replicates):
+        start = str(replicate).encode()
+        raw = b"".join([md5(start + end).digest() for end in ends])
+        draws = np.frombuffer(raw, ">u4").reshape(-1, DRAWS_PER_HASH)[at, numbers % DRAWS_PER_HASH]
+        yield np.floor(draws / 4294967296.0 * rows).astype(np.int64)
 
 
 def _sent_draws(rows: int, replicates: int, seed: int):
@@ -275,9 +279,10 @@ def _sent_draws(rows: int, replicates: int, seed: int):
             numbers = np.sort(batch.column("position").to_numpy())
             if not len(numbers):
                 continue
+            drawn = hashed_draws(numbers, rows, replicates, seed)
             for first in range(0, replicates, SENT_REPLICATES):
-                some = range(first, min(first + SENT_REPLICATES, replicates))
-                places = np.concatenate([hashed_draws(numbers, rows, r, seed) for r in some])
+                some = list(islice(drawn, SENT_REPLICATES))
+                places = np.concatenate(some)
                 codes = np.repeat(np.arange(len(some)) * BLOCK_ROWS, len(numbers)) + places % BLOCK_ROWS
                 order = np.argsort(places // BLOCK_ROWS, kind="stable")
                 blocks, starts = np.unique((places // BLOCK_ROWS)[order], return_index=True)
